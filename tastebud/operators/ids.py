@@ -46,11 +46,13 @@ def id_maps(rating_rows: DataFrame, items: DataFrame) -> tuple[DataFrame, DataFr
     return umap, imap
 
 
-def rating_triples(rating_rows: DataFrame, umap: DataFrame, imap: DataFrame) -> DataFrame:
-    """``(uid, iid, stars)`` with dense ids; ratings of unselected items dropped (inner join)."""
-    r = rating_rows.select("user_id", "business_id", "stars")
+def rating_triples(rating_rows: DataFrame, umap: DataFrame, imap: DataFrame,
+                   keep: tuple[str, ...] = ()) -> DataFrame:
+    """``(uid, iid, stars, *keep)`` with dense ids; ratings of unselected items
+    dropped (inner join)."""
+    r = rating_rows.select("user_id", "business_id", "stars", *keep)
     return (r.join(umap, "user_id").join(imap, "business_id")
-            .select("uid", "iid", F.col("stars").cast("double").alias("stars")))
+            .select("uid", "iid", F.col("stars").cast("double").alias("stars"), *keep))
 
 
 def string_index(df: DataFrame, col: str, out: str) -> DataFrame:

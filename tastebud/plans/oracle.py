@@ -19,6 +19,7 @@ ratings AS (
          CAST(1 + (CAST(l_quantity AS INT) % 5) AS DOUBLE) AS stars,
          concat('u', lpad(CAST(o_custkey AS VARCHAR), 7, '0')) AS user_id,
          concat('b', lpad(CAST(l_partkey AS VARCHAR), 7, '0')) AS business_id,
+         concat(CAST(l_orderkey AS VARCHAR), '-', CAST(l_linenumber AS VARCHAR)) AS review_id,
          l_orderkey, l_linenumber
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey)""",
     "business": f"""

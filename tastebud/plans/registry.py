@@ -7,7 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-PLAN_MODULES = ["recsys"]
+PLAN_MODULES = ["recsys", "tables"]
+ORACLE_MODULES = ["oracle", "oracle_tables"]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,5 +22,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    from .oracle import ORACLES
-    return dict(ORACLES)
+    out: dict[str, str] = {}
+    for m in ORACLE_MODULES:
+        out.update(importlib.import_module(f"tastebud.plans.{m}").ORACLES)
+    return out

@@ -26,7 +26,7 @@ def _padded_key(prefix: str, c: str) -> Column:
 
 
 def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rating rows ``(uid, iid, stars, user_id, business_id, l_orderkey, l_linenumber)``.
+    """Rating rows ``(uid, iid, stars, user_id, business_id, review_id, l_orderkey, l_linenumber)``.
 
     One rating per line item: the customer of the order rates the part.
     Duplicate (user, item) pairs are kept, as in a review table.
@@ -40,6 +40,8 @@ def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
                     (F.lit(1) + F.col("l_quantity").cast("int") % 5).cast("double").alias("stars"),
                     _padded_key("u", "o_custkey").alias("user_id"),
                     _padded_key("b", "l_partkey").alias("business_id"),
+                    F.concat_ws("-", F.col("l_orderkey").cast("string"),
+                                F.col("l_linenumber").cast("string")).alias("review_id"),
                     "l_orderkey", "l_linenumber"))
 
 
@@ -76,8 +78,9 @@ def business(spark: SparkSession, sf_dir: str, rating_rows: DataFrame | None = N
         F.col("p_partkey").alias("iid"),
         F.col("p_name").alias("name"),
         F.concat(F.lit("City_"), (F.col("p_partkey") % 5).cast("string")).alias("city"),
-        F.expr("CAST(40.0 + (p_partkey % 100) / 200.0 AS DOUBLE)").alias("latitude"),
-        F.expr("CAST(-80.0 + (p_partkey % 70) / 100.0 AS DOUBLE)").alias("longitude"),
+        # double arithmetic (as in the SQL oracle), so grid cells agree exactly
+        (F.lit(40.0) + (F.col("p_partkey") % 100).cast("double") / F.lit(200.0)).alias("latitude"),
+        (F.lit(-80.0) + (F.col("p_partkey") % 70).cast("double") / F.lit(100.0)).alias("longitude"),
         F.when(F.col("p_size") % 4 == 0, 0).otherwise(1).alias("is_open"),
         F.coalesce(F.col("review_count"), F.lit(0).cast("long")).alias("review_count"),
         F.col("stars"),
