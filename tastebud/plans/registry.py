@@ -7,8 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-PLAN_MODULES = ["recsys", "tables"]
-ORACLE_MODULES = ["oracle", "oracle_tables"]
+PLAN_MODULES = ["recsys", "tables", "content"]
+ORACLE_MODULES = ["oracle", "oracle_tables", "oracle_content"]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
