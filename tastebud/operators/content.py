@@ -17,13 +17,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import literals
 from ..functions.scalars import NORM_FLOOR, like_weight
+from . import blocked
 from .common import top_n_per_group
 from .ids import ordered_index
 
@@ -36,10 +35,6 @@ ATTRIBUTES_DICT = ["Ambience", "BusinessParking"]
 ATTRIBUTES = ATTRIBUTES_BOOLEAN + ATTRIBUTES_CAT
 DEFAULT_MIN_DF = 10
 
-# Bound on one broadcast block of the signature matrix (cells of float64).
-MAX_BLOCK_CELLS = 4_000_000
-# Bound on the score matrix held by one Python worker at a time.
-MAX_CHUNK_CELLS = 4_000_000
 
 
 def onehot_features(items: DataFrame, attributes: Sequence[str] = ATTRIBUTES,
@@ -146,89 +141,36 @@ def item_signatures(items: DataFrame, kfeatures: DataFrame) -> tuple[DataFrame,
     return sig_items.select("sig", "iid"), sig_features, sigs
 
 
-def _block_scorer(block, n: int):
-    """mapInPandas function: exact top-n candidates of one signature block per user.
-
-    ``block`` is a broadcast of ``(sig_mat, cand_sig, cand_iid)``: the
-    norm-scaled signature matrix and, per signature, its first n items."""
-
-    def fn(batches):
-        sig_mat, cand_sig, cand_iid = block.value
-        n_feat = sig_mat.shape[1]
-        n_cand = len(cand_iid)
-        chunk = max(1, MAX_CHUNK_CELLS // max(1, n_cand))
-        k = min(n, n_cand)
-        for pdf in batches:
-            if len(pdf) == 0 or k == 0:
-                continue
-            lens = pdf["fidx"].map(len).to_numpy()
-            rows = np.repeat(np.arange(len(pdf)), lens)
-            cols = np.concatenate([np.asarray(a, dtype=np.int64) for a in pdf["fidx"]]
-                                  + [np.zeros(0, np.int64)])
-            vals = np.concatenate([np.asarray(a, dtype=np.float64) for a in pdf["w"]] + [np.zeros(0)])
-            prof = np.zeros((len(pdf), n_feat))
-            prof[rows, cols] = vals
-            uids = pdf["uid"].to_numpy()
-            for s in range(0, len(pdf), chunk):
-                sc = prof[s:s + chunk] @ sig_mat.T           # users x signatures
-                cs = sc[:, cand_sig]                          # users x candidate items
-                key = np.round(cs, 6)
-                order = np.lexsort((np.broadcast_to(cand_iid, cs.shape), -key), axis=1)[:, :k]
-                top_scores = np.take_along_axis(cs, order, axis=1)
-                yield pd.DataFrame({
-                    "uid": np.repeat(uids[s:s + chunk], k),
-                    "iid": cand_iid[order].reshape(-1),
-                    "score": top_scores.reshape(-1)})
-    return fn
-
-
 def content_topn_all(triples: DataFrame, items: DataFrame, kfeatures: DataFrame,
                      profiles: DataFrame, n: int = 5) -> DataFrame:
     """Top-n items for every user with ratings: ``(uid, rank, iid, score)``.
 
-    Signature blocks of bounded size (``MAX_BLOCK_CELLS``) are broadcast in
-    turn; each Python task scores a batch of user profiles against the block
-    with one matrix product and keeps n candidates per user, so output per
-    block is ``users x n`` and no user x item rows are ever materialised.
-    A final window group-limit merges the blocks.
+    Items collapse to signatures; signature vectors scaled by ``1/max(norm, 0.01)``
+    are scored against all user profiles with :func:`blocked.blocked_top_n`
+    (broadcast blocks of bounded size, n candidates per user per block), so
+    no user x item rows are materialised.  The empty signature scores 0, which
+    fills users with few liked features up to n (lowest iids first).
     """
-    spark = triples.sparkSession
     feats = ordered_index(kfeatures.select("feature").distinct(), [F.col("feature").asc()], "fidx")
     n_feat = feats.count()
     sig_items, sig_features, sigs = item_signatures(items, kfeatures)
     n_sigs = sigs.count()
-    block = max(1, MAX_BLOCK_CELLS // max(1, n_feat + n))
-    first_items = top_n_per_group(sig_items, "sig", [F.col("iid").asc()], n, "pos")
-    sig_feat_idx = sig_features.join(feats, "feature")
-
+    norms = sig_features.groupBy("sig").agg(F.greatest(
+        F.sqrt(F.sum(F.coalesce(F.col("value") * F.col("value"), F.lit(0.0)))),
+        F.lit(NORM_FLOOR)).alias("norm"))
+    targets = (sig_features.join(feats, "feature").join(norms, "sig").join(sigs, "sig")
+               .select(F.col("sig_idx").alias("tidx"), "fidx",
+                       (F.col("value") / F.col("norm")).alias("value")))
+    cands = (top_n_per_group(sig_items, "sig", [F.col("iid").asc()], n, "pos")
+             .join(sigs, "sig").select(F.col("sig_idx").alias("tidx"), F.col("iid").alias("cid")))
     users = triples.select("uid").distinct()
     prof = (profiles.join(feats, "feature")
             .groupBy("uid").agg(F.collect_list("fidx").alias("fidx"), F.collect_list("weight").alias("w")))
-    uprof = users.join(prof, "uid", "left").select(
-        "uid", F.coalesce("fidx", F.array().cast("array<bigint>")).alias("fidx"),
+    queries = users.join(prof, "uid", "left").select(
+        F.col("uid").alias("qid"), F.coalesce("fidx", F.array().cast("array<bigint>")).alias("fidx"),
         F.coalesce("w", F.array().cast("array<double>")).alias("w"))
-
-    parts = []
-    for b0 in range(0, n_sigs, block):
-        b1 = min(n_sigs, b0 + block)
-        in_block = sigs.where((F.col("sig_idx") >= b0) & (F.col("sig_idx") < b1))
-        # bounded by the block size check above
-        fm = sig_feat_idx.join(in_block, "sig").select("sig_idx", "fidx", "value").toPandas()
-        cand = (first_items.join(in_block, "sig").select("sig_idx", "iid")
-                .orderBy("sig_idx", "iid").toPandas())
-        mat = np.zeros((b1 - b0, max(1, n_feat)))
-        if len(fm):
-            mat[fm["sig_idx"].to_numpy() - b0, fm["fidx"].to_numpy()] = fm["value"].to_numpy()
-        norms = np.maximum(np.sqrt((mat * mat).sum(axis=1)), NORM_FLOOR)
-        mat = mat / norms[:, None]
-        bc = spark.sparkContext.broadcast(
-            (mat, cand["sig_idx"].to_numpy() - b0, cand["iid"].to_numpy().astype(np.int64)))
-        fn = _block_scorer(bc, n)
-        parts.append(uprof.mapInPandas(fn, "uid long, iid long, score double"))
-    allp = parts[0]
-    for p in parts[1:]:
-        allp = allp.unionByName(p)
-    return top_n_per_group(allp, "uid", [F.round("score", 6).desc(), F.col("iid").asc()], n)
+    top = blocked.blocked_top_n(queries, targets, cands, n_sigs, n_feat, n)
+    return top.select(F.col("qid").alias("uid"), "rank", F.col("cid").alias("iid"), "score")
 
 
 def profile_top_features(profiles: DataFrame, k: int = 5) -> DataFrame:

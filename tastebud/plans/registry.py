@@ -7,8 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-PLAN_MODULES = ["recsys", "tables", "content"]
-ORACLE_MODULES = ["oracle", "oracle_tables", "oracle_content"]
+PLAN_MODULES = ["recsys", "tables", "content", "text"]
+ORACLE_MODULES = ["oracle", "oracle_tables", "oracle_content", "oracle_text"]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
