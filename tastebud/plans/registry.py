@@ -7,8 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-PLAN_MODULES = ["recsys", "tables", "content", "text"]
-ORACLE_MODULES = ["oracle", "oracle_tables", "oracle_content", "oracle_text"]
+PLAN_MODULES = ["recsys", "tables", "content", "text", "dnn", "models"]
+ORACLE_MODULES = ["oracle", "oracle_tables", "oracle_content", "oracle_text", "oracle_models"]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
