@@ -61,10 +61,10 @@ def delete_punctuation(c: str | Column) -> Column:
 def clean_tokens(c: str | Column, stopwords: Iterable[str] | None = None) -> Column:
     """Tokens of the cleaned text: literal ``\\n`` to blank, punctuation deleted,
     whitespace split, stop words dropped by their lower case (case kept)."""
-    sw = tuple(stopwords) if stopwords is not None else default_stopwords()
-    stop = F.array(*[F.lit(w) for w in sw])
+    sw = list(stopwords) if stopwords is not None else list(default_stopwords())
     text = delete_punctuation(F.replace(col_of(c), F.lit(LITERAL_NEWLINE), F.lit(" ")))
-    return F.filter(split_ws(text), lambda w: ~F.array_contains(stop, F.lower(w)))
+    # isin with many literals plans as a hash-set lookup (InSet), not a list scan
+    return F.filter(split_ws(text), lambda w: ~F.lower(w).isin(sw))
 
 
 def clean_text(c: str | Column, stopwords: Iterable[str] | None = None) -> Column:

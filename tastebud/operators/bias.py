@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import clip_rating
-from .common import materialize
+from .common import join_small, materialize
 
 
 @dataclass(frozen=True)
@@ -44,8 +44,8 @@ class BiasModel:
 
 
 def _half_step(r: DataFrame, other: DataFrame | None, other_key: str, other_col: str,
-               key: str, out: str, mu: float, reg: float) -> DataFrame:
-    x = r if other is None else r.join(other, other_key)
+               key: str, out: str, mu: float, reg: float, other_rows: int | None = None) -> DataFrame:
+    x = r if other is None else join_small(r, other, other_key, rows=other_rows)
     resid = F.col("stars") - F.lit(mu)
     if other is not None:
         resid = resid - F.col(other_col)
@@ -58,12 +58,13 @@ def fit_bias(triples: DataFrame, config: BiasConfig = BiasConfig(),
     """Fit the bias baseline on ``(uid, iid, stars)``; duplicate pairs count separately."""
     r = triples.select(F.col(user).alias("uid"), F.col(item).alias("iid"),
                        F.col("stars").cast("double").alias("stars")).persist()
-    mu = r.agg(F.avg("stars")).first()[0]
+    st = r.agg(F.avg("stars"), F.count_distinct("uid"), F.count_distinct("iid")).first()
+    mu, n_users, n_items = st[0], st[1], st[2]
     bu = None
     bi = None
     for _ in range(config.n_epochs):
-        bi = materialize(_half_step(r, bu, "uid", "b_u", "iid", "b_i", mu, config.reg_i), "bias-i")
-        bu = materialize(_half_step(r, bi, "iid", "b_i", "uid", "b_u", mu, config.reg_u), "bias-u")
+        bi = materialize(_half_step(r, bu, "uid", "b_u", "iid", "b_i", mu, config.reg_i, n_users), "bias-i")
+        bu = materialize(_half_step(r, bi, "iid", "b_i", "uid", "b_u", mu, config.reg_u, n_items), "bias-u")
     if bi is None:  # zero epochs: all biases zero
         bi = r.select("iid").distinct().withColumn("b_i", F.lit(0.0))
         bu = r.select("uid").distinct().withColumn("b_u", F.lit(0.0))
@@ -112,11 +113,11 @@ def fit_bias_tracks(train: DataFrame, configs: DataFrame, n_epochs: int,
     bu = None
     out: dict[int, tuple[DataFrame, DataFrame]] = {}
     for e in range(1, n_epochs + 1):
-        x = base if bu is None else base.join(bu, ["track", "uid"])
+        x = base if bu is None else join_small(base, bu, ["track", "uid"])
         res = F.col("stars") - F.col("mu") - (F.col("b_u") if bu is not None else F.lit(0.0))
         bi = materialize(x.groupBy("track", "iid").agg(
             (F.sum(res) / (F.first("reg_i") + F.count(F.lit(1)))).alias("b_i")), "bias-ti")
-        y = base.join(bi, ["track", "iid"])
+        y = join_small(base, bi, ["track", "iid"])
         bu = materialize(y.groupBy("track", "uid").agg(
             (F.sum(F.col("stars") - F.col("mu") - F.col("b_i")) / (F.first("reg_u") + F.count(F.lit(1))))
             .alias("b_u")), "bias-tu")
@@ -134,3 +135,156 @@ def track_rmse(test: DataFrame, mu: DataFrame, user_bias: DataFrame, item_bias:
                                                + F.coalesce("b_i", F.lit(0.0)))))
     e = F.pow(F.col("stars") - F.col("prediction"), 2)
     return p.groupBy("track").agg(F.count(F.lit(1)).alias("n"), F.sqrt(F.avg(e)).alias("rmse"))
+
+
+# ------------------------------------------------------------ folds x configs, vectorised
+
+@dataclass
+class FoldFits:
+    """Bias models of every (held-out fold f, config c) track ``t = f * C + c``.
+
+    ``snapshots[epoch] = (user_bias (uid, bu array[T]), item_bias (iid, bi array[T]))``;
+    ``mu`` is the list of per-track global means."""
+    k: int
+    configs: list
+    mu: list
+    snapshots: dict
+
+
+def _per_key_track_arrays(df: DataFrame, key: str, k: int, n_cfg: int) -> DataFrame:
+    """``(key, N array[T], S array[T])``: rating count and star sum of each key
+    over the training folds of every track (totals minus the held fold)."""
+    t_count = k * n_cfg
+    agg = df.groupBy(key).agg(
+        F.count(F.lit(1)).alias("_n"), F.sum("stars").alias("_s"),
+        F.array(*[F.count(F.when(F.col("fold") == f, 1)) for f in range(k)]).alias("_nf"),
+        F.array(*[F.coalesce(F.sum(F.when(F.col("fold") == f, F.col("stars"))), F.lit(0.0))
+                  for f in range(k)]).alias("_sf"))
+    held = lambda t: F.floor(t / n_cfg).cast("int") + 1
+    seq = F.sequence(F.lit(0), F.lit(t_count - 1))
+    return agg.select(
+        key,
+        F.transform(seq, lambda t: (F.col("_n") - F.element_at("_nf", held(t))).cast("double")).alias("N"),
+        F.transform(seq, lambda t: F.col("_s") - F.element_at("_sf", held(t))).alias("S"))
+
+
+def _scatter_fn(group_key: str, k: int, n_cfg: int):
+    """mapInPandas: per partition, sum ``(n - c[held fold]) * b[t]`` by group key
+    for every track; one output row per key per partition."""
+    import numpy as np
+    import pandas as pd
+
+    t_count = k * n_cfg
+    held = np.arange(t_count) // n_cfg
+
+    def fn(batches):
+        acc: dict = {}
+        for pdf in batches:
+            if len(pdf) == 0:
+                continue
+            keys = pdf[group_key].to_numpy()
+            n = pdf["n"].to_numpy().astype(np.float64)
+            c = np.stack(pdf["c"].to_numpy()).astype(np.float64)
+            b = np.stack(pdf["b"].to_numpy()).astype(np.float64)
+            contrib = (n[:, None] - c[:, held]) * b
+            uniq, inv = np.unique(keys, return_inverse=True)
+            part = np.zeros((len(uniq), t_count))
+            np.add.at(part, inv, contrib)
+            for key, row in zip(uniq.tolist(), part):
+                if key in acc:
+                    acc[key] += row
+                else:
+                    acc[key] = row
+        if acc:
+            yield pd.DataFrame({group_key: list(acc.keys()), "d": [v.tolist() for v in acc.values()]})
+    return fn
+
+
+def _combine_partials(partials: DataFrame, key: str, t_count: int) -> DataFrame:
+    """Element-wise sum of the per-partition arrays of each key (at most one
+    array per partition per key, so the list is bounded by the partition count)."""
+    zero = F.array_repeat(F.lit(0.0), t_count)
+    return partials.groupBy(key).agg(F.aggregate(
+        F.collect_list("d"), zero, lambda acc, x: F.zip_with(acc, x, lambda a, b: a + b)).alias("d"))
+
+
+def _update(consts: DataFrame, key: str, d: DataFrame | None, mu: list, regs: list, out: str) -> DataFrame:
+    """``b[t] = (S[t] - N[t] mu[t] - D[t]) / (reg[t] + N[t])`` for every track."""
+    t_count = len(mu)
+    mu_a = F.array(*[F.lit(float(m)) for m in mu])
+    reg_a = F.array(*[F.lit(float(r)) for r in regs])
+    x = consts if d is None else consts.join(d, key, "left")
+    dcol = F.array_repeat(F.lit(0.0), t_count) if d is None else F.coalesce(
+        F.col("d"), F.array_repeat(F.lit(0.0), t_count))
+    z = F.arrays_zip(F.col("S").alias("s"), F.col("N").alias("n"), dcol.alias("d"),
+                     mu_a.alias("m"), reg_a.alias("r"))
+    return x.select(key, F.transform(z, lambda e: (e["s"] - e["n"] * e["m"] - e["d"]) / (e["r"] + e["n"]))
+                    .alias(out))
+
+
+def fit_bias_folds(triples: DataFrame, fold: str, k: int, configs: list[tuple[float, float]],
+                   n_epochs: int, snapshots: tuple[int, ...] = ()) -> FoldFits:
+    """Fit the bias baseline for every (held-out fold, (reg_u, reg_i)) pair at once.
+
+    Ratings are never replicated per track: one row per (user, item) pair
+    carries its per-fold counts, user and item biases are arrays over all
+    tracks, and each half-step joins the pairs with one bias table, sums the
+    contributions of all tracks per key inside each partition (numpy), and
+    merges the per-partition arrays.  Keys with a third of all ratings cost
+    one array per partition.  ``n_epochs`` is shared; ``snapshots`` keeps the
+    tables after the listed epochs.
+    """
+    n_cfg = len(configs)
+    t_count = k * n_cfg
+    t = triples.select("uid", "iid", F.col("stars").cast("double").alias("stars"),
+                       F.col(fold).cast("int").alias("fold"))
+    pairs = materialize(t.groupBy("uid", "iid").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.array(*[F.count(F.when(F.col("fold") == f, 1)) for f in range(k)]).alias("c")), "bias-pairs")
+    icon = materialize(_per_key_track_arrays(t, "iid", k, n_cfg), "bias-icon")
+    ucon = materialize(_per_key_track_arrays(t, "uid", k, n_cfg), "bias-ucon")
+    n_items, n_users = icon.count(), ucon.count()
+    g = t.agg(F.count(F.lit(1)).alias("n"), F.sum("stars").alias("s"),
+              *[F.count(F.when(F.col("fold") == f, 1)).alias(f"n{f}") for f in range(k)],
+              *[F.coalesce(F.sum(F.when(F.col("fold") == f, F.col("stars"))), F.lit(0.0)).alias(f"s{f}")
+                for f in range(k)]).first()
+    mu = []
+    for tr in range(t_count):
+        f = tr // n_cfg
+        nt = g["n"] - g[f"n{f}"]
+        mu.append((g["s"] - g[f"s{f}"]) / nt if nt else 0.0)
+    reg_u = [float(configs[tr % n_cfg][0]) for tr in range(t_count)]
+    reg_i = [float(configs[tr % n_cfg][1]) for tr in range(t_count)]
+    schema = "{} long, d array<double>"
+    bu = None
+    snaps: dict = {}
+    for e in range(1, n_epochs + 1):
+        d = None
+        if bu is not None:
+            j = join_small(pairs, bu.withColumnRenamed("bu", "b"), "uid", rows=n_users)
+            d = _combine_partials(j.mapInPandas(_scatter_fn("iid", k, n_cfg), schema.format("iid")),
+                                  "iid", t_count)
+        bi = materialize(_update(icon, "iid", d, mu, reg_i, "bi"), "bias-fi")
+        j = join_small(pairs, bi.withColumnRenamed("bi", "b"), "iid", rows=n_items)
+        d = _combine_partials(j.mapInPandas(_scatter_fn("uid", k, n_cfg), schema.format("uid")),
+                              "uid", t_count)
+        bu = materialize(_update(ucon, "uid", d, mu, reg_u, "bu"), "bias-fu")
+        if e in snapshots or e == n_epochs:
+            snaps[e] = (bu, bi)
+    return FoldFits(k, list(configs), mu, snaps)
+
+
+def fold_rmse(test: DataFrame, fold: str, fits: FoldFits, epoch: int) -> DataFrame:
+    """``(fold, cfg, n, rmse)``: clipped-prediction RMSE of each track on its
+    held-out fold.  Each test row is scored for the C configs of its fold."""
+    n_cfg = len(fits.configs)
+    bu, bi = fits.snapshots[epoch]
+    mu_a = F.array(*[F.lit(float(m)) for m in fits.mu])
+    x = (test.select("uid", "iid", "stars", F.col(fold).cast("int").alias("fold"))
+         .join(bu, "uid", "left").join(bi, "iid", "left")
+         .select("fold", "stars", "bu", "bi", F.explode(F.sequence(F.lit(0), F.lit(n_cfg - 1))).alias("cfg")))
+    tr = F.col("fold") * n_cfg + F.col("cfg") + 1
+    pred = clip_rating(F.element_at(mu_a, tr) + F.coalesce(F.element_at("bu", tr), F.lit(0.0))
+                       + F.coalesce(F.element_at("bi", tr), F.lit(0.0)))
+    e = F.pow(F.col("stars") - pred, 2)
+    return x.groupBy("fold", "cfg").agg(F.count(F.lit(1)).alias("n"), F.sqrt(F.avg(e)).alias("rmse"))

@@ -25,6 +25,23 @@ def materialize(df: DataFrame, name: str = "t") -> DataFrame:
     return spark.read.parquet(path)
 
 
+# Row bound under which a materialised table is broadcast to the join.
+BROADCAST_MAX_ROWS = 2_000_000
+
+
+def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
+               max_rows: int = BROADCAST_MAX_ROWS, rows: int | None = None) -> DataFrame:
+    """Join ``big`` with a table that is usually small (a model's parameter table).
+
+    The small side is broadcast only after its row count is checked against
+    ``max_rows``; beyond it the planner's shuffle join (with AQE skew
+    splitting) is used.  Meant for materialised inputs, whose count is read
+    from file metadata; pass ``rows`` when the count is already known."""
+    if (rows if rows is not None else small.count()) <= max_rows:
+        return big.join(F.broadcast(small), on, how)
+    return big.join(small, on, how)
+
+
 def top_n_per_group(df: DataFrame, group: str | list[str], order: list[Column], n: int,
                     rank_col: str = "rank") -> DataFrame:
     """Rows ranked ``1..n`` within each group by ``order`` (planned as a

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import clean_text, vectorizer_tokens, wordpunct_tokens
 from . import blocked
-from .common import top_n_per_group
+from .common import materialize, top_n_per_group
 from .ids import ordered_index
 
 PAD, UNK = "", "[UNK]"
@@ -76,6 +76,7 @@ def item_item_topk(weights: DataFrame, vocab: DataFrame, doc: str = "business_id
 
     Rows are L2-normalised, so cosine = dot product; scored with the blocked
     top-n operator (no item x item rows, no per-term pair emission)."""
+    weights = materialize(weights.select(doc, "token", "tfidf"), "tfidf")
     feats = ordered_index(vocab.select("token"), [F.col("token").asc()], "fidx")
     n_feat = feats.count()
     docs = ordered_index(weights.select(doc).distinct(), [F.col(doc).asc()], "did")

@@ -7,9 +7,10 @@ import itertools
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.scalars import clip_rating, md5_bucket, r6
+from ..functions.scalars import clip_rating, md5_bucket, r6, split_categories
 from ..functions.text import vectorizer_tokens
 from ..operators import bias, features as FE, models, validation
+from ..operators.common import materialize
 from ..operators import text as T
 from . import base, dnn
 from .recsys import BIAS_CONFIG
@@ -52,48 +53,35 @@ def q_bias_rmse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.select("n", r6("rmse").alias("rmse"))
 
 
-def _fold_tracks(t: DataFrame, configs: list[tuple[int, float, float]]):
-    """Training rows replicated per (fold, config) track, test rows per track,
-    and the track table.  Track ``f * C + c`` holds out fold f with config c;
-    the fan-out is the constant ``(k - 1) x C`` (an ``explode``, no join)."""
-    k, n_cfg = N_FOLDS, len(configs)
-    spark = t.sparkSession
-    tracks = [(f * n_cfg + c, f, c, float(ru), float(ri))
-              for f in range(k) for c, (_, ru, ri) in enumerate(configs)]
-    tdf = spark.createDataFrame(tracks, "track int, fold int, cfg int, reg_u double, reg_i double")
-    tf = t.withColumn("fold", md5_bucket("review_id", k))
-    train = (tf.select("uid", "iid", "stars", "fold",
-                       F.explode(F.sequence(F.lit(0), F.lit(k * n_cfg - 1))).alias("track"))
-             .where(F.floor(F.col("track") / n_cfg) != F.col("fold"))
-             .select("track", "uid", "iid", "stars"))
-    test = tf.select("uid", "iid", "stars", F.explode(F.sequence(
-        F.col("fold") * n_cfg, F.col("fold") * n_cfg + (n_cfg - 1))).alias("track"))
-    return train, test.select("track", "uid", "iid", "stars"), tdf
+def _folded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = _keyed_triples(spark, sf_dir)
+    return t.withColumn("fold", md5_bucket("review_id", N_FOLDS))
 
 
 def q_bias_cv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = _keyed_triples(spark, sf_dir)
+    """5-fold cross-validated RMSE of the default bias model (one row per fold)."""
+    t = _folded(spark, sf_dir)
     c = BIAS_CONFIG
-    train, test, tdf = _fold_tracks(t, [(c.n_epochs, c.reg_u, c.reg_i)])
-    mu, snaps = bias.fit_bias_tracks(train, tdf, c.n_epochs)
-    bu, bi = snaps[c.n_epochs]
-    r = bias.track_rmse(test, mu, bu, bi).join(tdf, "track")
+    fits = bias.fit_bias_folds(t, "fold", N_FOLDS, [(c.reg_u, c.reg_i)], c.n_epochs)
+    r = bias.fold_rmse(t, "fold", fits, c.n_epochs)
     return r.select("fold", "n", r6("rmse").alias("rmse"))
 
 
 def q_bias_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Mean 5-fold RMSE of every (n_epochs, reg_u, reg_i) in the grid; the
-    epoch values share one 25-epoch run per (reg_u, reg_i) and fold."""
-    t = _keyed_triples(spark, sf_dir)
-    regs = [(0, ru, ri) for ru, ri in itertools.product(GRID_REG_U, GRID_REG_I)]
-    train, test, tdf = _fold_tracks(t, regs)
-    mu, snaps = bias.fit_bias_tracks(train, tdf, max(GRID_EPOCHS), GRID_EPOCHS)
+    """Mean 5-fold RMSE of every (n_epochs, reg_u, reg_i) in the grid; all 60
+    (fold, reg_u, reg_i) fits run together, and the epoch values are snapshots
+    of one 25-epoch run."""
+    t = _folded(spark, sf_dir)
+    regs = [(float(ru), float(ri)) for ru, ri in itertools.product(GRID_REG_U, GRID_REG_I)]
+    fits = bias.fit_bias_folds(t, "fold", N_FOLDS, regs, max(GRID_EPOCHS), GRID_EPOCHS)
+    spark_cfg = spark.createDataFrame([(i, ru, ri) for i, (ru, ri) in enumerate(regs)],
+                                      "cfg int, reg_u double, reg_i double")
     rows = None
     for e in GRID_EPOCHS:
-        bu, bi = snaps[e]
-        r = bias.track_rmse(test, mu, bu, bi).join(tdf, "track").withColumn("n_epochs", F.lit(e))
+        r = bias.fold_rmse(t, "fold", fits, e).withColumn("n_epochs", F.lit(e))
         rows = r if rows is None else rows.unionByName(r)
-    g = rows.groupBy("n_epochs", "reg_u", "reg_i").agg(F.avg("rmse").alias("rmse"))
+    g = rows.join(F.broadcast(spark_cfg), "cfg").groupBy("n_epochs", "reg_u", "reg_i").agg(
+        F.avg("rmse").alias("rmse"))
     from pyspark.sql import Window
     w = Window.orderBy(F.round("rmse", 9), "n_epochs", "reg_u", "reg_i")  # 60 rows
     return g.select(F.col("n_epochs").cast("int").alias("n_epochs"), "reg_u", "reg_i",
@@ -153,19 +141,34 @@ def q_fm_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.round(clip_rating("prediction"), 4).alias("prediction"))
 
 
+def fm_item_features(d, names: list[str]) -> DataFrame:
+    """``(iid, feature, x)``: each item's non-user FM inputs in the assembler's
+    layout (item one-hot, two min-max columns, normalised category counts)."""
+    stats = FE.column_stats(d.frame, dnn.DENSE)
+    items = FE.minmax_scale(d.frame, dnn.DENSE, stats).dropDuplicates(["iid"])
+    off_i, off_d = d.n_users, d.n_users + d.n_items
+    off_c = off_d + len(dnn.DENSE)
+    parts = [items.select("iid", (F.col("iid") + off_i).alias("feature"), F.lit(1.0).alias("x"))]
+    for j, c in enumerate(dnn.DENSE):
+        parts.append(items.select("iid", F.lit(off_d + j).cast("long").alias("feature"),
+                                  F.col(c + "_minmax").alias("x")))
+    pos = items.sparkSession.createDataFrame(
+        [(n, i) for i, n in enumerate(names)], "category string, p long")
+    cats = (items.select("iid", F.explode(split_categories("categories")).alias("category"))
+            .join(F.broadcast(pos), "category"))  # bounded: the category vocabulary
+    k = cats.groupBy("iid").agg(F.count(F.lit(1)).alias("_k"))
+    parts.append(cats.join(k, "iid").select("iid", (F.col("p") + off_c).alias("feature"),
+                                            (F.lit(1.0) / F.col("_k")).alias("x")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.groupBy("iid", "feature").agg(F.sum("x").alias("x")).where("x <> 0")
+
+
 def q_fm_topn(spark: SparkSession, sf_dir: str) -> DataFrame:
     d, f, names, asm, x, m = _fm(spark, sf_dir)
-    items = (FE.minmax_scale(d.frame, dnn.DENSE, FE.column_stats(d.frame, dnn.DENSE))
-             .dropDuplicates(["iid"]))
-    irows = models.fm_rows(items.withColumn("uid", F.lit(None).cast("long")), names)
-    # user block left empty: the one-hot of a null uid is the zero vector
-    irows = irows.withColumn("uid_d", F.lit(0.0))
-    iv = asm.transform(irows).select("iid", "features")
-    from pyspark.ml.functions import array_to_vector, vector_to_array
-    iv = iv.withColumn("features", array_to_vector(F.transform(
-        vector_to_array("features"), lambda v, i: F.when(i < d.n_users, F.lit(0.0)).otherwise(v))))
-    users = x.select("uid").distinct()
-    top = models.fm_topn(m, iv, users, d.n_users, base.TOP_N)
+    users = x.where("split = 'train'").select("uid").distinct()
+    top = models.fm_topn(m, fm_item_features(d, names), users, base.TOP_N)
     return top.select("uid", "rank", "iid", F.round(clip_rating("score"), 4).alias("pred"))
 
 
@@ -178,8 +181,9 @@ def _sentiment(spark: SparkSession, sf_dir: str):
     dim = int(spark.read.parquet(f"{sf_dir.rstrip('/')}/embeddings.parquet")
               .agg(F.max(F.size("embedding"))).first()[0] or 0)
     dv = T.doc_vectors(lab, wv)
-    rows = models.docvec_column(lab.join(split, "review_id").withColumn("tokens", vectorizer_tokens("text")),
-                                dv, dim)
+    rows = materialize(models.docvec_column(
+        lab.join(split, "review_id").withColumn("tokens", vectorizer_tokens("text")), dv, dim),
+        "sentiment-rows")
     model = models.text_regression_pipeline().fit(rows.where("split = 'train'"))
     return rows, model, wv, dim
 
