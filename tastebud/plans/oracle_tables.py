@@ -57,7 +57,7 @@ ORACLES["checkin_summary"] = with_views(["business"], [
     """s AS (SELECT business_id, CAST(COUNT(*) AS INTEGER) AS checkin_total,
              MIN(date) AS checkin_first, MAX(date) AS checkin_last FROM ev GROUP BY business_id)"""],
     body="""
-SELECT b.business_id, s.checkin_total, s.checkin_first, s.checkin_last
+SELECT b.business_id, CAST(s.checkin_total AS DOUBLE) AS checkin_total, s.checkin_first, s.checkin_last
 FROM s RIGHT JOIN business b ON s.business_id = b.business_id""")
 
 ORACLES["review_semijoin"] = with_views(["selected"], body="""

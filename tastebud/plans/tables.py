@@ -68,7 +68,9 @@ def checkin_events_by_business(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_checkin_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = etl.checkin_summary_from_events(checkin_events_by_business(spark, sf_dir),
                                         catalog.business(spark, sf_dir))
-    return s.select("business_id", "checkin_total", "checkin_first", "checkin_last")
+    # a count that is null for businesses without check-ins: reported as a double
+    return s.select("business_id", F.col("checkin_total").cast("double").alias("checkin_total"),
+                    "checkin_first", "checkin_last")
 
 
 def _selected_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
