@@ -220,3 +220,30 @@ def q_worst_residuals(spark: SparkSession, sf_dir: str) -> DataFrame:
     top = p.orderBy(F.round("abs_residual", 9).desc(), F.col("review_id").asc()).limit(5)
     return top.select("review_id", "stars", F.round("prediction", 4).alias("prediction"),
                       F.round("abs_residual", 4).alias("abs_residual"))
+
+
+# ------------------------------------------------------------------ DeepFM
+
+def _deepfm(spark: SparkSession, sf_dir: str):
+    from ..operators import deepfm
+    d = dnn.build(spark, sf_dir)
+    stats = FE.column_stats(d.frame, dnn.DENSE)
+    f = FE.minmax_scale(d.frame, dnn.DENSE, stats)
+    rows = f.where(F.col("uid").isNotNull()).select(
+        "row_key", "uid", "iid", "rating",
+        F.array(*[F.col(c + "_minmax").cast("double") for c in dnn.DENSE]).alias("dense"),
+        F.when(md5_bucket("row_key", 100) < 80, "train").otherwise("test").alias("split"))
+    items = f.select("iid", "categories").dropDuplicates(["iid"])
+    item_cats = FE.category_indices(items, d.vocab, "iid").where("idx > 0")
+    n_cats = int(d.vocab.agg(F.max("idx")).first()[0] or 0)
+    m = deepfm.fit_deepfm(rows.where("split = 'train'"), f.select("uid").where("uid IS NOT NULL").distinct(),
+                          items.select("iid"), item_cats, n_cats,
+                          deepfm.DeepFMConfig(n_dense=len(dnn.DENSE)))
+    test = rows.where("split = 'test'")
+    return test, deepfm.predict_deepfm(m, test)
+
+
+def q_deepfm_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    test, p = _deepfm(spark, sf_dir)
+    return test.join(p, "row_key").select("row_key", "uid", "iid", "rating",
+                                          F.round(clip_rating("prediction"), 4).alias("prediction"))

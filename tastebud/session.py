@@ -44,7 +44,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's reliable checkpoint directory.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is.  Only when it is unset (local tests) do we create one.
+    as is.  Only when it is unset on a local master (tests, bench) do we
+    create one; a cluster without the setting is an error, because a
+    machine-local folder would not survive the loss of that machine.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -53,6 +55,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not is_local(spark):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder: iterative "
+                               "operators write their intermediate tables there")
         configured = tempfile.mkdtemp(prefix="tastebud-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

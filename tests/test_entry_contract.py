@@ -7,7 +7,7 @@ import __spark_entry__ as se
 # Queries with no SQL oracle (model training); checked by row counts and by
 # the invariants in test_models_scoring.
 RANDOMISED = {"als_topn", "als_predict", "als_holdout", "fm_predict", "fm_topn", "sentiment_predict",
-              "sentiment_rmse", "sentiment_adhoc", "worst_residuals"}
+              "sentiment_rmse", "sentiment_adhoc", "worst_residuals", "deepfm_predict"}
 
 
 def test_entry_runs_on_smoke_data(spark):

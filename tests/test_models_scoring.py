@@ -174,3 +174,51 @@ def test_als_and_bias_beat_global_mean_on_planted_data(spark):
     assert als_rmse < base and bias_rmse <= base
     top = models.als_topn(m, 3).collect()
     assert len(top) == 3 * train.select("uid").distinct().count()
+
+
+def test_deepfm_beats_global_mean_on_planted_data(spark):
+    from tastebud.operators import deepfm
+    df = _planted(spark)
+    rows = df.select(F.col("review_id").alias("row_key"), "uid", "iid", F.col("stars").alias("rating"),
+                     F.array(F.lit(0.5), (F.col("iid") % 7 / 7.0).cast("double")).alias("dense"), "test")
+    train, test = rows.where("NOT test"), rows.where("test")
+    items = df.select("iid").distinct()
+    # two known categories per item
+    item_cats = items.select("iid", F.explode(F.array(F.lit(0), F.lit(1))).alias("pos")).select(
+        "iid", F.col("pos").cast("long").alias("pos"), (F.col("iid") % 3 + 1 + F.col("pos") * 3).alias("idx"))
+    cfg = deepfm.DeepFMConfig(learning_rate=0.02, epochs=12, partitions=2, hidden=(16, 16), batch_size=64)
+    m = deepfm.fit_deepfm(train, df.select("uid").distinct(), items, item_cats, 6, cfg)
+    assert len(m.dense) == len(deepfm.init_dense(cfg, 0.0))
+    p = deepfm.predict_deepfm(m, test).join(test, "row_key")
+    assert p.count() == test.count()
+    mu = train.agg(F.avg("rating")).first()[0]
+    rmse, base = p.select(F.sqrt(F.avg(F.pow(F.col("rating") - F.col("prediction"), 2))),
+                          F.sqrt(F.avg(F.pow(F.col("rating") - F.lit(mu), 2)))).first()
+    assert rmse < 0.9 * base
+
+
+def test_deepfm_gradients_match_finite_differences():
+    from tastebud.operators import deepfm as D
+    cfg = D.DeepFMConfig(embedding=3, hidden=(5, 4), n_dense=2)
+    rnd = np.random.default_rng(0)
+    dense = D.init_dense(cfg, 3.0) + rnd.normal(0, 0.1, len(D.init_dense(cfg, 3.0)))
+    B, k = 6, cfg.embedding
+    eu, ei, ec = (rnd.normal(0, 0.5, (B, k)) for _ in range(3))
+    xd, wsum, y = rnd.normal(0, 1, (B, 2)), rnd.normal(0, 0.1, B), rnd.normal(3, 1, B)
+
+    def loss(vec, eu_=eu):
+        pred, _ = D._forward(D._unpack(vec, cfg), eu_, ei, ec, wsum, xd, cfg)
+        return ((pred - y) ** 2).sum()
+
+    P = D._unpack(dense, cfg)
+    pred, cache = D._forward(P, eu, ei, ec, wsum, xd, cfg)
+    G, de_u, _, _ = D._backward(P, 2 * (pred - y), eu, ei, ec, xd, cache, cfg)
+    g = np.concatenate([G[n].ravel() for n, _ in D._dense_shapes(cfg)])
+    for j in rnd.choice(len(dense), 25, replace=False):
+        e = np.zeros_like(dense)
+        e[j] = 1e-6
+        assert abs((loss(dense + e) - loss(dense - e)) / 2e-6 - g[j]) < 1e-4 * max(1, abs(g[j]))
+    e = np.zeros_like(eu)
+    e[2, 1] = 1e-6
+    num = (loss(dense, eu + e) - loss(dense, eu - e)) / 2e-6
+    assert abs(num - de_u[2, 1]) < 1e-4 * max(1, abs(num))
