@@ -370,17 +370,21 @@ def fit_deepfm(rows: DataFrame, users: DataFrame, items: DataFrame, item_cats: D
 
 
 def predict_deepfm(model: DeepFMModel, rows: DataFrame) -> DataFrame:
-    """``(row_key, prediction)`` for ``rows`` ``(row_key, uid, iid, dense)``;
-    ids unseen in training use their initial parameters."""
+    """``(row_key, uid, iid, rating, prediction)``, one row per input row of
+    ``(row_key, uid, iid, rating, dense)`` (row keys need not be unique: the
+    rows are passed through, never joined back); ids unseen in training use
+    their initial parameters."""
     spark = rows.sparkSession
     cfg = model.cfg
-    bc = spark.sparkContext.broadcast(model.dense)
-    r = rows.select("row_key", "uid", "iid", "dense", F.lit(0.0).alias("rating"), F.lit(0).cast("long").alias("h"))
+    bc = spark.sparkContext.broadcast(model.dense)     # fixed size
+    r = rows.select("row_key", "uid", "iid", "dense", F.col("rating").cast("double").alias("rating"),
+                    F.lit(0).cast("long").alias("h"))
     x = _with_params(r, model.users, _item_side(model.items, model.cats, model.item_cats))
 
     def fn(batches):
         for pdf in batches:
             if len(pdf) == 0:
                 continue
-            yield pd.DataFrame({"row_key": pdf["row_key"], "prediction": _predict_rows(pdf, bc.value, cfg)})
-    return x.mapInPandas(fn, "row_key string, prediction double")
+            yield pd.DataFrame({"row_key": pdf["row_key"], "uid": pdf["uid"], "iid": pdf["iid"],
+                                "rating": pdf["rating"], "prediction": _predict_rows(pdf, bc.value, cfg)})
+    return x.mapInPandas(fn, "row_key string, uid long, iid long, rating double, prediction double")

@@ -51,27 +51,34 @@ def checkin_summary_from_events(events: DataFrame, business: DataFrame, key: str
 
 # ---------------------------------------------------------------- JSON flattening
 
+def _children(path: Column, j: Column) -> Column:
+    """``array<struct<path, j>>``: the entries of a JSON object, one level down
+    (nested objects and arrays keep their JSON text)."""
+    entries = F.map_entries(F.from_json(j, "map<string,string>"))
+    return F.transform(entries, lambda e: F.struct(
+        F.when(path.isNull(), e["key"]).otherwise(F.concat(path, F.lit("."), e["key"])).alias("path"),
+        e["value"].alias("j")))
+
+
 def json_leaf_paths(json_lines: DataFrame, col: str = "value", max_depth: int = 8) -> DataFrame:
     """``(path)``: union over all records of the dotted leaf names of a JSON object column.
 
-    Walks one level per step: each object is parsed as ``map<string,string>``
-    (nested objects and arrays keep their JSON text) and exploded.  A value
-    that is a non-empty object goes down a level; an empty object yields no
-    name; arrays, scalars and nulls are leaves.  Each level is a distributed
-    ``explode`` + ``distinct``; the loop is bounded by ``max_depth``.
+    One scan and one chain of generators: each level replaces every row that
+    holds a non-empty object by its entries and passes leaves through, so an
+    empty object yields no name and arrays, scalars and nulls are leaves.
+    Objects still unexpanded after ``max_depth`` levels are dropped; one
+    ``distinct`` at the end.
     """
-    obj = "map<string,string>"
-    cur = json_lines.select(F.lit(None).cast("string").alias("path"), F.col(col).alias("j"))
-    leaves = None
-    for _ in range(max_depth):
-        kv = cur.select("path", F.explode(F.from_json("j", obj)).alias("k", "j"))
-        kv = kv.select(F.when(F.col("path").isNull(), F.col("k"))
-                       .otherwise(F.concat_ws(".", "path", "k")).alias("path"), "j")
-        is_obj = F.ltrim(F.coalesce(F.col("j"), F.lit(""))).startswith("{")
-        lvl = kv.where(~is_obj).select("path")
-        leaves = lvl if leaves is None else leaves.unionByName(lvl)
-        cur = kv.where(is_obj)
-    return leaves.distinct()
+    def is_obj(c: Column) -> Column:
+        return F.ltrim(F.coalesce(c, F.lit(""))).startswith("{")
+
+    rows = json_lines.select(F.explode(_children(F.lit(None).cast("string"), F.col(col))).alias("n"))
+    rows = rows.select("n.path", "n.j")
+    for _ in range(max_depth - 1):
+        keep = F.array(F.struct(F.col("path"), F.lit(None).cast("string").alias("j")))
+        rows = rows.select(F.explode(F.when(is_obj(F.col("j")), _children(F.col("path"), F.col("j")))
+                                     .otherwise(keep)).alias("n")).select("n.path", "n.j")
+    return rows.where(~is_obj(F.col("j"))).select("path").distinct()
 
 
 def json_flatten(json_lines: DataFrame, paths: Sequence[str], col: str = "value") -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import literals
 from ..functions.scalars import r6
 from ..operators import content
+from ..operators.common import materialize
 from . import base
 
 
@@ -26,7 +27,8 @@ def build(spark: SparkSession, sf_dir: str) -> ContentInputs:
     b = base.build(spark, sf_dir)
     feats = content.item_features(b.items)
     idf = content.feature_idf(feats, items=b.items, min_df=content.DEFAULT_MIN_DF)
-    kf = content.kept_features(feats, idf)
+    # item-sized, read by every later step: written once
+    kf = materialize(content.kept_features(feats, idf), "kept-features")
     prof = content.user_profiles(b.triples, kf)
     return ContentInputs(b, feats, idf, kf, prof)
 

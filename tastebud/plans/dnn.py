@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import r6
 from ..operators import features as FE
+from ..operators.common import materialize
 from . import base
 
 DENSE = ["stars", "review_count"]
@@ -28,6 +29,8 @@ def build(spark: SparkSession, sf_dir: str) -> DnnInputs:
     frame = FE.rating_frame(b.rating_rows, b.selected)
     frame = frame.withColumn("row_key", F.coalesce(F.col("review_id"),
                                                    F.concat(F.lit("b:"), F.col("business_id"))))
+    # read by the scaling statistics, the vocabulary and every feature block: written once
+    frame = materialize(frame, "dnn-frame")
     vocab = FE.category_vocab(frame, base.KEYWORDS, FE.DEFAULT_MIN_CATEGORY)
     counts = frame.agg(F.max("uid"), F.max("iid")).first()
     return DnnInputs(frame, vocab, int((counts[0] or -1) + 1), int((counts[1] or -1) + 1),

@@ -239,11 +239,9 @@ def _deepfm(spark: SparkSession, sf_dir: str):
     m = deepfm.fit_deepfm(rows.where("split = 'train'"), f.select("uid").where("uid IS NOT NULL").distinct(),
                           items.select("iid"), item_cats, n_cats,
                           deepfm.DeepFMConfig(n_dense=len(dnn.DENSE)))
-    test = rows.where("split = 'test'")
-    return test, deepfm.predict_deepfm(m, test)
+    return deepfm.predict_deepfm(m, rows.where("split = 'test'"))
 
 
 def q_deepfm_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    test, p = _deepfm(spark, sf_dir)
-    return test.join(p, "row_key").select("row_key", "uid", "iid", "rating",
-                                          F.round(clip_rating("prediction"), 4).alias("prediction"))
+    p = _deepfm(spark, sf_dir)
+    return p.select("row_key", "uid", "iid", "rating", F.round(clip_rating("prediction"), 4).alias("prediction"))

@@ -9,6 +9,7 @@ from ..functions.scalars import r6
 from ..functions.text import clean_text, wordpunct_tokens
 from ..operators import text as T
 from ..operators import validation
+from ..operators.common import materialize
 from ..sources import catalog
 from .tables import labelled_reviews
 
@@ -36,7 +37,9 @@ def q_item_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _tfidf(spark: SparkSession, sf_dir: str):
     r = catalog.reviews(spark, sf_dir)
     n_docs = r.select("business_id").distinct().count()
-    return T.tfidf(T.item_term_counts(r), "business_id", n_docs,
+    # (item, token) counts are far smaller than the texts and are read three times
+    tf = materialize(T.item_term_counts(r), "term-counts")
+    return T.tfidf(tf, "business_id", n_docs,
                    TFIDF_MAX_FEATURES, TFIDF_MAX_DF, TFIDF_MIN_DF)
 
 

@@ -119,18 +119,3 @@ def checkin_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events").select("user_id", "ts", "event_id")
     return ev.select(F.col("user_id").alias("business_key"), "ts", "event_id",
                      F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("date"))
-
-
-def checkin_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw check-in records: one comma-joined timestamp string per business.
-
-    This is the input format of the check-in summary operator.  It builds a
-    string per key, so it is only for fixtures and small inputs; the scalable
-    summary aggregates the events directly
-    (:func:`tastebud.operators.etl.checkin_summary_from_events`).
-    """
-    ev = checkin_events(spark, sf_dir)
-    return ev.groupBy("business_key").agg(
-        F.array_join(
-            F.transform(F.sort_array(F.collect_list(F.struct("ts", "event_id", "date"))),
-                        lambda s: s["date"]), ", ").alias("date"))

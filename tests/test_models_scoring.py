@@ -189,7 +189,7 @@ def test_deepfm_beats_global_mean_on_planted_data(spark):
     cfg = deepfm.DeepFMConfig(learning_rate=0.02, epochs=12, partitions=2, hidden=(16, 16), batch_size=64)
     m = deepfm.fit_deepfm(train, df.select("uid").distinct(), items, item_cats, 6, cfg)
     assert len(m.dense) == len(deepfm.init_dense(cfg, 0.0))
-    p = deepfm.predict_deepfm(m, test).join(test, "row_key")
+    p = deepfm.predict_deepfm(m, test)
     assert p.count() == test.count()
     mu = train.agg(F.avg("rating")).first()[0]
     rmse, base = p.select(F.sqrt(F.avg(F.pow(F.col("rating") - F.col("prediction"), 2))),
