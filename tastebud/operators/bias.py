@@ -169,34 +169,43 @@ def _per_key_track_arrays(df: DataFrame, key: str, k: int, n_cfg: int) -> DataFr
 
 
 def _scatter_fn(group_key: str, k: int, n_cfg: int):
-    """mapInPandas: per partition, sum ``(n - c[held fold]) * b[t]`` by group key
-    for every track; one output row per key per partition."""
+    """mapInArrow: per partition, sum ``(n - c[held fold]) * b[t]`` by group key
+    for every track; one output row per key per partition.  The fixed-length
+    list columns are read as flat numpy buffers (no per-row Python objects)."""
     import numpy as np
-    import pandas as pd
+    import pyarrow as pa
 
     t_count = k * n_cfg
     held = np.arange(t_count) // n_cfg
 
+    def flat(col, width: int, rows: int):
+        return col.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(rows, width)
+
     def fn(batches):
-        acc: dict = {}
-        for pdf in batches:
-            if len(pdf) == 0:
+        keys_parts, sums_parts = [], []
+        for rb in batches:
+            m = rb.num_rows
+            if m == 0:
                 continue
-            keys = pdf[group_key].to_numpy()
-            n = pdf["n"].to_numpy().astype(np.float64)
-            c = np.stack(pdf["c"].to_numpy()).astype(np.float64)
-            b = np.stack(pdf["b"].to_numpy()).astype(np.float64)
+            keys = rb.column(group_key).to_numpy(zero_copy_only=False)
+            n = rb.column("n").to_numpy(zero_copy_only=False).astype(np.float64)
+            c = flat(rb.column("c"), k, m)
+            b = flat(rb.column("b"), t_count, m)
             contrib = (n[:, None] - c[:, held]) * b
             uniq, inv = np.unique(keys, return_inverse=True)
             part = np.zeros((len(uniq), t_count))
             np.add.at(part, inv, contrib)
-            for key, row in zip(uniq.tolist(), part):
-                if key in acc:
-                    acc[key] += row
-                else:
-                    acc[key] = row
-        if acc:
-            yield pd.DataFrame({group_key: list(acc.keys()), "d": [v.tolist() for v in acc.values()]})
+            keys_parts.append(uniq)
+            sums_parts.append(part)
+        if not keys_parts:
+            return
+        keys = np.concatenate(keys_parts)
+        uniq, inv = np.unique(keys, return_inverse=True)
+        tot = np.zeros((len(uniq), t_count))
+        np.add.at(tot, inv, np.concatenate(sums_parts))
+        offsets = pa.array(np.arange(len(uniq) + 1, dtype=np.int32) * t_count)
+        d = pa.ListArray.from_arrays(offsets, pa.array(tot.ravel()))
+        yield pa.RecordBatch.from_arrays([pa.array(uniq.astype(np.int64)), d], names=[group_key, "d"])
     return fn
 
 
@@ -262,11 +271,11 @@ def fit_bias_folds(triples: DataFrame, fold: str, k: int, configs: list[tuple[fl
         d = None
         if bu is not None:
             j = join_small(pairs, bu.withColumnRenamed("bu", "b"), "uid", rows=n_users)
-            d = _combine_partials(j.mapInPandas(_scatter_fn("iid", k, n_cfg), schema.format("iid")),
+            d = _combine_partials(j.mapInArrow(_scatter_fn("iid", k, n_cfg), schema.format("iid")),
                                   "iid", t_count)
         bi = materialize(_update(icon, "iid", d, mu, reg_i, "bi"), "bias-fi")
         j = join_small(pairs, bi.withColumnRenamed("bi", "b"), "iid", rows=n_items)
-        d = _combine_partials(j.mapInPandas(_scatter_fn("uid", k, n_cfg), schema.format("uid")),
+        d = _combine_partials(j.mapInArrow(_scatter_fn("uid", k, n_cfg), schema.format("uid")),
                               "uid", t_count)
         bu = materialize(_update(ucon, "uid", d, mu, reg_u, "bu"), "bias-fu")
         if e in snapshots or e == n_epochs:

@@ -13,7 +13,8 @@ Training (parameter averaging, Zinkevich et al. 2010), one Spark job per
 epoch:
 
 * rows are hash-partitioned by user, so a user's parameters are updated by
-  one task only; every row carries its user's and item's current parameters
+  one task only (a user with more rows than one task's share is salted over
+  several tasks and its copies averaged like an item's); every row carries its user's and item's current parameters
   (joins; the item side is broadcast only behind a row-count check) and its
   item's category parameters (grouped per item first, not per row);
 * each task runs one pass of mini-batch Adam (lazy on sparse rows) over its
@@ -332,6 +333,19 @@ def _merge(old: DataFrame, upd: DataFrame, key: str) -> DataFrame:
     return old.join(new, key, "left").select(key, F.coalesce("_new", "vec").alias("vec"))
 
 
+def salted_rows(rows: DataFrame, parts: int, seed: int) -> DataFrame:
+    """Training rows with a row hash ``h`` and a ``salt``: a user with more rows
+    than one task's share (rows / parts) is split over ``ceil(n / share)``
+    training tasks by row hash; the weighted merge averages its copies."""
+    r = rows.select("row_key", "uid", "iid", F.col("rating").cast("double").alias("rating"),
+                    "dense", F.xxhash64("row_key", F.lit(seed)).alias("h"))
+    per_user = r.groupBy("uid").agg(F.count(F.lit(1)).alias("_n"))
+    total = per_user.agg(F.sum("_n")).first()[0] or 0
+    share = max(1, -(-int(total) // parts))
+    salts = per_user.select("uid", F.ceil(F.col("_n") / F.lit(share)).cast("long").alias("_s"))
+    return r.join(salts, "uid").select(*r.columns, F.pmod(F.col("h"), F.col("_s")).alias("salt"))
+
+
 def fit_deepfm(rows: DataFrame, users: DataFrame, items: DataFrame, item_cats: DataFrame,
                n_cats: int, cfg: DeepFMConfig = DeepFMConfig()) -> DeepFMModel:
     """Train on ``rows`` ``(row_key, uid, iid, rating, dense array<double>)``.
@@ -341,9 +355,7 @@ def fit_deepfm(rows: DataFrame, users: DataFrame, items: DataFrame, item_cats: D
     spark = rows.sparkSession
     parts = cfg.partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     # a fixed row order inside each task: hash of the row key
-    rows = materialize(rows.select("row_key", "uid", "iid", F.col("rating").cast("double").alias("rating"),
-                                   "dense", F.xxhash64("row_key", F.lit(cfg.seed)).alias("h")),
-                       "deepfm-rows")
+    rows = materialize(salted_rows(rows, parts, cfg.seed), "deepfm-rows")
     mu = float(rows.agg(F.avg("rating")).first()[0] or 0.0)
     U = materialize(init_sparse(users, "uid", "u", cfg), "deepfm-u")
     I = materialize(init_sparse(items, "iid", "i", cfg), "deepfm-i")
@@ -354,7 +366,7 @@ def fit_deepfm(rows: DataFrame, users: DataFrame, items: DataFrame, item_cats: D
     sc = spark.sparkContext
     for _ in range(cfg.epochs):
         bc = sc.broadcast(dense)          # fixed size: the dense and MLP weights
-        x = _with_params(rows, U, _item_side(I, C, item_cats)).repartition(parts, "uid")
+        x = _with_params(rows, U, _item_side(I, C, item_cats)).repartition(parts, "uid", "salt")
         upd = materialize(x.mapInPandas(_train_partition(bc, cfg), UPDATE_SCHEMA), "deepfm-upd")
         g = upd.where("block = 'g'").select("n", F.posexplode("vec").alias("d", "x")).groupBy("d").agg(
             (F.sum(F.col("x") * F.col("n")) / F.sum("n")).alias("x"))

@@ -222,3 +222,26 @@ def test_deepfm_gradients_match_finite_differences():
     e[2, 1] = 1e-6
     num = (loss(dense, eu + e) - loss(dense, eu - e)) / 2e-6
     assert abs(num - de_u[2, 1]) < 1e-4 * max(1, abs(num))
+
+
+def test_deepfm_hot_user_is_split_over_tasks(spark):
+    """A user with most of the rows is salted over several training tasks;
+    other users stay whole; every row is still predicted exactly once."""
+    from tastebud.operators import deepfm
+    rows = spark.range(0, 2000).select(
+        F.col("id").cast("string").alias("row_key"),
+        F.when(F.col("id") < 1500, F.lit(0)).otherwise(F.col("id") % 50).cast("long").alias("uid"),
+        (F.col("id") % 20).alias("iid"), (F.lit(1) + F.col("id") % 5).cast("double").alias("rating"),
+        F.array(F.lit(0.1), F.lit(0.2)).alias("dense"))
+    s = deepfm.salted_rows(rows, 4, 7)
+    salts = {r.uid: r.k for r in s.groupBy("uid").agg(F.countDistinct("salt").alias("k")).collect()}
+    assert salts[0] == 4 and all(v == 1 for u, v in salts.items() if u != 0)  # ceil(1510 / 500)
+    tasks = (s.repartition(4, "uid", "salt").where("uid = 0")
+             .select(F.spark_partition_id().alias("p")).distinct().count())
+    assert tasks >= 2
+    cfg = deepfm.DeepFMConfig(epochs=1, partitions=4, hidden=(8,))
+    m = deepfm.fit_deepfm(rows, rows.select("uid").distinct(), rows.select("iid").distinct(),
+                          spark.createDataFrame([], "iid long, pos long, idx long"), 0, cfg)
+    p = deepfm.predict_deepfm(m, rows)
+    assert p.count() == 2000 and p.select("row_key").distinct().count() == 2000
+    assert m.users.where("uid = 0").count() == 1
