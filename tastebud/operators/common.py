@@ -10,6 +10,23 @@ from pyspark.sql import functions as F
 from ..session import ensure_checkpoint_dir
 
 
+def scratch_dir(spark) -> str:
+    """This application's folder for intermediate tables, under the session's
+    checkpoint directory (shared storage on a cluster)."""
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{root}/tastebud/{spark.sparkContext.applicationId}"
+
+
+def clear_scratch(spark) -> None:
+    """Delete this application's intermediate tables (through the Hadoop
+    FileSystem of the checkpoint directory).  Call once results are consumed."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(scratch_dir(spark))
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(path):
+        fs.delete(path, True)
+
+
 def materialize(df: DataFrame, name: str = "t") -> DataFrame:
     """Write ``df`` as parquet under the session's checkpoint directory and read it back.
 
@@ -19,8 +36,7 @@ def materialize(df: DataFrame, name: str = "t") -> DataFrame:
     gives the planner a real statistic for its (size-checked) broadcast choice.
     """
     spark = df.sparkSession
-    root = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{root}/tastebud/{name}-{uuid.uuid4().hex}"
+    path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 

@@ -8,8 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import literals
 from ..functions.scalars import r6
 from ..operators import aggregates, etl, filters, ids, validation
-from ..operators.common import materialize
-from ..session import ensure_checkpoint_dir
+from ..operators.common import materialize, scratch_dir
 from ..sources import catalog, io
 from . import base
 
@@ -161,7 +160,7 @@ def q_json_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = catalog.business(spark, sf_dir).select("business_id", "name", "categories",
                                                "review_count", "stars")
-    path = io.write_csv(b, f"{ensure_checkpoint_dir(spark).rstrip('/')}/tastebud/csv")
+    path = io.write_csv(b, f"{scratch_dir(spark)}/csv")
     back = io.read_csv(spark, path, io.schema_of(b))
     return back.select("business_id", "name", "categories", "review_count",
                        r6("stars").alias("stars"))

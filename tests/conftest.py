@@ -14,4 +14,6 @@ def spark():
     from tastebud.session import local_session
     s = local_session("*", shuffle_partitions=8, app="tastebud-tests")
     yield s
+    from tastebud.operators.common import clear_scratch
+    clear_scratch(s)
     s.stop()
