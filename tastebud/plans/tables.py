@@ -131,18 +131,22 @@ def q_ordered_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ----------------------------------------------------------------- nested records
 
-def business_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nested JSON lines for the business table (``value`` column), built with
-    ``to_json``; null fields are omitted, as in the raw records."""
+def business_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The business table as nested records (the shape of the raw JSON lines)."""
     b = catalog.business(spark, sf_dir)
-    rec = F.struct(
+    return b.select(
         "business_id", "name",
         F.struct("city", "latitude", "longitude").alias("location"),
         F.round("stars", 2).alias("stars"), "review_count",
         (F.col("is_open") == 1).alias("is_open"),
         "attributes",
         F.split("categories", ", ").alias("categories"))
-    return b.select(F.to_json(rec).alias("value"))
+
+
+def business_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nested JSON lines for the business table (``value`` column), built with
+    ``to_json``; null fields are omitted, as in the raw records."""
+    return business_records(spark, sf_dir).select(F.to_json(F.struct("*")).alias("value"))
 
 
 def q_json_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -152,7 +156,10 @@ def q_json_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_json_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = business_json(spark, sf_dir)
+    """JSON-lines sink, then the dynamic-schema scan: raw lines, leaf-path
+    discovery, one string column per path."""
+    path = io.write_json_lines(business_records(spark, sf_dir), f"{scratch_dir(spark)}/json")
+    lines = io.read_json_lines(spark, path)
     paths = sorted(r[0] for r in etl.json_leaf_paths(lines).collect())  # schema width only
     return etl.json_flatten(lines, paths)
 
