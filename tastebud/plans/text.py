@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,8 +11,8 @@ from ..functions.scalars import r6
 from ..functions.text import clean_text, wordpunct_tokens
 from ..operators import text as T
 from ..operators import validation
-from ..operators.common import materialize
-from ..sources import catalog
+from ..operators.common import materialize, scratch_dir
+from ..sources import catalog, io
 from .tables import labelled_reviews
 
 TFIDF_MAX_FEATURES, TFIDF_MAX_DF, TFIDF_MIN_DF = 100, 0.8, 1
@@ -89,7 +91,18 @@ def _word_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_word_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wv = _word_vectors(spark, sf_dir)
+    """Vocabulary-aligned vectors through the word-vector text format: the
+    vectors are written as ``word f1 ... fd`` lines and read back with the
+    vocabulary-filtered text scan; padding and unknown get zero vectors."""
+    vocab = _vocab(spark, sf_dir)
+    wv = T.word_vectors(vocab, catalog.table(spark, sf_dir, "embeddings"))
+    lines = wv.where("idx >= 2").select(F.concat_ws(" ", "token", F.array_join(
+        F.transform("vec", lambda x: x.cast("string")), " ")).alias("value"))
+    path = f"{scratch_dir(spark)}/word-vectors-{uuid.uuid4().hex}"
+    lines.write.mode("overwrite").text(path)
+    scanned = io.read_word_vectors(spark, path, vocab.where("idx >= 2"))
+    wv = wv.where("idx < 2").unionByName(
+        scanned.join(vocab.select("token", "idx"), "token").select("token", "idx", "vec"))
     return wv.select("token", "idx", F.posexplode("vec").alias("dim", "value")).select(
         "token", "idx", F.col("dim").cast("long").alias("dim"), r6("value").alias("value"))
 
