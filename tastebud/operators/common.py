@@ -66,3 +66,31 @@ def top_n_per_group(df: DataFrame, group: str | list[str], order: list[Column],
     keys = [group] if isinstance(group, str) else list(group)
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn(rank_col, F.row_number().over(w)).filter(F.col(rank_col) <= n)
+
+
+def update_config(cfg, params: dict, prefix: str | None = None, strict: bool = True):
+    """A copy of the (frozen dataclass) model config ``cfg`` with ``params`` applied.
+
+    With ``prefix``, only keys ``"<prefix>__<name>"`` are applied (stripped) and
+    other keys are left to other configs, so one parameter dict can be routed
+    to several models.  An unknown name raises ``ValueError`` (``strict``) or
+    is reported with a warning and skipped.
+    """
+    import dataclasses
+    import warnings
+
+    names = {f.name for f in dataclasses.fields(cfg)}
+    upd = {}
+    for key, value in params.items():
+        if prefix is not None:
+            head, sep, rest = key.partition("__")
+            if not sep or head != prefix:
+                continue
+            key = rest
+        if key in names:
+            upd[key] = value
+        elif strict:
+            raise ValueError(f"unknown parameter {key!r} for {type(cfg).__name__}")
+        else:
+            warnings.warn(f"ignoring unknown parameter {key!r} for {type(cfg).__name__}", stacklevel=2)
+    return dataclasses.replace(cfg, **upd)

@@ -274,3 +274,21 @@ def test_fm_topn_equals_brute_force_transform(spark):
                         key=lambda t: (-t[0], t[1]))[:3]
         for rank, (s, i) in enumerate(ranked, 1):
             assert got[(u, rank)] == (i, s)
+
+
+def test_update_config_validates_and_routes_prefixes():
+    import warnings
+    from tastebud.operators import deepfm
+    from tastebud.operators.common import update_config
+    a = update_config(models.ALSConfig(), {"rank": 8, "regParam": 0.05})
+    assert (a.rank, a.regParam, models.ALSConfig().rank) == (8, 0.05, 20)
+    with pytest.raises(ValueError):
+        update_config(models.ALSConfig(), {"rnk": 8})
+    with warnings.catch_warnings(record=True) as w:
+        warnings.simplefilter("always")
+        f = update_config(models.FMConfig(), {"factorSize": 6, "nope": 1}, strict=False)
+    assert f.factorSize == 6 and len(w) == 1
+    mixed = {"deepfm__epochs": 3, "deepfm__hidden": (64,), "fm__factorSize": 2}
+    d = update_config(deepfm.DeepFMConfig(), mixed, prefix="deepfm")
+    assert (d.epochs, d.hidden, d.embedding) == (3, (64,), 4)
+    assert update_config(models.FMConfig(), mixed, prefix="fm").factorSize == 2
