@@ -323,14 +323,19 @@ def _with_params(rows: DataFrame, users: DataFrame, item_side: DataFrame) -> Dat
     return join_small(r, item_side, "iid")
 
 
-def _merge(old: DataFrame, upd: DataFrame, key: str) -> DataFrame:
-    """Weighted mean of the task copies of each touched row; untouched rows keep
-    their value."""
-    e = upd.select("idx", "n", F.posexplode("vec").alias("d", "x"))
-    m = e.groupBy("idx", "d").agg((F.sum(F.col("x") * F.col("n")) / F.sum("n")).alias("x"))
-    arr = m.groupBy("idx").agg(F.sort_array(F.collect_list(F.struct("d", "x"))).alias("_v"))
-    new = arr.select(F.col("idx").alias(key), F.transform("_v", lambda s: s["x"]).alias("_new"))
-    return old.join(new, key, "left").select(key, F.coalesce("_new", "vec").alias("vec"))
+def _merge(params: DataFrame, upd: DataFrame) -> DataFrame:
+    """All parameter rows ``(block, idx, vec)`` after an epoch: the weighted mean
+    of the task copies of each touched row; untouched rows keep their value."""
+    e = upd.select("block", "idx", "n", F.posexplode("vec").alias("d", "x"))
+    m = e.groupBy("block", "idx", "d").agg((F.sum(F.col("x") * F.col("n")) / F.sum("n")).alias("x"))
+    arr = m.groupBy("block", "idx").agg(F.sort_array(F.collect_list(F.struct("d", "x"))).alias("_v"))
+    new = arr.select("block", "idx", F.transform("_v", lambda s: s["x"]).alias("_new"))
+    return params.join(new, ["block", "idx"], "left").select(
+        "block", "idx", F.coalesce("_new", "vec").alias("vec"))
+
+
+def _block(params: DataFrame, block: str, key: str) -> DataFrame:
+    return params.where(F.col("block") == block).select(F.col("idx").alias(key), "vec")
 
 
 def salted_rows(rows: DataFrame, parts: int, seed: int) -> DataFrame:
@@ -357,28 +362,29 @@ def fit_deepfm(rows: DataFrame, users: DataFrame, items: DataFrame, item_cats: D
     # a fixed row order inside each task: hash of the row key
     rows = materialize(salted_rows(rows, parts, cfg.seed), "deepfm-rows")
     mu = float(rows.agg(F.avg("rating")).first()[0] or 0.0)
-    U = materialize(init_sparse(users, "uid", "u", cfg), "deepfm-u")
-    I = materialize(init_sparse(items, "iid", "i", cfg), "deepfm-i")
     cat_ids = spark.range(1, n_cats + 1).select(F.col("id").alias("idx"))
-    C = materialize(init_sparse(cat_ids, "idx", "c", cfg), "deepfm-c")
     item_cats = materialize(item_cats.select("iid", "pos", "idx"), "deepfm-item-cats")
     dense = init_dense(cfg, mu)
+    # one parameter table: user, item and category rows plus the dense vector
+    params = (init_sparse(users.select(F.col("uid").alias("idx")), "idx", "u", cfg).select(F.lit("u").alias("block"), "*")
+              .unionByName(init_sparse(items.select(F.col("iid").alias("idx")), "idx", "i", cfg)
+                           .select(F.lit("i").alias("block"), "*"))
+              .unionByName(init_sparse(cat_ids, "idx", "c", cfg).select(F.lit("c").alias("block"), "*"))
+              .unionByName(spark.createDataFrame([("g", 0, dense.tolist())],
+                                                 "block string, idx long, vec array<double>")))
+    params = materialize(params, "deepfm-params")
     sc = spark.sparkContext
     for _ in range(cfg.epochs):
         bc = sc.broadcast(dense)          # fixed size: the dense and MLP weights
-        x = _with_params(rows, U, _item_side(I, C, item_cats)).repartition(parts, "uid", "salt")
+        items_side = _item_side(_block(params, "i", "iid"), _block(params, "c", "idx"), item_cats)
+        x = _with_params(rows, _block(params, "u", "uid"), items_side).repartition(parts, "uid", "salt")
         upd = materialize(x.mapInPandas(_train_partition(bc, cfg), UPDATE_SCHEMA), "deepfm-upd")
-        g = upd.where("block = 'g'").select("n", F.posexplode("vec").alias("d", "x")).groupBy("d").agg(
-            (F.sum(F.col("x") * F.col("n")) / F.sum("n")).alias("x"))
-        gv = np.zeros_like(dense)
-        for d, val in g.collect():      # len(dense) values, independent of the data size
-            gv[d] = val
-        dense = gv
-        U = materialize(_merge(U, upd.where("block = 'u'"), "uid"), "deepfm-u")
-        I = materialize(_merge(I, upd.where("block = 'i'"), "iid"), "deepfm-i")
-        C = materialize(_merge(C, upd.where("block = 'c'"), "idx"), "deepfm-c")
+        params = materialize(_merge(params, upd), "deepfm-params")
+        # len(dense) values, independent of the data size
+        dense = np.asarray(params.where("block = 'g'").select("vec").first()[0], dtype=np.float64)
         bc.unpersist()
-    return DeepFMModel(cfg, U, I, C, item_cats, dense)
+    return DeepFMModel(cfg, _block(params, "u", "uid"), _block(params, "i", "iid"),
+                       _block(params, "c", "idx"), item_cats, dense)
 
 
 def predict_deepfm(model: DeepFMModel, rows: DataFrame) -> DataFrame:
