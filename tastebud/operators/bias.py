@@ -92,51 +92,6 @@ def top_items_by_bias(model: BiasModel, n: int) -> DataFrame:
     return ranked.withColumn("rank", F.row_number().over(w))
 
 
-# ------------------------------------------------------------ many fits at once
-
-def fit_bias_tracks(train: DataFrame, configs: DataFrame, n_epochs: int,
-                    snapshots: tuple[int, ...] = ()) -> tuple[DataFrame, dict[int, tuple[DataFrame, DataFrame]]]:
-    """Fit one bias model per ``track`` in a single keyed iteration.
-
-    ``train`` is ``(track, uid, iid, stars)``; ``configs`` is ``(track, reg_u,
-    reg_i)`` with one row per track (bounded by the number of fits).  Every
-    aggregation is keyed by ``(track, id)``, so k folds x c configurations
-    cost one job per half-step instead of k x c separate loops; the epoch
-    count is shared, and ``snapshots`` keeps the tables after the listed
-    epochs (a model with fewer epochs is a prefix of a longer run).
-    Returns ``(mu (track, mu), {epoch: (user_bias, item_bias)})``.
-    """
-    r = train.select("track", "uid", "iid", F.col("stars").cast("double").alias("stars")).persist()
-    mu = materialize(r.groupBy("track").agg(F.avg("stars").alias("mu")), "bias-mu")
-    cfg = F.broadcast(configs.select("track", "reg_u", "reg_i"))
-    base = r.join(F.broadcast(mu), "track").join(cfg, "track")
-    bu = None
-    out: dict[int, tuple[DataFrame, DataFrame]] = {}
-    for e in range(1, n_epochs + 1):
-        x = base if bu is None else join_small(base, bu, ["track", "uid"])
-        res = F.col("stars") - F.col("mu") - (F.col("b_u") if bu is not None else F.lit(0.0))
-        bi = materialize(x.groupBy("track", "iid").agg(
-            (F.sum(res) / (F.first("reg_i") + F.count(F.lit(1)))).alias("b_i")), "bias-ti")
-        y = join_small(base, bi, ["track", "iid"])
-        bu = materialize(y.groupBy("track", "uid").agg(
-            (F.sum(F.col("stars") - F.col("mu") - F.col("b_i")) / (F.first("reg_u") + F.count(F.lit(1))))
-            .alias("b_u")), "bias-tu")
-        if e in snapshots or e == n_epochs:
-            out[e] = (bu, bi)
-    r.unpersist()
-    return mu, out
-
-
-def track_rmse(test: DataFrame, mu: DataFrame, user_bias: DataFrame, item_bias: DataFrame) -> DataFrame:
-    """``(track, n, rmse)`` of clipped predictions on ``(track, uid, iid, stars)``."""
-    p = (test.join(F.broadcast(mu), "track").join(user_bias, ["track", "uid"], "left")
-         .join(item_bias, ["track", "iid"], "left")
-         .withColumn("prediction", clip_rating(F.col("mu") + F.coalesce("b_u", F.lit(0.0))
-                                               + F.coalesce("b_i", F.lit(0.0)))))
-    e = F.pow(F.col("stars") - F.col("prediction"), 2)
-    return p.groupBy("track").agg(F.count(F.lit(1)).alias("n"), F.sqrt(F.avg(e)).alias("rmse"))
-
-
 # ------------------------------------------------------------ folds x configs, vectorised
 
 @dataclass
@@ -285,15 +240,20 @@ def fit_bias_folds(triples: DataFrame, fold: str, k: int, configs: list[tuple[fl
 
 def fold_rmse(test: DataFrame, fold: str, fits: FoldFits, epoch: int) -> DataFrame:
     """``(fold, cfg, n, rmse)``: clipped-prediction RMSE of each track on its
-    held-out fold.  Each test row is scored for the C configs of its fold."""
+    held-out fold.  Each test row is scored for the C configs of its fold as
+    C columns (no row replication); one aggregation by fold, then the small
+    (fold x C) result is unpivoted."""
     n_cfg = len(fits.configs)
     bu, bi = fits.snapshots[epoch]
     mu_a = F.array(*[F.lit(float(m)) for m in fits.mu])
     x = (test.select("uid", "iid", "stars", F.col(fold).cast("int").alias("fold"))
-         .join(bu, "uid", "left").join(bi, "iid", "left")
-         .select("fold", "stars", "bu", "bi", F.explode(F.sequence(F.lit(0), F.lit(n_cfg - 1))).alias("cfg")))
-    tr = F.col("fold") * n_cfg + F.col("cfg") + 1
-    pred = clip_rating(F.element_at(mu_a, tr) + F.coalesce(F.element_at("bu", tr), F.lit(0.0))
-                       + F.coalesce(F.element_at("bi", tr), F.lit(0.0)))
-    e = F.pow(F.col("stars") - pred, 2)
-    return x.groupBy("fold", "cfg").agg(F.count(F.lit(1)).alias("n"), F.sqrt(F.avg(e)).alias("rmse"))
+         .join(bu, "uid", "left").join(bi, "iid", "left"))
+    aggs = [F.count(F.lit(1)).alias("n")]
+    for c in range(n_cfg):
+        tr = F.col("fold") * n_cfg + F.lit(c + 1)
+        pred = clip_rating(F.element_at(mu_a, tr) + F.coalesce(F.element_at("bu", tr), F.lit(0.0))
+                           + F.coalesce(F.element_at("bi", tr), F.lit(0.0)))
+        aggs.append(F.sqrt(F.avg(F.pow(F.col("stars") - pred, 2))).alias(f"r{c}"))
+    per_fold = x.groupBy("fold").agg(*aggs)
+    long = per_fold.unpivot(["fold", "n"], [f"r{c}" for c in range(n_cfg)], "cfg", "rmse")
+    return long.select("fold", F.substring("cfg", 2, 9).cast("int").alias("cfg"), "n", "rmse")
