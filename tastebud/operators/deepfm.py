@@ -48,7 +48,8 @@ class DeepFMConfig:
     epochs: int = 10
     init_std: float = 1e-2
     seed: int = 1024
-    partitions: int | None = None  # training tasks; default spark.sql.shuffle.partitions
+    partitions: int | None = None  # training tasks; default: shuffle partitions, at most
+    min_rows_per_task: int = 2048  # one task per this many rows (small inputs use fewer tasks)
     n_dense: int = 2
     extra: dict = field(default_factory=dict)
 
@@ -358,7 +359,12 @@ def fit_deepfm(rows: DataFrame, users: DataFrame, items: DataFrame, item_cats: D
     ``users`` / ``items``: the id domains ``(uid)`` / ``(iid)``; ``item_cats``:
     ``(iid, pos, idx)`` with category indices ``1..n_cats``."""
     spark = rows.sparkSession
-    parts = cfg.partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if cfg.partitions:
+        parts = cfg.partitions
+    else:
+        n_rows = rows.count()
+        parts = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                           -(-n_rows // cfg.min_rows_per_task)))
     # a fixed row order inside each task: hash of the row key
     rows = materialize(salted_rows(rows, parts, cfg.seed), "deepfm-rows")
     mu = float(rows.agg(F.avg("rating")).first()[0] or 0.0)
