@@ -142,8 +142,9 @@ def item_signatures(items: DataFrame, kfeatures: DataFrame) -> tuple[DataFrame,
 
 
 def content_topn_all(triples: DataFrame, items: DataFrame, kfeatures: DataFrame,
-                     profiles: DataFrame, n: int = 5) -> DataFrame:
-    """Top-n items for every user with ratings: ``(uid, rank, iid, score)``.
+                     profiles: DataFrame, n: int = 5, users: DataFrame | None = None) -> DataFrame:
+    """Top-n items for every user with ratings, or for the ``users`` subset:
+    ``(uid, rank, iid, score)``.
 
     Items collapse to signatures; signature vectors scaled by ``1/max(norm, 0.01)``
     are scored against all user profiles with :func:`blocked.blocked_top_n`
@@ -163,7 +164,9 @@ def content_topn_all(triples: DataFrame, items: DataFrame, kfeatures: DataFrame,
                        (F.col("value") / F.col("norm")).alias("value")))
     cands = (top_n_per_group(sig_items, "sig", [F.col("iid").asc()], n, "pos")
              .join(sigs, "sig").select(F.col("sig_idx").alias("tidx"), F.col("iid").alias("cid")))
-    users = triples.select("uid").distinct()
+    # every user with ratings, or the given subset ``(uid)`` (semi join)
+    rated = triples.select("uid").distinct()
+    users = rated if users is None else rated.join(users.select("uid"), "uid", "left_semi")
     prof = (profiles.join(feats, "feature")
             .groupBy("uid").agg(F.collect_list("fidx").alias("fidx"), F.collect_list("weight").alias("w")))
     queries = users.join(prof, "uid", "left").select(

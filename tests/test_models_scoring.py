@@ -124,6 +124,10 @@ def test_content_scores_and_topn(spark):
     assert t7 == want
     t8 = [r.iid for r in sorted((r for r in top if r.uid == 8), key=lambda r: r.rank)]
     assert t8 == [0, 1, 2]                                      # all zero -> lowest iids
+    one = spark.createDataFrame([(7,)], "uid long")             # one user's top-n
+    sub = content.content_topn_all(triples, items, kf, prof, 3, users=one).collect()
+    assert sorted((r.uid, r.rank, r.iid) for r in sub) == sorted(
+        (r.uid, r.rank, r.iid) for r in top if r.uid == 7)
 
 
 def test_tfidf_hand_computed(spark):
@@ -174,6 +178,9 @@ def test_als_and_bias_beat_global_mean_on_planted_data(spark):
     assert als_rmse < base and bias_rmse <= base
     top = models.als_topn(m, 3).collect()
     assert len(top) == 3 * train.select("uid").distinct().count()
+    sub = models.als_topn(m, 3, users=spark.createDataFrame([(0,), (5,)], "uid long")).collect()
+    assert sorted((r.uid, r.rank, r.iid) for r in sub) == sorted(
+        (r.uid, r.rank, r.iid) for r in top if r.uid in (0, 5))
 
 
 def test_deepfm_beats_global_mean_on_planted_data(spark):
