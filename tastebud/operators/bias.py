@@ -92,6 +92,32 @@ def top_items_by_bias(model: BiasModel, n: int) -> DataFrame:
     return ranked.withColumn("rank", F.row_number().over(w))
 
 
+def top_items_unseen(model: BiasModel, n: int, seen: DataFrame,
+                     users: DataFrame | None = None) -> DataFrame:
+    """``(uid, rank, iid, b_i)``: each user's n best items among those it has
+    not rated (``seen``: ``(uid, iid)`` pairs).
+
+    Items are ranked once by a distributed ordered index (no single-task
+    sort); a user with s seen items needs only ranks ``1 .. n + s``, so it
+    expands just those ranks, joins them to the ranked items (broadcast only
+    below a checked row count), drops its seen pairs and keeps the first n:
+    O(users * n + rated pairs) rows, exact."""
+    from .ids import ordered_index
+    seen = seen.select("uid", "iid").distinct()
+    users = (users if users is not None else model.user_bias).select("uid")
+    per_user = seen.groupBy("uid").agg(F.count(F.lit(1)).alias("_s"))
+    max_seen = int(per_user.agg(F.max("_s")).first()[0] or 0)
+    ranked = ordered_index(model.item_bias.select("iid", "b_i"),
+                           [F.round("b_i", 9).desc(), F.col("iid").asc()], "_pos")
+    ranked = ranked.where(F.col("_pos") < n + max_seen).select(
+        (F.col("_pos") + 1).alias("_r"), "iid", "b_i")
+    want = users.join(per_user, "uid", "left").select(
+        "uid", F.explode(F.sequence(F.lit(1), F.lit(n) + F.coalesce("_s", F.lit(0)).cast("int"))).alias("_r"))
+    cand = join_small(want, ranked, "_r").join(seen, ["uid", "iid"], "left_anti")
+    from .common import top_n_per_group
+    return top_n_per_group(cand, "uid", [F.col("_r").asc()], n).select("uid", "rank", "iid", "b_i")
+
+
 # ------------------------------------------------------------ folds x configs, vectorised
 
 @dataclass

@@ -142,9 +142,10 @@ def item_signatures(items: DataFrame, kfeatures: DataFrame) -> tuple[DataFrame,
 
 
 def content_topn_all(triples: DataFrame, items: DataFrame, kfeatures: DataFrame,
-                     profiles: DataFrame, n: int = 5, users: DataFrame | None = None) -> DataFrame:
+                     profiles: DataFrame, n: int = 5, users: DataFrame | None = None,
+                     exclude_seen: bool = False) -> DataFrame:
     """Top-n items for every user with ratings, or for the ``users`` subset:
-    ``(uid, rank, iid, score)``.
+    ``(uid, rank, iid, score)``; ``exclude_seen`` drops each user's rated items.
 
     Items collapse to signatures; signature vectors scaled by ``1/max(norm, 0.01)``
     are scored against all user profiles with :func:`blocked.blocked_top_n`
@@ -162,7 +163,13 @@ def content_topn_all(triples: DataFrame, items: DataFrame, kfeatures: DataFrame,
     targets = (sig_features.join(feats, "feature").join(norms, "sig").join(sigs, "sig")
                .select(F.col("sig_idx").alias("tidx"), "fidx",
                        (F.col("value") / F.col("norm")).alias("value")))
-    cands = (top_n_per_group(sig_items, "sig", [F.col("iid").asc()], n, "pos")
+    seen = None
+    per_sig = n
+    if exclude_seen:
+        # a signature must offer n ids beyond any user's rated ones
+        seen = triples.select(F.col("uid").alias("qid"), F.col("iid").alias("cid")).distinct()
+        per_sig = n + int(seen.groupBy("qid").count().agg(F.max("count")).first()[0] or 0)
+    cands = (top_n_per_group(sig_items, "sig", [F.col("iid").asc()], per_sig, "pos")
              .join(sigs, "sig").select(F.col("sig_idx").alias("tidx"), F.col("iid").alias("cid")))
     # every user with ratings, or the given subset ``(uid)`` (semi join)
     rated = triples.select("uid").distinct()
@@ -172,7 +179,7 @@ def content_topn_all(triples: DataFrame, items: DataFrame, kfeatures: DataFrame,
     queries = users.join(prof, "uid", "left").select(
         F.col("uid").alias("qid"), F.coalesce("fidx", F.array().cast("array<bigint>")).alias("fidx"),
         F.coalesce("w", F.array().cast("array<double>")).alias("w"))
-    top = blocked.blocked_top_n(queries, targets, cands, n_sigs, n_feat, n)
+    top = blocked.blocked_top_n(queries, targets, cands, n_sigs, n_feat, n, exclude=seen)
     return top.select(F.col("qid").alias("uid"), "rank", F.col("cid").alias("iid"), "score")
 
 

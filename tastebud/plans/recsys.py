@@ -46,13 +46,23 @@ def q_bias_fit_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.user_bias.select("uid", r6("b_u").alias("b_u"))
 
 
-def bias_topn(b: base.Base, m: bias.BiasModel, n: int = base.TOP_N) -> DataFrame:
+def bias_topn(b: base.Base, m: bias.BiasModel, n: int = base.TOP_N,
+              exclude_seen: bool = False) -> DataFrame:
     """Top-n recommendations with decoration for every user with a bias.
 
     The n best items are the same for all users, so they are ranked once
     (n rows), decorated, and attached to each user as a scalar subquery:
     O(users * n) output, no user x item product and no join fan-out.
+    ``exclude_seen`` drops each user's rated items (then the lists differ per
+    user: :func:`bias.top_items_unseen`).
     """
+    if exclude_seen:
+        users = m.user_bias.join(base.user_rated_counts(b.triples), "uid")
+        t = bias.top_items_unseen(m, n, b.triples).join(base.decoration(b.items), "iid")
+        return t.join(users, "uid").select(
+            "uid", "rank", "iid", "business_id", "name", "categories",
+            r6(clip_rating(F.lit(m.mu) + F.col("b_u") + F.col("b_i"))).alias("pred"),
+            "avg_stars", "review_count", "n_rated")
     top = bias.top_items_by_bias(m, n).join(base.decoration(b.items), "iid")
     packed = top.agg(F.sort_array(F.collect_list(F.struct(
         "rank", "iid", "b_i", "business_id", "name", "categories", "avg_stars",

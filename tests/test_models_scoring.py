@@ -94,6 +94,16 @@ def test_blocked_top_n_matches_brute_force(spark, monkeypatch):
     for q in range(nq):
         want = sorted(range(nt), key=lambda t: (-round(S[q, t], 6), t))[:n]
         assert [c for _, c in sorted(by_q[q])] == [1000 + t for t in want]
+    # excluded pairs: each query asks for n + its own excluded count
+    ex = {(q, int(t)) for q in range(nq) for t in rnd.choice(nt, rnd.integers(0, 12), replace=False)}
+    exdf = spark.createDataFrame([(q, 1000 + t) for q, t in ex], "qid long, cid long")
+    got = blocked.blocked_top_n(queries, targets, cands, nt, nf, n, exclude=exdf).collect()
+    by_q = {}
+    for r in got:
+        by_q.setdefault(r.qid, []).append((r.rank, r.cid))
+    for q in range(nq):
+        want = sorted((t for t in range(nt) if (q, t) not in ex), key=lambda t: (-round(S[q, t], 6), t))[:n]
+        assert [c for _, c in sorted(by_q[q])] == [1000 + t for t in want]
 
 
 def test_content_scores_and_topn(spark):
@@ -124,6 +134,11 @@ def test_content_scores_and_topn(spark):
     assert t7 == want
     t8 = [r.iid for r in sorted((r for r in top if r.uid == 8), key=lambda r: r.rank)]
     assert t8 == [0, 1, 2]                                      # all zero -> lowest iids
+    unseen = content.content_topn_all(triples, items, kf, prof, 3, exclude_seen=True).collect()
+    u7 = [r.iid for r in sorted((r for r in unseen if r.uid == 7), key=lambda r: r.rank)]
+    assert u7 == sorted((i for i in range(5) if i not in (0, 2)), key=lambda i: (-round(s[(7, i)], 6), i))[:3]
+    u8 = [r.iid for r in sorted((r for r in unseen if r.uid == 8), key=lambda r: r.rank)]
+    assert u8 == [0, 2, 4]
     one = spark.createDataFrame([(7,)], "uid long")             # one user's top-n
     sub = content.content_topn_all(triples, items, kf, prof, 3, users=one).collect()
     assert sorted((r.uid, r.rank, r.iid) for r in sub) == sorted(
@@ -299,3 +314,19 @@ def test_update_config_validates_and_routes_prefixes():
     d = update_config(deepfm.DeepFMConfig(), mixed, prefix="deepfm")
     assert (d.epochs, d.hidden, d.embedding) == (3, (64,), 4)
     assert update_config(models.FMConfig(), mixed, prefix="fm").factorSize == 2
+
+
+def test_bias_top_items_unseen_brute_force(spark):
+    rnd = np.random.default_rng(3)
+    rows = [(int(u), int(i), float(rnd.integers(1, 6))) for u in range(30)
+            for i in rnd.choice(25, rnd.integers(1, 20), replace=False)]
+    t = spark.createDataFrame(rows, "uid long, iid long, stars double")
+    m = bias.fit_bias(t, bias.BiasConfig(n_epochs=3))
+    bi = {r.iid: r.b_i for r in m.item_bias.collect()}
+    got = {}
+    for r in bias.top_items_unseen(m, 4, t).collect():
+        got.setdefault(r.uid, []).append((r.rank, r.iid))
+    for u in range(30):
+        seen = {i for uu, i, _ in rows if uu == u}
+        want = sorted((i for i in bi if i not in seen), key=lambda i: (-round(bi[i], 9), i))[:4]
+        assert [i for _, i in sorted(got.get(u, []))] == want
