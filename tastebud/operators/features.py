@@ -57,10 +57,16 @@ def standard_scale(df: DataFrame, cols: Sequence[str], stats=None, suffix: str =
 
 
 def category_vocab(frame: DataFrame, drop: Sequence[str], min_count: int = DEFAULT_MIN_CATEGORY,
-                   col: str = "categories") -> DataFrame:
-    """``(category, idx, n)``: categories counted over the frame's rows, kept when
-    ``n > min_count``, minus ``drop``; ``idx`` from 1 by count desc (ties: name).
-    Index 0 is shared by unknown categories and padding."""
+                   col: str = "categories", count_over: str = "ratings",
+                   item: str = "business_id") -> DataFrame:
+    """``(category, idx, n)``: categories counted over the frame's rows
+    (``count_over='ratings'``) or over its distinct items (``'business'``),
+    kept when ``n > min_count``, minus ``drop``; ``idx`` from 1 by count desc
+    (ties: name).  Index 0 is shared by unknown categories and padding."""
+    if count_over == "business":
+        frame = frame.select(item, col).dropDuplicates([item])
+    elif count_over != "ratings":
+        raise ValueError("count_over must be 'ratings' or 'business'")
     cnt = (frame.select(F.explode(split_categories(col)).alias("category"))
            .groupBy("category").agg(F.count(F.lit(1)).alias("n")))
     kept = cnt.where(F.col("n") > F.lit(min_count)).where(~F.col("category").isin(list(drop)))

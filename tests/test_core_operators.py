@@ -114,3 +114,14 @@ def test_category_vocab_and_padding(spark):
         seqs.setdefault(r.k, []).append((r.pos, r.idx))
     as_lists = sorted([i for _, i in sorted(s)] for s in seqs.values())
     assert as_lists == sorted([[1, 2, 0], [1, 0, 0], [1, 0, 0], [0, 0, 0], [2, 0, 1]])
+
+
+def test_category_vocab_counts_over_ratings_or_business(spark):
+    # business b1 rated three times, b2 once
+    frame = spark.createDataFrame([("b1", "A, B"), ("b1", "A, B"), ("b1", "A, B"), ("b2", "A, C")],
+                                  "business_id string, categories string")
+    r = {x.category: x.n for x in features.category_vocab(frame, [], 0).collect()}
+    b = {x.category: x.n for x in features.category_vocab(frame, [], 0, count_over="business").collect()}
+    assert r == {"A": 4, "B": 3, "C": 1} and b == {"A": 2, "B": 1, "C": 1}
+    with pytest.raises(ValueError):
+        features.category_vocab(frame, [], 0, count_over="users")
