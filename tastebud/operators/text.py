@@ -70,12 +70,10 @@ def top_keywords(weights: DataFrame, doc: str = "business_id", k: int = 10) -> D
     return top_n_per_group(weights, doc, [F.round("tfidf", 6).desc(), F.col("token").asc()], k)
 
 
-def item_item_topk(weights: DataFrame, vocab: DataFrame, doc: str = "business_id",
-                   k: int = 5) -> DataFrame:
-    """``(doc, rank, other, sim)``: the k most cosine-similar other items.
-
-    Rows are L2-normalised, so cosine = dot product; scored with the blocked
-    top-n operator (no item x item rows, no per-term pair emission)."""
+def _item_item(weights: DataFrame, vocab: DataFrame, doc: str, k: int | None,
+               exclude_self: bool) -> DataFrame:
+    """Blocked cosine scoring of every item against every item; each item keeps
+    its k best partners (all of them when ``k`` is None)."""
     weights = materialize(weights.select(doc, "token", "tfidf"), "tfidf")
     feats = ordered_index(vocab.select("token"), [F.col("token").asc()], "fidx")
     n_feat = feats.count()
@@ -88,13 +86,32 @@ def item_item_topk(weights: DataFrame, vocab: DataFrame, doc: str = "business_id
     queries = docs.join(q, "did", "left").select(
         F.col("did").alias("qid"), F.coalesce("fidx", F.array().cast("array<bigint>")).alias("fidx"),
         F.coalesce("w", F.array().cast("array<double>")).alias("w"))
-    top = blocked.blocked_top_n(queries, targets, cands, n_docs, n_feat, k, exclude_self=True)
+    top = blocked.blocked_top_n(queries, targets, cands, n_docs, n_feat, k or max(n_docs, 1),
+                                exclude_self=exclude_self)
     a, b = docs.alias("a"), docs.alias("b")
     return (top.join(a, F.col("qid") == F.col("a.did")).join(b, F.col("cid") == F.col("b.did"))
             .select(F.col(f"a.{doc}").alias(doc), "rank", F.col(f"b.{doc}").alias(f"other_{doc}"),
                     F.col("score").alias("sim")))
 
 
+def item_item_topk(weights: DataFrame, vocab: DataFrame, doc: str = "business_id",
+                   k: int = 5) -> DataFrame:
+    """``(doc, rank, other, sim)``: the k most cosine-similar other items.
+
+    Rows are L2-normalised, so cosine = dot product; scored with the blocked
+    top-n operator (no item x item join, no per-term pair emission)."""
+    return _item_item(weights, vocab, doc, k, exclude_self=True)
+
+
+def item_item_cosine(weights: DataFrame, vocab: DataFrame, doc: str = "business_id") -> DataFrame:
+    """``(doc, other, sim)``: the full item x item cosine matrix (diagonal and
+    zero similarities included).  The output is quadratic in the item count by
+    definition; it is computed by the same blocked scorer as
+    :func:`item_item_topk` (no pair join), which is the form to use at scale."""
+    m = _item_item(weights, vocab, doc, None, exclude_self=False)
+    return m.select(doc, f"other_{doc}", "sim")
+
+
 # ------------------------------------------------------------------ text encoder
 
 def text_vocab(texts: DataFrame, text: str = "text", max_tokens: int = 5000) -> DataFrame:

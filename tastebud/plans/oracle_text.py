@@ -91,6 +91,14 @@ ORACLES["item_item_topk"] = with_views(["reviews"], TFIDF_CTES + [
 SELECT business_id, rank, other_business_id, {r6('sim')} AS sim FROM (
   SELECT *, row_number() OVER (PARTITION BY business_id ORDER BY round(sim, 6) DESC, other_business_id) AS rank
   FROM sims) WHERE rank <= {SIMILAR_ITEMS}""")
+ORACLES["item_item_cosine"] = with_views(["reviews"], TFIDF_CTES + [
+    """docs AS (SELECT DISTINCT business_id FROM wt)""",
+    """dots AS (
+  SELECT x.business_id AS a, y.business_id AS b, SUM(x.tfidf * y.tfidf) AS s
+  FROM wt x JOIN wt y ON x.token = y.token GROUP BY x.business_id, y.business_id)"""], f"""
+SELECT a.business_id, b.business_id AS other_business_id, {r6('COALESCE(d.s, 0.0)')} AS sim
+FROM docs a CROSS JOIN docs b
+LEFT JOIN dots d ON d.a = a.business_id AND d.b = b.business_id""")
 ORACLES["text_vocab"] = with_views(["reviews"], VOCAB_CTES, "SELECT token, idx, n FROM tvocab")
 ORACLES["text_encode"] = with_views(["reviews"], VOCAB_CTES, "SELECT review_id, pos, idx FROM enc")
 ORACLES["text_decode"] = with_views(["reviews"], VOCAB_CTES, """

@@ -62,6 +62,12 @@ def q_item_item_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.select("business_id", "rank", "other_business_id", r6("sim").alias("sim"))
 
 
+def q_item_item_cosine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    w, v = _tfidf(spark, sf_dir)
+    s = T.item_item_cosine(w, v, "business_id")
+    return s.select("business_id", "other_business_id", r6("sim").alias("sim"))
+
+
 def train_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = labelled_reviews(spark, sf_dir).select("review_id", "text", "stars")
     s = validation.ordered_split(r, [F.col("review_id").asc()], 0.8)

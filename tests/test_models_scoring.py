@@ -330,3 +330,23 @@ def test_bias_top_items_unseen_brute_force(spark):
         seen = {i for uu, i, _ in rows if uu == u}
         want = sorted((i for i in bi if i not in seen), key=lambda i: (-round(bi[i], 9), i))[:4]
         assert [i for _, i in sorted(got.get(u, []))] == want
+
+
+def test_item_item_cosine_symmetric_unit_diagonal_and_topk_consistent(spark):
+    docs = spark.createDataFrame(
+        [("a", "x y z"), ("a", "x x"), ("b", "y z w"), ("c", "q r"), ("d", "x w")],
+        "business_id string, text string")
+    tf = docs.select("business_id", F.explode(F.split("text", " ")).alias("token")).groupBy(
+        "business_id", "token").agg(F.count(F.lit(1)).alias("tf"))
+    w, v = text.tfidf(tf, "business_id", 4, max_features=None, max_df=1.0, min_df=1)
+    m = {(r.business_id, r.other_business_id): r.sim for r in text.item_item_cosine(w, v).collect()}
+    assert len(m) == 16
+    for (a, b), s in m.items():
+        assert s == pytest.approx(m[(b, a)], abs=1e-12)
+        if a == b:
+            assert s == pytest.approx(1.0)
+    assert m[("a", "c")] == 0.0                     # no shared term, still reported
+    top = text.item_item_topk(w, v, k=2).collect()
+    for r in top:
+        others = sorted(((-round(s, 6), o) for (a, o), s in m.items() if a == r.business_id and o != a))
+        assert r.other_business_id == others[r.rank - 1][1]
