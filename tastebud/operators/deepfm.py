@@ -224,65 +224,159 @@ def _predict_rows(pdf, dense_vec, cfg):
     return y
 
 
+class _Table:
+    """The parameter rows of one block that a task has met so far, grown as
+    new ids arrive, with lazy Adam state and a count of training rows."""
+
+    def __init__(self, width: int):
+        self.pos: dict[int, int] = {}
+        self.ids: list[int] = []
+        self.size = 0
+        self.P = np.zeros((16, width))
+        self.m = np.zeros_like(self.P)
+        self.v = np.zeros_like(self.P)
+        self.t = np.zeros(16)
+        self.n = np.zeros(16, dtype=np.int64)
+
+    def _reserve(self, need: int) -> None:
+        cap = self.P.shape[0]
+        if need <= cap:
+            return
+        cap = max(need, 2 * cap)
+        for name in ("P", "m", "v", "t", "n"):
+            old = getattr(self, name)
+            new = np.zeros((cap,) + old.shape[1:], dtype=old.dtype)
+            new[:self.size] = old[:self.size]
+            setattr(self, name, new)
+
+    def rows(self, ids: np.ndarray, vec_of) -> np.ndarray:
+        """Local rows of ``ids``; an id met for the first time takes the vector
+        ``vec_of(i)`` of its first occurrence ``i`` in ``ids``."""
+        uniq, first, inv = np.unique(ids, return_index=True, return_inverse=True)
+        out = np.empty(len(uniq), dtype=np.int64)
+        fresh = []
+        for j, (key, f) in enumerate(zip(uniq.tolist(), first.tolist())):
+            r = self.pos.get(key)
+            if r is None:
+                r = self.size + len(fresh)
+                self.pos[key] = r
+                fresh.append((key, f))
+            out[j] = r
+        if fresh:
+            self._reserve(self.size + len(fresh))
+            for key, f in fresh:
+                self.P[self.size] = vec_of(f)
+                self.ids.append(key)
+                self.size += 1
+        return out[inv]
+
+    def adam(self, rows, grad, lr, b1=0.9, b2=0.999, eps=1e-7) -> None:
+        self.t[rows] += 1
+        self.m[rows] = b1 * self.m[rows] + (1 - b1) * grad
+        self.v[rows] = b2 * self.v[rows] + (1 - b2) * grad * grad
+        tt = self.t[rows][:, None]
+        step = lr * np.sqrt(1 - b2 ** tt) / (1 - b1 ** tt)
+        self.P[rows] -= step * self.m[rows] / (np.sqrt(self.v[rows]) + eps)
+
+    def frame(self, block: str) -> pd.DataFrame:
+        k = self.size
+        return pd.DataFrame({"block": block, "idx": np.asarray(self.ids, dtype=np.int64),
+                             "vec": list(self.P[:k]), "n": self.n[:k]})
+
+
+def _scatter_rows(rows: np.ndarray, grad: np.ndarray, table: _Table, lam: float):
+    """Sum the per-example gradients of each touched row, plus l2 on it."""
+    uniq, inv = np.unique(rows, return_inverse=True)
+    G = np.zeros((len(uniq), grad.shape[1]))
+    np.add.at(G, inv, grad)
+    G += 2 * lam * table.P[uniq]
+    return uniq, G
+
+
+def _pad(a: np.ndarray, width: int) -> np.ndarray:
+    return a if a.shape[1] >= width else np.pad(a, ((0, 0), (0, width - a.shape[1])))
+
+
 def _train_partition(dense_bc, cfg: DeepFMConfig):
+    """mapInPandas over rows sorted by ``h`` within the task: Arrow batches are
+    consumed one at a time (the task never holds its whole partition), mini
+    batches of ``batch_size`` carry over batch boundaries, and only the
+    parameter rows the task meets are kept."""
+    k1 = cfg.embedding + 1
+
     def fn(batches):
-        pdf = pd.concat(list(batches), ignore_index=True)
-        if len(pdf) == 0:
-            return
-        pdf = pdf.sort_values("h", kind="stable").reset_index(drop=True)
         dense = dense_bc.value.copy()
         P = _unpack(dense, cfg)                    # views into ``dense``
-        uids, U, iids, I, cids, C = _local_tables(pdf, cfg)
-        maxlen = int(pdf["cidx"].map(len).max() or 0)
-        ur, ir, cm, wts, xd = _batch_inputs(pdf, uids, U, iids, I, cids, C, maxlen)
-        y = pdf["rating"].to_numpy(dtype=np.float64)
         opt = _Adam(cfg.learning_rate)
         lam = cfg.l2_reg
-        for s in range(0, len(pdf), cfg.batch_size):
-            sl = slice(s, s + cfg.batch_size)
-            b_u, b_i, b_c, b_w, b_x, b_y = ur[sl], ir[sl], cm[sl], wts[sl], xd[sl], y[sl]
+        U, I, C = _Table(k1), _Table(k1), _Table(k1)
+        l2_mask = np.r_[0.0, np.ones(cfg.n_dense)]
+        pend = None
+        n_rows = 0
+
+        def train(b_u, b_i, b_c, b_w, b_x, b_y):
             B = len(b_y)
-            cpool = (C[b_c] * b_w[:, :, None]).sum(1) if len(C) else np.zeros((B, cfg.embedding + 1))
-            eu, ei, ec = U[b_u, 1:], I[b_i, 1:], cpool[:, 1:]
-            wsum = U[b_u, 0] + I[b_i, 0] + cpool[:, 0]
+            cpool = (C.P[b_c] * b_w[:, :, None]).sum(1) if b_c.shape[1] else np.zeros((B, k1))
+            eu, ei, ec = U.P[b_u, 1:], I.P[b_i, 1:], cpool[:, 1:]
+            wsum = U.P[b_u, 0] + I.P[b_i, 0] + cpool[:, 0]
             pred, cache = _forward(P, eu, ei, ec, wsum, b_x, cfg)
             g = 2.0 * (pred - b_y) / B               # d mean squared error / d pred
             G, de_u, de_i, de_c = _backward(P, g, eu, ei, ec, b_x, cache, cfg)
-            gu = np.concatenate([g[:, None], de_u], axis=1)
-            gi = np.concatenate([g[:, None], de_i], axis=1)
-            gc = np.concatenate([g[:, None], de_c], axis=1)
-            # scatter to table rows, plus l2 on the touched rows
-            ru, iu = np.unique(b_u, return_inverse=True)
-            GU = np.zeros((len(ru), U.shape[1]))
-            np.add.at(GU, iu, gu)
-            GU += 2 * lam * U[ru]
-            ri, ii = np.unique(b_i, return_inverse=True)
-            GI = np.zeros((len(ri), I.shape[1]))
-            np.add.at(GI, ii, gi)
-            GI += 2 * lam * I[ri]
             gdense = np.concatenate([G[name].ravel() for name, _ in _dense_shapes(cfg)])
-            n_w0_wd = 1 + cfg.n_dense
-            gdense[:n_w0_wd] += 2 * lam * dense[:n_w0_wd] * np.r_[0.0, np.ones(cfg.n_dense)]
+            gdense[:1 + cfg.n_dense] += 2 * lam * dense[:1 + cfg.n_dense] * l2_mask
+            ru, GU = _scatter_rows(b_u, np.concatenate([g[:, None], de_u], axis=1), U, lam)
+            ri, GI = _scatter_rows(b_i, np.concatenate([g[:, None], de_i], axis=1), I, lam)
+            keep = b_w.ravel() > 0
+            gc = np.concatenate([g[:, None], de_c], axis=1)
+            flat_g = (gc[:, None, :] * b_w[:, :, None]).reshape(-1, k1)[keep]
+            flat_c = b_c.ravel()[keep]
             opt.step("dense", dense, None, gdense)
-            opt.step("U", U, ru, GU)
-            opt.step("I", I, ri, GI)
-            if len(C):
-                flat_c = b_c.ravel()
-                flat_g = (gc[:, None, :] * b_w[:, :, None]).reshape(-1, C.shape[1])
-                keep = b_w.ravel() > 0
-                rc, ic = np.unique(flat_c[keep], return_inverse=True)
-                GC = np.zeros((len(rc), C.shape[1]))
-                np.add.at(GC, ic, flat_g[keep])
-                GC += 2 * lam * C[rc]
-                opt.step("C", C, rc, GC)
-        n_u = np.bincount(ur, minlength=len(uids))
-        n_i = np.bincount(ir, minlength=len(iids))
-        n_c = np.bincount(cm[wts > 0].ravel(), minlength=len(cids)) if len(cids) else np.zeros(0, int)
-        out = [pd.DataFrame({"block": "u", "idx": uids, "vec": list(U), "n": n_u}),
-               pd.DataFrame({"block": "i", "idx": iids, "vec": list(I), "n": n_i}),
-               pd.DataFrame({"block": "c", "idx": cids, "vec": list(C), "n": n_c}),
-               pd.DataFrame({"block": ["g"], "idx": [0], "vec": [dense], "n": [len(pdf)]})]
-        res = pd.concat(out, ignore_index=True)
+            U.adam(ru, GU, cfg.learning_rate)
+            I.adam(ri, GI, cfg.learning_rate)
+            np.add.at(U.n, b_u, 1)
+            np.add.at(I.n, b_i, 1)
+            if len(flat_c):
+                rc, GC = _scatter_rows(flat_c, flat_g, C, lam)
+                C.adam(rc, GC, cfg.learning_rate)
+                np.add.at(C.n, flat_c, 1)
+
+        for pdf in batches:
+            m = len(pdf)
+            if m == 0:
+                continue
+            n_rows += m
+            ur = U.rows(pdf["uid"].to_numpy(), lambda i: np.asarray(pdf["uvec"].iat[i], dtype=np.float64))
+            ir = I.rows(pdf["iid"].to_numpy(), lambda i: np.asarray(pdf["ivec"].iat[i], dtype=np.float64))
+            lens = pdf["cidx"].map(len).to_numpy()
+            width = int(lens.max()) if m else 0
+            cm = np.zeros((m, width), dtype=np.int64)
+            wts = np.zeros((m, width))
+            if width:
+                r_of = np.repeat(np.arange(m), lens)
+                p_of = np.concatenate([np.arange(n) for n in lens])
+                cids = np.concatenate([np.asarray(a, dtype=np.int64) for a in pdf["cidx"]])
+                cvecs = [v for vs in pdf["cvecs"] for v in vs]
+                cm[r_of, p_of] = C.rows(cids, lambda i: np.asarray(cvecs[i], dtype=np.float64))
+                wts[r_of, p_of] = (1.0 / lens)[r_of]
+            xd = np.stack([np.asarray(a, dtype=np.float64) for a in pdf["dense"]])
+            y = pdf["rating"].to_numpy(dtype=np.float64)
+            cur = [ur, ir, cm, wts, xd, y]
+            if pend is not None:
+                w = max(pend[2].shape[1], cm.shape[1])
+                cur = [np.concatenate([a, b]) for a, b in zip(
+                    [pend[0], pend[1], _pad(pend[2], w), _pad(pend[3], w), pend[4], pend[5]],
+                    [ur, ir, _pad(cm, w), _pad(wts, w), xd, y])]
+            full = len(cur[5]) // cfg.batch_size * cfg.batch_size
+            for s in range(0, full, cfg.batch_size):
+                train(*[a[s:s + cfg.batch_size] for a in cur])
+            pend = [a[full:] for a in cur] if full < len(cur[5]) else None
+        if pend is not None:
+            train(*pend)
+        if n_rows == 0:
+            return
+        res = pd.concat([U.frame("u"), I.frame("i"), C.frame("c"),
+                         pd.DataFrame({"block": ["g"], "idx": [0], "vec": [dense], "n": [n_rows]})],
+                        ignore_index=True)
         res["idx"] = res["idx"].astype(np.int64)
         res["n"] = res["n"].astype(np.int64)
         yield res
@@ -383,7 +477,8 @@ def fit_deepfm(rows: DataFrame, users: DataFrame, items: DataFrame, item_cats: D
     for _ in range(cfg.epochs):
         bc = sc.broadcast(dense)          # fixed size: the dense and MLP weights
         items_side = _item_side(_block(params, "i", "iid"), _block(params, "c", "idx"), item_cats)
-        x = _with_params(rows, _block(params, "u", "uid"), items_side).repartition(parts, "uid", "salt")
+        x = (_with_params(rows, _block(params, "u", "uid"), items_side)
+             .repartition(parts, "uid", "salt").sortWithinPartitions("h"))
         upd = materialize(x.mapInPandas(_train_partition(bc, cfg), UPDATE_SCHEMA), "deepfm-upd")
         params = materialize(_merge(params, upd), "deepfm-params")
         # len(dense) values, independent of the data size

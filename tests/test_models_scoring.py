@@ -350,3 +350,29 @@ def test_item_item_cosine_symmetric_unit_diagonal_and_topk_consistent(spark):
     for r in top:
         others = sorted(((-round(s, 6), o) for (a, o), s in m.items() if a == r.business_id and o != a))
         assert r.other_business_id == others[r.rank - 1][1]
+
+
+def test_deepfm_streaming_is_independent_of_arrow_batch_size(spark):
+    """Rows stream through the task in Arrow batches; mini-batches carry over
+    batch boundaries, so the fit does not depend on the Arrow batch size."""
+    from tastebud.operators import deepfm
+    df = _planted(spark, n_users=30, n_items=30)
+    rows = df.select(F.col("review_id").alias("row_key"), "uid", "iid", F.col("stars").alias("rating"),
+                     F.array(F.lit(0.5), (F.col("iid") % 7 / 7.0).cast("double")).alias("dense"))
+    items = df.select("iid").distinct()
+    item_cats = items.select("iid", F.lit(0).cast("long").alias("pos"), (F.col("iid") % 3 + 1).alias("idx"))
+    cfg = deepfm.DeepFMConfig(epochs=2, partitions=2, hidden=(8,), batch_size=64)
+
+    def fit():
+        m = deepfm.fit_deepfm(rows, df.select("uid").distinct(), items, item_cats, 3, cfg)
+        return m.dense, {r.uid: r.vec for r in m.users.collect()}
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(key)
+    d1, u1 = fit()
+    spark.conf.set(key, "97")
+    try:
+        d2, u2 = fit()
+    finally:
+        spark.conf.set(key, old)
+    assert np.allclose(d1, d2, atol=1e-10)
+    assert u1.keys() == u2.keys() and all(np.allclose(u1[k], u2[k], atol=1e-10) for k in u1)
