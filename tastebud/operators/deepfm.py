@@ -149,28 +149,20 @@ def _backward(P, g, eu, ei, ec, xd, cache, cfg):
 
 
 class _Adam:
-    """Adam for a dense vector and lazy Adam for rows of sparse tables."""
+    """Adam for the dense parameter vector (sparse rows: :meth:`_Table.adam`)."""
 
     def __init__(self, lr, b1=0.9, b2=0.999, eps=1e-7):
         self.lr, self.b1, self.b2, self.eps = lr, b1, b2, eps
         self.state = {}
 
     def step(self, name, param, rows, grad):
-        m, v, t = self.state.get(name) or (np.zeros_like(param), np.zeros_like(param),
-                                           np.zeros(param.shape[0] if rows is not None else 1))
-        if rows is None:
-            t += 1
-            m[:] = self.b1 * m + (1 - self.b1) * grad
-            v[:] = self.b2 * v + (1 - self.b2) * grad * grad
-            lr = self.lr * np.sqrt(1 - self.b2 ** t[0]) / (1 - self.b1 ** t[0])
-            param -= lr * m / (np.sqrt(v) + self.eps)
-        else:
-            t[rows] += 1
-            m[rows] = self.b1 * m[rows] + (1 - self.b1) * grad
-            v[rows] = self.b2 * v[rows] + (1 - self.b2) * grad * grad
-            tt = t[rows][:, None]
-            lr = self.lr * np.sqrt(1 - self.b2 ** tt) / (1 - self.b1 ** tt)
-            param[rows] -= lr * m[rows] / (np.sqrt(v[rows]) + self.eps)
+        assert rows is None
+        m, v, t = self.state.get(name) or (np.zeros_like(param), np.zeros_like(param), 0)
+        t += 1
+        m = self.b1 * m + (1 - self.b1) * grad
+        v = self.b2 * v + (1 - self.b2) * grad * grad
+        lr = self.lr * np.sqrt(1 - self.b2 ** t) / (1 - self.b1 ** t)
+        param -= lr * m / (np.sqrt(v) + self.eps)
         self.state[name] = (m, v, t)
 
 
