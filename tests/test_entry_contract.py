@@ -44,3 +44,20 @@ def test_small_queries_match_on_smoke_data(spark):
                        .sort_index(axis=1).astype(str).values.tolist()))
         b = sorted(map(tuple, con.execute(ors[name]).df().sort_index(axis=1).astype(str).values.tolist()))
         assert a == b, name
+
+
+def test_no_query_plans_a_cartesian_or_nested_loop_join(spark):
+    """Every registered query joins on keys: no Cartesian products and no
+    broadcast nested-loop joins anywhere in the physical plans."""
+    import os
+    # model queries train while their plan is built: checked with TASTEBUD_SLOW=1
+    slow = RANDOMISED | {"bias_grid", "bias_cv"}
+    bad = []
+    for name, fn in sorted(se.queries().items()):
+        if name in slow and not os.environ.get("TASTEBUD_SLOW"):
+            continue
+        plan = fn(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+        hits = [k for k in ("CartesianProduct", "BroadcastNestedLoopJoin") if k in plan]
+        if hits:
+            bad.append((name, hits))
+    assert bad == []
