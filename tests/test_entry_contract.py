@@ -61,3 +61,26 @@ def test_no_query_plans_a_cartesian_or_nested_loop_join(spark):
         if hits:
             bad.append((name, hits))
     assert bad == []
+
+
+def test_results_do_not_depend_on_partition_count(spark):
+    """Ids, rankings and ties are defined by keys, not by partitioning."""
+    names = ["id_map", "bias_topn", "content_topn", "tfidf_keywords", "item_item_topk",
+             "category_vocab", "ordered_split", "text_vocab"]
+    q = se.queries()
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+
+    def run(parts):
+        spark.conf.set(key, str(parts))
+        out = {}
+        for n in names:
+            df = q[n](spark, "/root/testdata/sf0.001")
+            out[n] = sorted(tuple(str(v) for v in r) for r in df.collect())
+        return out
+    try:
+        a, b = run(3), run(8)
+    finally:
+        spark.conf.set(key, old)
+    for n in names:
+        assert a[n] == b[n], n
