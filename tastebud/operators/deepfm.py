@@ -9,6 +9,9 @@ has a parameter vector ``[w_j, e_j]`` (linear weight and embedding)::
       + 1/2 sum_k ((sum_f e_fk)^2 - sum_f e_fk^2)      (pairwise, FM)
       + mlp([e_user, e_item, e_cat, xd])               (deep tower, relu layers)
 
+With ``deep=False`` the tower is dropped and this is a factorisation machine
+whose parameters stay distributed (unlike MLlib's, which live on the driver).
+
 Training (parameter averaging, Zinkevich et al. 2010), one Spark job per
 epoch:
 
@@ -51,6 +54,7 @@ class DeepFMConfig:
     partitions: int | None = None  # training tasks; default: shuffle partitions, at most
     min_rows_per_task: int = 2048  # one task per this many rows (small inputs use fewer tasks)
     n_dense: int = 2
+    deep: bool = True              # False: the factorisation machine alone (no deep tower)
     extra: dict = field(default_factory=dict)
 
 
@@ -59,6 +63,8 @@ class DeepFMConfig:
 def _dense_shapes(cfg: DeepFMConfig) -> list[tuple[str, tuple[int, ...]]]:
     k, nd = cfg.embedding, cfg.n_dense
     shapes = [("w0", (1,)), ("wd", (nd,))]
+    if not cfg.deep:
+        return shapes
     width = 3 * k + nd
     for li, h in enumerate(cfg.hidden):
         shapes += [(f"W{li}", (width, h)), (f"b{li}", (h,))]
@@ -113,6 +119,9 @@ def _forward(P, eu, ei, ec, wsum, xd, cfg):
     lin = P["w0"][0] + wsum + xd @ P["wd"]
     s = eu + ei + ec
     fm = 0.5 * ((s * s).sum(1) - (eu * eu + ei * ei + ec * ec).sum(1))
+    assert eu.shape[1] == k
+    if not cfg.deep:
+        return lin + fm, (s, None, None)
     h = np.concatenate([eu, ei, ec, xd], axis=1)
     acts, pre = [h], []
     for li in range(len(cfg.hidden)):
@@ -120,7 +129,6 @@ def _forward(P, eu, ei, ec, wsum, xd, cfg):
         pre.append(z)
         acts.append(np.maximum(z, 0.0))
     deep = acts[-1] @ P["Wout"] + P["bout"][0]
-    assert eu.shape[1] == k
     return lin + fm + deep, (s, acts, pre)
 
 
@@ -132,6 +140,9 @@ def _backward(P, g, eu, ei, ec, xd, cache, cfg):
     G = {name: np.zeros_like(v) for name, v in P.items()}
     G["w0"][0] = g.sum()
     G["wd"] = xd.T @ g
+    gf = g[:, None]
+    if not cfg.deep:
+        return G, gf * (s - eu), gf * (s - ei), gf * (s - ec)
     G["bout"][0] = g.sum()
     G["Wout"] = acts[-1].T @ g
     d = np.outer(g, P["Wout"])
@@ -141,7 +152,6 @@ def _backward(P, g, eu, ei, ec, xd, cache, cfg):
         G[f"b{li}"] = d.sum(0)
         d = d @ P[f"W{li}"].T
     dh = d                                         # wrt [eu, ei, ec, xd]
-    gf = g[:, None]
     de_u = gf * (s - eu) + dh[:, 0:k]
     de_i = gf * (s - ei) + dh[:, k:2 * k]
     de_c = gf * (s - ec) + dh[:, 2 * k:3 * k]
