@@ -125,3 +125,19 @@ def test_category_vocab_counts_over_ratings_or_business(spark):
     assert r == {"A": 4, "B": 3, "C": 1} and b == {"A": 2, "B": 1, "C": 1}
     with pytest.raises(ValueError):
         features.category_vocab(frame, [], 0, count_over="users")
+
+
+def test_scratch_tables_live_under_checkpoint_dir_and_are_cleared(spark):
+    from tastebud.operators.common import clear_scratch, materialize, scratch_dir
+    from tastebud.session import ensure_checkpoint_dir
+    root = scratch_dir(spark)
+    assert root.startswith(ensure_checkpoint_dir(spark).rstrip("/"))
+    assert spark.sparkContext.applicationId in root
+    t = materialize(spark.range(10), "probe")
+    assert t.count() == 10
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    assert fs.exists(path)
+    clear_scratch(spark)
+    assert not fs.exists(path)
