@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -63,9 +64,30 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give this package to the Python workers, once per application.
+
+    The driver finds the package on its own path; executors on other machines
+    (and local workers started from another folder) don't.  The sources are
+    zipped and handed to ``addPyFile``, which Spark serves to every executor."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="tastebud-"), "tastebud.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(root):
+            for n in sorted(names):
+                if n.endswith(".py"):
+                    full = os.path.join(folder, n)
+                    z.write(full, os.path.join("tastebud", os.path.relpath(full, root)))
+    spark.sparkContext.addPyFile(path)
+    _shipped.add(app)
+
+
 def is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 
-
-def env_cpus(default: str = "8") -> str:
-    return os.environ.get("BENCH_CPUS", default)
