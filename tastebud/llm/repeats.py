@@ -3,26 +3,31 @@
 
 Comparing every window with every other is cut down without losing a repeat:
 
-1. Texts are packed into chunks (a written table, compressed), the unit that
-   answers come back to.
+1. Texts are packed into chunks, a written table bucketed by chunk, so that what later
+   steps answer to a chunk joins it without moving a text.
 2. A window's minimizer is the least hash of its k-grams.  Equal windows have equal
    minimizers, so consecutive windows of one minimizer form a run and a minimizer
    seen once in the corpus is a run without repeats.  Each chunk sends its distinct
    minimizers' hashes, packed into one row a bucket; a bucket answers which were seen
    twice.  (A false answer only costs work.)
-3. Runs of repeated minimizers, the *contents*, are sent once for each distinct
-   content of a chunk and summed up by Spark to one row with the first place of
-   occurrence.  A minimizer that very many chunks have is sent window by window, by
-   the window's own hash, so that no bucket grows with one frequent string.
-4. A bucket holds all distinct contents of its minimizers, and so all occurrences
-   of their windows: the solver says which windows occur earlier elsewhere.
-5. Answers join the chunks' contents, and each chunk marks what is covered.
-
-Every group is bounded by the number of buckets, which follows the input's size.
+3. Of the runs of repeated minimizers, the *contents*, each chunk sends one hash (with
+   the minimizer's, about a hundred bits) and the first place for each distinct one.
+   A bucket answers which are later copies of an equal content, and which
+   minimizers have several contents.  A minimizer that very many chunks have is sent
+   window by window, by the window's own hash, so that no bucket grows with one
+   frequent string.
+4. Only first copies whose minimizer has several contents need their text looked
+   at.  A bucket holds all of them that share a minimizer, and so all first
+   occurrences of their windows: the solver says which windows occur earlier.
+5. Each chunk marks what is covered: all of a later copy, and the solver's windows.
+
+Every group is bounded by the number of buckets, which follows the input's size, and a
+chunk's share of a group by what is distinct in the chunk.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -33,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textscan
-from .common import NULL_KEY, arrow_map, documents, input_bytes, materialize, ragged
+from .common import NULL_KEY, arrow_map, documents, input_bytes, materialize, ragged, scratch_dir
 from .units import by_size
 
 #: Characters of a chunk, about.
@@ -69,11 +74,11 @@ _BYTE = textscan.mix(np.arange(1, 257, dtype=np.uint64))
 CHUNK_SCHEMA = "chunk long, docs binary, sizes binary, data binary"
 
 
-def chunks(docs: DataFrame) -> DataFrame:
+def chunks(docs: DataFrame, buckets: int) -> DataFrame:
     """Written table of chunks: keys, byte lengths and compressed UTF-8 of consecutive rows."""
     def run(batches):
         import zstandard
-        part, number, pack = TaskContext.get().partitionId(), 0, zstandard.ZstdCompressor(level=1)
+        part, number, pack = TaskContext.get().partitionId(), 0, zstandard.ZstdCompressor(level=3)
         for batch in batches:
             texts = [t or "" for t in batch.column("text").to_pylist()]
             ids = batch.column("doc_id").fill_null(NULL_KEY).to_numpy()
@@ -85,7 +90,11 @@ def chunks(docs: DataFrame) -> DataFrame:
                      pa.array([sizes.tobytes()], pa.binary()), pa.array([pack.compress(b"".join(raw))], pa.binary())],
                     ["chunk", "docs", "sizes", "data"])
                 number += 1
-    return materialize(arrow_map(documents(docs), run, CHUNK_SCHEMA), "chunks")
+
+    spark, name = docs.sparkSession, f"chunks_{uuid.uuid4().hex}"
+    (arrow_map(documents(docs), run, CHUNK_SCHEMA).write.bucketBy(buckets, "chunk")
+     .option("path", f"{scratch_dir(spark)}/{name}").saveAsTable(name))
+    return spark.table(name)
 
 
 class Chunk:
@@ -198,56 +207,108 @@ def _seen(table: DataFrame, spec: Spec, buckets: int) -> DataFrame:
     return got.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "twice", "frequent")).alias("seen"))
 
 
-CONTENT_SCHEMA = "bucket int, digest binary, content binary, chunk long, windows int, doc long, pos long, places binary"
-
+class Contents:
+    """A chunk's distinct contents of repeated minimizers, in a fixed order: number of windows,
+    whether own windows can repeat, bucket, hashes of minimizer and content, first place
+    (``doc, pos``) and all first windows (``places``)."""
 
-def _contents(table: DataFrame, seen: DataFrame, spec: Spec, buckets: int, routes: int) -> DataFrame:
-    """Each chunk's distinct contents of repeated minimizers: the first place (``doc, pos``) and
-    all first windows (``places``, int32)."""
-    def send(batches):
+    def __init__(self, chunk: Chunk, seen: list | None, buckets: int, routes: int):
         import xxhash
+        spec = chunk.spec
+        start, count, least, again = chunk.runs()
+        distinct, back, times = np.unique(least, return_inverse=True, return_counts=True)
+        order, edge, _ = _bucketed(distinct, buckets)
+        twice, often = times >= 2, np.zeros(len(distinct), bool)
+        twice[back[again]] = True
+        for s in seen or []:
+            own = order[edge[s["bucket"]]:edge[s["bucket"] + 1]]
+            twice[own] |= np.unpackbits(np.frombuffer(s["twice"], np.uint8), count=len(own)).astype(bool)
+            often[own] = np.unpackbits(np.frombuffer(s["frequent"], np.uint8), count=len(own)).astype(bool)
+        whole, single = twice[back] & ~often[back], twice[back] & often[back]
+        route = textscan.mix(distinct)[back]
+        runs = list(zip(start[whole].tolist(), count[whole].tolist(), again[whole].tolist(), route[whole].tolist()))
+        runs += [(s + i, 1, False, None) for s, n in zip(start[single].tolist(), count[single].tolist()) for i in range(n)]
+        found: dict[bytes, list] = {}
+        for s, n, r, m in runs:
+            c = chunk.content(s, n)
+            if spec.words:
+                c = b" ".join(c.split())
+            got = found.get(c)
+            if got is None:
+                found[c] = [n, r, m, [s]]
+            else:
+                got[3].append(s)
+        self.content, vals = list(found), found.values()
+        k = len(found)
+        self.windows = np.fromiter((v[0] for v in vals), np.int64, k)
+        self.again = np.fromiter((v[1] for v in vals), bool, k)
+        self.hash = np.fromiter(map(xxhash.xxh64_intdigest, self.content), np.uint64, k)
+        self.route = np.fromiter((h if v[2] is None else v[2] for v, h in zip(vals, self.hash.tolist())), np.uint64, k)
+        self.bucket = (self.route % np.uint64(routes)).astype(np.int64)
+        self.times = np.fromiter((len(v[3]) for v in vals), np.int64, k)
+        self.places = np.fromiter((p for v in vals for p in v[3]), np.int64, int(self.times.sum()))
+        own = np.searchsorted(chunk.first, self.places, "right") - 1
+        self.place_doc = chunk.docs[own] if len(own) else np.zeros(0, np.int64)
+        self.place_pos = self.places - chunk.first[own] if spec.by_position else np.zeros(len(own), np.int64)
+        of = np.repeat(np.arange(k), self.times)
+        by = np.lexsort((self.place_pos, self.place_doc, of))
+        first = by[np.cumsum(self.times) - self.times]
+        self.doc, self.pos = self.place_doc[first], self.place_pos[first]
+        self.place_later = (self.place_doc != self.doc[of]) | (self.place_pos != self.pos[of])
+        self.of = of
+
+    def by_bucket(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Order by bucket, the buckets that occur, and their edges in that order."""
+        order = np.argsort(self.bucket, kind="stable")
+        own, at = np.unique(self.bucket[order], return_index=True)
+        return order, own, np.append(at, len(order))
+
+
+def _copies(table: DataFrame, spec: Spec, buckets: int, routes: int) -> DataFrame:
+    """``chunk, copies`` (list of ``bucket, later, several``: bit masks over the chunk's contents in
+    that bucket)."""
+    def send(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                chunk = Chunk(row, spec)
-                start, count, least, again = chunk.runs()
-                distinct, back, times = np.unique(least, return_inverse=True, return_counts=True)
-                order, edge, _ = _bucketed(distinct, buckets)
-                twice, often = times >= 2, np.zeros(len(distinct), bool)
-                twice[back[again]] = True
-                for s in row["seen"] or []:
-                    own = order[edge[s["bucket"]]:edge[s["bucket"] + 1]]
-                    twice[own] |= np.unpackbits(np.frombuffer(s["twice"], np.uint8), count=len(own)).astype(bool)
-                    often[own] = np.unpackbits(np.frombuffer(s["frequent"], np.uint8), count=len(own)).astype(bool)
-                route = (textscan.mix(distinct) % np.uint64(routes)).astype(np.int64)[back]
-                pick, single = twice[back], often[back]
-                runs = [(s, n, r) for s, n, r in zip(start[pick & ~single].tolist(), count[pick & ~single].tolist(), route[pick & ~single].tolist())]
-                runs += [(s + i, 1, -1) for s, n in zip(start[pick & single].tolist(), count[pick & single].tolist()) for i in range(n)]
-                found: dict[bytes, list] = {}
-                for s, n, r in runs:
-                    c = chunk.content(s, n)
-                    if spec.words:
-                        c = b" ".join(c.split())
-                    if c in found:
-                        found[c][2].append(s)
-                    else:
-                        found[c] = [n, r, [s]]
-                keys, vals = list(found), list(found.values())
-                places = [np.array(v[2], np.int32) for v in vals]
-                flat = np.concatenate([np.zeros(0, np.int64), *places])
-                own = np.searchsorted(chunk.first, flat, "right") - 1
-                key = np.stack([chunk.docs[own], flat - chunk.first[own] if spec.by_position else 0 * flat]) if len(flat) else np.zeros((2, 0), np.int64)
-                ends = np.cumsum([len(p) for p in places])
-                least_key = [min(zip(key[0, e - len(p):e].tolist(), key[1, e - len(p):e].tolist())) if len(p) > 1 else (key[0, e - 1], key[1, e - 1])
-                             for e, p in zip(ends, places)]
+                c = Contents(Chunk(row, spec), row["seen"], buckets, routes)
+                order, own, edge = c.by_bucket()
+                parts = [order[a:b] for a, b in zip(edge[:-1], edge[1:])]
+                cols = [(c.route >> np.uint64(32)).astype("<u4"), c.hash.astype("<u8"), c.doc.astype("<i8"), c.pos.astype("<i4")]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([v[1] if v[1] >= 0 else xxhash.xxh64_intdigest(c) % routes for c, v in found.items()], pa.int32()),
-                     pa.array([xxhash.xxh3_128_digest(c) for c in keys], pa.binary()), pa.array(keys, pa.binary()),
-                     pa.array([row["chunk"]] * len(keys), pa.int64()), pa.array([v[0] for v in vals], pa.int32()),
-                     pa.array([k[0] for k in least_key], pa.int64()), pa.array([k[1] for k in least_key], pa.int64()),
-                     pa.array([p.tobytes() for p in places], pa.binary())],
-                    ["bucket", "digest", "content", "chunk", "windows", "doc", "pos", "places"])
+                    [pa.array(own.astype(np.int32)), pa.array(np.full(len(own), row["chunk"]))]
+                    + [pa.array([x[p].tobytes() for p in parts], pa.binary()) for x in cols], ["bucket", "chunk", "m", "h", "doc", "pos"])
+
+    def answer(group: pa.Table) -> pa.Table:
+        m, h, doc, pos = (np.frombuffer(b"".join(group.column(k).to_pylist()), t) for k, t in (("m", "<u4"), ("h", "<u8"), ("doc", "<i8"), ("pos", "<i4")))
+        lens = [len(x) // 4 for x in group.column("m").to_pylist()]
+        order = np.lexsort((pos, doc, h, m))
+        new = np.ones(len(order), bool)
+        new[1:] = (m[order][1:] != m[order][:-1]) | (h[order][1:] != h[order][:-1])
+        first = order[np.flatnonzero(new)][np.cumsum(new) - 1]
+        later, several = np.zeros(len(order), bool), np.zeros(len(order), bool)
+        later[order] = (doc[order] != doc[first]) | (pos[order] != pos[first])
+        _, back, count = np.unique(m[order][new], return_inverse=True, return_counts=True)
+        several[order] = (count[back] >= 2)[np.cumsum(new) - 1]
+        ends = np.cumsum(lens)
+        masks = [[np.packbits(x[e - n:e]).tobytes() for e, n in zip(ends, lens)] for x in (later, several)]
+        return pa.table({"chunk": group.column("chunk"), "bucket": group.column("bucket"),
+                         "later": pa.array(masks[0], pa.binary()), "several": pa.array(masks[1], pa.binary())})
 
-    return materialize(arrow_map(table.join(seen, "chunk", "left"), send, CONTENT_SCHEMA), "contents")
+    sent = arrow_map(table, send, "bucket int, chunk long, m binary, h binary, doc binary, pos binary")
+    got = sent.groupBy("bucket").applyInArrow(answer, "chunk long, bucket int, later binary, several binary")
+    return got.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "later", "several")).alias("copies"))
+
+
+def _answered(c: Contents, copies: list | None) -> tuple[np.ndarray, np.ndarray]:
+    """Of each content: is it a later copy; does its text have to be looked at?"""
+    order, own, edge = c.by_bucket()
+    later, several = np.zeros(len(order), bool), np.zeros(len(order), bool)
+    at = {b: order[x:y] for b, x, y in zip(own.tolist(), edge[:-1].tolist(), edge[1:].tolist())}
+    for s in copies or []:
+        mine = at[s["bucket"]]
+        for mask, bits in ((later, s["later"]), (several, s["several"])):
+            mask[mine] = np.unpackbits(np.frombuffer(bits, np.uint8), count=len(mine)).astype(bool)
+    return later, ~later & (several | c.again)
 
 
 Solver = Callable[[list[bytes], np.ndarray, np.ndarray, np.ndarray], list[np.ndarray]]
@@ -255,49 +316,58 @@ Solver = Callable[[list[bytes], np.ndarray, np.ndarray, np.ndarray], list[np.nda
 
 def covered(docs: DataFrame, spec: Spec, solve: Solver, finish: Callable[[Chunk, np.ndarray], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     """Mark every symbol in a window that also starts earlier and give ``finish`` each chunk
-    with its mask.  ``solve(contents, windows, doc, pos)`` gets a bucket's distinct contents
-    in order of (doc, pos) and says of each window whether it occurs earlier."""
+    with its mask.  ``solve(contents, windows, doc, pos)`` gets a bucket's contents in order
+    of (doc, pos, text) and says of each window whether it occurs earlier."""
     buckets = max(12, input_bytes(documents(docs)) // (16 << 20))
-    table = chunks(docs)
-    contents = _contents(table, _seen(table, spec, buckets), spec, buckets, 4 * buckets)
+    routes = 2 * buckets
+    table = chunks(docs, max(buckets, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    table = table.join(materialize(_seen(table, spec, buckets), "seen"), "chunk", "left")
+    table = table.join(materialize(_copies(table, spec, buckets, routes), "copies"), "chunk", "left")
+
+    def send(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                c = Contents(Chunk(row, spec), row["seen"], buckets, routes)
+                pick = np.flatnonzero(_answered(c, row["copies"])[1])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c.bucket[pick].astype(np.int32)), pa.array(np.full(len(pick), row["chunk"])), pa.array(pick.astype(np.int32)),
+                     pa.array([c.content[i] for i in pick.tolist()], pa.binary()), pa.array(c.windows[pick]), pa.array(c.doc[pick]), pa.array(c.pos[pick])],
+                    ["bucket", "chunk", "number", "content", "windows", "doc", "pos"])
 
     def decide(group: pa.Table) -> pa.Table:
-        own = group.column("own").combine_chunks()
-        doc, pos = (np.asarray(own.field(k)) for k in ("doc", "pos"))
-        content, windows = group.column("content").to_pylist(), group.column("windows").to_numpy()
-        order = np.lexsort((pos, doc))
-        flags = solve([content[i] for i in order], windows[order], doc[order], pos[order])
-        return pa.table({"digest": group.column("digest").take(pa.array(order)), "own_doc": pa.array(doc[order]), "own_pos": pa.array(pos[order]),
-                         "flags": pa.array([np.packbits(f).tobytes() for f in flags], pa.binary())})
-
-    distinct = (contents.groupBy("bucket", "digest", "windows")
-                .agg(F.min(F.struct("doc", "pos")).alias("own"), F.first("content").alias("content")))
-    answers = distinct.groupBy("bucket").applyInArrow(decide, "digest binary, own_doc long, own_pos long, flags binary")
-    marks = (contents.select("digest", "chunk", "windows", "places").join(answers, "digest")
-             .groupBy("chunk").agg(F.collect_list(F.struct("windows", "places", "own_doc", "own_pos", "flags")).alias("marks")))
+        group = group.sort_by([("doc", "ascending"), ("pos", "ascending"), ("content", "ascending")])
+        windows, doc, pos = (group.column(k).to_numpy() for k in ("windows", "doc", "pos"))
+        flags = solve(group.column("content").to_pylist(), windows, doc, pos)
+        some = pa.array([i for i, f in enumerate(flags) if f.any()], pa.int64())
+        return pa.table({"chunk": group.column("chunk").take(some), "number": group.column("number").take(some),
+                         "flags": pa.array([np.packbits(flags[i]).tobytes() for i in some.to_pylist()], pa.binary())})
+
+    sent = arrow_map(table, send, "bucket int, chunk long, number int, content binary, windows long, doc long, pos long")
+    flags = (sent.groupBy("bucket").applyInArrow(decide, "chunk long, number int, flags binary")
+             .groupBy("chunk").agg(F.collect_list(F.struct("number", "flags")).alias("found")))
 
     def mark(batches):
         for batch in batches:
             for row in batch.to_pylist():
                 chunk = Chunk(row, spec)
+                c = Contents(chunk, row["seen"], buckets, routes)
+                later, _ = _answered(c, row["copies"])
                 edge = np.zeros(len(chunk.symbols) + 1, np.int32)
-                for m in row["marks"] or []:
-                    n, place = m["windows"], np.frombuffer(m["places"], np.int32).astype(np.int64)
-                    own = np.searchsorted(chunk.first, place, "right") - 1
-                    doc, pos = chunk.docs[own], place - chunk.first[own] if spec.by_position else 0 * place
-                    later = (doc > m["own_doc"]) | ((doc == m["own_doc"]) & (pos > m["own_pos"]))
-                    np.add.at(edge, place[later], 1)
-                    np.add.at(edge, place[later] + n + spec.window - 1, -1)
-                    flag = np.unpackbits(np.frombuffer(m["flags"], np.uint8), count=n)
-                    if flag.any() and not later.all():
-                        step = np.diff(flag.astype(np.int8), prepend=0, append=0)
-                        begin, end = np.flatnonzero(step == 1), np.flatnonzero(step == -1)
-                        for p in place[~later]:
-                            edge[p + begin] += 1
-                            np.add.at(edge, p + end + spec.window - 1, -1)
+                whole = later[c.of] | c.place_later
+                np.add.at(edge, c.places[whole], 1)
+                np.add.at(edge, c.places[whole] + c.windows[c.of[whole]] + spec.window - 1, -1)
+                ends = np.cumsum(c.times)
+                for f in row["found"] or []:
+                    i = f["number"]
+                    step = np.diff(np.unpackbits(np.frombuffer(f["flags"], np.uint8), count=int(c.windows[i])).astype(np.int8), prepend=0, append=0)
+                    begin, end = np.flatnonzero(step == 1), np.flatnonzero(step == -1)
+                    mine = slice(ends[i] - c.times[i], ends[i])
+                    for p in c.places[mine][~c.place_later[mine]]:
+                        edge[p + begin] += 1
+                        np.add.at(edge, p + end + spec.window - 1, -1)
                 yield from finish(chunk, np.cumsum(edge[:-1]) > 0)
 
-    return arrow_map(table.join(marks, "chunk", "left"), mark, schema)
+    return arrow_map(table.join(materialize(flags, "flags"), "chunk", "left"), mark, schema)
 
 
 def null_keys(docs: np.ndarray) -> pa.Array:

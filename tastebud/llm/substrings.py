@@ -88,8 +88,13 @@ class SuffixAutomaton:
 
 def solve(contents: list[bytes], windows: np.ndarray, doc: np.ndarray, pos: np.ndarray) -> list[np.ndarray]:
     """Of each window: does it occur earlier, in order of (doc, pos)?"""
-    automaton = SuffixAutomaton()
-    return [np.array(automaton.feed(c.split())[WINDOW - 1:]) >= WINDOW for c in contents]
+    automaton, out, known = SuffixAutomaton(), [], {}
+    for c, d, p in zip(contents, doc.tolist(), pos.tolist()):
+        if (c, d, p) not in known:  # else a repeated row's: neither is earlier
+            known = {k: v for k, v in known.items() if k[1:] == (d, p)}
+            known[c, d, p] = np.array(automaton.feed(c.split())[WINDOW - 1:]) >= WINDOW
+        out.append(known[c, d, p])
+    return out
 
 
 SPEC = Spec(window=WINDOW, log_gram=3, words=True, by_position=True)
