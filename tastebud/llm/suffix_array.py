@@ -94,7 +94,7 @@ def solve(contents: list[bytes], windows: np.ndarray, doc: np.ndarray, pos: np.n
     return np.split(out, np.cumsum(windows)[:-1])
 
 
-SPEC = Spec(window=WINDOW, log_gram=4, words=False, by_position=False)
+SPEC = Spec(window=WINDOW, log_gram=5, words=False, by_position=False)
 
 
 def _finish(chunk: Chunk, gone: np.ndarray) -> Iterator[pa.RecordBatch]:
