@@ -59,7 +59,7 @@ class WordBPE:
     def _encode_units(self, units: list[str]) -> Iterator[list[int]]:
         """Plain units from their lower-cased word and mark, each encoded once; others as they are."""
         words = self.words
-        if len(words) > 600_000:
+        if len(words) > 1_000_000:
             words.clear()
         cut = [m.group(1, 2) if m else None for m in map(self.plain.match, units)]
         need = {c[0].lower() for c in cut if c} | {c[1] for c in cut if c and c[1]}
@@ -104,8 +104,8 @@ SEGMENT_SCHEMA = "part int, segment int, before long, docs binary, nulls binary,
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, segment: int = SEGMENT) -> None:
     """Encode every whole text, append ``end_id`` and write the files under ``path``.
 
-    A null or empty text has the end id alone.  Null keys come first; repeated
-    rows are written each.  ``before``: ids of the part before the segment."""
+    A null or empty text has the end id alone.  Null keys come first, rows
+    of equal keys are in order of their texts' hashes, repeated rows are written each.  ``before``: ids of the part before the segment."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, part = load(tokenizer), TaskContext.get().partitionId()
         number = before = held = 0
@@ -143,7 +143,9 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, segmen
         if held:
             yield flush()
 
-    ordered = documents(docs).repartitionByRange("doc_id", "text").sortWithinPartitions("doc_id", "text")
+    # by a hash beside the key: the range sample goes to the driver and must not hold texts
+    keyed = documents(docs).withColumn("tie", F.xxhash64("text"))
+    ordered = keyed.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie")
     arrow_map(ordered, run, SEGMENT_SCHEMA).write.parquet(path)
 
 

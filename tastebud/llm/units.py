@@ -35,7 +35,7 @@ class _Index(dict):
 class UnitCache:
     """``encode`` maps a list of distinct units to a list of id lists."""
 
-    def __init__(self, encode: Callable[[list], Iterable[list]], limit: int = 600_000):
+    def __init__(self, encode: Callable[[list], Iterable[list]], limit: int = 1_000_000):
         self.encode, self.limit = encode, limit
         self.clear()
 
@@ -63,7 +63,7 @@ class UnitCache:
 
     def ids(self, docs: list[list]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all documents (lists of units), concatenated, and the count of each."""
-        if len(self.index) > self.limit or self.long > 4 * self.limit:
+        if len(self.index) > self.limit or self.long > 2 * self.limit:
             self.clear()
         n = np.fromiter(map(len, docs), np.int64, len(docs))
         at = np.fromiter(map(self.index.__getitem__, chain.from_iterable(docs)), np.int64, int(n.sum()))
