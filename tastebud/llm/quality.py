@@ -153,7 +153,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> BoostedTree
 
     got = arrow_map(rows, run, "doc_id long, quality int, x array<double>").toArrow().sort_by("doc_id")
     y = got.column("quality").to_numpy().astype(float)
-    x = np.array(got.column("x").to_pylist(), float).reshape(len(y), -1)
+    x = np.array(got.column("x").to_pylist(), float).reshape(len(y), -1) if len(y) else np.zeros((0, 1))
     keep = np.sort(np.unique(got.column("doc_id").to_numpy(), return_index=True)[1]) if len(y) else np.zeros(0, int)
     return BoostedTrees().fit(x[keep], y[keep])
 
