@@ -56,9 +56,12 @@ def literal_dict_entries(c: str | Column) -> Column:
 
 
 def literal_dict(c: str | Column) -> Column:
-    """``literal_eval`` of a dict literal as ``map<string,string>``; null/None -> empty map."""
-    entries = literal_dict_entries(c)
-    return F.map_from_entries(F.transform(entries, lambda e: F.struct(e["key"], e["value"])))
+    """``literal_eval`` of a dict literal as ``map<string,string>``; null/None -> empty map.
+    Of a repeated key the last value counts."""
+    pairs = F.transform(literal_dict_entries(c), lambda e: F.struct(e["key"].alias("key"), e["value"].alias("value")))
+    keys = F.array_distinct(F.transform(pairs, lambda e: e["key"]))
+    return F.map_from_entries(F.transform(keys, lambda k: F.struct(
+        k, F.element_at(F.filter(pairs, lambda e: e["key"] == k), -1)["value"])))
 
 
 def unwrap_bytes(c: str | Column) -> Column:

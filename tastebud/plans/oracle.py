@@ -17,14 +17,14 @@ VIEWS: dict[str, str] = {
 ratings AS (
   SELECT o_custkey AS uid, l_partkey AS iid,
          CAST(1 + (CAST(l_quantity AS INT) % 5) AS DOUBLE) AS stars,
-         concat('u', lpad(CAST(o_custkey AS VARCHAR), 7, '0')) AS user_id,
-         concat('b', lpad(CAST(l_partkey AS VARCHAR), 7, '0')) AS business_id,
+         concat('u', lpad(CAST(o_custkey AS VARCHAR), CAST(greatest(7, length(CAST(o_custkey AS VARCHAR))) AS INTEGER), '0')) AS user_id,
+         concat('b', lpad(CAST(l_partkey AS VARCHAR), CAST(greatest(7, length(CAST(l_partkey AS VARCHAR))) AS INTEGER), '0')) AS business_id,
          concat(CAST(l_orderkey AS VARCHAR), '-', CAST(l_linenumber AS VARCHAR)) AS review_id,
          l_orderkey, l_linenumber
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey)""",
     "business": f"""
 business AS (
-  SELECT concat('b', lpad(CAST(p_partkey AS VARCHAR), 7, '0')) AS business_id, p_name AS name,
+  SELECT concat('b', lpad(CAST(p_partkey AS VARCHAR), CAST(greatest(7, length(CAST(p_partkey AS VARCHAR))) AS INTEGER), '0')) AS business_id, p_name AS name,
          concat('City_', CAST(p_partkey % 5 AS VARCHAR)) AS city,
          CAST(40.0 + (p_partkey % 100) / 200.0 AS DOUBLE) AS latitude,
          CAST(-80.0 + (p_partkey % 70) / 100.0 AS DOUBLE) AS longitude,
@@ -49,7 +49,7 @@ reviews AS (
   FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)""",
     "users": """
 users AS (
-  SELECT concat('u', lpad(CAST(c_custkey AS VARCHAR), 7, '0')) AS user_id, c_custkey AS uid,
+  SELECT concat('u', lpad(CAST(c_custkey AS VARCHAR), CAST(greatest(7, length(CAST(c_custkey AS VARCHAR))) AS INTEGER), '0')) AS user_id, c_custkey AS uid,
          c_name AS name FROM customer)""",
     "selected": f"""
 selected AS (

@@ -52,7 +52,7 @@ SELECT CAST(floor(latitude / CAST(0.05 AS DOUBLE)) AS BIGINT) AS lat_cell,
 FROM business GROUP BY 1, 2""")
 
 ORACLES["checkin_summary"] = with_views(["business"], [
-    """ev AS (SELECT concat('b', lpad(CAST(user_id AS VARCHAR), 7, '0')) AS business_id,
+    """ev AS (SELECT concat('b', lpad(CAST(user_id AS VARCHAR), CAST(greatest(7, length(CAST(user_id AS VARCHAR))) AS INTEGER), '0')) AS business_id,
               strftime(ts, '%Y-%m-%d %H:%M:%S') AS date FROM events)""",
     """s AS (SELECT business_id, CAST(COUNT(*) AS INTEGER) AS checkin_total,
              MIN(date) AS checkin_first, MAX(date) AS checkin_last FROM ev GROUP BY business_id)"""],

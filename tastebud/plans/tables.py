@@ -60,8 +60,7 @@ def q_geo_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def checkin_events_by_business(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = catalog.checkin_events(spark, sf_dir)
-    return ev.withColumn("business_id", F.concat(F.lit("b"), F.lpad(
-        F.col("business_key").cast("string"), 7, "0")))
+    return ev.withColumn("business_id", catalog.padded_key("b", "business_key"))
 
 
 def q_checkin_summary(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -21,8 +21,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _padded_key(prefix: str, c: str) -> Column:
-    return F.concat(F.lit(prefix), F.lpad(F.col(c).cast("string"), 7, "0"))
+def padded_key(prefix: str, c: str) -> Column:
+    """Prefix and key, padded to 7 digits; a longer key stays whole."""
+    text = F.col(c).cast("string")
+    return F.concat(F.lit(prefix), F.lpad(text, F.greatest(F.lit(7), F.length(text)), F.lit("0")))
 
 
 def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,8 +40,8 @@ def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select(F.col("o_custkey").alias("uid"),
                     F.col("l_partkey").alias("iid"),
                     (F.lit(1) + F.col("l_quantity").cast("int") % 5).cast("double").alias("stars"),
-                    _padded_key("u", "o_custkey").alias("user_id"),
-                    _padded_key("b", "l_partkey").alias("business_id"),
+                    padded_key("u", "o_custkey").alias("user_id"),
+                    padded_key("b", "l_partkey").alias("business_id"),
                     F.concat_ws("-", F.col("l_orderkey").cast("string"),
                                 F.col("l_linenumber").cast("string")).alias("review_id"),
                     "l_orderkey", "l_linenumber"))
@@ -74,7 +76,7 @@ def business(spark: SparkSession, sf_dir: str, rating_rows: DataFrame | None = N
         f"', u', {q}, 'casual', {q}, ': ', "
         "CASE WHEN p_partkey % 3 = 0 THEN 'True' ELSE 'False' END, '}') END")
     return b.select(
-        _padded_key("b", "p_partkey").alias("business_id"),
+        padded_key("b", "p_partkey").alias("business_id"),
         F.col("p_partkey").alias("iid"),
         F.col("p_name").alias("name"),
         F.concat(F.lit("City_"), (F.col("p_partkey") % 5).cast("string")).alias("city"),
@@ -110,7 +112,7 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
-    return c.select(_padded_key("u", "c_custkey").alias("user_id"),
+    return c.select(padded_key("u", "c_custkey").alias("user_id"),
                     F.col("c_custkey").alias("uid"), F.col("c_name").alias("name"))
 
 

@@ -67,3 +67,15 @@ def test_wordpunct_tokens(spark):
 def test_vectorizer_tokens(spark):
     got = _col(spark, ["Wow, the  Restaurant\\nis AMAZING!"], text.vectorizer_tokens)[0]
     assert got == ["wow", "the", "restaurant", "is", "amazing"]
+
+
+def test_literal_dict_repeated_key_keeps_the_last(spark):
+    from tastebud.functions.literals import literal_dict
+    row = spark.createDataFrame([("{'a': 1, 'b': 'x', 'a': 2}",)], "c string").select(literal_dict("c").alias("m")).first()
+    assert row["m"] == {"a": "2", "b": "x"}
+
+
+def test_long_keys_stay_whole(spark):
+    from tastebud.sources.catalog import padded_key
+    got = spark.createDataFrame([(k,) for k in (5, 1234567, 12345670, 12345678)], "k long").select(padded_key("b", "k").alias("b"))
+    assert [r["b"] for r in got.collect()] == ["b0000005", "b1234567", "b12345670", "b12345678"]
