@@ -54,12 +54,15 @@ _SYMBOLS_AT_ONCE = 1 << 17
 class Spec:
     """``split(buffer)`` gives the symbols' starts, ends and hashes (or hashes alone, for
     bytes); windows are ``window`` symbols, minimizers ``2 ** log_gram``-grams; with
-    ``by_position`` an earlier place in the same document counts, else only smaller keys."""
+    ``by_position`` an earlier place in the same document counts, else only smaller keys.
+    With ``together`` a bucket's contents are parted by minimizer and solved in parts of
+    about that many bytes."""
 
     window: int
     log_gram: int
     words: bool
     by_position: bool
+    together: int = 0
 
     def split(self, buffer: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         if not self.words:
@@ -331,18 +334,28 @@ def covered(docs: DataFrame, spec: Spec, solve: Solver, finish: Callable[[Chunk,
                 pick = np.flatnonzero(_answered(c, row["copies"])[1])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c.bucket[pick].astype(np.int32)), pa.array(np.full(len(pick), row["chunk"])), pa.array(pick.astype(np.int32)),
-                     pa.array([c.content[i] for i in pick.tolist()], pa.binary()), pa.array(c.windows[pick]), pa.array(c.doc[pick]), pa.array(c.pos[pick])],
-                    ["bucket", "chunk", "number", "content", "windows", "doc", "pos"])
+                     pa.array((c.route[pick] >> np.uint64(33)).astype(np.int32)), pa.array([c.content[i] for i in pick.tolist()], pa.binary()), pa.array(c.windows[pick]), pa.array(c.doc[pick]), pa.array(c.pos[pick])],
+                    ["bucket", "chunk", "number", "part", "content", "windows", "doc", "pos"])
 
     def decide(group: pa.Table) -> pa.Table:
         group = group.sort_by([("doc", "ascending"), ("pos", "ascending"), ("content", "ascending")])
         windows, doc, pos = (group.column(k).to_numpy() for k in ("windows", "doc", "pos"))
-        flags = solve(group.column("content").to_pylist(), windows, doc, pos)
+        contents = group.column("content").to_pylist()
+        parts = -(-sum(map(len, contents)) // spec.together) if spec.together else 1
+        if parts > 1:
+            part = group.column("part").to_numpy() % parts
+            by = np.argsort(part, kind="stable")
+            flags = [None] * len(contents)
+            for own in np.split(by, np.flatnonzero(np.diff(part[by])) + 1):
+                for i, f in zip(own.tolist(), solve([contents[i] for i in own.tolist()], windows[own], doc[own], pos[own])):
+                    flags[i] = f
+        else:
+            flags = solve(contents, windows, doc, pos)
         some = pa.array([i for i, f in enumerate(flags) if f.any()], pa.int64())
         return pa.table({"chunk": group.column("chunk").take(some), "number": group.column("number").take(some),
                          "flags": pa.array([np.packbits(flags[i]).tobytes() for i in some.to_pylist()], pa.binary())})
 
-    sent = arrow_map(table, send, "bucket int, chunk long, number int, content binary, windows long, doc long, pos long")
+    sent = arrow_map(table, send, "bucket int, chunk long, number int, part int, content binary, windows long, doc long, pos long")
     flags = (sent.groupBy("bucket").applyInArrow(decide, "chunk long, number int, flags binary")
              .groupBy("chunk").agg(F.collect_list(F.struct("number", "flags")).alias("found")))
 

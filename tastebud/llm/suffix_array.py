@@ -8,8 +8,9 @@ before it), and the common prefix with its new neighbours is updated, here as fa
 as it matters: whether it reaches the window.  Suffixes that share a window are
 then neighbours, and the smallest key of each such stretch decides.
 
-A bucket is a few megabytes, so a round's lists are arrays that one sequential pass
-each replaces, and not files.
+A bucket's contents are parted by minimizer into collections of about ``TOGETHER``
+bytes, since equal windows have equal minimizers.  A round's lists are arrays that
+one sequential pass each replaces, and not files.
 """
 
 from __future__ import annotations
@@ -18,11 +19,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from .repeats import Chunk, Spec, covered, null_keys
 
 WINDOW = 50
+#: Bytes of a collection, about: its lists stay in a processor's cache.
+TOGETHER = 1 << 18
 
 
 def collection(texts: list[bytes], window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -32,9 +36,18 @@ def collection(texts: list[bytes], window: int) -> tuple[np.ndarray, np.ndarray,
     k = len(texts)
     size = np.fromiter(map(len, texts), np.int64, k)
     end = np.cumsum(size)
-    buffer = np.frombuffer(b"".join(texts) + b"\0" * (window + 8), np.uint8)
-    words = np.ndarray(len(buffer) - 7, "<u8", buffer.tobytes(), 0, (1,))  # eight bytes from any place
+    total = int(size.sum())
+    raw = b"".join(texts) + b"\0" * (window + 8)
+    buffer = np.frombuffer(raw, np.uint8)
+    words = np.ndarray(len(buffer) - 7, "<u8", raw, 0, (1,))  # eight bytes from any place
     steps = [*range(0, window - 7, 8), window - 8] if window >= 8 else []
+    roomy = np.repeat(end, size) - np.arange(total) >= window  # a window fits between here and the text's end
+    opens = np.zeros(total + 1, bool)
+    opens[(end - size)[size > 0]] = True
+    # bytes as dense codes, so that one byte has room for "no byte before" as the largest code
+    dense = np.cumsum(np.bincount(buffer[:total], minlength=256) > 0) - 1
+    ended = int(dense[-1]) + 1
+    coded = dense.astype(np.uint8 if ended < 256 else np.uint16)[buffer]
 
     def alike(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         same = np.ones(len(a), bool)
@@ -45,38 +58,36 @@ def collection(texts: list[bytes], window: int) -> tuple[np.ndarray, np.ndarray,
             same[same] = words[a[same] + i] == words[b[same] + i]
         return same
 
-    # the list starts with the k empty suffixes; preceding symbol + 1, or 0 at a text's start
-    text, length, shares = np.arange(k), np.zeros(k, np.int32), np.zeros(k, bool)
-    before = np.where(size > 0, buffer[np.maximum(end - 1, 0)].astype(np.int16) + 1, 0).astype(np.int16)
-    live = np.flatnonzero(size > 0)  # texts not yet used up, and where their longest suffix stands
-    stands = live.copy()
+    # the list starts with the k empty suffixes; of each suffix: where it starts, the symbol before it
+    place = end.astype(np.int32 if total < 1 << 31 else np.int64)
+    before = np.where(size > 0, coded[np.maximum(end - 1, 0)], ended).astype(coded.dtype)
+    fresh = before != ended  # suffixes of the last round that the next one makes longer
+    shares = np.zeros(k, bool)
     for t in range(int(size.max(initial=0))):
-        order = np.argsort(before, kind="stable")
-        rank = np.empty(len(order), np.int64)
-        rank[order] = np.arange(len(order))
-        ended = int((before == 0).sum())
-        goes = k + rank[stands] - ended  # place in the list that has the new suffixes too
-        by = np.argsort(goes)
-        live, goes = live[by], goes[by]
-        n = len(before) + len(live)
+        order = pc.array_sort_indices(pa.array(before)).to_numpy().view(np.int64)  # stable, by counting
+        rank = np.flatnonzero(fresh[order])
+        new = place[order[rank]] - 1
+        goes = k + rank  # place in the list that has the new suffixes too
+        n = len(before) + len(new)
+        old = np.ones(n, bool)
+        old[goes] = False
+        more = np.where(opens[new], ended, coded[new - 1])
+        merged = []
+        for was, put in ((place, new), (before, more), (shares, False)):
+            both = np.empty(n, was.dtype)
+            both[old], both[goes] = was, put
+            merged.append(both)
+        place, before, shares = merged
         fresh = np.zeros(n, bool)
-        fresh[goes] = True
-        left = size[live] - t - 1
-        more = np.where(left > 0, buffer[np.maximum(end[live] - t - 2, 0)].astype(np.int16) + 1, 0)
-        arrays = []
-        for old, new in ((text, live), (length, t + 1), (before, more), (shares, False)):
-            merged = np.empty(n, old.dtype)
-            merged[~fresh], merged[goes] = old, new
-            arrays.append(merged)
-        text, length, before, shares = arrays
+        fresh[goes] = more != ended
         if t + 1 >= window:
-            at = end[text] - length
             for p in (goes, goes[goes + 1 < n] + 1):
-                p = p[(p > 0)]
-                p = p[(length[p] >= window) & (length[p - 1] >= window)]
-                shares[p] = alike(at[p - 1], at[p])
-        live, stands = live[left > 0], goes[left > 0]
-    return text[k:], length[k:], shares[k:]
+                p = p[p > k]
+                p = p[roomy[place[p]] & roomy[place[p - 1]]]
+                shares[p] = alike(place[p - 1], place[p])
+    place = place[k:]
+    text = np.searchsorted(end, place, "right")
+    return text, end[text] - place, shares[k:]
 
 
 def solve(contents: list[bytes], windows: np.ndarray, doc: np.ndarray, pos: np.ndarray) -> list[np.ndarray]:
@@ -94,7 +105,7 @@ def solve(contents: list[bytes], windows: np.ndarray, doc: np.ndarray, pos: np.n
     return np.split(out, np.cumsum(windows)[:-1])
 
 
-SPEC = Spec(window=WINDOW, log_gram=5, words=False, by_position=False)
+SPEC = Spec(window=WINDOW, log_gram=5, words=False, by_position=False, together=TOGETHER)
 
 
 def _finish(chunk: Chunk, gone: np.ndarray) -> Iterator[pa.RecordBatch]:
