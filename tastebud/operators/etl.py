@@ -51,34 +51,44 @@ def checkin_summary_from_events(events: DataFrame, business: DataFrame, key: str
 
 # ---------------------------------------------------------------- JSON flattening
 
-def _children(path: Column, j: Column) -> Column:
-    """``array<struct<path, j>>``: the entries of a JSON object, one level down
-    (nested objects and arrays keep their JSON text)."""
-    entries = F.map_entries(F.from_json(j, "map<string,string>"))
-    return F.transform(entries, lambda e: F.struct(
+def _is_object(v: Column) -> Column:
+    return F.coalesce(F.schema_of_variant(v).startswith("OBJECT<"), F.lit(False))
+
+
+def _children(path: Column, v: Column) -> Column:
+    """``array<struct<path, v>>``: the entries of a JSON object, one level down."""
+    return F.transform(F.map_entries(v.cast("map<string,variant>")), lambda e: F.struct(
         F.when(path.isNull(), e["key"]).otherwise(F.concat(path, F.lit("."), e["key"])).alias("path"),
-        e["value"].alias("j")))
+        e["value"].alias("v")))
+
+
+def json_depth(json_lines: DataFrame, col: str = "value") -> int:
+    """Most objects nested in one another in any record (braces in strings don't count)."""
+    bare = F.regexp_replace(F.col(col), r'"(?:[^"\\]|\\.)*+"', "")
+    steps = F.aggregate(
+        F.regexp_extract_all(bare, F.lit(r"[{}]"), 0), F.struct(F.lit(0).alias("now"), F.lit(0).alias("most")),
+        lambda acc, c: F.struct(
+            (acc["now"] + F.when(c == "{", 1).otherwise(-1)).alias("now"),
+            F.greatest(acc["most"], acc["now"] + F.when(c == "{", 1).otherwise(-1)).alias("most")),
+        lambda acc: acc["most"])
+    return int(json_lines.agg(F.max(steps)).first()[0] or 0)
 
 
-def json_leaf_paths(json_lines: DataFrame, col: str = "value", max_depth: int = 8) -> DataFrame:
+def json_leaf_paths(json_lines: DataFrame, col: str = "value") -> DataFrame:
     """``(path)``: union over all records of the dotted leaf names of a JSON object column.
 
-    One scan and one chain of generators: each level replaces every row that
-    holds a non-empty object by its entries and passes leaves through, so an
-    empty object yields no name and arrays, scalars and nulls are leaves.
-    Objects still unexpanded after ``max_depth`` levels are dropped; one
-    ``distinct`` at the end.
+    One chain of generators, as long as the deepest record needs (``json_depth``): each
+    level replaces every non-empty object by its entries and passes leaves through, so an
+    empty object yields no name and arrays, scalars, nulls and strings, whatever they hold,
+    are leaves.  Records that aren't JSON objects give no names; one ``distinct`` at the end.
     """
-    def is_obj(c: Column) -> Column:
-        return F.ltrim(F.coalesce(c, F.lit(""))).startswith("{")
-
-    rows = json_lines.select(F.explode(_children(F.lit(None).cast("string"), F.col(col))).alias("n"))
-    rows = rows.select("n.path", "n.j")
-    for _ in range(max_depth - 1):
-        keep = F.array(F.struct(F.col("path"), F.lit(None).cast("string").alias("j")))
-        rows = rows.select(F.explode(F.when(is_obj(F.col("j")), _children(F.col("path"), F.col("j")))
-                                     .otherwise(keep)).alias("n")).select("n.path", "n.j")
-    return rows.where(~is_obj(F.col("j"))).select("path").distinct()
+    record = json_lines.select(F.try_parse_json(F.col(col)).alias("v")).where(_is_object(F.col("v")))
+    rows = record.select(F.explode(_children(F.lit(None).cast("string"), F.col("v"))).alias("n")).select("n.path", "n.v")
+    for _ in range(json_depth(json_lines, col) - 1):
+        keep = F.array(F.struct(F.col("path"), F.lit(None).cast("variant").alias("v")))
+        rows = rows.select(F.explode(F.when(_is_object(F.col("v")), _children(F.col("path"), F.col("v")))
+                                     .otherwise(keep)).alias("n")).select("n.path", "n.v")
+    return rows.where(~_is_object(F.col("v"))).select("path").distinct()
 
 
 def json_flatten(json_lines: DataFrame, paths: Sequence[str], col: str = "value") -> DataFrame:

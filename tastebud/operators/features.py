@@ -18,10 +18,14 @@ DEFAULT_MIN_CATEGORY = 50
 def rating_frame(rating_rows: DataFrame, business: DataFrame, keep: Sequence[str] = ("review_id",)) -> DataFrame:
     """Ratings right-joined to the selected businesses (unrated businesses kept
     with null user/rating); ``stars`` renamed ``rating`` first.  Users and items
-    get label-encoded dense ids over the rows present (sorted raw key)."""
+    get label-encoded dense ids over the rows present (sorted raw key).
+
+    The right join is an inner join, whose business side can be broadcast or whose
+    hot businesses AQE can split, and the businesses that no rating has."""
     r = rating_rows.select("user_id", "business_id", F.col("stars").alias("rating"), *keep)
     b = business.select("business_id", "stars", "review_count", "categories")
-    frame = r.join(b, "business_id", "right")
+    unrated = b.join(r.select("business_id").distinct(), "business_id", "left_anti")
+    frame = r.join(b, "business_id").unionByName(unrated, allowMissingColumns=True)
     umap = dense_index(frame.select("user_id"), "user_id", "uid")
     imap = dense_index(frame.select("business_id"), "business_id", "iid")
     return frame.join(umap, "user_id", "left").join(imap, "business_id")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import r6
@@ -24,11 +24,20 @@ class DnnInputs:
     maxlen: int
 
 
+def keyed_rows(frame: DataFrame) -> DataFrame:
+    """Give every row its own ``row_key``: the review id (or the business of a row without
+    a rating), and a number from the second row on where several share it."""
+    base_key = F.coalesce("review_id", F.concat(F.lit("b:"), F.col("business_id")))
+    w = Window.partitionBy("_key").orderBy("user_id", "business_id", "rating")
+    return (frame.withColumn("_key", base_key).withColumn("_n", F.row_number().over(w))
+            .withColumn("row_key", F.when(F.col("_n") == 1, F.col("_key"))
+                        .otherwise(F.concat_ws("#", "_key", F.col("_n").cast("string")))).drop("_key", "_n"))
+
+
 def build(spark: SparkSession, sf_dir: str) -> DnnInputs:
     b = base.build(spark, sf_dir)
     frame = FE.rating_frame(b.rating_rows, b.selected)
-    frame = frame.withColumn("row_key", F.coalesce(F.col("review_id"),
-                                                   F.concat(F.lit("b:"), F.col("business_id"))))
+    frame = keyed_rows(frame)
     # read by the scaling statistics, the vocabulary and every feature block: written once
     frame = materialize(frame, "dnn-frame")
     vocab = FE.category_vocab(frame, base.KEYWORDS, FE.DEFAULT_MIN_CATEGORY)

@@ -103,6 +103,24 @@ def q_als_topn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return models.als_topn(m, base.TOP_N).select("uid", "rank", "iid", F.round("score", 4).alias("score"))
 
 
+def _list_shapes(top: DataFrame) -> DataFrame:
+    """Of each user's recommendations: how many, over which ranks, of how many items."""
+    return top.groupBy("uid").agg(
+        F.count(F.lit(1)).alias("n"), F.min("rank").cast("long").alias("first_rank"),
+        F.max("rank").cast("long").alias("last_rank"), F.count_distinct("iid").alias("n_items"))
+
+
+def q_als_topn_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every rated user has a whole list of different items."""
+    return _list_shapes(q_als_topn(spark, sf_dir))
+
+
+def q_fm_topn_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every rated user has a whole list of different items; predictions are ratings."""
+    top = q_fm_topn(spark, sf_dir)
+    return _list_shapes(top.where("pred BETWEEN 1 AND 5"))
+
+
 def q_als_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     t, m = _als(spark, sf_dir)
     test = t.where("split = 'test'").select("review_id", F.col("uid").cast("int").alias("uid"),
@@ -167,7 +185,7 @@ def fm_item_features(d, names: list[str]) -> DataFrame:
 
 def q_fm_topn(spark: SparkSession, sf_dir: str) -> DataFrame:
     d, f, names, asm, x, m = _fm(spark, sf_dir)
-    users = x.where("split = 'train'").select("uid").distinct()
+    users = f.select("uid").distinct()
     top = models.fm_topn(m, fm_item_features(d, names), users, base.TOP_N)
     return top.select("uid", "rank", "iid", F.round(clip_rating("score"), 4).alias("pred"))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import itertools
 
 from ..operators.features import DEFAULT_MIN_CATEGORY
-from .base import KEYWORDS
+from .base import KEYWORDS, TOP_N
 from .models import GRID_EPOCHS, GRID_REG_I, GRID_REG_U, N_FOLDS
 from .oracle import r6, with_views
 from .oracle_tables import MD5_INT
@@ -20,8 +20,9 @@ FRAME_CTES = [
     """di AS (SELECT business_id, CAST(row_number() OVER (ORDER BY business_id) - 1 AS BIGINT) AS iid
   FROM (SELECT DISTINCT business_id FROM frame0))""",
     """frame AS (
-  SELECT f.*, du.uid, di.iid, COALESCE(f.review_id, 'b:' || f.business_id) AS row_key
-  FROM frame0 f LEFT JOIN du ON f.user_id = du.user_id JOIN di ON f.business_id = di.business_id)""",
+  SELECT f.* EXCLUDE (k, dup), du.uid, di.iid, CASE WHEN f.dup = 1 THEN f.k ELSE f.k || '#' || f.dup END AS row_key
+  FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY user_id, business_id, rating) AS dup
+        FROM (SELECT *, COALESCE(review_id, 'b:' || business_id) AS k FROM frame0)) f LEFT JOIN du ON f.user_id = du.user_id JOIN di ON f.business_id = di.business_id)""",
     f"""cvocab AS (
   SELECT category, CAST(row_number() OVER (ORDER BY n DESC, category) AS BIGINT) AS idx, n FROM (
     SELECT category, COUNT(*) AS n FROM (SELECT unnest(string_split(categories, ', ')) AS category FROM frame)
@@ -82,6 +83,15 @@ FROM parts GROUP BY row_key, feature HAVING SUM(value) <> 0""", [
   nn)"""])
 
 
+_LISTS = """
+SELECT uid, LEAST({n}, ni) AS n, CAST(1 AS BIGINT) AS first_rank, LEAST({n}, ni) AS last_rank, LEAST({n}, ni) AS n_items
+FROM (SELECT DISTINCT uid FROM {t} WHERE uid IS NOT NULL), (SELECT COUNT(DISTINCT iid) AS ni FROM {t})"""
+ORACLES["als_topn_keys"] = with_views(["umap", "imap"], [
+    """rated AS (SELECT umap.uid, imap.iid FROM ratings r JOIN umap ON r.user_id = umap.user_id
+  JOIN imap ON r.business_id = imap.business_id)"""], _LISTS.format(n=TOP_N, t="rated"))
+ORACLES["fm_topn_keys"] = frame_sql(_LISTS.format(n=TOP_N, t="frame"))
+
+
 # ------------------------------------------------------------------ bias evaluation
 
 def track_bias_ctes(n_epochs: int, src: str, prefix: str = "t") -> tuple[list[str], dict[int, tuple[str, str]]]:

@@ -52,7 +52,7 @@ VOCAB_CTES = [
   FROM (SELECT token, COUNT(*) AS n FROM vt GROUP BY token) QUALIFY idx < {MAX_VOCAB}
   UNION ALL SELECT '' AS token, CAST(0 AS BIGINT) AS idx, CAST(0 AS BIGINT) AS n
   UNION ALL SELECT '[UNK]' AS token, CAST(1 AS BIGINT) AS idx, CAST(0 AS BIGINT) AS n)""",
-    f"""lab AS (SELECT review_id, {vec_tokens_sql('text')} AS toks FROM reviews WHERE stars IS NOT NULL)""",
+    f"""lab AS (SELECT review_id, {vec_tokens_sql('text')} AS toks FROM reviews)""",
     """enc AS (SELECT p.review_id, p.pos, COALESCE(v.idx, 1) AS idx
   FROM (SELECT review_id, unnest(range(len(toks))) AS pos, unnest(toks) AS token FROM lab) p
   LEFT JOIN (SELECT token, idx FROM tvocab WHERE idx >= 2) v ON p.token = v.token)""",
@@ -107,7 +107,7 @@ FROM enc e JOIN tvocab v ON e.idx = v.idx GROUP BY e.review_id""")
 ORACLES["word_vectors"] = with_views(["reviews"], VOCAB_CTES, f"""
 SELECT token, idx, CAST(dim AS BIGINT) AS dim, {r6('value')} AS value FROM wvec""")
 ORACLES["doc_vectors"] = with_views(["reviews"], VOCAB_CTES + [
-    f"lt AS (SELECT review_id, unnest({vec_tokens_sql('text')}) AS token FROM reviews WHERE stars IS NOT NULL)",
+    f"lt AS (SELECT review_id, unnest({vec_tokens_sql('text')}) AS token FROM reviews)",
     "per AS (SELECT review_id, token, COUNT(*) AS c FROM lt GROUP BY review_id, token)",
     "ntok AS (SELECT review_id, SUM(c) AS n FROM per GROUP BY review_id)"], f"""
 SELECT p.review_id, CAST(w.dim AS BIGINT) AS dim, {r6('SUM(p.c * CAST(w.value AS DOUBLE)) / MAX(n.n)')} AS value

@@ -83,12 +83,12 @@ def q_text_vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_text_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return T.encode_texts(labelled_reviews(spark, sf_dir), _vocab(spark, sf_dir))
+    return T.encode_texts(catalog.reviews(spark, sf_dir), _vocab(spark, sf_dir))
 
 
 def q_text_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = _vocab(spark, sf_dir)
-    enc = T.encode_texts(labelled_reviews(spark, sf_dir), v)
+    enc = T.encode_texts(catalog.reviews(spark, sf_dir), v)
     return T.decode_texts(enc, v)
 
 
@@ -114,5 +114,5 @@ def q_word_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_doc_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = T.doc_vectors(labelled_reviews(spark, sf_dir), _word_vectors(spark, sf_dir))
+    d = T.doc_vectors(catalog.reviews(spark, sf_dir), _word_vectors(spark, sf_dir))
     return d.select("review_id", "dim", r6("value").alias("value"))

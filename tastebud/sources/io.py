@@ -26,10 +26,9 @@ def write_csv(df: DataFrame, root: str, name: str | None = None) -> str:
     return path
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType, nrows: int | None = None) -> DataFrame:
-    """CSV scan with header/quote handling and an optional row cap (``limit``)."""
-    df = spark.read.schema(schema).options(**CSV_OPTIONS).csv(path)
-    return df.limit(nrows) if nrows is not None else df
+def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """CSV scan with header/quote handling."""
+    return spark.read.schema(schema).options(**CSV_OPTIONS).csv(path)
 
 
 def write_json_lines(df: DataFrame, root: str, name: str | None = None) -> str:
