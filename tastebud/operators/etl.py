@@ -80,7 +80,8 @@ def json_leaf_paths(json_lines: DataFrame, col: str = "value") -> DataFrame:
     One chain of generators, as long as the deepest record needs (``json_depth``): each
     level replaces every non-empty object by its entries and passes leaves through, so an
     empty object yields no name and arrays, scalars, nulls and strings, whatever they hold,
-    are leaves.  Records that aren't JSON objects give no names; one ``distinct`` at the end.
+    are leaves.  Records that aren't JSON objects give no names, nor do those that repeat a
+    key in one object (a variant can't hold them); one ``distinct`` at the end.
     """
     record = json_lines.select(F.try_parse_json(F.col(col)).alias("v")).where(_is_object(F.col("v")))
     rows = record.select(F.explode(_children(F.lit(None).cast("string"), F.col("v"))).alias("n")).select("n.path", "n.v")
