@@ -3,11 +3,12 @@
 An index of coarse cells (k-means) holds every vector as the code of its residual
 in ``SUBSPACES`` subspaces with the norm of what the code misses.  A vector of cell
 a lies on a's side of the plane half-way to the query's own cell c, and the query's
-distance to that plane is ``(|q-a|^2 - |q-c|^2) / (2 |a-c|)``.  A partner at the
-largest linked distance R lies off the query by about ``R / sqrt(width)`` along any
-one direction, so a query probes every cell whose plane is within ``SIGMA`` times
-that (R itself at most, where nothing can be lost); there is no fixed count of
-probes.  In a cell, table look-ups give the distance ``d`` from the query to each
+distance to that plane is ``(|q-a|^2 - |q-c|^2) / (2 |a-c|)``.  A query probes every
+cell whose plane is within a reach; there is no fixed count of probes.  With the
+largest linked distance R as reach nothing can be lost.  How much less will do is
+measured on the data and not assumed of it: ``PILOT`` vectors are held against all
+others, and the reach is what all but ``LOSS`` of their links need (and all links of
+all but ``LOSS`` of them); with too few linked pilots to tell, it is R.  In a cell, table look-ups give the distance ``d`` from the query to each
 decoded vector, which is at most the miss away from the true one; all with
 ``d - miss <= R`` are reranked by the exact cosine in double precision, so that
 step loses nothing.  Recall is measured against brute force in the tests.
@@ -34,8 +35,12 @@ SUBSPACES = 8
 CODES = 64
 #: Vectors of a pack, on average.
 PACK = 512
-#: Standard deviations of a partner's offset that a probe covers.
-SIGMA = 3.0
+#: Vectors (by another hash order) whose links, found by brute force, give the reach of probes.
+PILOT = 2_048
+#: Share of the pilots' links, and of the linked pilots, that the reach may leave out.
+LOSS = 0.01
+#: Steps that a reach is measured in, of the largest linked distance.
+STEPS = 256
 
 
 def kmeans(x: np.ndarray, k: int, rounds: int = 8, seed: int = 7) -> np.ndarray:
@@ -79,8 +84,7 @@ class ProductQuantizer:
         return cell, codes, np.sqrt((rest * rest).sum(1))
 
     def probes(self, x: np.ndarray, reach: float) -> tuple[np.ndarray, np.ndarray]:
-        """(row, cell) pairs: the cells to look for vectors within ``reach`` of the row."""
-        reach = reach * min(1.0, SIGMA / np.sqrt(x.shape[1]))
+        """(row, cell) pairs: the row's own cell and those whose plane is within ``reach`` of the row."""
         rows, cells = [], []
         gap = np.sqrt(squared(self.cells, self.cells))
         for at in range(0, len(x), 4096):
@@ -92,6 +96,13 @@ class ProductQuantizer:
             cells.append(c)
         return np.concatenate(rows), np.concatenate(cells)
 
+    def needs(self, q: np.ndarray, x: np.ndarray) -> np.ndarray:
+        """For each pair of rows, the reach with which a probe for ``q`` meets ``x``."""
+        own, other = self.cells[nearest(q, self.cells)], self.cells[nearest(x, self.cells)]
+        gap = np.sqrt(((own - other) ** 2).sum(1))
+        plane = ((q - other) ** 2).sum(1) - ((q - own) ** 2).sum(1)
+        return np.divide(plane, 2 * gap, out=np.zeros(len(q)), where=gap > 0)
+
     def distances(self, q: np.ndarray, cell: int, codes: np.ndarray) -> np.ndarray:
         """Distance of every query to every decoded vector of the cell, by table look-up."""
         rest = q - self.cells[cell]
@@ -128,18 +139,57 @@ def spanning(mask: np.ndarray, q: np.ndarray, x: np.ndarray) -> list[tuple[int,
     return [(a, b) for a, b in edges if a != b]
 
 
+def covering(steps: np.ndarray, weight: np.ndarray, unseen: float) -> int:
+    """The least step that is enough for all but ``LOSS`` of the weight, of which ``unseen``
+    would need the largest one."""
+    steps, weight = np.append(steps, STEPS), np.append(weight, unseen)
+    order = np.argsort(steps, kind="stable")
+    upto = np.cumsum(weight[order])
+    return int(steps[order][np.searchsorted(upto, (1 - LOSS) * upto[-1])])
+
+
+def probe_reach(reps: DataFrame, dim: int, cosine: float, pq: ProductQuantizer, reach: float) -> float:
+    """The reach of probes that links within ``reach`` need, measured on pilots against all of ``reps``."""
+    pilot = reps.select("rep", "label", "copies", "embedding").orderBy(F.xxhash64("rep", F.lit(1)), "rep").limit(PILOT).toArrow().combine_chunks()
+    q = _unit(_matrix(pilot.column("embedding").combine_chunks(), dim))
+    ids, labels, copies = (pilot.column(k).to_numpy() for k in ("rep", "label", "copies"))
+
+    def run(batches):
+        for batch in batches:
+            found = np.zeros((len(q), STEPS + 1), np.int64)
+            for a in range(0, batch.num_rows, 1024):
+                b = batch.slice(a, 1024)
+                x = _unit(_matrix(b.column("embedding"), dim))
+                near = (q @ x.T >= cosine) & (labels[:, None] == b.column("label").to_numpy()[None, :]) & (ids[:, None] != b.column("rep").to_numpy()[None, :])
+                for r, c in (np.stack(np.nonzero(near))[:, k:k + 4096] for k in range(0, max(1, int(near.sum())), 4096)):
+                    step = np.clip(np.ceil(pq.needs(q[r], x[c]) / reach * STEPS), 0, STEPS).astype(int)
+                    np.add.at(found, (r, step), b.column("copies").to_numpy()[c])
+            r, step = np.nonzero(found)
+            yield pa.RecordBatch.from_arrays([pa.array(r.astype(np.int32)), pa.array(step.astype(np.int32)), pa.array(found[r, step])], ["pilot", "step", "n"])
+
+    rows = (arrow_map(reps.select("rep", "label", "copies", "embedding"), run, "pilot int, step int, n long")
+            .groupBy("pilot", "step").agg(F.sum("n").alias("n")).toArrow())
+    row, step, n = (rows.column(k).to_numpy() for k in ("pilot", "step", "n"))
+    worst = np.full(len(q), -1)
+    np.maximum.at(worst, row, step)
+    worst = worst[worst >= 0]
+    # links of one pilot stand or fall together: what wasn't seen is one pilot more, not one link
+    return reach * max(covering(worst, np.ones(len(worst)), 1.0), covering(step, n * copies[row], 0.0)) / STEPS
+
+
 def _links(reps: DataFrame, dim: int, cosine: float) -> DataFrame:
     """``a, b, n`` of representatives of one width: link counts of ``a`` (``b`` null) and edges (``n`` null)."""
     n = reps.count()
     sample = reps.select("embedding").orderBy(F.xxhash64("rep"), "rep").limit(SAMPLE).toArrow().column(0).combine_chunks()
     pq = ProductQuantizer(_unit(_matrix(sample, dim)), int(np.clip(np.sqrt(n), 1, CELLS)))
     reach = float(np.sqrt(2 - 2 * cosine)) + 1e-6
+    near = probe_reach(reps, dim, cosine, pq, reach)
 
     def encode(batches):
         for b in batches:
             x = _unit(_matrix(b.column("embedding"), dim))
             cell, codes, miss = pq.encode(x)
-            row, probe = pq.probes(x, reach)
+            row, probe = pq.probes(x, near)
             blobs = [c.tobytes() for c in codes]
             take = np.concatenate([np.arange(len(x)), row])
             kind = np.repeat([False, True], [len(x), len(row)])

@@ -185,3 +185,30 @@ def test_decontamination_equals_brute_force(spark, nasty, empty, planted):
     assert {r["doc_id"] for r in decontaminate.clean(d, b).collect()} == {i for i, _ in docs} - {g[0] for g in got}
     assert decontaminate.clean(nasty, spark.createDataFrame([], "item_id long, text string")).count() == nasty.count()
     assert decontaminate.matches(empty, b).count() == 0 and decontaminate.clean(nasty, b).columns == nasty.columns
+
+
+def uneven_vectors(n: int, kind: str) -> np.ndarray:
+    rng = np.random.default_rng(n)
+    if kind == "rank 4":
+        return rng.normal(size=(n, 4)) @ rng.normal(size=(4, 64))
+    spectrum = 1 / np.arange(1, 257)
+    base = np.repeat(rng.normal(size=(n // 3, 256)) * spectrum, 3, axis=0)
+    return base + rng.normal(size=base.shape) * spectrum * 0.25
+
+
+@pytest.mark.parametrize("n, kind", [(1_500, "rank 4"), (9_000, "rank 4"), (1_500, "triples"), (9_000, "triples")])
+def test_embedding_recall_of_uneven_vectors(spark, n, kind):
+    x = uneven_vectors(n, kind).astype(np.float32)
+    got = {r["vec_id"]: r["n_links"] for r in embeddings.near_duplicates(
+        spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], "vec_id long, embedding array<float>, label int").repartition(8), 0.93).collect()}
+    v = x.astype(float) / np.linalg.norm(x.astype(float), axis=1)[:, None]
+    links = (v @ v.T >= 0.93).sum(1) - 1
+    print("recall", kind, n, sum(got.values()) / links.sum(), links.sum())
+    assert sum(got.values()) >= 0.97 * links.sum() > n / 2
+    assert all(got[i] <= links[i] for i in range(n))
+
+
+def test_embedding_reach_without_linked_pilots_is_whole():
+    assert embeddings.covering(np.array([3] * 98), np.ones(98), 1.0) == embeddings.STEPS
+    assert embeddings.covering(np.array([3] * 99), np.ones(99), 1.0) == 3
+    assert embeddings.covering(np.zeros(0, int), np.zeros(0), 1.0) == embeddings.STEPS
