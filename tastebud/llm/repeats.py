@@ -8,14 +8,14 @@ Comparing every window with every other is cut down without losing a repeat:
 2. A window's minimizer is the least hash of its k-grams.  Equal windows have equal
    minimizers, so consecutive windows of one minimizer form a run and a minimizer
    seen once in the corpus is a run without repeats.  Each chunk sends its distinct
-   minimizers' hashes, packed into one row a bucket; a bucket answers which were seen
-   twice.  (A false answer only costs work.)
+   minimizers' hashes, packed into one row a bucket, and how many bytes of distinct runs
+   each has; a bucket answers which were seen twice.  (A false answer only costs work.)
 3. Of the runs of repeated minimizers, the *contents*, each chunk sends one hash (with
    the minimizer's, about a hundred bits) and the first place for each distinct one.
    A bucket answers which are later copies of an equal content, and which
-   minimizers have several contents.  A minimizer that very many chunks have is sent
-   window by window, by the window's own hash, so that no bucket grows with one
-   frequent string.
+   minimizers have several contents.  A minimizer that very many chunks have, or
+   whose contents are too many bytes for one group, is sent window by window, by the
+   window's own hash, so that no bucket grows with one frequent string.
 4. Only first copies whose minimizer has several contents need their text looked
    at.  A bucket holds all of them that share a minimizer, and so all first
    occurrences of their windows: the solver says which windows occur earlier.
@@ -45,6 +45,8 @@ from .units import by_size
 CHUNK = 2 << 20
 #: Chunks that must share a minimizer for it to be sent window by window.
 FREQUENT = 2_048
+#: Bytes of one minimizer's contents, summed over chunks, for the same.
+CROWDED = 1 << 20
 #: Windows of one content at most (longer runs are cut).
 LONGEST_RUN = 64
 _SYMBOLS_AT_ONCE = 1 << 17
@@ -170,6 +172,22 @@ class Chunk:
         return (np.concatenate([z, *starts]), np.concatenate([z, *counts]), np.concatenate([np.zeros(0, np.uint64), *least]),
                 np.concatenate([np.zeros(0, bool), *twice]))
 
+    def contents_bytes(self, start: np.ndarray, count: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct minimizers of runs and the bytes of the distinct contents of each."""
+        distinct, back = np.unique(least, return_inverse=True)
+        stop = start + count + self.spec.window - 1
+        # contents told apart by a polynomial of their symbols, whose powers wrap around
+        base = np.uint64(0x9E3779B97F4A7C15)
+        power = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(len(self.symbols), base)]), dtype=np.uint64)
+        upto = np.concatenate([np.zeros(1, np.uint64), np.cumsum(self.symbols * power[:-1], dtype=np.uint64)])
+        alike = (upto[stop] - upto[start]) * power[len(self.symbols) - start]
+        size = self.ends[stop - 1] - self.starts[start]
+        order = np.lexsort((alike, back))
+        new = np.ones(len(order), bool)
+        new[1:] = (alike[order][1:] != alike[order][:-1]) | (back[order][1:] != back[order][:-1])
+        own = order[new]
+        return distinct, np.bincount(back[own], size[own], len(distinct))
+
     def content(self, start: int, windows: int) -> bytes:
         return self.raw[self.starts[start]:self.ends[start + windows + self.spec.window - 2]]
 
@@ -189,23 +207,26 @@ def _seen(table: DataFrame, spec: Spec, buckets: int) -> DataFrame:
         for batch in batches:
             for row in batch.to_pylist():
                 chunk = Chunk(row, spec)
-                order, edge, bits = _bucketed(np.unique(chunk.runs()[2]), buckets)
+                distinct, size = chunk.contents_bytes(*chunk.runs()[:3])
+                order, edge, bits = _bucketed(distinct, buckets)
+                eighths = np.minimum(np.ceil(8 * np.log2(np.maximum(size, 1))), 255).astype(np.uint8)[order]  # sizes in a byte, rounded up
                 own = np.flatnonzero(np.diff(edge))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(own.astype(np.int32)), pa.array(np.full(len(own), row["chunk"])),
-                     pa.array([bits[edge[b]:edge[b + 1]].tobytes() for b in own], pa.binary())], ["bucket", "chunk", "hashes"])
+                     *(pa.array([x[edge[b]:edge[b + 1]].tobytes() for b in own], pa.binary()) for x in (bits, eighths))], ["bucket", "chunk", "hashes", "sizes"])
 
     def answer(group: pa.Table) -> pa.Table:
         blobs = group.column("hashes").to_pylist()
         lens = [len(b) // 4 for b in blobs]
         _, back, count = np.unique(np.frombuffer(b"".join(blobs), np.uint32), return_inverse=True, return_counts=True)
-        count = count[back]
+        size = np.bincount(back, 2 ** (np.frombuffer(b"".join(group.column("sizes").to_pylist()), np.uint8) / 8), len(count))
         ends = np.cumsum(lens)
-        masks = [[np.packbits(count[e - n:e] >= least).tobytes() for e, n in zip(ends, lens)] for least in (2, FREQUENT)]
+        masks = [[np.packbits(x[e - n:e]).tobytes() for e, n in zip(ends, lens)]
+                 for x in ((count >= 2)[back], ((count >= FREQUENT) | (size >= CROWDED))[back])]
         return pa.table({"chunk": group.column("chunk"), "bucket": group.column("bucket"),
                          "twice": pa.array(masks[0], pa.binary()), "frequent": pa.array(masks[1], pa.binary())})
 
-    sent = arrow_map(table, send, "bucket int, chunk long, hashes binary")
+    sent = arrow_map(table, send, "bucket int, chunk long, hashes binary, sizes binary")
     got = sent.groupBy("bucket").applyInArrow(answer, "chunk long, bucket int, twice binary, frequent binary")
     return got.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "twice", "frequent")).alias("seen"))
 
@@ -246,7 +267,8 @@ class Contents:
         self.windows = np.fromiter((v[0] for v in vals), np.int64, k)
         self.again = np.fromiter((v[1] for v in vals), bool, k)
         self.hash = np.fromiter(map(xxhash.xxh64_intdigest, self.content), np.uint64, k)
-        self.route = np.fromiter((h if v[2] is None else v[2] for v, h in zip(vals, self.hash.tolist())), np.uint64, k)
+        # a window of its own is told by two hashes, as a content is by its minimizer's and its own
+        self.route = np.fromiter((xxhash.xxh64_intdigest(c, 1) if v[2] is None else v[2] for c, v in found.items()), np.uint64, k)
         self.bucket = (self.route % np.uint64(routes)).astype(np.int64)
         self.times = np.fromiter((len(v[3]) for v in vals), np.int64, k)
         self.places = np.fromiter((p for v in vals for p in v[3]), np.int64, int(self.times.sum()))

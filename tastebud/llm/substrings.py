@@ -1,11 +1,12 @@
 """Exact substring removal over words by suffix automata.
 
-Each bucket of contents (see ``repeats``) is a reference shard.  Its suffix
-automaton takes in the contents in order of document and place; what a content has
-in common with all that came before it (the matching statistics: for every word the
-longest stretch ending there that occurred earlier) comes from the automaton as the
-content streams through.  A statistic of at least the window's length marks the
-window that ends there, and maximal stretches of marked words go.
+Each bucket of contents (see ``repeats``), parted by minimizer if it is large, is a
+reference shard.  Its suffix automaton takes in the contents in order of document and
+place; what a content has in common with all that came before it (the matching
+statistics: for every word the longest stretch ending there that occurred earlier)
+comes from the automaton as the content streams through.  A statistic of at least the
+window's length marks the window that ends there, and maximal stretches of marked
+words go.
 """
 
 from __future__ import annotations
@@ -19,6 +20,8 @@ from pyspark.sql import DataFrame
 from .repeats import Chunk, Spec, covered, null_keys
 
 WINDOW = 20
+#: Bytes of the contents of one automaton, about: its states take some sixty times that.
+TOGETHER = 1 << 21
 
 
 class SuffixAutomaton:
@@ -97,7 +100,7 @@ def solve(contents: list[bytes], windows: np.ndarray, doc: np.ndarray, pos: np.n
     return out
 
 
-SPEC = Spec(window=WINDOW, log_gram=3, words=True, by_position=True)
+SPEC = Spec(window=WINDOW, log_gram=3, words=True, by_position=True, together=TOGETHER)
 
 
 def _finish(chunk: Chunk, gone: np.ndarray) -> Iterator[pa.RecordBatch]:

@@ -55,6 +55,35 @@ def test_frequent_minimizers_are_split(nasty, monkeypatch):
     assert sorted(map(str, suffix_array.remove_repeats(nasty).collect())) == want
 
 
+def test_hot_minimizer_in_few_chunks_is_split(spark, monkeypatch):
+    from tastebud.llm import repeats
+    line = " ".join(f"licence{k}" for k in range(24))
+    docs = spark.createDataFrame([(i, " ".join([*(f"a{i}x{k}" for k in range(22)), line, *(f"b{i}x{k}" for k in range(22))])) for i in range(3_000)],
+                                 "doc_id long, text string").repartition(2)
+    whole = sorted(map(str, suffix_array.remove_repeats(docs).collect()))
+    monkeypatch.setattr(repeats, "CROWDED", 1 << 15)
+
+    def bounded(solve):
+        def run(contents, *of):
+            if sum(map(len, contents)) > 1 << 17:
+                raise MemoryError(f"{sum(map(len, contents))} bytes of contents in one structure")
+            return solve(contents, *of)
+        return run
+
+    got = repeats.covered(docs, substrings.SPEC, bounded(substrings.solve), substrings._finish, "doc_id long, n_words long, n_removed long, kept string").collect()
+    assert sorted((r["doc_id"], r["n_removed"]) for r in got) == [(i, 24 if i else 0) for i in range(3_000)]
+    got = repeats.covered(docs, suffix_array.SPEC, bounded(suffix_array.solve), suffix_array._finish, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    assert sorted(map(str, got.collect())) == whole
+
+
+def test_frequent_word_minimizers_are_split(spark, monkeypatch):
+    from tastebud.llm import repeats
+    docs = spark.createDataFrame([(i, t) for i, t, *_ in rows()], "doc_id long, text string").repartition(3)
+    want = sorted(map(str, substrings.remove_repeats(docs).collect()))
+    monkeypatch.setattr(repeats, "CROWDED", 300)
+    assert sorted(map(str, substrings.remove_repeats(docs).collect())) == want
+
+
 def test_automaton_statistics():
     rng = random.Random(0)
     for _ in range(100):
