@@ -6,10 +6,13 @@ These seed the bootstrap: the one and two words before a seed are lexical patter
 patterns and instances form a graph that is scored in rounds:
 
 - a pattern's confidence for a kind is the weight of that kind's known instances among
-  all identifier-like instances it precedes, with one more counter-example than seen,
-  and needs ``SUPPORT`` known instances;
+  these, known instances of other kinds and strings whose shape is not one of the
+  kind's, with one more counter-example than seen, and needs ``SUPPORT`` known instances;
+- a kind's shape (number of digits with some slack, letters or none, an at sign or none,
+  separators) is taken anew in each round from what is known of the kind;
 - a candidate (a string that looks like the kind but isn't matched by its rule, such
-  as a phone number without a country code) gets ``1 - prod(1 - confidence)`` over its patterns;
+  as a phone number without a country code, or any chain of digits or token with a
+  digit or an at sign that has the kind's shape) gets ``1 - prod(1 - confidence)`` over its patterns;
 - candidates with ``ACCEPT`` or more are known in the next round, with their score as weight.
 
 Candidates known after the last round become spans.  One pass reads the texts; what it
@@ -47,6 +50,11 @@ LOOKS_LIKE = {
     "card": r"(?<![0-9A-Za-z._/])[0-9]{4}(?:[._/][0-9]{4}){3}+(?![0-9A-Za-z])",
     "phone": r"(?<![0-9A-Za-z+.-])\(?[0-9]{3}\)?[\x20.-]{1,2}[0-9]{3}[\x20.-][0-9]{4}(?![0-9A-Za-z-])",
 }
+#: Candidates of any kind, which their shape and context decide: chains of digit groups, and tokens without the punctuation around them.
+LOOSE = {
+    "chain": r"(?<![\p{L}0-9:@+._/-])(?<![0-9][\x20)._/-]{1,3})\(?[0-9]++(?:\)?[\x20._/-]{1,2}+\(?[0-9]++){1,9}+(?![\p{L}0-9:@])(?!\)?[\x20._/-]{1,2}\(?[0-9])",
+    "word": r"(?<![^\s(\[<\x22',;])(?=[^\s0-9@]{0,64}+[0-9@])[\p{L}0-9:+](?:\S{0,64}[\p{L}0-9])?(?![\p{L}0-9])",
+}
 #: Any other token with a digit or an at sign: what patterns are held against.
 TOKEN = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+"
 
@@ -84,9 +92,10 @@ _HINTS = {("rule", "email"): "@", ("rule", "phone"): "+", ("like", "email"): "at
 
 def scan(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(``doc_id, digest`` of every row, ``digest, class, kind, start, end, value, before``
-    of every match in every distinct text).  ``class``: rule, like or token; ``start`` and
+    of every match in every distinct text).  ``class``: rule, like, loose or token; ``start`` and
     ``end`` (exclusive) in code points.  The digest is the text's SHA-256."""
-    patterns = ([("rule", k, p) for k, p in RULES.items()] + [("like", k, p) for k, p in LOOKS_LIKE.items()] + [("token", "", TOKEN)])
+    patterns = ([("rule", k, p) for k, p in RULES.items()] + [("like", k, p) for k, p in LOOKS_LIKE.items()]
+                + [(c, "", p) for c, p in LOOSE.items()] + [("token", "", TOKEN)])
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.sha2(text, 256).alias("digest"))
     d = d.select("doc_id", "digest", "text", *[_matches(F.col("text"), p, _HINTS.get((c, k))).alias(f"m{i}") for i, (c, k, p) in enumerate(patterns)])
@@ -115,37 +124,71 @@ def scan(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
             .withColumn("start", F.col("end") - F.length("value")).drop("gap", "at"))
     # a match that fails its rule is a token like any other
     rows = rows.withColumn("class", F.when((F.col("class") == "rule") & ~_valid(F.col("kind"), F.col("value")), "token").otherwise(F.col("class")))
-    # candidates count where no rule holds, tokens where neither does
-    order = Window.partitionBy("digest").orderBy("start", "end", "class")
-    before, after = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(1, Window.unboundedFollowing)
+    # a class counts where none before it holds
+    # (both frames look back, since one that looks ahead is summed up anew for each row)
+    before = Window.partitionBy("digest").orderBy("start", "end", "class").rowsBetween(Window.unboundedPreceding, -1)
+    after = Window.partitionBy("digest").orderBy(F.desc("start"), F.desc("end"), F.desc("class")).rowsBetween(Window.unboundedPreceding, -1)
 
     def meets(*classes: str) -> Column:
         own = F.col("class").isin(*classes)
         return (F.coalesce(F.max(F.when(own, F.col("end"))).over(before) > F.col("start"), F.lit(False))
                 | F.coalesce(F.min(F.when(own, F.col("start"))).over(after) < F.col("end"), F.lit(False)))
 
-    rows = rows.withColumn("_r", meets("rule")).withColumn("_l", meets("rule", "like"))
-    keep = (F.col("class") == "rule") | ((F.col("class") == "like") & ~F.col("_r")) | ((F.col("class") == "token") & ~F.col("_l"))
-    return hits.select("doc_id", "digest"), rows.where(keep).drop("_r", "_l")
+    ranks = ["rule", "like", "chain", "word", "token"]
+    keep = F.col("class") == "rule"
+    for i, c in enumerate(ranks[1:], 1):
+        rows = rows.withColumn(f"_{c}", meets(*ranks[:i]))
+        keep = keep | ((F.col("class") == c) & ~F.col(f"_{c}"))
+    rows = rows.where(keep).drop(*[f"_{c}" for c in ranks])
+    rows = rows.withColumn("class", F.when(F.col("class").isin("chain", "word"), "loose").otherwise(F.col("class")))
+    return hits.select("doc_id", "digest"), rows
+
+
+def _shape(value: Column) -> Column:
+    """Number of digits, whether there are letters, an at sign, and other characters than separators.
+    In tokens of hexadecimal digits and colons all of these are digits."""
+    hexadecimal = value.rlike("^[0-9A-Fa-f:.]*:[0-9A-Fa-f:.]*$")
+    return F.struct(F.when(hexadecimal, F.length(F.regexp_replace(value, "[^0-9A-Fa-f]", ""))).otherwise(F.length(_digits(value))).alias("digits"),
+                    (~hexadecimal & value.rlike(r"\p{L}")).cast("int").alias("letters"),
+                    value.rlike(r"@|[(\[{]at[)\]}]").cast("int").alias("at"),
+                    value.rlike(r"[^\p{L}0-9\x20().:/_+@-]").cast("int").alias("other"))
+
+
+def _plausible(known: DataFrame, loose: DataFrame) -> DataFrame:
+    """``pattern, value, kind`` of the loose strings with a shape that ``known`` instances of the kind span."""
+    seen = known.select("kind", "value").distinct().select("kind", _shape(F.col("value")).alias("s"))
+    spans = seen.groupBy("kind").agg(F.ceil(F.min("s.digits") * 0.75).alias("least"), F.floor(F.max("s.digits") * 1.25).alias("most"),
+                                     *[f(f"s.{k}").alias(f"{n}_{k}") for k in ("letters", "at", "other") for n, f in (("lo", F.min), ("hi", F.max))])
+    own = loose.withColumn("s", _shape(F.col("value"))).drop("kind").join(F.broadcast(spans))
+    fits = (F.col("least") == 0) | F.col("s.digits").between(F.col("least"), F.col("most"))
+    for k in ("letters", "other"):
+        fits = fits & (F.col(f"s.{k}") <= F.col(f"hi_{k}"))
+    return own.where(fits & F.col("s.at").between(F.col("lo_at"), F.col("hi_at"))).select("pattern", "value", "kind")
 
 
 def score(rows: DataFrame, rounds: int = ROUNDS, support: int = SUPPORT, accept: float = ACCEPT) -> DataFrame:
-    """``kind, value, score`` of the candidates that the pattern-instance graph accepts."""
+    """``class, kind, value, score`` of the candidates that the pattern-instance graph accepts."""
     word = F.lower(F.regexp_replace("before", "[0-9]", "0"))
     two = F.regexp_extract(word, r"(\S+)\s+(\S+)\s*$", 0)
     contexts = F.array_distinct(F.array(F.regexp_extract(word, r"(\S+)\s*$", 1), F.regexp_replace(F.trim(two), r"\s+", " ")))
     edges = materialize(rows.select("class", "kind", "value", F.explode(contexts).alias("pattern")).where("pattern != ''").distinct(), "pii_edges")
-    like = edges.where(F.col("class") == "like")
-    known = like.select("kind", "value", F.lit(0.0).alias("score")).where(F.lit(False))
+    rule, like, loose = (edges.where(F.col("class") == c) for c in ("rule", "like", "loose"))
+    # tokens have no kind's shape; a pattern without a rule's instance is never trusted in the first round, nor one without a known one later
+    odd = edges.where(F.col("class").isin("token", "loose")).groupBy("pattern").agg(F.count(F.lit(1)).alias("odd"))
+    known = like.select("class", "kind", "value", F.lit(0.0).alias("score")).where(F.lit(False))
     for _ in range(rounds):
-        weight = (edges.join(known.select(F.lit("like").alias("class"), "kind", "value", "score"), ["class", "kind", "value"], "left")
-                  .withColumn("w", F.when(F.col("class") != "like", 1.0).otherwise(F.col("score"))).where("w is not null"))
-        # weights of each pattern by kind ("" for tokens), then against all kinds
-        kinds = weight.groupBy("pattern", "kind").agg(F.sum(F.when(F.col("class") != "token", F.col("w")).otherwise(0.0)).alias("good"), F.sum("w").alias("all"))
-        total = kinds.groupBy("pattern").agg(F.sum("all").alias("total"))
-        trust = (kinds.where((F.col("kind") != "") & (F.col("good") >= support)).join(total, "pattern")
-                 .select("pattern", "kind", (F.col("good") / (F.col("total") + 1)).alias("confidence")))
-        known = materialize(like.join(trust, ["pattern", "kind"]).groupBy("kind", "value")
+        shaped = materialize(_plausible(rule.select("kind", "value").unionByName(known.select("kind", "value")), loose)
+                             .withColumn("class", F.lit("loose")), "pii_shaped")
+        candidates = like.select("class", "kind", "value", "pattern").unionByName(shaped)
+        weight = (rule.select("kind", "pattern", F.lit(1.0).alias("w"))
+                  .unionByName(candidates.join(known, ["class", "kind", "value"]).select("kind", "pattern", F.col("score").alias("w"))))
+        kinds = weight.groupBy("pattern", "kind").agg(F.sum("w").alias("good"))
+        total = kinds.groupBy("pattern").agg(F.sum("good").alias("total"))
+        own = shaped.groupBy("pattern", "kind").agg(F.count(F.lit(1)).alias("own"))
+        against = F.col("total") + F.coalesce("odd", F.lit(0)) - F.coalesce("own", F.lit(0))
+        trust = (kinds.where(F.col("good") >= support).join(total, "pattern").join(odd, "pattern", "left").join(own, ["pattern", "kind"], "left")
+                 .select("pattern", "kind", (F.col("good") / (against + 1)).alias("confidence")))
+        known = materialize(candidates.join(trust, ["pattern", "kind"]).groupBy("class", "kind", "value")
                             .agg((1 - F.exp(F.sum(F.log1p(-F.col("confidence"))))).alias("score")).where(F.col("score") >= accept), "pii_known")
     return known
 
@@ -155,10 +198,14 @@ def spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     every distinct text).  Null and empty texts have no spans; rows of equal texts share them."""
     keys, rows = scan(docs)
     rows = materialize(rows, "pii_rows")
+    known = score(rows)
     base = rows.where(F.col("class") == "rule").select("digest", "kind", "start", "end", F.lit(True).alias("base"))
-    more = (rows.where(F.col("class") == "like").join(score(rows), ["kind", "value"], "left_semi")
+    more = (rows.where(F.col("class") == "like").join(known.where(F.col("class") == "like"), ["kind", "value"], "left_semi")
+            .select("digest", "kind", "start", "end", F.lit(False).alias("base")))
+    best = known.where(F.col("class") == "loose").groupBy("value").agg(F.max_by("kind", F.struct("score", "kind")).alias("kind"))
+    rest = (rows.where(F.col("class") == "loose").drop("kind").join(best, "value")
             .select("digest", "kind", "start", "end", F.lit(False).alias("base")))
-    return keys, base.unionByName(more)
+    return keys, base.unionByName(more).unionByName(rest)
 
 
 def per_document(docs: DataFrame) -> DataFrame:

@@ -92,6 +92,17 @@ def test_contexts_find_what_rules_miss(spark):
     assert got[21]["spans"] == "" and got[3]["spans"] == got[3]["base"]
 
 
+def test_contexts_find_unlisted_shapes(spark):
+    docs = [(i, f"please call me at +1 (26{i}) 555-3296 today") for i in range(8)] + [(10 + i, f"my server address 10.0.{i}.25{i % 6} is up") for i in range(8)]
+    docs += [(30 + i, f"charge to card {c} now") for i, c in enumerate(["4111 1111 1111 1111", "5500 0000 0000 0004", "4012 8888 8888 1881", "5105 1051 0510 5100", "4222 2222 2222 2"])]
+    docs += [(50, "please call me at 0171 2345678 today"), (51, "my server address 2001:db8::1 is up"), (52, "charge to card 3782.822463.10005 now"),
+             (53, "part list 0171 9999999 and 2001:db8::2"), (54, "please call me at 5pm")]
+    got = {r["doc_id"]: r["spans"] for r in pii.per_document(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert [got[i] for i in range(50, 55)] == ["phone:18:30", "ip:18:29", "card:15:32", "", ""]
+    masked = {r["doc_id"]: r["text"] for r in pii.mask(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert masked[50] == "please call me at <PHONE> today"
+
+
 def test_mask(spark, nasty):
     d = spark.createDataFrame([(1, "🙂 a@b.cc, x 1.2.3.4", "z"), (2, "none", None), (3, None, "q"), (3, "a@b.cc", "q"), (3, "a@b.cc", "q"), (4, "", "")], "doc_id long, text string, digest string")
     assert sorted(map(str, pii.mask(d).collect())) == sorted(map(str, spark.createDataFrame(
