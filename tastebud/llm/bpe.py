@@ -21,12 +21,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .common import arrow_map, documents, ragged
-from .units import UnitCache, by_size
+from .textscan import column, keep_whole, piece_starts, spans
+from .units import UnitCache, stretches
 
 # Fixed value: the piece pattern of byte-level BPE.
 PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 _NEVER = 1 << 40
+#: Pair tests that a worker remembers.
+PAIRS = 200_000
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -75,8 +78,8 @@ class ByteBPE:
         self.automaton.make_automaton()
         self.ok: dict[tuple[int, int], bool] = {}
         self.pieces = regex.compile(pattern)
-        self.split_added = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")") if self.added else None
-        self.known: dict[str, list[int]] = {}
+        raw_added = sorted((a.encode() for a in self.added), key=len, reverse=True)
+        self.find_added = re.compile(b"|".join(map(re.escape, raw_added))) if raw_added else None
         self.cache = UnitCache(self._encode_units)
         self.decimal = list(map(str, range(size)))
         self.flat = np.frombuffer(b"".join(self.bytes), np.uint8)
@@ -115,7 +118,7 @@ class ByteBPE:
                 pair = (last[end - k], t)
                 good = ok.get(pair)
                 if good is None:
-                    if len(ok) > 1_000_000:
+                    if len(ok) > PAIRS:
                         ok.clear()
                     good = ok[pair] = self.compatible(*pair)
                 if not good:
@@ -128,50 +131,29 @@ class ByteBPE:
         out.reverse()
         return out
 
-    def _encode_units(self, units: list) -> Iterator[list[int]]:
-        known, find = self.known, self.pieces.findall
-        for u in units:
-            if isinstance(u, tuple):
-                yield [self.added[u[0]]]
-                continue
-            out: list[int] = []
-            for p in find(u):
-                ids = known.get(p)
-                if ids is None:
-                    ids = self.encode_piece(p)
-                    if len(p) <= 32:
-                        if len(known) > 400_000:
-                            known.clear()
-                        known[p] = ids
-                out += ids
-            yield out
-
-    def units(self, text: str) -> list:
-        """The text cut before single spaces between other characters, where a piece
-        always ends; added tokens, which match anywhere, as one-tuples."""
-        if self.split_added is None or not any(a in text for a in self.added):
-            return _cut(text)
-        return [x for i, part in enumerate(self.split_added.split(text)) if part
-                for x in ([(part,)] if i % 2 else _cut(part))]
+    def _encode_units(self, units: list[bytes]) -> Iterator[list[int]]:
+        find, added = self.pieces.findall, self.added
+        for u in map(bytes.decode, units):
+            yield [added[u]] if u in added else [i for p in find(u) for i in self.encode_piece(p)]
+
+    def starts(self, buffer: np.ndarray, edges: np.ndarray) -> np.ndarray:
+        """Where units begin: at gaps, and on both sides of added tokens, which match anywhere in a text."""
+        starts = piece_starts(buffer, edges)
+        if self.find_added is None:
+            return starts
+        return keep_whole(starts, spans(buffer, edges, self.find_added), len(buffer))
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, concatenated, and the count of each."""
-        return self.cache.ids([self.units(t) for t in texts])
+        return self.encode_bytes(*column(pa.array(texts, pa.large_string())))
+
+    def encode_bytes(self, buffer: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return self.cache.texts(buffer, edges, self.starts(buffer, edges))
 
     def decode(self, ids: np.ndarray) -> bytes:
         return self.flat[ragged(self.flat_start[ids], self.flat_len[ids])].tobytes()
 
 
-_TWO = re.compile(r" \s| (?<=\s )")
-_BORDER = re.compile(r"(?<=\S)(?= \S)")
-
-
-def _cut(text: str) -> list[str]:
-    if "\0" in text or _TWO.search(text) or text[-1:] == " ":
-        return [u for u in _BORDER.split(text) if u]
-    return [u for u in text.replace(" ", "\0 ").split("\0") if u]
-
-
 _loaded: dict[str, ByteBPE] = {}
 
 
@@ -185,9 +167,9 @@ def load(path: str) -> ByteBPE:
 def _batches(batches: Iterable[pa.RecordBatch], path: str) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray, ByteBPE]]:
     bpe = load(path)
     for batch in batches:
-        texts = [t or "" for t in batch.column("text").to_pylist()]
-        for a, b in by_size(texts):
-            ids, counts = bpe.encode(texts[a:b])
+        buffer, edges = column(batch.column("text"))
+        for a, b in stretches(edges):
+            ids, counts = bpe.encode_bytes(buffer[edges[a]:edges[b]], edges[a:b + 1] - edges[a])
             yield batch.column("doc_id").slice(a, b - a), ids, counts, bpe
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, embeddings, pii, quality, sharding, simhash, substrings, suffix_array, token_output
+from . import bitplanes, bpe, decontaminate, divergence, embeddings, pii, quality, rank_bpe, sharding, simhash, substrings, suffix_array, token_output
 from .common import scratch_dir, table
 
 TOKENIZERS = "/opt/tokenizers"
@@ -87,5 +87,20 @@ def q_op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def q_op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eight centroids over all embeddings, ten rounds, exact integers."""
+    return bitplanes.cluster(table(spark, sf_dir, "embeddings"), k=8, rounds=10, scale=1024, prefix="3:")
+
+
+def q_op12_rank_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte-level BPE round trip of every document by a rank file."""
+    return rank_bpe.round_trip(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_multi_50k.tiktoken"))
+
+
+def q_op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far the sources of a language differ, and the terms each of them favours."""
+    return divergence.audit(table(spark, sf_dir, "documents"), least_documents=30, top=50)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name[2:]: f for name, f in globals().items() if name.startswith("q_")}

@@ -19,9 +19,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from . import simple8b
+from . import simple8b, textscan
 from .common import arrow_map, documents
-from .units import UnitCache, by_size
+from .units import UnitCache, stretches
 
 SEGMENT = 1 << 18
 
@@ -51,23 +51,11 @@ class WordBPE:
         self.added = [a["content"] for a in spec["added_tokens"]]
         split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.pieces = regex.compile(split["pattern"]["Regex"], regex.IGNORECASE)
-        # a word of letters that normalise one by one, and a mark after it
-        self.plain = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]?)\Z")
-        self.words: dict[str, list[int]] = {}
+        self.find_added = re.compile(b"|".join(re.escape(a.lower().encode()) for a in self.added) or b"(?!)")
         self.cache = UnitCache(self._encode_units)
 
-    def _encode_units(self, units: list[str]) -> Iterator[list[int]]:
-        """Plain units from their lower-cased word and mark, each encoded once; others as they are."""
-        words = self.words
-        if len(words) > 1_000_000:
-            words.clear()
-        cut = [m.group(1, 2) if m else None for m in map(self.plain.match, units)]
-        need = {c[0].lower() for c in cut if c} | {c[1] for c in cut if c and c[1]}
-        need = [w for w in need if w not in words]
-        words.update(zip(need, self._encode(need)))
-        rest = self._encode([u for u, c in zip(units, cut) if not c])
-        for c in cut:
-            yield next(rest) if c is None else words[c[0].lower()] + words[c[1]] if c[1] else words[c[0].lower()]
+    def _encode_units(self, units: list[bytes]) -> Iterator[list[int]]:
+        return self._encode(list(map(bytes.decode, units)))
 
     def _encode(self, units: list[str]) -> Iterator[list[int]]:
         """Joined by spaces the library encodes many units in one call; word ends tell them apart."""
@@ -85,8 +73,21 @@ class WordBPE:
             for x, y in zip(edges, edges[1:]):
                 yield flat[x:y]
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        return self.cache.ids([u if "" not in (u := t.split(" ")) else list(filter(None, u)) for t in texts])
+    def encode(self, buffer: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, concatenated, and the count of each."""
+        # ids don't see the case of letters, but an added token does
+        buffer, given = textscan.LOWER[buffer], buffer
+        added = textscan.spans(buffer, edges, self.find_added)
+        for i, j in added.tolist():
+            buffer[i:j] = given[i:j]
+        n = len(buffer)
+        gap, edge = np.ones(n + 2, bool), np.append(textscan.changes(buffer), True)  # gap[i + 1]: byte i is white space; edge[i]: a cut
+        for i, j in added.tolist():
+            edge[i + 1:j] = False
+        gap[1:-1], edge[edges] = textscan.SPACE[buffer], True
+        starts = np.flatnonzero(~gap[1:-1] & (gap[:-2] | edge[:-1]))
+        ends = np.flatnonzero(~gap[1:-1] & (gap[2:] | edge[1:])) + 1
+        return self.cache.texts(buffer, edges, starts, ends)
 
 
 _loaded: dict[str, WordBPE] = {}
@@ -119,12 +120,12 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, segmen
                                               ["part", "segment", "before", "docs", "nulls", "lens", "payload"])
 
         for batch in batches:
-            texts = [t or "" for t in batch.column("text").to_pylist()]
+            buffer, edges = textscan.column(batch.column("text"))
             doc = batch.column("doc_id")
             null = doc.is_null().to_numpy(zero_copy_only=False)
             key = doc.fill_null(0).to_numpy()
-            for a, b in by_size(texts, 1 << 20):
-                own, counts = words.encode(texts[a:b])
+            for a, b in stretches(edges):
+                own, counts = words.encode(buffer[edges[a]:edges[b]], edges[a:b + 1] - edges[a])
                 counts = counts + 1
                 out = np.empty(int(counts.sum()), np.uint32)
                 stops = np.cumsum(counts) - 1
