@@ -52,31 +52,38 @@ class WordBPE:
         split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.pieces = regex.compile(split["pattern"]["Regex"], regex.IGNORECASE)
         self.find_added = re.compile(b"|".join(re.escape(a.lower().encode()) for a in self.added) or b"(?!)")
+        # letters that normalise one by one
+        self.plain = re.compile("[a-zß-öø-ÿ]+\\Z")
         self.cache = UnitCache(self._encode_units)
 
     def _encode_units(self, units: list[bytes]) -> Iterator[list[int]]:
-        return self._encode(list(map(bytes.decode, units)))
-
-    def _encode(self, units: list[str]) -> Iterator[list[int]]:
-        """Joined by spaces the library encodes many units in one call; word ends tell them apart."""
+        """Joined by spaces the library encodes many units in one call, and word ends tell them
+        apart; units whose pieces only normalising can tell are encoded each."""
         for a in range(0, len(units), 1024):
-            part = units[a:a + 1024]
-            counts = [1 if u.isalpha() and u.isascii() else len(self.pieces.findall(u)) for u in part]
-            ids = np.array(self.lib.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, np.int64)
-            ends = np.flatnonzero(self.ends[ids]) + 1
-            upto = np.cumsum(counts)
-            if len(ends) != upto[-1] or len(ids) != (ends[-1] if len(ends) else 0):
-                for u in part:  # an added token, or a mark that only counts after normalising
-                    yield self.lib.encode(u, add_special_tokens=False).ids
-                continue
-            edges, flat = np.concatenate([[0], ends])[np.concatenate([[0], upto])].tolist(), ids.tolist()
-            for x, y in zip(edges, edges[1:]):
-                yield flat[x:y]
+            part = list(map(bytes.decode, units[a:a + 1024]))
+            rest = [u for u in part if not (u.isascii() or self.plain.match(u))]
+            single = iter(self.lib.encode_batch_fast(rest, add_special_tokens=False) if rest else ())
+            many = iter(self._encode([u for u in part if u.isascii() or self.plain.match(u)]))
+            for u in part:
+                yield next(many) if u.isascii() or self.plain.match(u) else next(single).ids
+
+    def _encode(self, units: list[str]) -> list[list[int]]:
+        if not units:
+            return []
+        upto = np.cumsum([0, *(1 if u.isalpha() else len(self.pieces.findall(u)) for u in units)])
+        ids = np.array(self.lib.encode_batch_fast([" ".join(units)], add_special_tokens=False)[0].ids, np.int64)
+        ends = np.concatenate([[0], np.flatnonzero(self.ends[ids]) + 1])
+        if len(ends) - 1 != upto[-1] or len(ids) != ends[-1]:  # an added token is among them
+            return [self.lib.encode(u, add_special_tokens=False).ids for u in units]
+        edges, flat = ends[upto].tolist(), ids.tolist()
+        return [flat[x:y] for x, y in zip(edges, edges[1:])]
 
     def encode(self, buffer: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, concatenated, and the count of each."""
-        # ids don't see the case of letters, but an added token does
+        # ids don't see the case of letters, but an added token does, and so may a mark that joins the letter
         buffer, given = textscan.LOWER[buffer], buffer
+        joined = np.flatnonzero(given[1:] >= 0x80)
+        buffer[joined] = given[joined]
         added = textscan.spans(buffer, edges, self.find_added)
         for i, j in added.tolist():
             buffer[i:j] = given[i:j]
