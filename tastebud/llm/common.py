@@ -26,6 +26,14 @@ def documents(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, with underscores if ``df`` has such a column (Spark doesn't tell upper from lower case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def arrow_map(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
               schema: str) -> DataFrame:
     ship_package(df.sparkSession)

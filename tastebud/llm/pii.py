@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import fresh, materialize
 
 KINDS = ["email", "ip", "card", "phone"]
 SUPPORT = 3
@@ -233,13 +233,13 @@ def mask(docs: DataFrame) -> DataFrame:
     runs = (found.withColumn("_reach", reach).withColumn("_run", F.sum(new).over(order.rowsBetween(Window.unboundedPreceding, 0)))
             .groupBy("digest", "_run").agg(F.min("start").alias("start"), F.max("end").alias("end"),
                                            F.min_by("kind", F.struct("start", -F.col("end"), "kind")).alias("kind")))
+    own, digest = fresh(docs, "pii_runs"), fresh(docs, "pii_digest")
     runs = (runs.withColumn("from", F.coalesce(F.lag("end").over(Window.partitionBy("digest").orderBy("start")), F.lit(0)))
-            .groupBy("digest").agg(F.sort_array(F.collect_list(F.struct("start", "end", "from", "kind"))).alias("_pii_runs")))
+            .groupBy("digest").agg(F.sort_array(F.collect_list(F.struct("start", "end", "from", "kind"))).alias(own)).withColumnRenamed("digest", digest))
     text = F.col("text")
-    pieces = F.transform("_pii_runs", lambda r: F.concat(
+    pieces = F.transform(own, lambda r: F.concat(
         F.substr(text, (r["from"] + 1).cast("int"), (r["start"] - r["from"]).cast("int")), F.lit("<"), F.upper(r["kind"]), F.lit(">")))
-    last = F.element_at("_pii_runs", -1)["end"].cast("int")
+    last = F.element_at(own, -1)["end"].cast("int")
     whole = F.concat(F.array_join(pieces, ""), F.substr(text, last + 1, F.length(text) - last))
-    keyed = docs.withColumn("_pii_digest", F.sha2(F.coalesce(text.cast("string"), F.lit("")), 256))
-    return (keyed.join(runs.withColumnRenamed("digest", "_pii_digest"), "_pii_digest", "left")
-            .withColumn("text", F.when(F.col("_pii_runs").isNull(), text).otherwise(whole)).select(*docs.columns))
+    keyed = docs.withColumn(digest, F.sha2(F.coalesce(text.cast("string"), F.lit("")), 256))
+    return (keyed.join(runs, digest, "left").withColumn("text", F.when(F.col(own).isNull(), text).otherwise(whole)).select(*docs.columns))

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import NULL_KEY, arrow_map, documents, materialize
+from .common import NULL_KEY, arrow_map, documents, fresh, materialize
 from .components import connected_components
 
 SEED = 42
@@ -177,7 +177,7 @@ def links(fps: DataFrame, distance: int, parts: int = 3, crowd: int = CROWD) ->
 
 
 def near_duplicates(docs: DataFrame, shingle: int, distance: int, parts: int = 3) -> DataFrame:
-    """``doc_id, digest, fp, component_id`` of every row.
+    """``doc_id, digest, fp, root, component_id`` of every row; ``root`` is a fingerprint that names the component.
 
     Rows of equal fingerprints link (so do all texts without words, null ones too);
     ``component_id`` is the smallest ``doc_id`` reachable over links of at most
@@ -187,18 +187,19 @@ def near_duplicates(docs: DataFrame, shingle: int, distance: int, parts: int = 3
     root = connected_components(links(distinct.select("fp"), distance, parts)).select(F.col("node").alias("fp"), "root")
     rooted = distinct.join(root, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    return fp.join(rooted.join(least, "root").select("fp", "component_id"), "fp").select("doc_id", "digest", "fp", "component_id")
+    return fp.join(rooted.join(least, "root").select("fp", "root", "component_id"), "fp").select("doc_id", "digest", "fp", "root", "component_id")
 
 
 def one_of_each(docs: DataFrame, shingle: int, distance: int) -> DataFrame:
     """Rows of ``docs``, with all columns: of each component the row of its smallest
     ``doc_id`` (of several texts with that key the one of least hash, of repeated rows one).
-    Rows without a key stay only where a component has no other."""
-    key, digest = F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_KEY)), F.xxhash64(F.col("text").cast("string"))
-    found = near_duplicates(docs, shingle, distance).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    # components without any key are told apart by their fingerprints' least digest
-    kept = (found.where("component_id is not null").groupBy("component_id").agg(F.min("digest").alias("_digest"))
-            .select(F.col("component_id").alias("_key"), "_digest")
-            .unionByName(found.where("component_id is null").select(F.lit(NULL_KEY).alias("_key"), F.col("digest").alias("_digest")).distinct()))
-    return (docs.withColumn("_key", key).withColumn("_digest", digest).join(kept, ["_key", "_digest"], "left_semi")
-            .dropDuplicates(["_key", "_digest"]).select(*docs.columns))
+    Components that share a ``doc_id`` each keep their own row.  Rows without a key stay only where a
+    component has no other; null texts and texts without words are one component."""
+    key, digest = fresh(docs, "simhash_key"), fresh(docs, "simhash_digest")
+    found = near_duplicates(docs, shingle, distance)
+    # of a component: rows with a key before those without, by key, then by digest
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("a"), F.col("doc_id").alias("b"), F.col("digest").alias("c")))
+    kept = (found.groupBy("root").agg(first.alias("m"))
+            .select(F.coalesce("m.b", F.lit(NULL_KEY)).alias(key), F.col("m.c").alias(digest)))
+    return (docs.withColumns({key: F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_KEY)), digest: F.xxhash64(F.col("text").cast("string"))})
+            .join(kept, [key, digest], "left_semi").dropDuplicates([key, digest]).select(*docs.columns))

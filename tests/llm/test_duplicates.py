@@ -142,8 +142,11 @@ def test_simhash_allocation():
 def test_one_of_each_group_stays(nasty, empty):
     kept = simhash.one_of_each(nasty, 3, 2)
     assert kept.columns == nasty.columns
-    ids = [r["doc_id"] for r in kept.collect()]
-    assert len(ids) == len(set(ids)) and {5, 6, 16} <= set(ids) and not {100, 101} & set(ids)
+    got = kept.collect()
+    ids = [r["doc_id"] for r in got]
+    # key 4 has two texts that are nothing alike: both stay
+    assert sorted(i for i in ids if ids.count(i) > 1) == [4, 4] and len({r["text"] for r in got if r["doc_id"] == 4}) == 2
+    assert {5, 6, 16} <= set(ids) and not {100, 101} & set(ids)
     assert simhash.one_of_each(empty, 3, 2).count() == 0
 
 
@@ -241,3 +244,19 @@ def test_embedding_reach_without_linked_pilots_is_whole():
     assert embeddings.covering(np.array([3] * 98), np.ones(98), 1.0) == embeddings.STEPS
     assert embeddings.covering(np.array([3] * 99), np.ones(99), 1.0) == 3
     assert embeddings.covering(np.zeros(0, int), np.zeros(0), 1.0) == embeddings.STEPS
+
+
+def test_components_that_share_a_key_each_keep_a_row(spark):
+    a, b = "one two three four five six seven", "quite another text with other words in it"
+    docs = spark.createDataFrame([(5, a), (5, b), (9, b), (None, b), (None, "a third text, all of it unlike the rest"), (None, None), (3, "")], "doc_id long, text string")
+    assert sorted(map(str, simhash.one_of_each(docs, 3, 2).collect())) == sorted(map(str, spark.createDataFrame(
+        [(5, a), (5, b), (None, "a third text, all of it unlike the rest"), (3, "")], docs.schema).collect()))
+
+
+def test_clashing_names_come_back_as_they_were(spark):
+    from tastebud.llm import pii
+    names = ["_key", "_digest", "simhash_key", "SIMHASH_DIGEST", "simhash_key_", "_pii_runs", "pii_runs", "pii_digest", "quality_score", "root", "fp", "start", "end", "kind", "a"]
+    rows = [(1, "write to a.b@c.dd about it", *range(len(names))), (2, "write to a.b@c.dd about it", *range(len(names))), (3, None, *range(len(names)))]
+    docs = spark.createDataFrame(rows, ["doc_id", "text", *names])
+    assert sorted(map(tuple, simhash.one_of_each(docs, 3, 2).collect())) == [rows[0], rows[2]]
+    assert sorted(map(tuple, pii.mask(docs).collect())) == [(i, t and "write to <EMAIL> about it", *x) for i, t, *x in rows]
