@@ -2,7 +2,13 @@
 
 Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame, which is written
 as Parquet and read again as the next stage's ``docs``.  All but the last return the
-columns of ``documents``, whatever other columns those have.
+columns of ``documents``, whatever other columns those have and whatever their names.
+
+A null text counts as empty: the quality classifier scores it as such, SimHash puts it into the
+component of texts without words, of which one row stays; decontamination and PII leave it as it is, BPE
+gives no ids.  Rows without a key are treated as any other, but stay after SimHash only where
+their component has no row with one.  Repeated rows are judged alike; SimHash keeps one of them.
+An empty table stays empty.
 """
 
 from __future__ import annotations
@@ -12,16 +18,15 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from tastebud.llm import bpe, decontaminate, pii, quality, simhash
-from tastebud.llm.common import scratch_dir, table
+from tastebud.llm.common import fresh, scratch_dir, table
 from tastebud.llm.queries import QUALITY_LEAST, tokenizer_path
 
-_SCORE = "_quality_score"
-
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier, fitted on the labelled ones, doesn't reject."""
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
-    return quality.with_scores(docs, model, _SCORE).where(f"{_SCORE} >= {QUALITY_LEAST}").drop(_SCORE)
+    score = fresh(docs, "quality_score")
+    return quality.with_scores(docs, model, score).where(f"{score} >= {QUALITY_LEAST}").drop(score)
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
