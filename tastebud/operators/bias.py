@@ -118,7 +118,7 @@ def top_items_unseen(model: BiasModel, n: int, seen: DataFrame,
     return top_n_per_group(cand, "uid", [F.col("_r").asc()], n).select("uid", "rank", "iid", "b_i")
 
 
-# ------------------------------------------------------------ folds x configs, vectorised
+# ------------------------------------------------------------ folds x configs, all tracks at once
 
 @dataclass
 class FoldFits:
@@ -132,154 +132,104 @@ class FoldFits:
     snapshots: dict
 
 
-def _per_key_track_arrays(df: DataFrame, key: str, k: int, n_cfg: int) -> DataFrame:
-    """``(key, N array[T], S array[T])``: rating count and star sum of each key
-    over the training folds of every track (totals minus the held fold)."""
-    t_count = k * n_cfg
-    agg = df.groupBy(key).agg(
-        F.count(F.lit(1)).alias("_n"), F.sum("stars").alias("_s"),
-        F.array(*[F.count(F.when(F.col("fold") == f, 1)) for f in range(k)]).alias("_nf"),
-        F.array(*[F.coalesce(F.sum(F.when(F.col("fold") == f, F.col("stars"))), F.lit(0.0))
-                  for f in range(k)]).alias("_sf"))
-    held = lambda t: F.floor(t / n_cfg).cast("int") + 1
-    seq = F.sequence(F.lit(0), F.lit(t_count - 1))
-    return agg.select(
-        key,
-        F.transform(seq, lambda t: (F.col("_n") - F.element_at("_nf", held(t))).cast("double")).alias("N"),
-        F.transform(seq, lambda t: F.col("_s") - F.element_at("_sf", held(t))).alias("S"))
-
-
-def _scatter_fn(group_key: str, k: int, n_cfg: int):
-    """mapInArrow: per partition, sum ``(n - c[held fold]) * b[t]`` by group key
-    for every track; one output row per key per partition.  The fixed-length
-    list columns are read as flat numpy buffers (no per-row Python objects)."""
-    import numpy as np
-    import pyarrow as pa
-
-    t_count = k * n_cfg
-    held = np.arange(t_count) // n_cfg
-
-    def flat(col, width: int, rows: int):
-        return col.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(rows, width)
-
-    def fn(batches):
-        keys_parts, sums_parts = [], []
-        for rb in batches:
-            m = rb.num_rows
-            if m == 0:
-                continue
-            keys = rb.column(group_key).to_numpy(zero_copy_only=False)
-            n = rb.column("n").to_numpy(zero_copy_only=False).astype(np.float64)
-            c = flat(rb.column("c"), k, m)
-            b = flat(rb.column("b"), t_count, m)
-            contrib = (n[:, None] - c[:, held]) * b
-            uniq, inv = np.unique(keys, return_inverse=True)
-            part = np.zeros((len(uniq), t_count))
-            np.add.at(part, inv, contrib)
-            keys_parts.append(uniq)
-            sums_parts.append(part)
-        if not keys_parts:
-            return
-        keys = np.concatenate(keys_parts)
-        uniq, inv = np.unique(keys, return_inverse=True)
-        tot = np.zeros((len(uniq), t_count))
-        np.add.at(tot, inv, np.concatenate(sums_parts))
-        offsets = pa.array(np.arange(len(uniq) + 1, dtype=np.int32) * t_count)
-        d = pa.ListArray.from_arrays(offsets, pa.array(tot.ravel()))
-        yield pa.RecordBatch.from_arrays([pa.array(uniq.astype(np.int64)), d], names=[group_key, "d"])
-    return fn
-
-
-def _combine_partials(partials: DataFrame, key: str, t_count: int) -> DataFrame:
-    """Element-wise sum of the per-partition arrays of each key (at most one
-    array per partition per key, so the list is bounded by the partition count)."""
-    zero = F.array_repeat(F.lit(0.0), t_count)
-    return partials.groupBy(key).agg(F.aggregate(
-        F.collect_list("d"), zero, lambda acc, x: F.zip_with(acc, x, lambda a, b: a + b)).alias("d"))
-
-
-def _update(consts: DataFrame, key: str, d: DataFrame | None, mu: list, regs: list, out: str) -> DataFrame:
-    """``b[t] = (S[t] - N[t] mu[t] - D[t]) / (reg[t] + N[t])`` for every track."""
-    t_count = len(mu)
-    mu_a = F.array(*[F.lit(float(m)) for m in mu])
-    reg_a = F.array(*[F.lit(float(r)) for r in regs])
-    x = consts if d is None else consts.join(d, key, "left")
-    dcol = F.array_repeat(F.lit(0.0), t_count) if d is None else F.coalesce(
-        F.col("d"), F.array_repeat(F.lit(0.0), t_count))
-    z = F.arrays_zip(F.col("S").alias("s"), F.col("N").alias("n"), dcol.alias("d"),
-                     mu_a.alias("m"), reg_a.alias("r"))
-    return x.select(key, F.transform(z, lambda e: (e["s"] - e["n"] * e["m"] - e["d"]) / (e["r"] + e["n"]))
-                    .alias(out))
+#: Tracks that one pass over the ratings carries as columns (rows stay narrow enough for generated code).
+TRACKS = 60
+
+
+def _track_step(r: DataFrame, other: DataFrame | None, other_key: str, other_rows: int, key: str, k: int,
+                mu: list, regs: list) -> DataFrame:
+    """``(key, b0 .. bT-1)``: one half-step of every track.
+
+    A rating counts for the tracks that don't hold its fold out.  Residuals of all tracks are
+    plain sums of columns, partial before the shuffle, so a key with a third of all ratings sends one
+    row a task; wide rows are never shuffled before they are summed."""
+    n_cfg = len(mu) // k
+    x = r if other is None else join_small(r, other.withColumnsRenamed({f"b{t}": f"o{t}" for t in range(len(mu))}), other_key, rows=other_rows)
+
+    def bias(t: int) -> str:
+        f = t // n_cfg
+        own = f"stars - {float(mu[t])!r}D" + ("" if other is None else f" - o{t}")
+        return f"sum(if(fold = {f}, 0D, {own})) / ({float(regs[t])!r}D + sum(if(fold = {f}, 0, 1))) AS b{t}"
+
+    return x.groupBy(key).agg(*[F.expr(bias(t)) for t in range(len(mu))])
+
+
+def _fit_tracks(by: dict, k: int, configs: list, n_epochs: int, snapshots: tuple, fold_mu: list, n_users: int, n_items: int) -> dict:
+    """``epoch -> (user table, item table)`` of the configs' tracks, a column each."""
+    mu = [fold_mu[f] for f in range(k) for _ in configs]
+    reg_u, reg_i = ([float(c[j]) for _ in range(k) for c in configs] for j in (0, 1))
+    bu, out = None, {}
+    for e in range(1, n_epochs + 1):
+        bi = materialize(_track_step(by["iid"], bu, "uid", n_users, "iid", k, mu, reg_i), "bias-fi")
+        bu = materialize(_track_step(by["uid"], bi, "iid", n_items, "uid", k, mu, reg_u), "bias-fu")
+        if e in snapshots or e == n_epochs:
+            out[e] = (bu, bi)
+    return out
 
 
 def fit_bias_folds(triples: DataFrame, fold: str, k: int, configs: list[tuple[float, float]],
                    n_epochs: int, snapshots: tuple[int, ...] = ()) -> FoldFits:
     """Fit the bias baseline for every (held-out fold, (reg_u, reg_i)) pair at once.
 
-    Ratings are never replicated per track: one row per (user, item) pair
-    carries its per-fold counts, user and item biases are arrays over all
-    tracks, and each half-step joins the pairs with one bias table, sums the
-    contributions of all tracks per key inside each partition (numpy), and
-    merges the per-partition arrays.  Keys with a third of all ratings cost
-    one array per partition.  ``n_epochs`` is shared; ``snapshots`` keeps the
-    tables after the listed epochs.
+    Ratings are never replicated per track: a half-step is one join of the narrow ratings
+    with a bias table that has a column for each track, and one partial aggregation in the JVM.
+    Grids of more than ``TRACKS`` tracks go in several passes.  ``n_epochs`` is shared;
+    ``snapshots`` keeps the tables after the listed epochs.
     """
     n_cfg = len(configs)
-    t_count = k * n_cfg
-    t = triples.select("uid", "iid", F.col("stars").cast("double").alias("stars"),
-                       F.col(fold).cast("int").alias("fold"))
-    pairs = materialize(t.groupBy("uid", "iid").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.array(*[F.count(F.when(F.col("fold") == f, 1)) for f in range(k)]).alias("c")), "bias-pairs")
-    icon = materialize(_per_key_track_arrays(t, "iid", k, n_cfg), "bias-icon")
-    ucon = materialize(_per_key_track_arrays(t, "uid", k, n_cfg), "bias-ucon")
-    n_items, n_users = icon.count(), ucon.count()
-    g = t.agg(F.count(F.lit(1)).alias("n"), F.sum("stars").alias("s"),
+    r = materialize(triples.select("uid", "iid", F.col("stars").cast("double").alias("stars"),
+                                   F.col(fold).cast("int").alias("fold")), "bias-ratings")
+    tasks = int(triples.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # each order of the ratings once, read in every half-step: a key's rows lie together, so partial sums are few,
+    # and a key with many rows still reaches over several files
+    by = {key: materialize(r.repartitionByRange(tasks, key, other), f"bias-by-{key}") for key, other in (("uid", "iid"), ("iid", "uid"))}
+    g = r.agg(F.count(F.lit(1)).alias("n"), F.sum("stars").alias("s"), F.count_distinct("uid").alias("users"), F.count_distinct("iid").alias("items"),
               *[F.count(F.when(F.col("fold") == f, 1)).alias(f"n{f}") for f in range(k)],
-              *[F.coalesce(F.sum(F.when(F.col("fold") == f, F.col("stars"))), F.lit(0.0)).alias(f"s{f}")
-                for f in range(k)]).first()
-    mu = []
-    for tr in range(t_count):
-        f = tr // n_cfg
-        nt = g["n"] - g[f"n{f}"]
-        mu.append((g["s"] - g[f"s{f}"]) / nt if nt else 0.0)
-    reg_u = [float(configs[tr % n_cfg][0]) for tr in range(t_count)]
-    reg_i = [float(configs[tr % n_cfg][1]) for tr in range(t_count)]
-    schema = "{} long, d array<double>"
-    bu = None
-    snaps: dict = {}
-    for e in range(1, n_epochs + 1):
-        d = None
-        if bu is not None:
-            j = join_small(pairs, bu.withColumnRenamed("bu", "b"), "uid", rows=n_users)
-            d = _combine_partials(j.mapInArrow(_scatter_fn("iid", k, n_cfg), schema.format("iid")),
-                                  "iid", t_count)
-        bi = materialize(_update(icon, "iid", d, mu, reg_i, "bi"), "bias-fi")
-        j = join_small(pairs, bi.withColumnRenamed("bi", "b"), "iid", rows=n_items)
-        d = _combine_partials(j.mapInArrow(_scatter_fn("uid", k, n_cfg), schema.format("uid")),
-                              "uid", t_count)
-        bu = materialize(_update(ucon, "uid", d, mu, reg_u, "bu"), "bias-fu")
-        if e in snapshots or e == n_epochs:
-            snaps[e] = (bu, bi)
+              *[F.coalesce(F.sum(F.when(F.col("fold") == f, F.col("stars"))), F.lit(0.0)).alias(f"s{f}") for f in range(k)]).first()
+    rest = [g["n"] - g[f"n{f}"] for f in range(k)]
+    fold_mu = [(g["s"] - g[f"s{f}"]) / n if n else 0.0 for f, n in enumerate(rest)]
+    step = max(1, TRACKS // k)
+    parts = [(a, len(configs[a:a + step]), _fit_tracks(by, k, configs[a:a + step], n_epochs, tuple(snapshots), fold_mu, g["users"], g["items"]))
+             for a in range(0, n_cfg, step)]
+    snaps = {}
+    for e in parts[0][2] if parts else ():
+        both = []
+        for side, (key, out) in enumerate((("uid", "bu"), ("iid", "bi"))):
+            table, columns = None, [None] * (k * n_cfg)
+            for a, n, fit in parts:
+                names = {f * n + c: f * n_cfg + a + c for f in range(k) for c in range(n)}  # its track -> track of all
+                own = fit[e][side].select(key, *[F.col(f"b{t}").alias(f"t{all_t}") for t, all_t in names.items()])
+                table = own if table is None else table.join(own, key)
+                for all_t in names.values():
+                    columns[all_t] = F.col(f"t{all_t}")
+            both.append(table.select(key, F.array(*columns).alias(out)))
+        snaps[e] = tuple(both)
+    mu = [fold_mu[t // n_cfg] for t in range(k * n_cfg)]
     return FoldFits(k, list(configs), mu, snaps)
 
 
-def fold_rmse(test: DataFrame, fold: str, fits: FoldFits, epoch: int) -> DataFrame:
-    """``(fold, cfg, n, rmse)``: clipped-prediction RMSE of each track on its
-    held-out fold.  Each test row is scored for the C configs of its fold as
-    C columns (no row replication); one aggregation by fold, then the small
-    (fold x C) result is unpivoted."""
+def fold_rmse(test: DataFrame, fold: str, fits: FoldFits, epochs: list[int] | tuple[int, ...]) -> DataFrame:
+    """``(epoch, fold, cfg, n, rmse)``: clipped-prediction RMSE of each track on its
+    held-out fold after each of ``epochs`` (snapshots of the fits).
+
+    All in one pass: each test row meets one user and one item row, which hold the biases of
+    every snapshot, and is scored for the C configs of its own fold (no row replication); one
+    aggregation by fold, then the small (fold x epoch x C) result is unpivoted."""
     n_cfg = len(fits.configs)
-    bu, bi = fits.snapshots[epoch]
+    users = items = None
+    for e in epochs:
+        bu, bi = (x.withColumnRenamed(c, f"{c}{e}") for x, c in zip(fits.snapshots[e], ("bu", "bi")))
+        users, items = (bu, bi) if users is None else (users.join(bu, "uid", "full"), items.join(bi, "iid", "full"))
     mu_a = F.array(*[F.lit(float(m)) for m in fits.mu])
     x = (test.select("uid", "iid", "stars", F.col(fold).cast("int").alias("fold"))
-         .join(bu, "uid", "left").join(bi, "iid", "left"))
+         .join(users, "uid", "left").join(items, "iid", "left"))
     aggs = [F.count(F.lit(1)).alias("n")]
-    for c in range(n_cfg):
-        tr = F.col("fold") * n_cfg + F.lit(c + 1)
-        pred = clip_rating(F.element_at(mu_a, tr) + F.coalesce(F.element_at("bu", tr), F.lit(0.0))
-                           + F.coalesce(F.element_at("bi", tr), F.lit(0.0)))
-        aggs.append(F.sqrt(F.avg(F.pow(F.col("stars") - pred, 2))).alias(f"r{c}"))
-    per_fold = x.groupBy("fold").agg(*aggs)
-    long = per_fold.unpivot(["fold", "n"], [f"r{c}" for c in range(n_cfg)], "cfg", "rmse")
-    return long.select("fold", F.substring("cfg", 2, 9).cast("int").alias("cfg"), "n", "rmse")
+    for e in epochs:
+        for c in range(n_cfg):
+            tr = F.col("fold") * n_cfg + F.lit(c + 1)
+            pred = clip_rating(F.element_at(mu_a, tr) + F.coalesce(F.element_at(f"bu{e}", tr), F.lit(0.0))
+                               + F.coalesce(F.element_at(f"bi{e}", tr), F.lit(0.0)))
+            aggs.append(F.sqrt(F.avg(F.pow(F.col("stars") - pred, 2))).alias(f"{e}_{c}"))
+    long = x.groupBy("fold").agg(*aggs).unpivot(["fold", "n"], [f"{e}_{c}" for e in epochs for c in range(n_cfg)], "track", "rmse")
+    part = F.split("track", "_")
+    return long.select(part[0].cast("int").alias("epoch"), "fold", part[1].cast("int").alias("cfg"), "n", "rmse")

@@ -38,22 +38,27 @@ def materialize(df: DataFrame, name: str = "t") -> DataFrame:
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)  # known: no job to read it off the files
 
 
-# Row bound under which a materialised table is broadcast to the join.
-BROADCAST_MAX_ROWS = 2_000_000
+# Bytes under which a table is broadcast to a join.
+BROADCAST_MAX_BYTES = 64 << 20
+
+
+def row_bytes(df: DataFrame) -> int:
+    """Bytes of a row of fixed-width columns; others count as 64."""
+    return sum(64 if f.dataType.typeName() in ("string", "binary", "array", "map", "struct", "vectorudt") else 8 for f in df.schema)
 
 
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
-               max_rows: int = BROADCAST_MAX_ROWS, rows: int | None = None) -> DataFrame:
+               max_bytes: int = BROADCAST_MAX_BYTES, rows: int | None = None) -> DataFrame:
     """Join ``big`` with a table that is usually small (a model's parameter table).
 
-    The small side is broadcast only after its row count is checked against
-    ``max_rows``; beyond it the planner's shuffle join (with AQE skew
+    The small side is broadcast only after its rows are counted and their width is within
+    ``max_bytes``; beyond it the planner's shuffle join (with AQE skew
     splitting) is used.  Meant for materialised inputs, whose count is read
     from file metadata; pass ``rows`` when the count is already known."""
-    if (rows if rows is not None else small.count()) <= max_rows:
+    if (rows if rows is not None else small.count()) * row_bytes(small) <= max_bytes:
         return big.join(F.broadcast(small), on, how)
     return big.join(small, on, how)
 

