@@ -31,9 +31,12 @@ CHUNK = 1 << 17
 #: Bytes of transducers that go to the tasks together (one transducer at least).
 TRAY = 16 << 20
 #: Text that is counted at a time, bytes.
-STRETCH = 4 << 20
+STRETCH = 8 << 20
+#: Counts that a task adds up before it hands them over.
+HELD = 1 << 20
 #: Terms and sources of a block of pair sums.
 TERMS, SOURCES = 2048, 128
+#: Shares are counted in such parts of one.
 ONE = 1_000_000_000
 
 # Bytes of a term are letters of ASCII and whatever is beyond ASCII.
@@ -202,20 +205,33 @@ def recount(docs: DataFrame, trays: _Trays) -> DataFrame:
     """``lang, source, ordinal, n``, written: occurrences of the vocabulary's terms."""
     def counter(name: str, sent):
         def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            numbers: dict[tuple, int] = {}  # (lang, source) -> its number in this task
+            held = np.zeros(0, np.int64), np.zeros(0, np.int64)  # number and ordinal in one key, count
+
+            def flush() -> pa.RecordBatch:
+                groups = list(numbers)
+                own = pa.array(held[0] >> 40)
+                return pa.RecordBatch.from_arrays([pa.array([g[i] for g in groups], pa.string()).take(own) for i in (0, 1)]
+                                                  + [pa.array(held[0] & ((1 << 40) - 1), pa.int64()), pa.array(held[1], pa.int64())], ["lang", "source", "ordinal", "n"])
+
             for batch in batches:
                 lang, langs = _keys(batch.column("lang"))
                 source, sources = _keys(batch.column("source"))
+                both, group = np.unique(lang * len(sources) + source, return_inverse=True)
+                group = np.array([numbers.setdefault((langs[k // len(sources)], sources[k % len(sources)]), len(numbers)) for k in both.tolist()], np.int64)[group]
                 for a, b, buffer, edges in _texts(batch):
                     starts, ends = term_spans(buffer, edges)
                     doc = a + np.searchsorted(edges, starts, "right") - 1
                     ordinal = _vocabulary(name, sent).ordinals(langs, lang[doc], buffer, starts, ends)
                     has = np.flatnonzero(ordinal >= 0)
-                    groups, group = np.unique(lang[doc[has]] * len(sources) + source[doc[has]], return_inverse=True)
-                    found, n = np.unique((group << 40) | ordinal[has], return_counts=True)
-                    own = groups[found >> 40]
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array(langs, pa.string()).take(pa.array(own // len(sources))), pa.array(sources, pa.string()).take(pa.array(own % len(sources))),
-                        pa.array(found & ((1 << 40) - 1), pa.int64()), pa.array(n, pa.int64())], ["lang", "source", "ordinal", "n"])
+                    found, n = np.unique((group[doc[has]] << 40) | ordinal[has], return_counts=True)
+                    keys, at = np.unique(np.concatenate([held[0], found]), return_inverse=True)
+                    held = keys, np.bincount(at, np.concatenate([held[1], n]), len(keys)).astype(np.int64)  # a task's counts are far below 2^53
+                    if len(keys) > HELD:
+                        yield flush()
+                        held = np.zeros(0, np.int64), np.zeros(0, np.int64)
+            if len(held[0]):
+                yield flush()
         return run
 
     spark, schema = docs.sparkSession, "lang string, source string, ordinal long, n long"
@@ -248,8 +264,12 @@ def _spell(rows: DataFrame, trays: _Trays) -> DataFrame:
 
 
 def _share(count: str, total: str, size: str):
-    """``1 + floor(ONE * (count + 5) / (total + 5 * size))``; ``size`` is not zero."""
-    return F.expr(f"1 + (cast({ONE} as decimal(10,0)) * cast({count} + 5 as decimal(19,0))) div (cast({total} as decimal(19,0)) + 5 * cast({size} as decimal(18,0)))")
+    """``1 + floor(ONE * (count + 5) / (total + 5 * size))``; ``size`` is not zero.
+
+    ``ONE`` is 31,250 * 32,000: two long divisions in place of one of 10^9-fold numbers,
+    exact while the sums are below 2.8 * 10^14."""
+    c, d = f"({count} + 5L)", f"({total} + 5L * {size})"
+    return F.expr(f"1L + ({c} * 31250L) div {d} * 32000L + (({c} * 31250L) % {d} * 32000L) div {d}")
 
 
 def _pair_sums(pdf: pd.DataFrame) -> pd.DataFrame:
