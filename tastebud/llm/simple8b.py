@@ -36,8 +36,7 @@ def encode(values: np.ndarray) -> bytes:
     over = v >= ESCAPE
     escapes, code = v[over], np.where(over, np.uint64(ESCAPE), v)
     bits = np.zeros(n + 240, np.int8)  # as if zeros followed: the last word may be part empty
-    for k in range(30):
-        bits[:n] += code >= (1 << k)
+    bits[:n] = np.frexp(code.astype(np.float64))[1]  # bits of a whole number below 2^53; 0 for 0
     best = {1: bits}  # maximum of the p bits from each position
     for p in (2, 4, 8, 16, 32, 64, 128):
         best[p] = np.maximum(best[p // 2], np.append(best[p // 2][p // 2:], np.zeros(p // 2, np.int8)))
