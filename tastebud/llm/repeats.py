@@ -10,7 +10,8 @@ Comparing every window with every other is cut down without losing a repeat:
    seen once in the corpus is a run without repeats.  Each chunk sends its distinct
    minimizers' hashes, packed into one row a bucket, and how many bytes of distinct runs
    each has; a bucket answers which were seen twice.  (A false answer only costs work.)
-3. Of the runs of repeated minimizers, the *contents*, each chunk sends one hash (with
+3. Of the runs of repeated minimizers, the *contents*, which are found once and written
+   as flat columns a chunk, each chunk sends one hash (with
    the minimizer's, about a hundred bits) and the first place for each distinct one.
    A bucket answers which are later copies of an equal content, and which
    minimizers have several contents.  A minimizer that very many chunks have, or
@@ -96,9 +97,13 @@ def chunks(docs: DataFrame, buckets: int) -> DataFrame:
                     ["chunk", "docs", "sizes", "data"])
                 number += 1
 
-    spark, name = docs.sparkSession, f"chunks_{uuid.uuid4().hex}"
-    (arrow_map(documents(docs), run, CHUNK_SCHEMA).write.bucketBy(buckets, "chunk")
-     .option("path", f"{scratch_dir(spark)}/{name}").saveAsTable(name))
+    return _bucketed_table(arrow_map(documents(docs), run, CHUNK_SCHEMA), buckets, "chunks")
+
+
+def _bucketed_table(df: DataFrame, buckets: int, kind: str) -> DataFrame:
+    """``df`` as a written table that joins others on ``chunk`` without being moved."""
+    spark, name = df.sparkSession, f"{kind}_{uuid.uuid4().hex}"
+    df.write.bucketBy(buckets, "chunk").option("path", f"{scratch_dir(spark)}/{name}").saveAsTable(name)
     return spark.table(name)
 
 
@@ -234,7 +239,11 @@ def _seen(table: DataFrame, spec: Spec, buckets: int) -> DataFrame:
 class Contents:
     """A chunk's distinct contents of repeated minimizers, in a fixed order: number of windows,
     whether own windows can repeat, bucket, hashes of minimizer and content, first place
-    (``doc, pos``) and all first windows (``places``)."""
+    (``doc, pos``) and all first windows (``places``).  Found once a chunk and written
+    (``_contents``); every later step reads the columns back (``Contents.read``)."""
+
+    COLUMNS = {"windows": "<i4", "route": "<u8", "hash": "<u8", "doc": "<i8", "pos": "<i4", "times": "<i4", "places": "<i4"}
+    FLAGS = {"again": "windows", "place_later": "places"}  # bit masks as long as the named column
 
     def __init__(self, chunk: Chunk, seen: list | None, buckets: int, routes: int):
         import xxhash
@@ -262,11 +271,11 @@ class Contents:
                 found[c] = [n, r, m, [s]]
             else:
                 got[3].append(s)
-        self.content, vals = list(found), found.values()
+        content, vals = list(found), found.values()
         k = len(found)
         self.windows = np.fromiter((v[0] for v in vals), np.int64, k)
         self.again = np.fromiter((v[1] for v in vals), bool, k)
-        self.hash = np.fromiter(map(xxhash.xxh64_intdigest, self.content), np.uint64, k)
+        self.hash = np.fromiter(map(xxhash.xxh64_intdigest, content), np.uint64, k)
         # a window of its own is told by two hashes, as a content is by its minimizer's and its own
         self.route = np.fromiter((xxhash.xxh64_intdigest(c, 1) if v[2] is None else v[2] for c, v in found.items()), np.uint64, k)
         self.bucket = (self.route % np.uint64(routes)).astype(np.int64)
@@ -282,6 +291,29 @@ class Contents:
         self.place_later = (self.place_doc != self.doc[of]) | (self.place_pos != self.pos[of])
         self.of = of
 
+    def write(self) -> dict[str, bytes]:
+        return ({k: getattr(self, k).astype(t).tobytes() for k, t in self.COLUMNS.items()}
+                | {k: np.packbits(getattr(self, k)).tobytes() for k in self.FLAGS})
+
+    @classmethod
+    def read(cls, row: dict, routes: int) -> Contents:
+        c = cls.__new__(cls)
+        for k in cls.COLUMNS.keys() & row.keys():
+            setattr(c, k, np.frombuffer(row[k], cls.COLUMNS[k]))
+        for k in cls.FLAGS.keys() & row.keys():
+            n = len(getattr(c, cls.FLAGS[k]))
+            setattr(c, k, np.unpackbits(np.frombuffer(row[k], np.uint8), count=n).astype(bool))
+        c.bucket = (c.route % np.uint64(routes)).astype(np.int64)
+        if "times" in row:
+            c.of = np.repeat(np.arange(len(c.times)), c.times)
+        return c
+
+    def texts(self, chunk: Chunk, pick: np.ndarray) -> list[bytes]:
+        """The picked contents' own text, words parted by one space."""
+        first = self.places[np.cumsum(self.times) - self.times][pick].tolist()
+        out = [chunk.content(p, n) for p, n in zip(first, self.windows[pick].tolist())]
+        return [b" ".join(c.split()) for c in out] if chunk.spec.words else out
+
     def by_bucket(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Order by bucket, the buckets that occur, and their edges in that order."""
         order = np.argsort(self.bucket, kind="stable")
@@ -289,13 +321,27 @@ class Contents:
         return order, own, np.append(at, len(order))
 
 
-def _copies(table: DataFrame, spec: Spec, buckets: int, routes: int) -> DataFrame:
+def _contents(table: DataFrame, spec: Spec, buckets: int, routes: int) -> DataFrame:
+    """``chunk`` and the columns of its ``Contents``."""
+    names = [*Contents.COLUMNS, *Contents.FLAGS]
+
+    def run(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                c = Contents(Chunk(row, spec), row["seen"], buckets, routes).write()
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([row["chunk"]], pa.int64()), *(pa.array([c[k]], pa.binary()) for k in names)], ["chunk", *names])
+
+    return arrow_map(table, run, "chunk long, " + ", ".join(f"{k} binary" for k in names))
+
+
+def _copies(contents: DataFrame, routes: int) -> DataFrame:
     """``chunk, copies`` (list of ``bucket, later, several``: bit masks over the chunk's contents in
     that bucket)."""
     def send(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                c = Contents(Chunk(row, spec), row["seen"], buckets, routes)
+                c = Contents.read(row, routes)
                 order, own, edge = c.by_bucket()
                 parts = [order[a:b] for a, b in zip(edge[:-1], edge[1:])]
                 cols = [(c.route >> np.uint64(32)).astype("<u4"), c.hash.astype("<u8"), c.doc.astype("<i8"), c.pos.astype("<i4")]
@@ -319,7 +365,7 @@ def _copies(table: DataFrame, spec: Spec, buckets: int, routes: int) -> DataFram
         return pa.table({"chunk": group.column("chunk"), "bucket": group.column("bucket"),
                          "later": pa.array(masks[0], pa.binary()), "several": pa.array(masks[1], pa.binary())})
 
-    sent = arrow_map(table, send, "bucket int, chunk long, m binary, h binary, doc binary, pos binary")
+    sent = arrow_map(contents.select("chunk", "route", "hash", "doc", "pos"), send, "bucket int, chunk long, m binary, h binary, doc binary, pos binary")
     got = sent.groupBy("bucket").applyInArrow(answer, "chunk long, bucket int, later binary, several binary")
     return got.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "later", "several")).alias("copies"))
 
@@ -345,18 +391,24 @@ def covered(docs: DataFrame, spec: Spec, solve: Solver, finish: Callable[[Chunk,
     of (doc, pos, text) and says of each window whether it occurs earlier."""
     buckets = max(12, input_bytes(documents(docs)) // (16 << 20))
     routes = 2 * buckets
-    table = chunks(docs, max(buckets, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
-    table = table.join(materialize(_seen(table, spec, buckets), "seen"), "chunk", "left")
-    table = table.join(materialize(_copies(table, spec, buckets, routes), "copies"), "chunk", "left")
+    width = max(buckets, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    table = chunks(docs, width)
+    seen = materialize(_seen(table, spec, buckets), "seen")
+    contents = _bucketed_table(_contents(table.join(seen, "chunk", "left"), spec, buckets, routes), width, "contents")
+    copies = materialize(_copies(contents, routes), "copies")
+    table = table.join(contents, "chunk").join(copies, "chunk", "left")
 
     def send(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                c = Contents(Chunk(row, spec), row["seen"], buckets, routes)
+                c = Contents.read(row, routes)
                 pick = np.flatnonzero(_answered(c, row["copies"])[1])
+                if not len(pick):
+                    continue
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c.bucket[pick].astype(np.int32)), pa.array(np.full(len(pick), row["chunk"])), pa.array(pick.astype(np.int32)),
-                     pa.array((c.route[pick] >> np.uint64(33)).astype(np.int32)), pa.array([c.content[i] for i in pick.tolist()], pa.binary()), pa.array(c.windows[pick]), pa.array(c.doc[pick]), pa.array(c.pos[pick])],
+                     pa.array((c.route[pick] >> np.uint64(33)).astype(np.int32)), pa.array(c.texts(Chunk(row, spec), pick), pa.binary()),
+                     *(pa.array(x[pick].astype(np.int64)) for x in (c.windows, c.doc, c.pos))],
                     ["bucket", "chunk", "number", "part", "content", "windows", "doc", "pos"])
 
     def decide(group: pa.Table) -> pa.Table:
@@ -385,7 +437,7 @@ def covered(docs: DataFrame, spec: Spec, solve: Solver, finish: Callable[[Chunk,
         for batch in batches:
             for row in batch.to_pylist():
                 chunk = Chunk(row, spec)
-                c = Contents(chunk, row["seen"], buckets, routes)
+                c = Contents.read(row, routes)
                 later, _ = _answered(c, row["copies"])
                 edge = np.zeros(len(chunk.symbols) + 1, np.int32)
                 whole = later[c.of] | c.place_later
