@@ -41,13 +41,14 @@ def matrix_sparsity(triples: DataFrame) -> DataFrame:
 
 
 def category_counts(df: DataFrame, col: str = "categories") -> DataFrame:
-    """``(category, n)``: occurrences of each ``", "``-separated category (null skipped)."""
+    """``(category, n)``: occurrences of each ``", "``-separated category (null skipped), most frequent first."""
     return (df.select(F.explode(split_categories(col)).alias("category"))
-            .groupBy("category").agg(F.count(F.lit(1)).alias("n")))
+            .groupBy("category").agg(F.count(F.lit(1)).alias("n"))
+            .orderBy(F.col("n").desc(), "category"))
 
 
 def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Per column: nulls, non-nulls and the null fraction, from one aggregation pass."""
+    """Per column: nulls, non-nulls and the null fraction, from one aggregation pass; most nulls first."""
     cols = list(columns or df.columns)
     aggs = [F.count(F.lit(1)).alias("_rows")] + [F.count(F.col(c)).alias(f"_nn_{i}")
                                                  for i, c in enumerate(cols)]
@@ -56,7 +57,7 @@ def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
     long = wide.selectExpr("_rows", f"stack({len(cols)}, {stack}) AS (column_name, n_nonnull)")
     return long.select("column_name", (F.col("_rows") - F.col("n_nonnull")).alias("n_null"),
                        "n_nonnull",
-                       ((F.col("_rows") - F.col("n_nonnull")) / F.col("_rows")).alias("frac_null"))
+                       ((F.col("_rows") - F.col("n_nonnull")) / F.col("_rows")).alias("frac_null")).orderBy(F.col("n_null").desc(), "column_name")
 
 
 def stars_by_open(business: DataFrame) -> DataFrame:

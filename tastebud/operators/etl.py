@@ -3,10 +3,16 @@ CSV round trips."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
+
+from ..session import ship_package
+from ..sources import io
 
 
 def semi_join(big: DataFrame, keys: DataFrame, on: str) -> DataFrame:
@@ -50,57 +56,100 @@ def checkin_summary_from_events(events: DataFrame, business: DataFrame, key: str
 
 
 # ---------------------------------------------------------------- JSON flattening
+#
+# Records go through Python's parser in Arrow batches, once each: it keeps the last value of a
+# repeated key, and a number's own text, which a variant doesn't.
+
+class _Number(str):
+    """A JSON number by its own text."""
+
+
+def _record(line: str | None) -> dict:
+    """The JSON object of a line; an empty one for anything else."""
+    try:
+        v = json.loads(line or "", parse_int=_Number, parse_float=_Number, parse_constant=_Number)
+    except (ValueError, RecursionError):
+        return {}
+    return v if isinstance(v, dict) else {}
 
-def _is_object(v: Column) -> Column:
-    return F.coalesce(F.schema_of_variant(v).startswith("OBJECT<"), F.lit(False))
 
+def _entries(record: dict) -> Iterator[tuple[str, object]]:
+    """``(dotted name, value)`` of every entry at any depth, an object before what it holds."""
+    levels = [("", iter(record.items()))]
+    while levels:
+        prefix, entries = levels[-1]
+        for key, value in entries:
+            name = prefix + key
+            yield name, value
+            if isinstance(value, dict):
+                levels.append((f"{name}." if name else "", iter(value.items())))
+                break
+        else:
+            levels.pop()
 
-def _children(path: Column, v: Column) -> Column:
-    """``array<struct<path, v>>``: the entries of a JSON object, one level down."""
-    return F.transform(F.map_entries(v.cast("map<string,variant>")), lambda e: F.struct(
-        F.when(path.isNull(), e["key"]).otherwise(F.concat(path, F.lit("."), e["key"])).alias("path"),
-        e["value"].alias("v")))
 
+def _json_text(v) -> str:
+    if isinstance(v, dict):
+        return "{" + ",".join(f"{json.dumps(k, ensure_ascii=False)}:{_json_text(x)}" for k, x in v.items()) + "}"
+    if isinstance(v, list):
+        return "[" + ",".join(map(_json_text, v)) + "]"
+    return v if isinstance(v, _Number) else json.dumps(v, ensure_ascii=False)
 
-def json_depth(json_lines: DataFrame, col: str = "value") -> int:
-    """Most objects nested in one another in any record (braces in strings don't count)."""
-    bare = F.regexp_replace(F.col(col), r'"(?:[^"\\]|\\.)*+"', "")
-    steps = F.aggregate(
-        F.regexp_extract_all(bare, F.lit(r"[{}]"), 0), F.struct(F.lit(0).alias("now"), F.lit(0).alias("most")),
-        lambda acc, c: F.struct(
-            (acc["now"] + F.when(c == "{", 1).otherwise(-1)).alias("now"),
-            F.greatest(acc["most"], acc["now"] + F.when(c == "{", 1).otherwise(-1)).alias("most")),
-        lambda acc: acc["most"])
-    return int(json_lines.agg(F.max(steps)).first()[0] or 0)
+
+def _cell(v) -> str:
+    text = "" if v is None else str(v) if isinstance(v, (str, bool)) else _json_text(v)
+    return text if text.isascii() else text.encode("utf-8", "replace").decode()  # halves of a pair: "?"
 
 
 def json_leaf_paths(json_lines: DataFrame, col: str = "value") -> DataFrame:
     """``(path)``: union over all records of the dotted leaf names of a JSON object column.
 
-    One chain of generators, as long as the deepest record needs (``json_depth``): each
-    level replaces every non-empty object by its entries and passes leaves through, so an
-    empty object yields no name and arrays, scalars, nulls and strings, whatever they hold,
-    are leaves.  Records that aren't JSON objects give no names, nor do those that repeat a
-    key in one object (a variant can't hold them); one ``distinct`` at the end.
-    """
-    record = json_lines.select(F.try_parse_json(F.col(col)).alias("v")).where(_is_object(F.col("v")))
-    rows = record.select(F.explode(_children(F.lit(None).cast("string"), F.col("v"))).alias("n")).select("n.path", "n.v")
-    for _ in range(json_depth(json_lines, col) - 1):
-        keep = F.array(F.struct(F.col("path"), F.lit(None).cast("variant").alias("v")))
-        rows = rows.select(F.explode(F.when(_is_object(F.col("v")), _children(F.col("path"), F.col("v")))
-                                     .otherwise(keep)).alias("n")).select("n.path", "n.v")
-    return rows.where(~_is_object(F.col("v"))).select("path").distinct()
+    An empty object yields no name; arrays, scalars, nulls and strings, whatever they hold,
+    are leaves; of a repeated key the last value counts.  Lines that aren't JSON objects (or nest
+    deeper than Python's parser goes) give no names.  A task sends each name once; one ``distinct``."""
+    def names(batches):
+        known: set[str] = set()  # as many as the data has columns
+        for batch in batches:
+            found = {_cell(name) for line in batch.column(0).to_pylist()
+                     for name, value in _entries(_record(line)) if not isinstance(value, dict)}
+            yield pa.RecordBatch.from_arrays([pa.array(sorted(found - known), pa.string())], ["path"])
+            known |= found
+
+    ship_package(json_lines.sparkSession)
+    return json_lines.select(col).mapInArrow(names, "path string").distinct()
 
 
 def json_flatten(json_lines: DataFrame, paths: Sequence[str], col: str = "value") -> DataFrame:
-    """One string column per dotted path, in the given order; missing or null
-    -> ``''``; numbers keep their JSON text (``3.0`` stays ``3.0``); booleans
-    print ``True``/``False``; arrays and objects print as JSON text."""
-    cols: list[Column] = []
-    for p in paths:
-        jp = "$" + "".join(f"['{k}']" for k in p.split("."))
-        raw = F.get_json_object(F.col(col), jp)
-        cols.append(F.coalesce(
-            F.when(raw == "true", "True").when(raw == "false", "False").otherwise(raw),
-            F.lit("")).alias(p))
-    return json_lines.select(*cols)
+    """One string column per dotted name, in the given order, one row per line; a missing name,
+    a null and a line that isn't a JSON object -> ``''``; numbers keep their JSON text (``3.0``
+    stays ``3.0``); booleans print ``True``/``False``; arrays and objects print as JSON text.
+
+    Names are matched as ``json_leaf_paths`` makes them, so every name it gives finds its
+    values, whatever quotes or dots the keys hold.  Each record is parsed once for all columns."""
+    names = list(paths)
+
+    def rows(batches):
+        for batch in batches:
+            cells = {name: [] for name in names}
+            for line in batch.column(0).to_pylist():
+                got = {name: value for name, value in ((_cell(n), v) for n, v in _entries(_record(line))) if name in cells}
+                for name in names:
+                    cells[name].append(_cell(got.get(name)))
+            yield pa.RecordBatch.from_arrays([pa.array(cells[n], pa.string()) for n in names], names)
+
+    ship_package(json_lines.sparkSession)
+    return json_lines.select(col).mapInArrow(rows, string_columns(names)) if names else json_lines.select()
+
+
+def string_columns(names: Sequence[str]) -> StructType:
+    return StructType([StructField(n, StringType()) for n in names])
+
+
+def json_to_csv(json_lines: DataFrame, root: str, col: str = "value") -> tuple[str, StructType]:
+    """Write JSON lines as CSV with a header: a column for every leaf name of any record, in
+    order of name.  Returns the folder and the schema to read it back with.
+
+    Two passes over the lines, one for names and one for values; the driver holds the names.  Names
+    that differ by case alone need ``spark.sql.caseSensitive`` (Spark refuses them otherwise)."""
+    schema = string_columns(sorted(r.path for r in json_leaf_paths(json_lines, col).toLocalIterator()))
+    return io.write_csv(json_flatten(json_lines, schema.names, col), root), schema

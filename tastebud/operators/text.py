@@ -8,12 +8,14 @@ reviews costs one pre-aggregated row per map task.
 
 from __future__ import annotations
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import clean_text, vectorizer_tokens, wordpunct_tokens
 from . import blocked
-from .common import materialize, top_n_per_group
+from .common import BROADCAST_MAX_BYTES, join_small, materialize, top_n_per_group
 from .ids import ordered_index
 
 PAD, UNK = "", "[UNK]"
@@ -160,19 +162,33 @@ def word_vectors(vocab: DataFrame, vectors: DataFrame, vec_key: str = "vec_id",
     return specials.unionByName(real)
 
 
+def doc_means(texts: DataFrame, wv: DataFrame, key: str = "review_id",
+              text: str = "text") -> DataFrame:
+    """``(key, vec)``: the mean word vector of each text with a known token (unknown tokens
+    count as zero vectors; a vector's null components as 0; shorter vectors end in zeros, and
+    a text's mean is as long as the longest vector of its tokens).
+
+    Tokens are counted per (text, token) and meet their vector once, whole; the mean is one
+    weighted vector aggregate, partial before the shuffle."""
+    toks = texts.select(key, F.explode(vectorizer_tokens(text)).alias("token"))
+    per = toks.groupBy(key, "token").agg(F.count(F.lit(1)).cast("double").alias("_c"))
+    vecs = materialize(wv.where("idx >= 2 AND size(vec) > 0").select("token", F.col("vec").alias("_v")), "token-vectors")
+    n, dim = vecs.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size("_v")), F.lit(0))).first()
+    zero = F.array_repeat(F.lit(0.0), dim)
+    vecs = vecs.select("token", F.size("_v").alias("_d"), F.slice(F.concat(F.transform(
+        "_v", lambda x: F.coalesce(x.cast("double"), F.lit(0.0))), zero), 1, dim).alias("_v"))
+    # rows are taken for narrower than vectors are, so the bound is lower by their width
+    joined = join_small(per, vecs, "token", "left", max_bytes=BROADCAST_MAX_BYTES // (1 + dim // 8), rows=n)
+    means = joined.groupBy(key).agg(
+        F.max("_d").alias("_d"), Summarizer.mean(array_to_vector(F.coalesce("_v", zero)), F.col("_c")).alias("_m"))
+    return means.where("_d IS NOT NULL").select(key, F.slice(vector_to_array("_m"), F.lit(1), F.col("_d")).alias("vec"))
+
+
 def doc_vectors(texts: DataFrame, wv: DataFrame, key: str = "review_id",
                 text: str = "text") -> DataFrame:
-    """``(key, dim, value)``: the mean word vector of each text (unknown tokens
-    count as zero vectors).  Token counts are pre-aggregated per (text, token)
-    before the join with the vectors."""
-    toks = texts.select(key, F.explode(vectorizer_tokens(text)).alias("token"))
-    per = toks.groupBy(key, "token").agg(F.count(F.lit(1)).alias("c"))
-    ntok = per.groupBy(key).agg(F.sum("c").alias("n"))
-    vexp = wv.where("idx >= 2").select("token", F.posexplode("vec").alias("dim", "v"))
-    s = per.join(vexp, "token").groupBy(key, "dim").agg(
-        F.sum(F.col("c") * F.col("v").cast("double")).alias("s"))
-    return s.join(ntok, key).select(key, F.col("dim").cast("long").alias("dim"),
-                                    (F.col("s") / F.col("n")).alias("value"))
+    """``(key, dim, value)``: ``doc_means`` in long form."""
+    return doc_means(texts, wv, key, text).select(key, F.posexplode("vec").alias("dim", "value")).select(
+        key, F.col("dim").cast("long").alias("dim"), "value")
 
 
 def token_col(c: str | Column) -> Column:

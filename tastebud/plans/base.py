@@ -83,5 +83,12 @@ def decoration(items: DataFrame) -> DataFrame:
                         F.round("stars", 6).alias("avg_stars"), "review_count")
 
 
+def decorate(top: DataFrame, items: DataFrame, rated: DataFrame) -> DataFrame:
+    """Recommendations ``(uid, rank, iid, ...)`` with their items' columns and the number of
+    ratings of each user.  Both joins are on keys, of which a user has n and an item may have many (AQE
+    splits them)."""
+    return top.join(items, "iid").join(rated, "uid")
+
+
 def user_rated_counts(triples: DataFrame) -> DataFrame:
     return triples.groupBy("uid").agg(F.count(F.lit(1)).alias("n_rated"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import itertools
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import clip_rating, md5_bucket, r6, split_categories
@@ -79,7 +79,6 @@ def q_bias_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = bias.fold_rmse(t, "fold", fits, GRID_EPOCHS).withColumnRenamed("epoch", "n_epochs")
     g = rows.join(F.broadcast(spark_cfg), "cfg").groupBy("n_epochs", "reg_u", "reg_i").agg(
         F.avg("rmse").alias("rmse"))
-    from pyspark.sql import Window
     w = Window.orderBy(F.round("rmse", 9), "n_epochs", "reg_u", "reg_i")  # 60 rows
     return g.select(F.col("n_epochs").cast("int").alias("n_epochs"), "reg_u", "reg_i",
                     r6("rmse").alias("rmse"),
@@ -97,7 +96,8 @@ def _als(spark: SparkSession, sf_dir: str):
 def q_als_topn(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = base.build(spark, sf_dir)
     m = models.fit_als(b.triples)
-    return models.als_topn(m, base.TOP_N).select("uid", "rank", "iid", F.round("score", 4).alias("score"))
+    top = models.als_topn(m, base.TOP_N).withColumn("score", F.round("score", 4))
+    return base.decorate(top, base.decoration(b.items), base.user_rated_counts(b.triples))
 
 
 def _list_shapes(top: DataFrame) -> DataFrame:
@@ -107,6 +107,35 @@ def _list_shapes(top: DataFrame) -> DataFrame:
         F.max("rank").cast("long").alias("last_rank"), F.count_distinct("iid").alias("n_items"))
 
 
+ALS_GRID = {"rank": (10, 20), "regParam": (0.05, 0.1)}
+ALS_FOLDS = 3
+
+
+def q_als_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean cross-validated RMSE of ALS for every combination of the grid, the best marked."""
+    t = validation.assign_folds(_keyed_triples(spark, sf_dir), "review_id", ALS_FOLDS)
+    _, scores = models.als_grid(t, "fold", ALS_FOLDS, ALS_GRID)
+    best = min(range(len(scores)), key=lambda i: (round(scores[i][1], 9), i))
+    return spark.createDataFrame([(c.rank, c.regParam, round(s, 4), int(i == best)) for i, (c, s) in enumerate(scores)],
+                                 "rank int, reg_param double, rmse double, is_best int")
+
+
+def q_als_grid_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every combination of the grid has an RMSE within the span of the ratings, and one is best."""
+    g = q_als_grid(spark, sf_dir)
+    span, n = base.build(spark, sf_dir).triples.agg(F.max("stars") - F.min("stars"), F.count(F.lit(1))).first()
+    n_best = F.sum("is_best").over(Window.partitionBy()).cast("int")  # a row for each combination
+    return g.select("rank", "reg_param", F.col("rmse").between(0, span).cast("int").alias("rmse_in_span"),
+                    n_best.alias("n_best"), F.lit(n).cast("long").alias("n_ratings"))
+
+
+def q_als_topn_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each user's number of ratings and of recommended items that come with name and mean rating."""
+    top = q_als_topn(spark, sf_dir)
+    return top.groupBy("uid", "n_rated").agg(
+        F.count_if(F.col("name").isNotNull() & F.col("avg_stars").between(1, 5)).alias("n_decorated"))
+
+
 def q_als_topn_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every rated user has a whole list of different items."""
     return _list_shapes(q_als_topn(spark, sf_dir))
@@ -184,7 +213,12 @@ def q_fm_topn(spark: SparkSession, sf_dir: str) -> DataFrame:
     d, f, names, asm, x, m = _fm(spark, sf_dir)
     users = f.select("uid").distinct()
     top = models.fm_topn(m, fm_item_features(d, names), users, base.TOP_N)
-    return top.select("uid", "rank", "iid", F.round(clip_rating("score"), 4).alias("pred"))
+    top = top.select("uid", "rank", "iid", F.round(clip_rating("score"), 4).alias("pred"))
+    shown = d.frame.where("uid IS NOT NULL")
+    items = d.frame.groupBy("iid").agg(  # an item's columns are alike in all its rows
+        F.first("business_id").alias("business_id"), F.first("categories").alias("categories"),
+        F.round(F.first("stars"), 6).alias("avg_stars"), F.first("review_count").alias("review_count"))
+    return base.decorate(top, items, base.user_rated_counts(shown))
 
 
 # ------------------------------------------------------------------ text regression
@@ -195,7 +229,7 @@ def _sentiment(spark: SparkSession, sf_dir: str):
     wv = _word_vectors(spark, sf_dir)
     dim = int(spark.read.parquet(f"{sf_dir.rstrip('/')}/embeddings.parquet")
               .agg(F.max(F.size("embedding"))).first()[0] or 0)
-    dv = T.doc_vectors(lab, wv)
+    dv = T.doc_means(lab, wv)
     rows = materialize(models.docvec_column(
         lab.join(split, "review_id").withColumn("tokens", vectorizer_tokens("text")), dv, dim),
         "sentiment-rows")
@@ -223,7 +257,7 @@ def q_sentiment_adhoc(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, model, wv, dim = _sentiment(spark, sf_dir)
     adhoc = spark.createDataFrame([(-(i + 1), t) for i, t in enumerate(ADHOC_TEXTS)],
                                   "review_id long, text string")
-    dv = T.doc_vectors(adhoc, wv)
+    dv = T.doc_means(adhoc, wv)
     x = models.docvec_column(adhoc.withColumn("tokens", vectorizer_tokens("text")), dv, dim)
     return model.transform(x).select("text", F.round("prediction", 4).alias("prediction"))
 

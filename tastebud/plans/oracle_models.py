@@ -6,7 +6,7 @@ import itertools
 
 from ..operators.features import DEFAULT_MIN_CATEGORY
 from .base import KEYWORDS, TOP_N
-from .models import GRID_EPOCHS, GRID_REG_I, GRID_REG_U, N_FOLDS
+from .models import ALS_GRID, GRID_EPOCHS, GRID_REG_I, GRID_REG_U, N_FOLDS
 from .oracle import r6, with_views
 from .oracle_tables import MD5_INT
 from .recsys import BIAS_CONFIG
@@ -89,6 +89,16 @@ FROM (SELECT DISTINCT uid FROM {t} WHERE uid IS NOT NULL), (SELECT COUNT(DISTINC
 ORACLES["als_topn_keys"] = with_views(["umap", "imap"], [
     """rated AS (SELECT umap.uid, imap.iid FROM ratings r JOIN umap ON r.user_id = umap.user_id
   JOIN imap ON r.business_id = imap.business_id)"""], _LISTS.format(n=TOP_N, t="rated"))
+ORACLES["als_topn_items"] = with_views(["umap", "imap"], [
+    """rated AS (SELECT umap.uid, imap.iid FROM ratings r JOIN umap ON r.user_id = umap.user_id
+  JOIN imap ON r.business_id = imap.business_id)"""], f"""
+SELECT uid, COUNT(*) AS n_rated, (SELECT LEAST({TOP_N}, COUNT(DISTINCT iid)) FROM rated) AS n_decorated
+FROM rated GROUP BY uid""")
+ORACLES["als_grid_keys"] = with_views(["umap", "imap"], [
+    "rated AS (SELECT COUNT(*) AS n FROM ratings r JOIN umap ON r.user_id = umap.user_id JOIN imap ON r.business_id = imap.business_id)"],
+    "\nUNION ALL\n".join(
+        f"SELECT CAST({rank} AS INTEGER) AS rank, CAST({reg} AS DOUBLE) AS reg_param, 1 AS rmse_in_span, 1 AS n_best, n AS n_ratings FROM rated"
+        for rank in ALS_GRID["rank"] for reg in ALS_GRID["regParam"]))
 ORACLES["fm_topn_keys"] = frame_sql(_LISTS.format(n=TOP_N, t="frame"))
 
 

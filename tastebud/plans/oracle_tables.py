@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from ..operators.filters import KEYWORD_GROUPS
 from .base import KEYWORDS, MIN_REVIEWS
 from .oracle import r6, with_views
 from .tables import CITY, PROFILE_COLUMNS
@@ -129,6 +130,19 @@ ORACLES["json_flatten"] = with_views(["business"], body="SELECT " + ",\n  ".join
         "CAST(review_count AS VARCHAR) AS review_count",
         "COALESCE(CAST(round(stars, 2) AS VARCHAR), '') AS stars"]) + "\nFROM business")
 
+ORACLES["json_to_csv"] = ORACLES["json_flatten"]
+
+ORACLES["json_scan"] = with_views(["business"], body=f"""
+SELECT business_id, name, city, is_open = 1 AS is_open, review_count, {r6('round(stars, 2)')} AS stars,
+       CASE WHEN categories IS NULL THEN NULL ELSE CAST(len(string_split(categories, ', ')) AS DOUBLE) END AS n_categories
+FROM business""")
+
+ORACLES["keyword_groups"] = with_views(["business"], body="\nUNION ALL\n".join(
+    f"SELECT '{g}' AS group_name, COUNT(*) FILTER (WHERE {hit}) AS n_category, "
+    f"COUNT(*) FILTER (WHERE {hit} AND review_count > {MIN_REVIEWS}) AS n_selected FROM business"
+    for g, words in sorted((KEYWORD_GROUPS | {"parts": KEYWORDS}).items())
+    for hit in [f"COALESCE(list_has_any(string_split(categories, ', '), {list(words)!r}), false)"]))
+
 ORACLES["csv_roundtrip"] = with_views(["business"], body=f"""
 SELECT business_id, name, categories, review_count, {r6('stars')} AS stars FROM business""")
 

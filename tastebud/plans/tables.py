@@ -42,6 +42,12 @@ def q_filter_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filters.filter_report(catalog.business(spark, sf_dir), base.KEYWORDS, base.MIN_REVIEWS)
 
 
+def q_keyword_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The filter report of every keyword group by name: the fixed ones and the tables' own."""
+    groups = filters.KEYWORD_GROUPS | {"parts": base.KEYWORDS}
+    return filters.group_report(catalog.business(spark, sf_dir), groups, base.MIN_REVIEWS)
+
+
 def q_city_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = filters.city_filter(catalog.business(spark, sf_dir), CITY)
     return b.select("business_id", "name", "city", "review_count", r6("stars").alias("stars"))
@@ -163,6 +169,22 @@ def q_json_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     return etl.json_flatten(lines, paths)
 
 
+def q_json_to_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The JSON to CSV job: business records as JSON lines, written as CSV and read back."""
+    path = io.write_json_lines(business_records(spark, sf_dir), f"{scratch_dir(spark)}/json")
+    out, schema = etl.json_to_csv(io.read_json_lines(spark, path), f"{scratch_dir(spark)}/json-csv")
+    return io.read_csv(spark, out, schema)
+
+
+def q_json_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON lines read with the schema of business records: typed columns, only the named ones parsed."""
+    records = business_records(spark, sf_dir)
+    path = io.write_json_lines(records, f"{scratch_dir(spark)}/json")
+    b = io.read_json_lines(spark, path, io.schema_of(records))
+    return b.select("business_id", "name", F.col("location.city").alias("city"), "is_open", "review_count",
+                    r6("stars").alias("stars"), F.size("categories").cast("double").alias("n_categories"))
+
+
 def q_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = catalog.business(spark, sf_dir).select("business_id", "name", "categories",
                                                "review_count", "stars")

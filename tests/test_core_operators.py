@@ -6,7 +6,7 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
-from tastebud.operators import aggregates, etl, features, ids
+from tastebud.operators import aggregates, etl, features, filters, ids, text
 from tastebud.sources import io
 
 
@@ -72,6 +72,64 @@ def test_json_leaf_paths_and_flatten(spark):
                                         ("", "", "", ""), ("", "", "", "3.0")]
 
 
+def test_json_repeated_keys_quotes_and_dots(spark):
+    """The last value of a repeated key counts; keys of any characters find their values."""
+    records = ['{"a":1,"a":2,"b":{"c":3}}', '{"b":{"c":4},"b":{"c":5,"d":null}}', '{"k\'x":"q","p.q":1.50,"br[0]\']":"z"}',
+               '{"big":123456789012345678901234567890,"e":1e3,"s":"true","t":true,"f":false}',
+               '{"b":7,"u":"\\ud800","o":[{"x":1.0,"y":"\\u00e9"},null,false]}', "{broken", None, ""]
+    lines = spark.createDataFrame([(r,) for r in records], "value string")
+    paths = sorted(r.path for r in etl.json_leaf_paths(lines).collect())
+    assert paths == sorted(["a", "b", "b.c", "b.d", "big", "br[0]']", "e", "f", "k'x", "o", "p.q", "s", "t", "u"])
+    rows = [dict(zip(paths, r)) for r in etl.json_flatten(lines, paths).collect()]
+    assert len(rows) == len(records)
+    assert (rows[0]["a"], rows[0]["b"], rows[0]["b.c"]) == ("2", '{"c":3}', "3")
+    assert (rows[1]["b.c"], rows[1]["b.d"]) == ("5", "")
+    assert (rows[2]["k'x"], rows[2]["p.q"], rows[2]["br[0]']"]) == ("q", "1.50", "z")
+    assert [rows[3][k] for k in ("big", "e", "s", "t", "f")] == ["123456789012345678901234567890", "1e3", "true", "True", "False"]
+    assert (rows[4]["b"], rows[4]["u"], rows[4]["o"]) == ("7", "?", '[{"x":1.0,"y":"\u00e9"},null,false]')
+    assert all(set(r.values()) == {""} for r in rows[5:])
+
+
+def test_json_to_csv_reads_back_equal(spark):
+    """Quotes, line breaks, commas and backslashes in values and names survive; each line is a row."""
+    lines = spark.createDataFrame([('{"id":1,"t":"say \\"hi\\",\\nthere","k\'x":{"a,b":"\\\\"}}',), ('{"id":2,"t":""}',), ("[1]",)], "value string")
+    path, schema = etl.json_to_csv(lines, tempfile.mkdtemp(prefix="tb-json-csv-"))
+    assert schema.names == ["id", "k'x.a,b", "t"]
+    got = sorted(map(tuple, io.read_csv(spark, path, schema).collect()))
+    assert got == [("", "", ""), ("1", "\\", 'say "hi",\nthere'), ("2", "", "")]
+    plan = etl.json_flatten(lines, schema.names)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "get_json_object" not in plan
+
+
+def test_keyword_groups_by_name(spark):
+    b = spark.createDataFrame([("Restaurants, Bars", 9), ("Food", 2), ("Shopping", 7), (None, 8)], "categories string, review_count int")
+    assert filters.category_filter(b, "restaurants").count() == 1
+    assert filters.category_filter(b, "restaurants", None).count() == 2
+    with pytest.raises(ValueError, match="automotive"):
+        filters.category_filter(b, "hotels")
+    got = {r.group_name: (r.n_category, r.n_selected) for r in filters.group_report(b, filters.KEYWORD_GROUPS, 5).collect()}
+    assert got == {"restaurants": (2, 1), "automotive": (0, 0), "shopping": (1, 1)}
+
+
+def test_counts_come_in_order(spark):
+    df = spark.createDataFrame([("x, y", None), ("y", None), (None, 1)], "categories string, n int")
+    assert [tuple(r) for r in aggregates.category_counts(df).collect()] == [("y", 2), ("x", 1)]
+    assert [r.column_name for r in aggregates.null_profile(df).collect()] == ["n", "categories"]
+
+
+def test_document_means(spark):
+    """Unknown tokens count as zeros; null components as 0; a text without known tokens has no row."""
+    texts = spark.createDataFrame([(1, "a a b zzz"), (2, "zzz"), (3, "c"), (4, None), (5, "")], "review_id long, text string")
+    wv = spark.createDataFrame([("", 0, [9.0, 9.0]), ("a", 2, [1.0, 2.0]), ("b", 3, [4.0, None]), ("c", 4, [7.0])],
+                               "token string, idx long, vec array<float>")
+    means = text.doc_means(texts, wv)
+    assert {r.review_id: r.vec for r in means.collect()} == {1: pytest.approx([1.5, 1.0]), 3: [7.0]}
+    long = {(r.review_id, r["dim"]): r.value for r in text.doc_vectors(texts, wv).collect()}
+    assert long == {(1, 0): pytest.approx(1.5), (1, 1): pytest.approx(1.0), (3, 0): 7.0}
+    assert "posexplode" not in means._jdf.queryExecution().optimizedPlan().toString()
+    assert text.doc_means(texts, wv.where("false")).count() == 0
+
+
 def test_csv_roundtrip_with_row_cap(spark):
     df = spark.createDataFrame([(1, 'say "hi"', "a\nb"), (2, "x,y", None)], "id int, s string, t string")
     root = tempfile.mkdtemp(prefix="tb-csv-")

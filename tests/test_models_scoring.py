@@ -405,3 +405,18 @@ def test_deepfm_streaming_is_independent_of_arrow_batch_size(spark):
         spark.conf.set(key, old)
     assert np.allclose(d1, d2, atol=1e-10)
     assert u1.keys() == u2.keys() and all(np.allclose(u1[k], u2[k], atol=1e-10) for k in u1)
+
+
+def test_als_grid_picks_the_planted_rank(spark):
+    """Ratings of two planted factors: rank 2 beats rank 1 and a strong penalty, over the given folds."""
+    rng = np.random.default_rng(5)
+    u, v = rng.normal(size=(60, 2)), rng.normal(size=(40, 2))
+    rows = [(i, j, float(3 + u[i] @ v[j]), int(rng.integers(3))) for i in range(60) for j in range(40) if rng.random() < 0.6]
+    t = spark.createDataFrame(rows, "uid long, iid long, stars double, f int").withColumn("stars", F.col("stars") - 3)
+    model, scores = models.als_grid(t, "f", 3, {"rank": (1, 2), "regParam": (0.01, 2.0)}, models.ALSConfig(maxIter=8))
+    assert [(c.rank, c.regParam) for c, _ in scores] == [(1, 0.01), (1, 2.0), (2, 0.01), (2, 2.0)]
+    best, rmse = min(scores, key=lambda s: s[1])
+    assert (best.rank, best.regParam) == (2, 0.01) and rmse < 0.2
+    assert model.rank == 2
+    with pytest.raises(ValueError):
+        models.als_grid(t, "f", 3, {"depth": (1,)})
