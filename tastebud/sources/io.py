@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from .csv_scan import scan_csv
+
 CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "multiLine": "true"}
 # Read only: an unquoted empty cell is a null and a quoted one an empty string, as they are written.
 CSV_READ_OPTIONS = CSV_OPTIONS | {"nullValue": "\0", "emptyValue": ""}
@@ -29,8 +31,8 @@ def write_csv(df: DataFrame, root: str, name: str | None = None) -> str:
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """CSV scan with header/quote handling; nulls and empty strings stay apart."""
-    return spark.read.schema(schema).options(**CSV_READ_OPTIONS).csv(path)
+    """CSV scan with header/quote handling, a large file in many tasks; nulls and empty strings stay apart."""
+    return scan_csv(spark, path, schema, CSV_READ_OPTIONS)
 
 
 def write_json_lines(df: DataFrame, root: str, name: str | None = None) -> str:

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tastebud.operators import aggregates, etl, features, filters, ids, text
-from tastebud.sources import io
+from tastebud.sources import csv_scan, io
 
 
 def test_dense_index_contiguous_and_partition_independent(spark):
@@ -101,6 +101,44 @@ def test_json_to_csv_reads_back_equal(spark):
     assert plan.count("MapInArrow") == 1 and "get_json_object" not in plan
 
 
+@pytest.mark.parametrize("split", [333, 4096])
+def test_csv_scan_in_ranges_equals_whole_files(spark, split, monkeypatch):
+    """Records that cross byte ranges, one or several, come whole; ranges of a few bytes, two files,
+    with and without a last line break."""
+    import csv
+    import random
+    rnd = random.Random(split)
+    d = tempfile.mkdtemp(prefix="tb-csv-ranges-")
+    rows = [(i, rnd.choice(["", "x,y", 'say "hi"', "a\nb\n\nc", "\n\"\n" * 60, "é\n" * rnd.randrange(90), "plain"]), rnd.choice([None, "t", "z" * 70]))
+            for i in range(400)]
+    for part in range(2):
+        with open(os.path.join(d, f"f{part}.csv"), "w", newline="") as f:
+            w = csv.writer(f, lineterminator="\r\n" if part else "\n")
+            w.writerow(["id", "head\nline", "t"])
+            w.writerows(rows[part::2])
+            if part:
+                f.write("\r\n400,last,")
+    schema = "id int, s string, t string"
+    conf = {"spark.sql.files.maxPartitionBytes": str(split), "spark.sql.files.openCostInBytes": "1"}
+    old = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        typed = spark.createDataFrame([], schema).schema
+        got = sorted(map(tuple, io.read_csv(spark, d, typed).collect()))
+        assert csv_scan._lines(spark, d).rdd.getNumPartitions() > 3
+        if split == 333:
+            monkeypatch.setattr(csv_scan, "BROADCAST_MAX_BYTES", 0)
+            assert sorted(map(tuple, io.read_csv(spark, d, typed).collect()), key=str) == sorted(got, key=str)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert got == sorted([(i, s or None, t) for i, s, t in rows] + [(400, "last", None)])
+    one = os.path.join(d, "f0.csv")
+    whole = spark.read.schema(schema).options(**io.CSV_READ_OPTIONS).csv(one)
+    assert sorted(map(str, io.read_csv(spark, one, typed).collect())) == sorted(map(str, whole.collect()))
+
+
 def test_keyword_groups_by_name(spark):
     b = spark.createDataFrame([("Restaurants, Bars", 9), ("Food", 2), ("Shopping", 7), (None, 8)], "categories string, review_count int")
     assert filters.category_filter(b, "restaurants").count() == 1
