@@ -70,30 +70,31 @@ def q_category_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return FE.padded_sequences(items.select("business_id"), idx, "business_id", d.maxlen)
 
 
-def fm_input(d: DnnInputs) -> DataFrame:
-    """Long sparse model input ``(row_key, feature, value)``: one-hot user and
-    item blocks, two min-max dense columns, then the category block with
-    weight ``1 / (number of known categories)`` (mean combiner, index 0 masked)."""
+def model_tables(d: DnnInputs) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """What the rating models train on: ``rows`` (row_key, uid, iid, rating, dense: the min-max columns),
+    ``items`` (iid, dense) and ``item_cats`` (iid, idx, weight: 1 / number of known categories, summed
+    over repeats; index 0, unknown or padding, is masked)."""
     stats = FE.column_stats(d.frame, DENSE)
-    f = FE.minmax_scale(d.frame, DENSE, stats)
+    f = FE.minmax_scale(d.frame, DENSE, stats).withColumn("dense", F.array(*[F.col(c + "_minmax").cast("double") for c in DENSE]))
+    items = f.select("iid", "dense", "categories").dropDuplicates(["iid"])  # an item's columns are alike in all its rows
+    cats = FE.category_indices(items, d.vocab, "iid").where("idx > 0").groupBy("iid", "idx").agg(F.count(F.lit(1)).alias("_n"))
+    known = cats.groupBy("iid").agg(F.sum("_n").alias("_k"))
+    return (f.select("row_key", "uid", "iid", "rating", "dense"), items.drop("categories"),
+            cats.join(known, "iid").select("iid", "idx", (F.col("_n") / F.col("_k")).alias("weight")))
+
+
+def fm_input(d: DnnInputs) -> DataFrame:
+    """:func:`model_tables` as long sparse rows ``(row_key, feature, value)``: one-hot user and
+    item blocks, the dense columns, then the category block."""
+    rows, _, item_cats = model_tables(d)
     off_i, off_d = d.n_users, d.n_users + d.n_items
     off_c = off_d + len(DENSE)
-    parts = [
-        f.where(F.col("uid").isNotNull()).select("row_key", F.col("uid").alias("feature"),
-                                                 F.lit(1.0).alias("value")),
-        f.select("row_key", (F.col("iid") + off_i).alias("feature"), F.lit(1.0).alias("value")),
-    ]
-    for j, c in enumerate(DENSE):
-        parts.append(f.select("row_key", F.lit(off_d + j).cast("long").alias("feature"),
-                              F.col(c + "_minmax").alias("value")))
-    cats = FE.category_indices(f.select("row_key", "categories"), d.vocab, "row_key").where("idx > 0")
-    ncat = cats.groupBy("row_key").agg(F.count(F.lit(1)).alias("_k"))
-    parts.append(cats.join(ncat, "row_key").select(
-        "row_key", (F.col("idx") + off_c).alias("feature"), (F.lit(1.0) / F.col("_k")).alias("value")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.groupBy("row_key", "feature").agg(F.sum("value").alias("value")).where("value <> 0")
+    own = [F.struct(F.col("uid").alias("feature"), F.lit(1.0).alias("value")),
+           F.struct((F.col("iid") + off_i).alias("feature"), F.lit(1.0).alias("value"))]
+    own += [F.struct(F.lit(off_d + j).cast("long").alias("feature"), F.col("dense")[j].alias("value")) for j in range(len(DENSE))]
+    one = rows.select("row_key", F.inline(F.array(*own)))
+    cats = rows.join(item_cats, "iid").select("row_key", (F.col("idx") + off_c).alias("feature"), F.col("weight").alias("value"))
+    return one.unionByName(cats).where("feature IS NOT NULL AND value <> 0")
 
 
 def q_fm_features(spark: SparkSession, sf_dir: str) -> DataFrame:

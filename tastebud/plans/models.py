@@ -7,9 +7,9 @@ import itertools
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalars import clip_rating, md5_bucket, r6, split_categories
+from ..functions.scalars import clip_rating, md5_bucket, r6
 from ..functions.text import vectorizer_tokens
-from ..operators import bias, features as FE, models, validation
+from ..operators import bias, features as FE, fm, models, validation
 from ..operators.common import materialize
 from ..operators import text as T
 from . import base, dnn
@@ -167,52 +167,23 @@ def q_als_holdout(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _fm(spark: SparkSession, sf_dir: str):
     d = dnn.build(spark, sf_dir)
-    stats = FE.column_stats(d.frame, dnn.DENSE)
-    f = FE.minmax_scale(d.frame, dnn.DENSE, stats).where(F.col("uid").isNotNull())
-    names = [r[0] for r in d.vocab.orderBy("idx").select("category").collect()]  # bounded vocabulary
-    rows = models.fm_rows(f, names)
-    asm = models.fm_assembler(d.n_users, d.n_items, names).fit(rows)
-    x = asm.transform(rows.withColumn("split", F.when(md5_bucket("row_key", 100) < 80, "train")
-                                      .otherwise("test")))
-    m = models.fit_fm(x.where("split = 'train'"))
-    return d, f, names, asm, x, m
+    rows, items, item_cats = dnn.model_tables(d)
+    rows = rows.where(F.col("uid").isNotNull()).withColumn(
+        "split", F.when(md5_bucket("row_key", 100) < 80, "train").otherwise("test"))
+    m = fm.fit_fm(rows.where("split = 'train'"), items, item_cats, len(dnn.DENSE))
+    return d, rows, items, m
 
 
 def q_fm_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, _, _, _, x, m = _fm(spark, sf_dir)
-    p = m.transform(x.where("split = 'test'"))
+    _, rows, _, m = _fm(spark, sf_dir)
+    p = fm.predict_fm(m, rows.where("split = 'test'"))
     return p.select("row_key", "uid", "iid", "rating",
                     F.round(clip_rating("prediction"), 4).alias("prediction"))
 
 
-def fm_item_features(d, names: list[str]) -> DataFrame:
-    """``(iid, feature, x)``: each item's non-user FM inputs in the assembler's
-    layout (item one-hot, two min-max columns, normalised category counts)."""
-    stats = FE.column_stats(d.frame, dnn.DENSE)
-    items = FE.minmax_scale(d.frame, dnn.DENSE, stats).dropDuplicates(["iid"])
-    off_i, off_d = d.n_users, d.n_users + d.n_items
-    off_c = off_d + len(dnn.DENSE)
-    parts = [items.select("iid", (F.col("iid") + off_i).alias("feature"), F.lit(1.0).alias("x"))]
-    for j, c in enumerate(dnn.DENSE):
-        parts.append(items.select("iid", F.lit(off_d + j).cast("long").alias("feature"),
-                                  F.col(c + "_minmax").alias("x")))
-    pos = items.sparkSession.createDataFrame(
-        [(n, i) for i, n in enumerate(names)], "category string, p long")
-    cats = (items.select("iid", F.explode(split_categories("categories")).alias("category"))
-            .join(F.broadcast(pos), "category"))  # bounded: the category vocabulary
-    k = cats.groupBy("iid").agg(F.count(F.lit(1)).alias("_k"))
-    parts.append(cats.join(k, "iid").select("iid", (F.col("p") + off_c).alias("feature"),
-                                            (F.lit(1.0) / F.col("_k")).alias("x")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.groupBy("iid", "feature").agg(F.sum("x").alias("x")).where("x <> 0")
-
-
 def q_fm_topn(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d, f, names, asm, x, m = _fm(spark, sf_dir)
-    users = f.select("uid").distinct()
-    top = models.fm_topn(m, fm_item_features(d, names), users, base.TOP_N)
+    d, rows, items, m = _fm(spark, sf_dir)
+    top = fm.fm_topn(m, items, rows.select("uid").distinct(), base.TOP_N)
     top = top.select("uid", "rank", "iid", F.round(clip_rating("score"), 4).alias("pred"))
     shown = d.frame.where("uid IS NOT NULL")
     items = d.frame.groupBy("iid").agg(  # an item's columns are alike in all its rows

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tastebud.operators import bias, blocked, content, models, text
+from tastebud.operators import bias, blocked, content, fm, models, text
 
 
 def _bias_numpy(rows, n_epochs, reg_u, reg_i):
@@ -298,35 +298,6 @@ def test_deepfm_hot_user_is_split_over_tasks(spark):
     assert m.users.where("uid = 0").count() == 1
 
 
-def test_fm_topn_equals_brute_force_transform(spark):
-    """Blocked FM top-n == ranking model.transform over every (user, item) pair."""
-    from pyspark.ml.linalg import Vectors
-    df = _planted(spark, n_users=12, n_items=30)
-    nu, ni = 12, 30
-    dense = {i: (i % 4) / 4.0 for i in range(ni)}
-
-    def vec(u, i):
-        idx = [u, nu + i] + ([nu + ni] if dense[i] else [])
-        val = [1.0, 1.0] + ([dense[i]] if dense[i] else [])
-        return Vectors.sparse(nu + ni + 1, idx, val)
-    rows = [(vec(r.uid, r.iid), r.stars) for r in df.collect()]
-    train = spark.createDataFrame(rows, ["features", "rating"])
-    m = models.fit_fm(train, models.FMConfig(maxIter=20, miniBatchFraction=1.0))
-    item_long = spark.createDataFrame(
-        [(i, nu + i, 1.0) for i in range(ni)] + [(i, nu + ni, dense[i]) for i in range(ni) if dense[i]],
-        "iid long, feature long, x double")
-    users = spark.createDataFrame([(u,) for u in range(nu)], "uid long")
-    got = {(r.uid, r.rank): (r.iid, round(r.score, 6)) for r in models.fm_topn(m, item_long, users, 3).collect()}
-    allp = spark.createDataFrame([(u, i, vec(u, i)) for u in range(nu) for i in range(ni)],
-                                 ["uid", "iid", "features"])
-    pred = m.transform(allp).collect()
-    for u in range(nu):
-        ranked = sorted(((round(p.prediction, 6), p.iid) for p in pred if p.uid == u),
-                        key=lambda t: (-t[0], t[1]))[:3]
-        for rank, (s, i) in enumerate(ranked, 1):
-            assert got[(u, rank)] == (i, s)
-
-
 def test_update_config_validates_and_routes_prefixes():
     import warnings
     from tastebud.operators import deepfm
@@ -337,12 +308,12 @@ def test_update_config_validates_and_routes_prefixes():
         update_config(models.ALSConfig(), {"rnk": 8})
     with warnings.catch_warnings(record=True) as w:
         warnings.simplefilter("always")
-        f = update_config(models.FMConfig(), {"factorSize": 6, "nope": 1}, strict=False)
+        f = update_config(fm.FMConfig(), {"factorSize": 6, "nope": 1}, strict=False)
     assert f.factorSize == 6 and len(w) == 1
     mixed = {"deepfm__epochs": 3, "deepfm__hidden": (64,), "fm__factorSize": 2}
     d = update_config(deepfm.DeepFMConfig(), mixed, prefix="deepfm")
     assert (d.epochs, d.hidden, d.embedding) == (3, (64,), 4)
-    assert update_config(models.FMConfig(), mixed, prefix="fm").factorSize == 2
+    assert update_config(fm.FMConfig(), mixed, prefix="fm").factorSize == 2
 
 
 def test_bias_top_items_unseen_brute_force(spark):
