@@ -86,8 +86,11 @@ def _item_item(weights: DataFrame, vocab: DataFrame, doc: str, k: int | None,
     queries = docs.join(q, "did", "left").select(
         F.col("did").alias("qid"), F.coalesce("fidx", F.array().cast("array<bigint>")).alias("fidx"),
         F.coalesce("w", F.array().cast("array<double>")).alias("w"))
+    queries = materialize(queries, "item-vectors")
     targets = queries.select(F.array("qid").alias("cids"), "fidx", "w")
-    top = blocked.blocked_top_n(queries, targets, n_feat, k or max(n_docs, 1), exclude_self=exclude_self)
+    if k:
+        queries = queries.join(blocked.term_floor(queries, targets, k), "qid")
+    top = blocked.blocked_top_n(queries, targets, n_feat, k or max(n_docs, 1), exclude_self=exclude_self, by="direction")
     a, b = docs.alias("a"), docs.alias("b")
     return (top.join(a, F.col("qid") == F.col("a.did")).join(b, F.col("cid") == F.col("b.did"))
             .select(F.col(f"a.{doc}").alias(doc), "rank", F.col(f"b.{doc}").alias(f"other_{doc}"),
@@ -99,7 +102,8 @@ def item_item_topk(weights: DataFrame, vocab: DataFrame, doc: str = "business_id
     """``(doc, rank, other, sim)``: the k most cosine-similar other items.
 
     Rows are L2-normalised, so cosine = dot product; scored with the blocked
-    top-n operator (no item x item join, no per-term pair emission)."""
+    top-n operator (no item x item join, no per-term pair emission), which skips blocks of
+    items whose terms can't bring them into an item's list."""
     return _item_item(weights, vocab, doc, k, exclude_self=True)
 
 

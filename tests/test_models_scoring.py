@@ -132,6 +132,55 @@ def test_norm_bound_ends_the_search(spark, monkeypatch):
     assert none.count() == 0 and blocked.blocked_top_n(queries.limit(0), targets, 8, n).count() == 0
 
 
+def test_blocked_top_n_by_direction_scores_a_part_of_the_pairs(spark, monkeypatch):
+    """20,000 vectors of norm one on planted topics, in several trays: lists as by brute force, under a fifth of all pairs scored."""
+    import pandas as pd
+    rng, n, nf, k = np.random.default_rng(6), 20_000, 120, 5
+    X = np.zeros((n, nf))
+    topic = rng.integers(0, 40, n)
+    for j in range(3):                                         # a topic's own terms, then some of anything
+        X[np.arange(n), topic * 3 + j] = rng.random(n) + 0.5
+    for _ in range(3):
+        X[np.arange(n), rng.integers(0, nf, n)] += 0.3 * rng.random(n)
+    X[n - 3:] = 0.0                                            # empty items
+    X[:40] = X[40:80]                                          # ties
+    X /= np.maximum(np.sqrt((X * X).sum(axis=1)), 1e-300)[:, None]
+    some = [np.flatnonzero(x) for x in X]
+    queries = spark.createDataFrame(pd.DataFrame({"qid": np.arange(n), "fidx": [f.tolist() for f in some], "w": [x[f].tolist() for x, f in zip(X, some)]}),
+                                    "qid long, fidx array<long>, w array<double>").withColumn("k", F.lit(k))
+    targets = queries.select(F.array("qid").alias("cids"), "fidx", "w")
+    queries = queries.join(blocked.term_floor(queries, targets, k), "qid")
+    monkeypatch.setattr(blocked, "TRAY", 8 << 20)
+    got = {r.qid: r for r in blocked.best_lists(queries, targets, nf, exclude_self=True, by="direction").collect()}
+    for a in range(0, n, 2000):
+        S = np.round(X[a:a + 2000] @ X.T, 6)
+        S[np.arange(len(S)), np.arange(a, a + len(S))] = -1.0
+        least = -np.partition(-S, k - 1, axis=1)[:, k - 1]
+        for q, (row, t) in enumerate(zip(S, least), a):
+            c = np.flatnonzero(row >= t)
+            want = c[np.lexsort((c, -row[c]))][:k]
+            near = [i for i in got[q].ids if i not in want]
+            assert not near or all(abs(row[i] - t) < 2e-6 for i in near), (q, got[q].ids, want)
+            assert len(set(got[q].ids)) == k and q not in got[q].ids
+    full = sum(r.scored for r in got.values())
+    assert len(got) == n and full < n * n / 5, full / n / n
+
+
+@pytest.mark.parametrize("by", ["norm", "direction"])
+def test_blocked_top_n_bounds_hold_for_signed_vectors(spark, monkeypatch, by):
+    rng = np.random.default_rng(9)
+    Q, T = rng.normal(size=(40, 6)), rng.normal(size=(300, 6)) * rng.random((300, 1)) * 3
+    monkeypatch.setattr(blocked, "BLOCK_CELLS", 60)
+    index = list(range(6))
+    queries = spark.createDataFrame([(q, index, v.tolist()) for q, v in enumerate(Q)], "qid long, fidx array<long>, w array<double>")
+    targets = spark.createDataFrame([([t], index, v.tolist()) for t, v in enumerate(T)], "cids array<long>, fidx array<long>, w array<double>")
+    got = {(r.qid, r["rank"]): r.cid for r in blocked.blocked_top_n(queries, targets, 6, 7, by=by).collect()}
+    S = np.round(Q @ T.T, 6)
+    assert got == {(q, i + 1): int(c) for q in range(40) for i, c in enumerate(np.lexsort((np.arange(300), -S[q]))[:7])}
+    with pytest.raises(ValueError):
+        blocked.pack_targets(targets, 6, "size")
+
+
 def test_content_scores_and_topn(spark):
     items = spark.createDataFrame(
         [(0, {"NoiseLevel": "u'loud'", "Ambience": "{'romantic': True}"}),
