@@ -8,8 +8,11 @@ reviews costs one pre-aggregated row per map task.
 
 from __future__ import annotations
 
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
+from collections.abc import Iterable, Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,6 +22,8 @@ from .common import BROADCAST_MAX_BYTES, join_small, materialize, top_n_per_grou
 from .ids import ordered_index
 
 PAD, UNK = "", "[UNK]"
+# Tokens whose vectors a task holds at once.
+TOKENS_AT_ONCE = 1 << 15
 
 
 def item_term_counts(reviews: DataFrame, item: str = "business_id", text: str = "text") -> DataFrame:
@@ -172,20 +177,72 @@ def doc_means(texts: DataFrame, wv: DataFrame, key: str = "review_id",
     count as zero vectors; a vector's null components as 0; shorter vectors end in zeros, and
     a text's mean is as long as the longest vector of its tokens).
 
-    Tokens are counted per (text, token) and meet their vector once, whole; the mean is one
-    weighted vector aggregate, partial before the shuffle."""
-    toks = texts.select(key, F.explode(vectorizer_tokens(text)).alias("token"))
-    per = toks.groupBy(key, "token").agg(F.count(F.lit(1)).cast("double").alias("_c"))
-    vecs = materialize(wv.where("idx >= 2 AND size(vec) > 0").select("token", F.col("vec").alias("_v")), "token-vectors")
+    A text is in one row, so its sum is made where the text lies (:func:`_text_sums`) and only one
+    row of sums a text is shuffled, to bring together texts that share a key.  Vectors beyond the
+    broadcast bound meet the tokens, counted per (text, token), in a shuffle join."""
+    one = wv.where("idx >= 2 AND size(vec) > 0").select("token", F.col("vec").alias("_v"))
+    vecs = materialize(one, "token-vectors")
     n, dim = vecs.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size("_v")), F.lit(0))).first()
-    zero = F.array_repeat(F.lit(0.0), dim)
-    vecs = vecs.select("token", F.size("_v").alias("_d"), F.slice(F.concat(F.transform(
-        "_v", lambda x: F.coalesce(x.cast("double"), F.lit(0.0))), zero), 1, dim).alias("_v"))
-    # rows are taken for narrower than vectors are, so the bound is lower by their width
-    joined = join_small(per, vecs, "token", "left", max_bytes=BROADCAST_MAX_BYTES // (1 + dim // 8), rows=n)
-    means = joined.groupBy(key).agg(
-        F.max("_d").alias("_d"), Summarizer.mean(array_to_vector(F.coalesce("_v", zero)), F.col("_c")).alias("_m"))
-    return means.where("_d IS NOT NULL").select(key, F.slice(vector_to_array("_m"), F.lit(1), F.col("_d")).alias("vec"))
+    names = [f"_s{j}" for j in range(dim)]
+    if n * 8 * (8 + dim) <= BROADCAST_MAX_BYTES:
+        parts = _text_sums(texts.select(F.col(key).alias("_key"), vectorizer_tokens(text).alias("_tokens")), vecs, dim)
+    else:
+        toks = texts.select(F.col(key).alias("_key"), F.explode(vectorizer_tokens(text)).alias("token"))
+        per = toks.groupBy("_key", "token").agg(F.count(F.lit(1)).cast("double").alias("_n"))
+        known = vecs.select("token", F.size("_v").alias("_d"), *[F.coalesce(F.get("_v", F.lit(j)).cast("double"), F.lit(0.0)).alias(f"_s{j}")
+                                                                  for j in range(dim)])
+        parts = per.join(known, "token", "left").select(
+            "_key", "_n", "_d", *[(F.coalesce(c, F.lit(0.0)) * F.col("_n")).alias(c) for c in names])
+    sums = parts.groupBy("_key").agg(F.sum("_n").alias("_n"), F.max("_d").alias("_d"), *[F.sum(c).alias(c) for c in names])
+    mean = F.slice(F.array(*[F.col(c) / F.col("_n") for c in names]).cast("array<double>"), F.lit(1), F.col("_d"))
+    return sums.where("_d IS NOT NULL").select(F.col("_key").alias(key), mean.alias("vec"))
+
+
+def _text_sums(rows: DataFrame, vecs: DataFrame, dim: int) -> DataFrame:
+    """``_key, _n, _d, _s0 ..`` for each row of ``(_key, _tokens)`` with a token: how many tokens, the longest vector
+    among them (null: none known) and the sum of their vectors.  A token with several vectors counts
+    once for each.  ``vecs`` ``(token, _v)`` goes to every task."""
+    spark = rows.sparkSession
+    found: dict[str, int] = {}
+    table, times, longest = [], [], []
+    for token, v in vecs.collect():
+        at = found.setdefault(token, len(table))
+        if at == len(table):
+            table.append(np.zeros(dim))
+            times.append(0)
+            longest.append(0)
+        table[at][:len(v)] += [0.0 if x is None else float(x) for x in v]
+        times[at] += 1
+        longest[at] = max(longest[at], len(v))
+    sent = spark.sparkContext.broadcast((list(found), np.array(table).reshape(len(table), dim), np.array(times, dtype=np.int64),
+                                         np.array(longest, dtype=np.int64)))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, table, times, longest = sent.value
+        known = pa.array(names, pa.string())
+        for batch in batches:
+            tokens = batch.column("_tokens")
+            sizes = tokens.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            ids = pc.fill_null(pc.index_in(tokens.flatten().cast(pa.string()), value_set=known), -1).to_numpy(zero_copy_only=False)
+            owner = np.repeat(np.arange(batch.num_rows), sizes)
+            hit = np.flatnonzero(ids >= 0)
+            ids, at = ids[hit], owner[hit]
+            n = sizes.copy()
+            np.add.at(n, at, times[ids] - 1)
+            d = np.zeros(batch.num_rows, np.int64)
+            np.maximum.at(d, at, longest[ids])
+            sums = np.zeros((batch.num_rows, dim))
+            for a in range(0, len(ids), TOKENS_AT_ONCE):  # rows of one text lie together
+                own = at[a:a + TOKENS_AT_ONCE]
+                first = np.flatnonzero(np.diff(own, prepend=-1))
+                sums[own[first]] += np.add.reduceat(table[ids[a:a + TOKENS_AT_ONCE]], first)
+            keep = np.flatnonzero(sizes)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("_key").take(pa.array(keep)), pa.array(n[keep].astype(np.float64)), pa.array(d[keep].astype(np.int32), mask=d[keep] == 0),
+                 *[pa.array(np.ascontiguousarray(sums[keep, j])) for j in range(dim)]], ["_key", "_n", "_d", *[f"_s{j}" for j in range(dim)]])
+
+    kind = rows.schema["_key"].dataType.simpleString()
+    return rows.mapInArrow(run, ", ".join([f"_key {kind}", "_n double", "_d int", *[f"_s{j} double" for j in range(dim)]]))
 
 
 def doc_vectors(texts: DataFrame, wv: DataFrame, key: str = "review_id",

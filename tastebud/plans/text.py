@@ -70,8 +70,7 @@ def q_item_item_cosine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def train_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = labelled_reviews(spark, sf_dir).select("review_id", "text", "stars")
-    s = validation.ordered_split(r, [F.col("review_id").asc()], 0.8)
-    return s.where("split = 'train'")
+    return validation.ordered_marks(r, "review_id", 0.8).where("split = 'train'").drop("split")
 
 
 def _vocab(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -296,3 +296,33 @@ def test_blocked_top_n_sends_targets_in_trays_of_bounded_size(spark, monkeypatch
     want = {(i, r + 1, int(c)) for i in range(50) for r, c in enumerate(np.lexsort((np.arange(30), -score[i]))[:3])}
     assert {(x.qid, x.rank, x.cid) for x in top.collect()} == want
     assert len(sent) > 2 and max(sent) <= 400
+
+
+def test_document_means_shuffle_one_row_a_text(spark, monkeypatch):
+    """Sums are made where a text lies; texts that share a key, tokens that come twice and a join
+    beyond the broadcast bound give the same means."""
+    texts = spark.createDataFrame([(1, "a a b zzz"), (1, "zzz b"), (2, "zzz"), (3, "c"), (None, "a")], "review_id long, text string")
+    wv = spark.createDataFrame([("a", 2, [1.0, 2.0]), ("b", 3, [4.0, None]), ("b", 3, [2.0, 6.0]), ("c", 4, [7.0])],
+                               "token string, idx long, vec array<float>")
+    means = text.doc_means(texts, wv)
+    # 1: a a b b zzz zzz b b, since b has two vectors
+    want = {1: pytest.approx([14 / 8, 16 / 8]), 3: [7.0], None: pytest.approx([1.0, 2.0])}
+    assert {r.review_id: r.vec for r in means.collect()} == want
+    plan = means._jdf.queryExecution().optimizedPlan().toString()
+    assert "explode" not in plan and "Join" not in plan
+    monkeypatch.setattr(text, "TOKENS_AT_ONCE", 2)
+    assert {r.review_id: r.vec for r in text.doc_means(texts, wv).collect()} == want
+    monkeypatch.setattr(text, "BROADCAST_MAX_BYTES", 0)
+    assert {r.review_id: r.vec for r in text.doc_means(texts, wv).collect()} == want
+
+
+def test_ordered_marks_equal_the_ordered_split_without_a_sort_of_the_rows(spark):
+    from tastebud.operators import validation
+    rows = spark.createDataFrame([(i * 7 % 50, f"t{i}") for i in range(50)], "id long, text string").repartition(5)
+    marked = validation.ordered_marks(rows, "id", 0.8)
+    assert {r.id for r in marked.where("split = 'train'").collect()} == set(range(40))
+    assert "Exchange" not in marked._jdf.queryExecution().executedPlan().toString()
+    same = spark.createDataFrame([(1, "a"), (1, "b"), (1, "c"), (2, "d"), (None, "e")], "id long, text string")
+    split = {r.text: r.split for r in validation.ordered_marks(same, "id", 0.6).collect()}
+    assert split["e"] == "train" and split["d"] == "test" and sorted(split[t] for t in "abc") == ["test", "train", "train"]
+    assert validation.ordered_marks(same, "id", 0.0).where("split = 'train'").count() == 0
