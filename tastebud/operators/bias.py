@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import clip_rating
-from .common import join_small, materialize
+from .common import BROADCAST_MAX_BYTES, ITERATED_BYTES, free_shuffles, join_small, materialize, release
 
 
 @dataclass(frozen=True)
@@ -43,9 +43,14 @@ class BiasModel:
     config: BiasConfig
 
 
+def _step_bytes(n_epochs: int) -> int:
+    """Bytes under which a half-step broadcasts its bias table: all of a fit's stay within ``ITERATED_BYTES``."""
+    return min(BROADCAST_MAX_BYTES, ITERATED_BYTES // (2 * max(1, n_epochs)))
+
+
 def _half_step(r: DataFrame, other: DataFrame | None, other_key: str, other_col: str,
-               key: str, out: str, mu: float, reg: float, other_rows: int | None = None) -> DataFrame:
-    x = r if other is None else join_small(r, other, other_key, rows=other_rows)
+               key: str, out: str, mu: float, reg: float, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    x = r if other is None else join_small(r, other, other_key, max_bytes=max_bytes)
     resid = F.col("stars") - F.lit(mu)
     if other is not None:
         resid = resid - F.col(other_col)
@@ -56,19 +61,21 @@ def _half_step(r: DataFrame, other: DataFrame | None, other_key: str, other_col:
 def fit_bias(triples: DataFrame, config: BiasConfig = BiasConfig(),
              user: str = "uid", item: str = "iid") -> BiasModel:
     """Fit the bias baseline on ``(uid, iid, stars)``; duplicate pairs count separately."""
-    r = triples.select(F.col(user).alias("uid"), F.col(item).alias("iid"),
-                       F.col("stars").cast("double").alias("stars")).persist()
-    st = r.agg(F.avg("stars"), F.count_distinct("uid"), F.count_distinct("iid")).first()
-    mu, n_users, n_items = st[0], st[1], st[2]
+    r = materialize(triples.select(F.col(user).alias("uid"), F.col(item).alias("iid"),
+                                   F.col("stars").cast("double").alias("stars")), "bias-ratings")
+    mu = r.agg(F.avg("stars")).first()[0]
+    most = _step_bytes(config.n_epochs)
     bu = None
     bi = None
     for _ in range(config.n_epochs):
-        bi = materialize(_half_step(r, bu, "uid", "b_u", "iid", "b_i", mu, config.reg_i, n_users), "bias-i")
-        bu = materialize(_half_step(r, bi, "iid", "b_i", "uid", "b_u", mu, config.reg_u, n_items), "bias-u")
+        old = [t for t in (bi, bu) if t is not None]
+        bi = materialize(_half_step(r, bu, "uid", "b_u", "iid", "b_i", mu, config.reg_i, most), "bias-i")
+        bu = materialize(_half_step(r, bi, "iid", "b_i", "uid", "b_u", mu, config.reg_u, most), "bias-u")
+        for t in old:
+            release(t)
     if bi is None:  # zero epochs: all biases zero
         bi = r.select("iid").distinct().withColumn("b_i", F.lit(0.0))
         bu = r.select("uid").distinct().withColumn("b_u", F.lit(0.0))
-    r.unpersist()
     return BiasModel(mu, bu, bi, config)
 
 
@@ -137,14 +144,15 @@ TRACKS = 60
 
 
 def _track_step(r: DataFrame, other: DataFrame | None, other_key: str, other_rows: int, key: str, k: int,
-                mu: list, regs: list) -> DataFrame:
+                mu: list, regs: list, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """``(key, b0 .. bT-1)``: one half-step of every track.
 
     A rating counts for the tracks that don't hold its fold out.  Residuals of all tracks are
     plain sums of columns, partial before the shuffle, so a key with a third of all ratings sends one
     row a task; wide rows are never shuffled before they are summed."""
     n_cfg = len(mu) // k
-    x = r if other is None else join_small(r, other.withColumnsRenamed({f"b{t}": f"o{t}" for t in range(len(mu))}), other_key, rows=other_rows)
+    x = r if other is None else join_small(r, other.withColumnsRenamed({f"b{t}": f"o{t}" for t in range(len(mu))}), other_key, rows=other_rows,
+                                                    max_bytes=max_bytes)
 
     def bias(t: int) -> str:
         f = t // n_cfg
@@ -158,12 +166,16 @@ def _fit_tracks(by: dict, k: int, configs: list, n_epochs: int, snapshots: tuple
     """``epoch -> (user table, item table)`` of the configs' tracks, a column each."""
     mu = [fold_mu[f] for f in range(k) for _ in configs]
     reg_u, reg_i = ([float(c[j]) for _ in range(k) for c in configs] for j in (0, 1))
-    bu, out = None, {}
+    bi, bu, out, most = None, None, {}, _step_bytes(n_epochs)
     for e in range(1, n_epochs + 1):
-        bi = materialize(_track_step(by["iid"], bu, "uid", n_users, "iid", k, mu, reg_i), "bias-fi")
-        bu = materialize(_track_step(by["uid"], bi, "iid", n_items, "uid", k, mu, reg_u), "bias-fu")
+        old = [t for t in (bi, bu) if t is not None and e - 1 not in out]
+        bi = materialize(_track_step(by["iid"], bu, "uid", n_users, "iid", k, mu, reg_i, most), "bias-fi")
+        bu = materialize(_track_step(by["uid"], bi, "iid", n_items, "uid", k, mu, reg_u, most), "bias-fu")
         if e in snapshots or e == n_epochs:
             out[e] = (bu, bi)
+        for t in old:
+            release(t)
+        free_shuffles(bu.sparkSession)  # wide rows: an epoch's files at most lie about
     return out
 
 

@@ -7,7 +7,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tastebud.operators import bias, blocked, content, fm, models, text
+from tastebud.operators import bias, blocked, common, content, fm, models, text
+from tastebud.sources import catalog
 
 
 def _bias_numpy(rows, n_epochs, reg_u, reg_i):
@@ -440,3 +441,35 @@ def test_als_grid_picks_the_planted_rank(spark):
     assert model.rank == 2
     with pytest.raises(ValueError):
         models.als_grid(t, "f", 3, {"depth": (1,)})
+
+
+def test_bias_folds_keep_no_table_but_the_snapshots(spark, monkeypatch):
+    """Tables of an epoch that nothing reads again are deleted; broadcasts of all steps have one bound."""
+    import glob
+    monkeypatch.setattr(bias, "ITERATED_BYTES", 4 * 100)
+    rows = spark.createDataFrame([(u, i, float((u * i) % 5 + 1), (u + i) % 2) for u in range(12) for i in range(6)],
+                                 "uid long, iid long, stars double, fold int")
+    place = common.scratch_dir(spark)
+    before = set(glob.glob(f"{place.removeprefix('file:')}/bias-f[iu]-*"))
+    fits = bias.fit_bias_folds(rows, "fold", 2, [(15.0, 10.0)], 4, (2,))
+    assert len(set(glob.glob(f"{place.removeprefix('file:')}/bias-f[iu]-*")) - before) == 4
+    assert set(fits.snapshots) == {2, 4} and fits.snapshots[2][0].count() == 12
+    assert bias._step_bytes(2) == 100 and bias._step_bytes(0) == 200
+    model = bias.fit_bias(rows.where("fold = 0"), bias.BiasConfig(n_epochs=4))
+    assert model.user_bias.join(fits.snapshots[4][0], "uid").where("abs(b_u - bu[1]) > 1e-12").count() == 0
+
+
+def test_ratings_are_joined_once(spark, tmp_path):
+    from tastebud.plans import base, tables
+    n = spark.range(400)
+    n.select(F.col("id").alias("o_orderkey"), (F.col("id") % 7).alias("o_custkey")).write.parquet(f"{tmp_path}/orders.parquet")
+    n.select((F.col("id") % 410).alias("l_orderkey"), (F.col("id") % 5).alias("l_partkey"), (F.col("id") % 9).cast("double").alias("l_quantity"),
+             F.lit(1).alias("l_linenumber")).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.range(6).select(F.col("id").alias("p_partkey"), F.lit("a b").alias("p_name"), F.lit("x").alias("p_brand"), F.lit("PROMO").alias("p_type"),
+                          F.col("id").cast("int").alias("p_size")).write.parquet(f"{tmp_path}/part.parquet")
+    b = base.build(spark, str(tmp_path))
+    assert "Join" not in b.rating_rows._jdf.queryExecution().optimizedPlan().toString()
+    assert b.rating_rows.count() == 400 and b.rating_rows.exceptAll(catalog.ratings(spark, str(tmp_path))).isEmpty()
+    t = tables._keyed_triples(spark, str(tmp_path))
+    assert "Join" not in t._jdf.queryExecution().optimizedPlan().toString()
+    assert t.count() == 320  # part 0 has no category
