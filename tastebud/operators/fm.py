@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import blocked
-from .common import join_small, materialize
+from .common import BROADCAST_MAX_BYTES, ITERATED_BYTES, free_shuffles, join_small, materialize, release
 
 
 @dataclass(frozen=True)
@@ -132,18 +132,23 @@ def _dense_part(weights: np.ndarray) -> Column:
 
 def _fit_users(rows: DataFrame, items: DataFrame, weights: np.ndarray, cfg: FMConfig) -> DataFrame:
     n = cfg.factorSize + 1
-    x = join_small(rows, items.select("iid", *_names("g", n)), "iid")
+    x = join_small(rows, items.select("iid", *_names("g", n)), "iid", max_bytes=_sweep_bytes(cfg))
     z = [F.lit(1.0)] + [F.col(f"g{j}") for j in range(1, n)]
     sums = x.groupBy("uid").agg(*_moments(z, F.col("rating") - _dense_part(weights) - F.col("g0")))
     ridge = _ridge(cfg)
     return _map(sums, ["uid"], _names("u", n), lambda b: _solve(_matrices(b, n) + ridge, _columns(b, _names("b", n))))
 
 
-def _item_sums(rows: DataFrame, users: DataFrame, items: DataFrame, n: int, n_dense: int) -> DataFrame:
+def _sweep_bytes(cfg: FMConfig) -> int:
+    """Bytes under which a step broadcasts a parameter table: those of all sweeps stay within ``ITERATED_BYTES``."""
+    return min(BROADCAST_MAX_BYTES, ITERATED_BYTES // (2 * max(1, cfg.maxIter)))
+
+
+def _item_sums(rows: DataFrame, users: DataFrame, items: DataFrame, n: int, n_dense: int, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """Each item's sums over its ratings, beside its parameters: ``m``, ``b`` of ``[1, v_u]`` against
     ``y - w_u``, and of each dense column ``d`` with those (``x<d>_<a>``) and with ``y - w_u`` (``q<d>``).
     Items without ratings have zeros."""
-    x = join_small(rows, users, "uid")
+    x = join_small(rows, users, "uid", max_bytes=max_bytes)
     p = [F.lit(1.0)] + [F.col(f"u{j}") for j in range(1, n)]
     target = F.col("rating") - F.col("u0")
     d = [F.col("dense")[j] for j in range(n_dense)]
@@ -221,11 +226,15 @@ def fit_fm(rows: DataFrame, items: DataFrame, item_cats: DataFrame, n_dense: int
     weights = np.array([first["mean"]] + [0.0] * n_dense)
     users = None
     for _ in range(max(1, cfg.maxIter)):
+        old = [t for t in (users, side, cats) if t is not None]
         users = materialize(_fit_users(rows, side, weights, cfg), "fm-users")
-        fitted = materialize(_fit_items(_item_sums(rows, users, side, n, n_dense), weights, cfg), "fm-item-sums")
+        fitted = materialize(_fit_items(_item_sums(rows, users, side, n, n_dense, _sweep_bytes(cfg)), weights, cfg), "fm-item-sums")
         cats = materialize(_fit_cats(fitted, item_cats, cats, cfg), "fm-cats")
         side = materialize(_with_pooled(fitted, _pooled(item_cats, cats, n), n), "fm-items")
         weights = _fit_dense(side, square, n)
+        for t in [*old, fitted]:
+            release(t)
+        free_shuffles(rows.sparkSession)
     return FMModel(cfg, users, side.select("iid", *_names("i", n), *_names("c", n), *_names("g", n)), cats, weights)
 
 

@@ -161,3 +161,18 @@ def test_fm_keeps_parameters_off_the_driver():
     import inspect
     source = inspect.getsource(fm)
     assert "toArray" not in source and "collect()" not in source and "toPandas" not in source
+
+
+def test_fm_sweeps_leave_one_set_of_tables_and_bound_their_broadcasts(spark):
+    import glob
+    from tastebud.operators.common import ITERATED_BYTES, scratch_dir
+    place = scratch_dir(spark).removeprefix("file:")
+    listed = lambda: {p for n in ("users", "items", "cats", "item-sums") for p in glob.glob(f"{place}/fm-{n}-*")}
+    before = listed()
+    rows = spark.createDataFrame([(u, i, float((u * i) % 5 + 1), [0.5]) for u in range(6) for i in range(4)],
+                                 "uid long, iid long, rating double, dense array<double>")
+    cats = spark.createDataFrame([(i, i % 2, 1.0) for i in range(4)], "iid long, idx long, weight double")
+    cfg = fm.FMConfig(maxIter=3)
+    model = fm.fit_fm(rows, rows.select("iid").distinct(), cats, 1, cfg)
+    assert len(listed() - before) == 3 and fm.predict_fm(model, rows).count() == 24
+    assert fm._sweep_bytes(cfg) * 2 * cfg.maxIter <= ITERATED_BYTES
