@@ -473,3 +473,20 @@ def test_ratings_are_joined_once(spark, tmp_path):
     t = tables._keyed_triples(spark, str(tmp_path))
     assert "Join" not in t._jdf.queryExecution().optimizedPlan().toString()
     assert t.count() == 320  # part 0 has no category
+
+
+def test_scores_below_a_full_list_are_not_sorted(monkeypatch):
+    rng = np.random.default_rng(3)
+    rows, first, second = np.arange(4), rng.normal(size=(4, 50)), rng.normal(size=(4, 60))
+    second[2, 2:4] = first[2].max()  # ties go to the smaller id
+    lists = blocked._Lists(np.full(4, 3), np.full(4, -np.inf), np.zeros(0, int), np.zeros(0), np.zeros(0, int))
+    lists.offer(rows, first, np.arange(50, 100), None)
+    lists.cut()
+    monkeypatch.setattr(np, "partition", None)  # would sort all scores of the block
+    lists.offer(rows, np.where(second > 1.2, second, -5.0), np.arange(60), np.array([0, 1, 2, 3]))
+    lists.cut()
+    for q in rows:
+        key = np.round(np.append(first[q], np.where(second[q] > 1.2, second[q], -5.0)), 6)
+        cid = np.append(np.arange(50, 100), np.arange(60))
+        key[50 + q] = -np.inf  # its own id
+        assert list(lists.cid[lists.row == q]) == list(cid[np.lexsort((cid, -key))[:3]])
