@@ -17,28 +17,33 @@ epoch:
 
 * rows are hash-partitioned by user, so a user's parameters are updated by
   one task only (a user with more rows than one task's share is salted over
-  several tasks and its copies averaged like an item's); every row carries its user's and item's current parameters
-  (joins; the item side is broadcast only behind a row-count check) and its
-  item's category parameters (grouped per item first, not per row);
+  several tasks and its copies averaged like an item's).  They are packed once
+  into chunks of mini-batches with task-local ids; an epoch moves a chunk's
+  bytes and each task's parameters, never rows with parameter arrays;
 * each task runs one pass of mini-batch Adam (lazy on sparse rows) over its
-  rows with numpy and emits the parameters it touched, with its row count;
-* a ``groupBy(block, idx)`` weighted mean merges the task copies; the new
-  parameter tables are written to the checkpoint folder, cutting lineage.
+  chunks with numpy and sends the parameters it touched, with their row
+  counts, to their owners (a hash of the id), a record per owner;
+* an owner merges the task copies by a weighted mean and sends each task the
+  parameters it needs next.  The owners' input is written to the checkpoint
+  folder, cutting lineage.
 
 The dense part (``w0``, dense weights, MLP) is a fixed-size vector whatever
-the data size; it alone travels through the driver between epochs.
+the data size; one owner averages it for all tasks.
 """
 
 from __future__ import annotations
 
+import itertools
+import pickle
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import join_small, materialize
+from .common import join_small, materialize, release
 
 
 @dataclass(frozen=True)
@@ -121,35 +126,36 @@ def _forward(P, eu, ei, ec, wsum, xd, cfg):
     fm = 0.5 * ((s * s).sum(1) - (eu * eu + ei * ei + ec * ec).sum(1))
     assert eu.shape[1] == k
     if not cfg.deep:
-        return lin + fm, (s, None, None)
+        return lin + fm, (s, None)
     h = np.concatenate([eu, ei, ec, xd], axis=1)
-    acts, pre = [h], []
+    acts = [h]
     for li in range(len(cfg.hidden)):
-        z = acts[-1] @ P[f"W{li}"] + P[f"b{li}"]
-        pre.append(z)
-        acts.append(np.maximum(z, 0.0))
+        z = acts[-1] @ P[f"W{li}"]
+        z += P[f"b{li}"]
+        acts.append(np.maximum(z, 0.0, out=z))
     deep = acts[-1] @ P["Wout"] + P["bout"][0]
-    return lin + fm + deep, (s, acts, pre)
+    return lin + fm + deep, (s, acts)
 
 
-def _backward(P, g, eu, ei, ec, xd, cache, cfg):
-    """Gradients of the summed loss w.r.t. the dense parameters and the three
-    field inputs (``[w, e]`` per field)."""
-    s, acts, pre = cache
+def _backward(P, g, eu, ei, ec, xd, cache, cfg, G=None):
+    """Gradients of the summed loss w.r.t. the dense parameters (written into ``G`` if given)
+    and the three field inputs (``[w, e]`` per field)."""
+    s, acts = cache
     k = cfg.embedding
-    G = {name: np.zeros_like(v) for name, v in P.items()}
+    if G is None:
+        G = {name: np.zeros_like(v) for name, v in P.items()}
     G["w0"][0] = g.sum()
-    G["wd"] = xd.T @ g
+    np.matmul(xd.T, g, out=G["wd"])
     gf = g[:, None]
     if not cfg.deep:
         return G, gf * (s - eu), gf * (s - ei), gf * (s - ec)
     G["bout"][0] = g.sum()
-    G["Wout"] = acts[-1].T @ g
+    np.matmul(acts[-1].T, g, out=G["Wout"])
     d = np.outer(g, P["Wout"])
     for li in reversed(range(len(cfg.hidden))):
-        d = d * (pre[li] > 0)
-        G[f"W{li}"] = acts[li].T @ d
-        G[f"b{li}"] = d.sum(0)
+        d *= acts[li + 1] > 0
+        np.matmul(acts[li].T, d, out=G[f"W{li}"])
+        np.sum(d, axis=0, out=G[f"b{li}"])
         d = d @ P[f"W{li}"].T
     dh = d                                         # wrt [eu, ei, ec, xd]
     de_u = gf * (s - eu) + dh[:, 0:k]
@@ -158,237 +164,328 @@ def _backward(P, g, eu, ei, ec, xd, cache, cfg):
     return G, de_u, de_i, de_c
 
 
+B1, B2, EPS = 0.9, 0.999, 1e-7
+
+
 class _Adam:
     """Adam for the dense parameter vector (sparse rows: :meth:`_Table.adam`)."""
 
-    def __init__(self, lr, b1=0.9, b2=0.999, eps=1e-7):
-        self.lr, self.b1, self.b2, self.eps = lr, b1, b2, eps
-        self.state = {}
+    def __init__(self, lr: float, size: int):
+        self.lr, self.t = lr, 0
+        self.m, self.v, self.x, self.y = (np.zeros(size) for _ in range(4))
+
+    def step(self, param: np.ndarray, grad: np.ndarray) -> None:
+        self.t += 1
+        x, y = self.x, self.y              # scratch
+        self.m *= B1
+        self.m += np.multiply(grad, 1 - B1, out=x)
+        self.v *= B2
+        self.v += np.multiply(np.multiply(grad, grad, out=x), 1 - B2, out=x)
+        np.sqrt(self.v, out=x)
+        x += EPS
+        np.multiply(self.m, self.lr * np.sqrt(1 - B2 ** self.t) / (1 - B1 ** self.t), out=y)
+        y /= x
+        param -= y
+
+
+def _pooled(n: int, lens: np.ndarray, vecs: np.ndarray) -> np.ndarray:
+    """Mean of each row's vectors, ``lens`` of them a row; zeros for a row without any."""
+    r_of = np.repeat(np.arange(n), lens)
+    sums = np.stack([np.bincount(r_of, vecs[:, d], n) for d in range(vecs.shape[1])], axis=1)
+    return sums / np.maximum(lens, 1)[:, None]
 
-    def step(self, name, param, rows, grad):
-        assert rows is None
-        m, v, t = self.state.get(name) or (np.zeros_like(param), np.zeros_like(param), 0)
-        t += 1
-        m = self.b1 * m + (1 - self.b1) * grad
-        v = self.b2 * v + (1 - self.b2) * grad * grad
-        lr = self.lr * np.sqrt(1 - self.b2 ** t) / (1 - self.b1 ** t)
-        param -= lr * m / (np.sqrt(v) + self.eps)
-        self.state[name] = (m, v, t)
 
+def _matrix(col: pa.Array, width: int) -> np.ndarray:
+    """A list column whose lists are all ``width`` long."""
+    return pc.list_flatten(col).to_numpy(zero_copy_only=False).astype(np.float64, copy=False).reshape(-1, width)
 
-def _local_tables(pdf: pd.DataFrame, cfg: DeepFMConfig):
-    """Dense local copies of the user, item and category parameters a task sees."""
+
+def _cat_columns(b: pa.RecordBatch, k1: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Category count of each row, and the indices and parameters of them all in order."""
+    lens = pc.list_value_length(b.column("cidx")).to_numpy(zero_copy_only=False).astype(np.int64)
+    return lens, pc.list_flatten(b.column("cidx")).to_numpy(zero_copy_only=False), _matrix(pc.list_flatten(b.column("cvecs")), k1)
+
+
+def _predict_batch(b: pa.RecordBatch, dense_vec: np.ndarray, cfg: DeepFMConfig) -> np.ndarray:
     k1 = cfg.embedding + 1
-    uids, upos = np.unique(pdf["uid"].to_numpy(), return_index=True)
-    U = np.stack([np.asarray(pdf["uvec"].iat[p], dtype=np.float64) for p in upos]) if len(uids) \
-        else np.zeros((0, k1))
-    iids, ipos = np.unique(pdf["iid"].to_numpy(), return_index=True)
-    I = np.stack([np.asarray(pdf["ivec"].iat[p], dtype=np.float64) for p in ipos]) if len(iids) \
-        else np.zeros((0, k1))
-    cat_vec: dict[int, np.ndarray] = {}
-    for p in ipos:
-        for c, vec in zip(pdf["cidx"].iat[p], pdf["cvecs"].iat[p]):
-            cat_vec.setdefault(int(c), np.asarray(vec, dtype=np.float64))
-    cids = np.array(sorted(cat_vec), dtype=np.int64)
-    C = np.stack([cat_vec[c] for c in cids]) if len(cids) else np.zeros((0, k1))
-    return uids, U, iids, I, cids, C
-
-
-def _batch_inputs(pdf, uids, U, iids, I, cids, C, maxlen):
-    """Row positions into the local tables and the mean-pooled category input."""
-    ur = np.searchsorted(uids, pdf["uid"].to_numpy())
-    ir = np.searchsorted(iids, pdf["iid"].to_numpy())
-    n = len(pdf)
-    cm = np.zeros((n, max(maxlen, 1)), dtype=np.int64)
-    mask = np.zeros((n, max(maxlen, 1)))
-    for r, cs in enumerate(pdf["cidx"]):
-        if len(cs):
-            cm[r, :len(cs)] = np.searchsorted(cids, np.asarray(cs, dtype=np.int64))
-            mask[r, :len(cs)] = 1.0
-    cnt = np.maximum(mask.sum(1), 1.0)
-    wts = mask / cnt[:, None]
-    xd = np.stack([np.asarray(a, dtype=np.float64) for a in pdf["dense"]]) if n else np.zeros((0, 0))
-    return ur, ir, cm, wts, xd
-
-
-def _predict_rows(pdf, dense_vec, cfg):
-    uids, U, iids, I, cids, C = _local_tables(pdf, cfg)
-    maxlen = int(pdf["cidx"].map(len).max() or 0) if len(pdf) else 0
-    ur, ir, cm, wts, xd = _batch_inputs(pdf, uids, U, iids, I, cids, C, maxlen)
-    P = _unpack(dense_vec, cfg)
-    if len(C):
-        cpool = (C[cm] * wts[:, :, None]).sum(1)
-    else:
-        cpool = np.zeros((len(pdf), cfg.embedding + 1))
-    eu, ei, ec = U[ur, 1:], I[ir, 1:], cpool[:, 1:]
-    wsum = U[ur, 0] + I[ir, 0] + cpool[:, 0]
-    y, _ = _forward(P, eu, ei, ec, wsum, xd, cfg)
+    U, I = _matrix(b.column("uvec"), k1), _matrix(b.column("ivec"), k1)
+    lens, _, cvecs = _cat_columns(b, k1)
+    C = _pooled(b.num_rows, lens, cvecs)
+    y, _ = _forward(_unpack(dense_vec, cfg), U[:, 1:], I[:, 1:], C[:, 1:], U[:, 0] + I[:, 0] + C[:, 0],
+                    _matrix(b.column("dense"), cfg.n_dense), cfg)
     return y
 
 
-class _Table:
-    """The parameter rows of one block that a task has met so far, grown as
-    new ids arrive, with lazy Adam state and a count of training rows."""
+# ------------------------------------------------------------------ packed parts
+
+BLOCKS = ("u", "i", "c")
+CHUNK_BATCHES = 64      # mini-batches a chunk
+SEQ_DENSE, SEQ_PARAMS, SEQ_CATS = -2, -1, 0     # records of a part before its chunks 1, 2, ...
+
 
-    def __init__(self, width: int):
+class _Numbers:
+    """Local numbers of the ids of a block, in order of arrival, with their start parameters."""
+
+    def __init__(self):
         self.pos: dict[int, int] = {}
-        self.ids: list[int] = []
-        self.size = 0
-        self.P = np.zeros((16, width))
-        self.m = np.zeros_like(self.P)
-        self.v = np.zeros_like(self.P)
-        self.t = np.zeros(16)
-        self.n = np.zeros(16, dtype=np.int64)
-
-    def _reserve(self, need: int) -> None:
-        cap = self.P.shape[0]
-        if need <= cap:
-            return
-        cap = max(need, 2 * cap)
-        for name in ("P", "m", "v", "t", "n"):
-            old = getattr(self, name)
-            new = np.zeros((cap,) + old.shape[1:], dtype=old.dtype)
-            new[:self.size] = old[:self.size]
-            setattr(self, name, new)
-
-    def rows(self, ids: np.ndarray, vec_of) -> np.ndarray:
-        """Local rows of ``ids``; an id met for the first time takes the vector
-        ``vec_of(i)`` of its first occurrence ``i`` in ``ids``."""
+        self.ids: list[np.ndarray] = []
+        self.vecs: list[np.ndarray] = []
+        self.n = np.zeros(0, dtype=np.int64)      # training rows of each
+
+    def of(self, ids: np.ndarray, vecs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Local numbers of ``ids``, and where the ids met for the first time first occur."""
         uniq, first, inv = np.unique(ids, return_index=True, return_inverse=True)
-        out = np.empty(len(uniq), dtype=np.int64)
-        fresh = []
-        for j, (key, f) in enumerate(zip(uniq.tolist(), first.tolist())):
-            r = self.pos.get(key)
-            if r is None:
-                r = self.size + len(fresh)
-                self.pos[key] = r
-                fresh.append((key, f))
-            out[j] = r
-        if fresh:
-            self._reserve(self.size + len(fresh))
-            for key, f in fresh:
-                self.P[self.size] = vec_of(f)
-                self.ids.append(key)
-                self.size += 1
-        return out[inv]
-
-    def adam(self, rows, grad, lr, b1=0.9, b2=0.999, eps=1e-7) -> None:
-        self.t[rows] += 1
-        self.m[rows] = b1 * self.m[rows] + (1 - b1) * grad
-        self.v[rows] = b2 * self.v[rows] + (1 - b2) * grad * grad
-        tt = self.t[rows][:, None]
-        step = lr * np.sqrt(1 - b2 ** tt) / (1 - b1 ** tt)
-        self.P[rows] -= step * self.m[rows] / (np.sqrt(self.v[rows]) + eps)
-
-    def frame(self, block: str) -> pd.DataFrame:
-        k = self.size
-        return pd.DataFrame({"block": block, "idx": np.asarray(self.ids, dtype=np.int64),
-                             "vec": list(self.P[:k]), "n": self.n[:k]})
-
-
-def _scatter_rows(rows: np.ndarray, grad: np.ndarray, table: _Table, lam: float):
-    """Sum the per-example gradients of each touched row, plus l2 on it."""
-    uniq, inv = np.unique(rows, return_inverse=True)
-    G = np.zeros((len(uniq), grad.shape[1]))
-    np.add.at(G, inv, grad)
-    G += 2 * lam * table.P[uniq]
-    return uniq, G
-
-
-def _pad(a: np.ndarray, width: int) -> np.ndarray:
-    return a if a.shape[1] >= width else np.pad(a, ((0, 0), (0, width - a.shape[1])))
-
-
-def _train_partition(dense_bc, cfg: DeepFMConfig):
-    """mapInPandas over rows sorted by ``h`` within the task: Arrow batches are
-    consumed one at a time (the task never holds its whole partition), mini
-    batches of ``batch_size`` carry over batch boundaries, and only the
-    parameter rows the task meets are kept."""
-    k1 = cfg.embedding + 1
+        at = np.fromiter((self.pos.get(k, -1) for k in uniq.tolist()), np.int64, len(uniq))
+        new = np.flatnonzero(at < 0)
+        at[new] = len(self.pos) + np.arange(len(new))
+        self.pos.update(zip(uniq[new].tolist(), at[new].tolist()))
+        self.ids.append(uniq[new])
+        self.vecs.append(vecs[first[new]])
+        self.n = np.concatenate([self.n, np.zeros(len(new), dtype=np.int64)])
+        return at[inv], first[new]
+
+    def params(self) -> tuple[np.ndarray, ...]:
+        return np.concatenate(self.ids), np.arange(len(self.pos), dtype=np.int32), self.n, np.concatenate(self.vecs)
+
+
+def _pack_parts(cfg: DeepFMConfig):
+    """mapInArrow over rows sorted by part and ``h``: chunks ``(users, items, rating, dense)`` of whole
+    mini-batches with local ids, the categories of each local item, and the start parameters.  Arrow batches
+    are consumed one at a time; a task holds one chunk and the ids it meets."""
+    k1, size = cfg.embedding + 1, CHUNK_BATCHES * cfg.batch_size
+
+    def part_records(part, batches):
+        U, I, C = _Numbers(), _Numbers(), _Numbers()
+        cat_lens, cats, pend, seq = [], [], None, 0
+        for b in batches:
+            ur, _ = U.of(b.column("uid").to_numpy(), _matrix(b.column("uvec"), k1))
+            ir, fresh = I.of(b.column("iid").to_numpy(), _matrix(b.column("ivec"), k1))
+            lens, cidx, cvecs = _cat_columns(b, k1)
+            take = lens[fresh]
+            at = np.repeat(np.cumsum(lens)[fresh] - np.cumsum(take), take) + np.arange(take.sum())
+            cat_lens.append(take)
+            cats.append(C.of(cidx[at], cvecs[at])[0])
+            U.n += np.bincount(ur, minlength=len(U.n))
+            I.n += np.bincount(ir, minlength=len(I.n))
+            cur = [ur.astype(np.int32), ir.astype(np.int32), b.column("rating").to_numpy(zero_copy_only=False).astype(np.float64),
+                   _matrix(b.column("dense"), cfg.n_dense)]
+            pend = cur if pend is None else [np.concatenate(x) for x in zip(pend, cur)]
+            while len(pend[0]) >= size:
+                seq += 1
+                yield part, seq, pickle.dumps([np.ascontiguousarray(x[:size]) for x in pend]), None
+                pend = [x[size:] for x in pend]
+        if len(pend[0]):
+            yield part, seq + 1, pickle.dumps([np.ascontiguousarray(x) for x in pend]), None
+        cat_lens, cats = np.concatenate(cat_lens), np.concatenate(cats)
+        C.n += np.bincount(cats, np.repeat(I.n, cat_lens), len(C.n)).astype(np.int64)
+        yield part, SEQ_CATS, pickle.dumps((cat_lens.astype(np.int32), cats.astype(np.int32))), None
+        yield part, SEQ_PARAMS, None, pickle.dumps({name: t.params() for name, t in zip(BLOCKS, (U, I, C))})
 
     def fn(batches):
-        dense = dense_bc.value.copy()
-        P = _unpack(dense, cfg)                    # views into ``dense``
-        opt = _Adam(cfg.learning_rate)
-        lam = cfg.l2_reg
-        U, I, C = _Table(k1), _Table(k1), _Table(k1)
-        l2_mask = np.r_[0.0, np.ones(cfg.n_dense)]
-        pend = None
+        for part, own in _runs(batches, "part"):
+            for r in part_records(part, own):
+                yield _records(PACKED, [r])
+    return fn
+
+
+def _runs(batches, key: str):
+    """``(value, batches)`` of each run of ``key`` in batches that are sorted by it."""
+    def cut():
+        for b in batches:
+            if b.num_rows:
+                k = b.column(key).to_numpy()
+                at = [0, *(np.flatnonzero(k[1:] != k[:-1]) + 1).tolist(), len(k)]
+                for x, y in zip(at, at[1:]):
+                    yield int(k[x]), b.slice(x, y - x)
+    import itertools
+    for value, run in itertools.groupby(cut(), key=lambda x: x[0]):
+        yield value, (b for _, b in run)
+
+
+def _rows_of(batches, *names: str):
+    for b in batches:
+        yield from zip(*(b.column(c).to_pylist() for c in names))
+
+
+PACKED = pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("rows", pa.binary()), ("params", pa.binary())])
+STATE = pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("data", pa.binary())])
+UPDATE = pa.schema([("owner", pa.int32()), ("part", pa.int32()), ("data", pa.binary())])
+PARAM = pa.schema([("block", pa.string()), ("idx", pa.int64()), ("vec", pa.list_(pa.float64()))])
+
+
+def _records(schema: pa.Schema, rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+
+
+# ------------------------------------------------------------------ training tasks
+
+class _Table:
+    """A task's parameters of one block with lazy Adam state: ``[parameters, m, v]`` a row, which a
+    step reads and writes at once."""
+
+    def __init__(self, params: list[tuple[np.ndarray, ...]], lr: float):
+        self.idx, pos, self.n, vec = (np.concatenate(x) for x in zip(*params))
+        self.pos, self.k1, self.lr = pos, vec.shape[1], lr
+        self.S = np.zeros((len(pos), 3 * self.k1))
+        self.P = self.S[:, :self.k1]
+        self.P[pos] = vec
+        self.t = np.zeros(len(pos), dtype=np.int64)
+        self.rate = np.zeros(1)
+
+    def adam(self, rows: np.ndarray, grad: np.ndarray, lam: float) -> None:
+        """A step with the gradients of each touched row summed, plus l2 on it."""
+        order = np.argsort(rows, kind="stable")
+        rows = rows[order]
+        first = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
+        rows = rows[first]
+        G = np.add.reduceat(grad[order], first, axis=0)
+        own, k1 = self.S[rows], self.k1
+        P, m, v = own[:, :k1], own[:, k1:2 * k1], own[:, 2 * k1:]
+        G += 2 * lam * P
+        t = self.t[rows] + 1
+        self.t[rows] = t
+        top = int(t.max())
+        if top >= len(self.rate):
+            e = np.arange(1, 2 * top + 1)
+            self.rate = np.concatenate([[0.0], self.lr * np.sqrt(1 - B2 ** e) / (1 - B1 ** e)])
+        m *= B1
+        m += (1 - B1) * G
+        v *= B2
+        v += (1 - B2) * G * G
+        P -= self.rate[t][:, None] * m / (np.sqrt(v) + EPS)
+        self.S[rows] = own
+
+    def params(self) -> tuple[np.ndarray, ...]:
+        return self.idx, self.pos, self.n, self.P[self.pos]
+
+
+def _split(keys: np.ndarray, cols: tuple[np.ndarray, ...]):
+    """``(key, cols)`` of the rows of each key."""
+    order = np.argsort(keys, kind="stable")
+    keys, cols = keys[order], [c[order] for c in cols]
+    at = [*np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])).tolist(), len(keys)] if len(keys) else []
+    for x, y in zip(at, at[1:]):
+        yield int(keys[x]), tuple(np.ascontiguousarray(c[x:y]) for c in cols)
+
+
+def _owner(idx: np.ndarray, parts: int) -> np.ndarray:
+    mixed = idx.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return ((mixed >> np.uint64(33)) % np.uint64(parts)).astype(np.int64)
+
+
+def _train_parts(start: np.ndarray, cfg: DeepFMConfig, parts: int):
+    """mapInArrow over the records of each part in order of ``seq``: one pass of mini-batch Adam over
+    its chunks, which come one at a time; the parameters go to their owners, the dense ones to owner 0."""
+    lam = cfg.l2_reg
+    l2_mask = np.r_[0.0, np.ones(cfg.n_dense)]
+
+    def part_updates(part, records):
+        dense, given = start.copy(), []
+        gdense = np.zeros_like(dense)
+        P, G = _unpack(dense, cfg), _unpack(gdense, cfg)      # views
+        opt = _Adam(cfg.learning_rate, len(dense))
         n_rows = 0
+        for seq, data in records:
+            data = pickle.loads(data)
+            if seq == SEQ_DENSE:
+                dense[:] = data
+            elif seq == SEQ_PARAMS:
+                given.append(data)
+            elif seq == SEQ_CATS:
+                U, I, C = (_Table([g[b] for g in given if b in g], cfg.learning_rate) for b in BLOCKS)
+                cat_lens, cats = data
+                cat_at = np.cumsum(cat_lens) - cat_lens
+            else:
+                n_rows += len(data[0])
+                for s in range(0, len(data[0]), cfg.batch_size):
+                    train(*(x[s:s + cfg.batch_size] for x in data), U, I, C, cat_lens, cat_at, cats, P, G, dense, gdense, opt)
+        out: dict[int, dict] = {}
+        for b, t in zip(BLOCKS, (U, I, C)):
+            for owner, cols in _split(_owner(t.idx, parts), t.params()):
+                out.setdefault(owner, {})[b] = cols
+        rows = [(owner, part, pickle.dumps(cols)) for owner, cols in out.items()]
+        yield _records(UPDATE, [*rows, (0, part, pickle.dumps((n_rows, dense)))])
+
+    def train(ur, ir, y, xd, U, I, C, cat_lens, cat_at, cats, P, G, dense, gdense, opt):
+        B = len(y)
+        u, i = U.P[ur], I.P[ir]
+        lens = cat_lens[ir]
+        of = np.repeat(np.arange(B), lens)               # the row and the category of each entry
+        ends = np.cumsum(lens)
+        cs = cats[np.repeat(cat_at[ir] - ends + lens, lens) + np.arange(len(of))]
+        c = _pooled(B, lens, C.P[cs])
+        pred, cache = _forward(P, u[:, 1:], i[:, 1:], c[:, 1:], u[:, 0] + i[:, 0] + c[:, 0], xd, cfg)
+        g = 2.0 * (pred - y) / B                         # d mean squared error / d pred
+        _, de_u, de_i, de_c = _backward(P, g, u[:, 1:], i[:, 1:], c[:, 1:], xd, cache, cfg, G)
+        gdense[:1 + cfg.n_dense] += 2 * lam * dense[:1 + cfg.n_dense] * l2_mask
+        opt.step(dense, gdense)
+        g = g[:, None]
+        U.adam(ur, np.concatenate([g, de_u], axis=1), lam)
+        I.adam(ir, np.concatenate([g, de_i], axis=1), lam)
+        if len(cs):
+            gc = np.concatenate([g, de_c], axis=1) / np.maximum(lens, 1)[:, None]
+            C.adam(cs, gc[of], lam)
 
-        def train(b_u, b_i, b_c, b_w, b_x, b_y):
-            B = len(b_y)
-            cpool = (C.P[b_c] * b_w[:, :, None]).sum(1) if b_c.shape[1] else np.zeros((B, k1))
-            eu, ei, ec = U.P[b_u, 1:], I.P[b_i, 1:], cpool[:, 1:]
-            wsum = U.P[b_u, 0] + I.P[b_i, 0] + cpool[:, 0]
-            pred, cache = _forward(P, eu, ei, ec, wsum, b_x, cfg)
-            g = 2.0 * (pred - b_y) / B               # d mean squared error / d pred
-            G, de_u, de_i, de_c = _backward(P, g, eu, ei, ec, b_x, cache, cfg)
-            gdense = np.concatenate([G[name].ravel() for name, _ in _dense_shapes(cfg)])
-            gdense[:1 + cfg.n_dense] += 2 * lam * dense[:1 + cfg.n_dense] * l2_mask
-            ru, GU = _scatter_rows(b_u, np.concatenate([g[:, None], de_u], axis=1), U, lam)
-            ri, GI = _scatter_rows(b_i, np.concatenate([g[:, None], de_i], axis=1), I, lam)
-            keep = b_w.ravel() > 0
-            gc = np.concatenate([g[:, None], de_c], axis=1)
-            flat_g = (gc[:, None, :] * b_w[:, :, None]).reshape(-1, k1)[keep]
-            flat_c = b_c.ravel()[keep]
-            opt.step("dense", dense, None, gdense)
-            U.adam(ru, GU, cfg.learning_rate)
-            I.adam(ri, GI, cfg.learning_rate)
-            np.add.at(U.n, b_u, 1)
-            np.add.at(I.n, b_i, 1)
-            if len(flat_c):
-                rc, GC = _scatter_rows(flat_c, flat_g, C, lam)
-                C.adam(rc, GC, cfg.learning_rate)
-                np.add.at(C.n, flat_c, 1)
-
-        for pdf in batches:
-            m = len(pdf)
-            if m == 0:
+    def fn(batches):
+        for part, own in _runs(batches, "part"):
+            yield from part_updates(part, _rows_of(own, "seq", "data"))
+    return fn
+
+
+def _merge_parts(flat: bool):
+    """mapInArrow over the updates of each owner: the weighted mean of the task copies of every
+    parameter row, as the next state of each part (``flat``: as rows of a parameter table)."""
+    def merged(records):
+        of: dict[str, list] = {b: [] for b in BLOCKS}
+        dense, n_rows, told = 0.0, 0, []
+        for part, data in records:
+            data = pickle.loads(data)
+            if isinstance(data, dict):
+                for b, cols in data.items():
+                    of[b].append((np.full(len(cols[0]), part), *cols))
+            else:
+                told.append(part)
+                n_rows += data[0]
+                dense = dense + data[0] * data[1]
+        means = {}
+        for b in BLOCKS:
+            if of[b]:
+                part, idx, pos, n, vec = (np.concatenate(x) for x in zip(*of[b]))
+                uniq, inv = np.unique(idx, return_inverse=True)
+                total = np.bincount(inv, n, len(uniq))
+                mean = np.stack([np.bincount(inv, vec[:, d] * n, len(uniq)) / total for d in range(vec.shape[1])], axis=1)
+                means[b] = uniq, mean, part, (idx, pos, n, mean[inv])
+        return means, told, dense / n_rows if told else None
+
+    def fn(batches):
+        for _, own in _runs(batches, "owner"):
+            means, told, dense = merged(_rows_of(own, "part", "data"))
+            if flat:
+                for b, (uniq, mean, _, _) in means.items():
+                    for x in range(0, len(uniq), 8192):
+                        ids, vec = uniq[x:x + 8192], mean[x:x + 8192]
+                        lists = pa.ListArray.from_arrays(np.arange(len(ids) + 1, dtype=np.int32) * vec.shape[1], vec.ravel())
+                        yield pa.RecordBatch.from_arrays([pa.array([b] * len(ids)), pa.array(ids, pa.int64()), lists], schema=PARAM)
+                if told:
+                    yield _records(PARAM, [("g", 0, dense.tolist())])
                 continue
-            n_rows += m
-            ur = U.rows(pdf["uid"].to_numpy(), lambda i: np.asarray(pdf["uvec"].iat[i], dtype=np.float64))
-            ir = I.rows(pdf["iid"].to_numpy(), lambda i: np.asarray(pdf["ivec"].iat[i], dtype=np.float64))
-            lens = pdf["cidx"].map(len).to_numpy()
-            width = int(lens.max()) if m else 0
-            cm = np.zeros((m, width), dtype=np.int64)
-            wts = np.zeros((m, width))
-            if width:
-                r_of = np.repeat(np.arange(m), lens)
-                p_of = np.concatenate([np.arange(n) for n in lens])
-                cids = np.concatenate([np.asarray(a, dtype=np.int64) for a in pdf["cidx"]])
-                cvecs = [v for vs in pdf["cvecs"] for v in vs]
-                cm[r_of, p_of] = C.rows(cids, lambda i: np.asarray(cvecs[i], dtype=np.float64))
-                wts[r_of, p_of] = (1.0 / lens)[r_of]
-            xd = np.stack([np.asarray(a, dtype=np.float64) for a in pdf["dense"]])
-            y = pdf["rating"].to_numpy(dtype=np.float64)
-            cur = [ur, ir, cm, wts, xd, y]
-            if pend is not None:
-                w = max(pend[2].shape[1], cm.shape[1])
-                cur = [np.concatenate([a, b]) for a, b in zip(
-                    [pend[0], pend[1], _pad(pend[2], w), _pad(pend[3], w), pend[4], pend[5]],
-                    [ur, ir, _pad(cm, w), _pad(wts, w), xd, y])]
-            full = len(cur[5]) // cfg.batch_size * cfg.batch_size
-            for s in range(0, full, cfg.batch_size):
-                train(*[a[s:s + cfg.batch_size] for a in cur])
-            pend = [a[full:] for a in cur] if full < len(cur[5]) else None
-        if pend is not None:
-            train(*pend)
-        if n_rows == 0:
-            return
-        res = pd.concat([U.frame("u"), I.frame("i"), C.frame("c"),
-                         pd.DataFrame({"block": ["g"], "idx": [0], "vec": [dense], "n": [n_rows]})],
-                        ignore_index=True)
-        res["idx"] = res["idx"].astype(np.int64)
-        res["n"] = res["n"].astype(np.int64)
-        yield res
+            out: dict[int, dict] = {}
+            for b, (_, _, part, cols) in means.items():
+                for p, own_cols in _split(part, cols):
+                    out.setdefault(p, {})[b] = own_cols
+            if out:
+                yield _records(STATE, [(p, SEQ_PARAMS, pickle.dumps(cols)) for p, cols in out.items()])
+            for p in told:
+                yield _records(STATE, [(p, SEQ_DENSE, pickle.dumps(dense))])
     return fn
 
 
 # ------------------------------------------------------------------ Spark plan
 
-UPDATE_SCHEMA = "block string, idx long, vec array<double>, n long"
-ROW_COLS = ["row_key", "uid", "iid", "rating", "dense", "h"]
+PACKED_SCHEMA = "part int, seq int, rows binary, params binary"
+STATE_SCHEMA = "part int, seq int, data binary"
+UPDATE_SCHEMA = "owner int, part int, data binary"
+PARAM_SCHEMA = "block string, idx long, vec array<double>"
 
 
 @dataclass
@@ -420,17 +517,6 @@ def _with_params(rows: DataFrame, users: DataFrame, item_side: DataFrame) -> Dat
     return join_small(r, item_side, "iid")
 
 
-def _merge(params: DataFrame, upd: DataFrame) -> DataFrame:
-    """All parameter rows ``(block, idx, vec)`` after an epoch: the weighted mean
-    of the task copies of each touched row; untouched rows keep their value."""
-    e = upd.select("block", "idx", "n", F.posexplode("vec").alias("d", "x"))
-    m = e.groupBy("block", "idx", "d").agg((F.sum(F.col("x") * F.col("n")) / F.sum("n")).alias("x"))
-    arr = m.groupBy("block", "idx").agg(F.sort_array(F.collect_list(F.struct("d", "x"))).alias("_v"))
-    new = arr.select("block", "idx", F.transform("_v", lambda s: s["x"]).alias("_new"))
-    return params.join(new, ["block", "idx"], "left").select(
-        "block", "idx", F.coalesce("_new", "vec").alias("vec"))
-
-
 def _block(params: DataFrame, block: str, key: str) -> DataFrame:
     return params.where(F.col("block") == block).select(F.col("idx").alias(key), "vec")
 
@@ -441,11 +527,12 @@ def salted_rows(rows: DataFrame, parts: int, seed: int) -> DataFrame:
     training tasks by row hash; the weighted merge averages its copies."""
     r = rows.select("row_key", "uid", "iid", F.col("rating").cast("double").alias("rating"),
                     "dense", F.xxhash64("row_key", F.lit(seed)).alias("h"))
-    per_user = r.groupBy("uid").agg(F.count(F.lit(1)).alias("_n"))
-    total = per_user.agg(F.sum("_n")).first()[0] or 0
-    share = max(1, -(-int(total) // parts))
-    salts = per_user.select("uid", F.ceil(F.col("_n") / F.lit(share)).cast("long").alias("_s"))
-    return r.join(salts, "uid").select(*r.columns, F.pmod(F.col("h"), F.col("_s")).alias("salt"))
+    share = max(1, -(-rows.count() // parts))
+    # fewer users than parts are that heavy
+    salts = r.groupBy("uid").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > share).select(
+        "uid", F.ceil(F.col("_n") / F.lit(share)).cast("long").alias("_s"))
+    return r.where("uid IS NOT NULL").join(F.broadcast(salts), "uid", "left").select(
+        *r.columns, F.pmod(F.col("h"), F.coalesce("_s", F.lit(1).cast("long"))).alias("salt"))
 
 
 def fit_deepfm(rows: DataFrame, users: DataFrame, items: DataFrame, item_cats: DataFrame,
@@ -461,9 +548,7 @@ def fit_deepfm(rows: DataFrame, users: DataFrame, items: DataFrame, item_cats: D
         n_rows = rows.count()
         parts = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")),
                            -(-n_rows // cfg.min_rows_per_task)))
-    # a fixed row order inside each task: hash of the row key
-    rows = materialize(salted_rows(rows, parts, cfg.seed), "deepfm-rows")
-    mu = float(rows.agg(F.avg("rating")).first()[0] or 0.0)
+    mu = float(rows.where("uid IS NOT NULL").agg(F.avg("rating")).first()[0] or 0.0)
     cat_ids = spark.range(1, n_cats + 1).select(F.col("id").alias("idx"))
     item_cats = materialize(item_cats.select("iid", "pos", "idx"), "deepfm-item-cats")
     dense = init_dense(cfg, mu)
@@ -472,20 +557,34 @@ def fit_deepfm(rows: DataFrame, users: DataFrame, items: DataFrame, item_cats: D
               .unionByName(init_sparse(items.select(F.col("iid").alias("idx")), "idx", "i", cfg)
                            .select(F.lit("i").alias("block"), "*"))
               .unionByName(init_sparse(cat_ids, "idx", "c", cfg).select(F.lit("c").alias("block"), "*"))
-              .unionByName(spark.createDataFrame([("g", 0, dense.tolist())],
-                                                 "block string, idx long, vec array<double>")))
+              .unionByName(spark.createDataFrame([("g", 0, dense.tolist())], PARAM_SCHEMA)))
     params = materialize(params, "deepfm-params")
-    sc = spark.sparkContext
-    for _ in range(cfg.epochs):
-        bc = sc.broadcast(dense)          # fixed size: the dense and MLP weights
+    if cfg.epochs:
         items_side = _item_side(_block(params, "i", "iid"), _block(params, "c", "idx"), item_cats)
-        x = (_with_params(rows, _block(params, "u", "uid"), items_side)
-             .repartition(parts, "uid", "salt").sortWithinPartitions("h"))
-        upd = materialize(x.mapInPandas(_train_partition(bc, cfg), UPDATE_SCHEMA), "deepfm-upd")
-        params = materialize(_merge(params, upd), "deepfm-params")
+        x = _with_params(salted_rows(rows, parts, cfg.seed), _block(params, "u", "uid"), items_side)
+        # a fixed row order inside each part: hash of the row key
+        x = (x.select(F.pmod(F.hash("uid", "salt"), F.lit(parts)).alias("part"), F.col("uid").cast("long").alias("uid"),
+                      F.col("iid").cast("long").alias("iid"), "rating", "dense", "h", "uvec", "ivec", "cidx", "cvecs")
+             .repartitionById(parts, "part").sortWithinPartitions("part", "h"))
+        packed = materialize(x.mapInArrow(_pack_parts(cfg), PACKED_SCHEMA), "deepfm-packed")
+        state, old = packed.select("part", "seq", F.coalesce("rows", "params").alias("data")), None
+        for _ in range(cfg.epochs):
+            told = state.repartitionById(parts, "part").sortWithinPartitions("part", "seq")
+            upd = materialize(told.mapInArrow(_train_parts(dense, cfg, parts), UPDATE_SCHEMA), "deepfm-upd")
+            if old is not None:
+                release(old)
+            old = upd
+            by_owner = upd.repartitionById(parts, "owner").sortWithinPartitions("owner", "part")
+            state = packed.where(F.col("seq") >= SEQ_CATS).select("part", "seq", F.col("rows").alias("data")).unionByName(
+                by_owner.mapInArrow(_merge_parts(False), STATE_SCHEMA))
+        new = by_owner.mapInArrow(_merge_parts(True), PARAM_SCHEMA).withColumnRenamed("vec", "_new")
+        # rows that no training row touches keep their value
+        params = materialize(params.join(new, ["block", "idx"], "left").select(
+            "block", "idx", F.coalesce("_new", "vec").alias("vec")), "deepfm-params")
+        release(packed)
+        release(upd)
         # len(dense) values, independent of the data size
         dense = np.asarray(params.where("block = 'g'").select("vec").first()[0], dtype=np.float64)
-        bc.unpersist()
     return DeepFMModel(cfg, _block(params, "u", "uid"), _block(params, "i", "iid"),
                        _block(params, "c", "idx"), item_cats, dense)
 
@@ -498,14 +597,14 @@ def predict_deepfm(model: DeepFMModel, rows: DataFrame) -> DataFrame:
     spark = rows.sparkSession
     cfg = model.cfg
     bc = spark.sparkContext.broadcast(model.dense)     # fixed size
-    r = rows.select("row_key", "uid", "iid", "dense", F.col("rating").cast("double").alias("rating"),
-                    F.lit(0).cast("long").alias("h"))
+    r = rows.select("row_key", F.col("uid").cast("long").alias("uid"), F.col("iid").cast("long").alias("iid"), "dense",
+                    F.col("rating").cast("double").alias("rating"))
     x = _with_params(r, model.users, _item_side(model.items, model.cats, model.item_cats))
 
     def fn(batches):
-        for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            yield pd.DataFrame({"row_key": pdf["row_key"], "uid": pdf["uid"], "iid": pdf["iid"],
-                                "rating": pdf["rating"], "prediction": _predict_rows(pdf, bc.value, cfg)})
-    return x.mapInPandas(fn, "row_key string, uid long, iid long, rating double, prediction double")
+        for b in batches:
+            if b.num_rows:
+                y = pa.array(_predict_batch(b, bc.value, cfg))
+                yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("row_key", "uid", "iid", "rating")), y],
+                                                 names=["row_key", "uid", "iid", "rating", "prediction"])
+    return x.mapInArrow(fn, "row_key string, uid long, iid long, rating double, prediction double")

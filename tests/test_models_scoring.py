@@ -490,3 +490,79 @@ def test_scores_below_a_full_list_are_not_sorted(monkeypatch):
         cid = np.append(np.arange(50, 100), np.arange(60))
         key[50 + q] = -np.inf  # its own id
         assert list(lists.cid[lists.row == q]) == list(cid[np.lexsort((cid, -key))[:3]])
+
+
+def test_deepfm_epochs_move_packed_parts_and_equal_plain_adam(spark, monkeypatch):
+    """An epoch joins nothing and leaves no table; its result equals Adam written out over dicts."""
+    import glob
+    from tastebud.operators import deepfm as D
+    rnd = np.random.default_rng(4)
+    data = [(f"r{j}", int(rnd.choice([0, 0, 0, *range(1, 9)])), int(rnd.integers(7)), float(rnd.integers(1, 6)), rnd.random(2).tolist())
+            for j in range(150)]
+    rows = spark.createDataFrame(data, "row_key string, uid long, iid long, rating double, dense array<double>")
+    users, items = spark.range(10).toDF("uid"), spark.range(9).toDF("iid")
+    cats = {i: [1 + i % 3, 4, 4][:i % 4] for i in range(9)}           # none, or one twice
+    item_cats = spark.createDataFrame([(i, p, c) for i, cs in cats.items() for p, c in enumerate(cs)], "iid long, pos long, idx long")
+    cfg = D.DeepFMConfig(epochs=3, partitions=3, hidden=(5,), batch_size=16, learning_rate=0.05, l2_reg=0.01)
+    plans, write = [], D.materialize
+
+    def seen(df, name="t"):
+        plans.append((name, df._jdf.queryExecution().optimizedPlan().toString()))
+        return write(df, name)
+    monkeypatch.setattr(D, "materialize", seen)
+    monkeypatch.setattr(D, "CHUNK_BATCHES", 2)
+    m = D.fit_deepfm(rows, users, items, item_cats, 4, cfg)
+    epochs = [p for name, p in plans if name == "deepfm-upd"]
+    assert len(epochs) == 3 and not any("Join" in p or "Generate" in p for p in epochs)
+    scratch = common.scratch_dir(spark).removeprefix("file:")
+    assert not glob.glob(f"{scratch}/deepfm-upd-*") and not glob.glob(f"{scratch}/deepfm-packed-*")
+
+    start = {b: {r.k: np.array(r.vec) for r in D.init_sparse(t, "k", b, cfg).collect()}
+             for b, t in (("u", users.toDF("k")), ("i", items.toDF("k")), ("c", spark.range(1, 5).toDF("k")))}
+    dense, now = D.init_dense(cfg, float(np.mean([r[3] for r in data]))), start
+    parts = {}
+    salted = D.salted_rows(rows, 3, cfg.seed).withColumn("p", F.expr("pmod(hash(uid, salt), 3)"))
+    for r in salted.orderBy("h").collect():
+        parts.setdefault(r.p, []).append(r)
+    assert len(parts) > 1
+
+    def step(state, key, P, g):
+        mom, v, t = state.get(key, (0.0, 0.0, 0))
+        mom, v, t = 0.9 * mom + 0.1 * g, 0.999 * v + 0.001 * g * g, t + 1
+        state[key] = mom, v, t
+        return P - cfg.learning_rate * np.sqrt(1 - 0.999 ** t) / (1 - 0.9 ** t) * mom / (np.sqrt(v) + 1e-7)
+    for _ in range(cfg.epochs):
+        copies, denses = {}, []
+        for own in parts.values():
+            d, T, state = dense.copy(), {b: dict(t) for b, t in now.items()}, {}
+            for s in range(0, len(own), 16):
+                bt = own[s:s + 16]
+                u, i = (np.stack([T[b][r[c]] for r in bt]) for b, c in (("u", "uid"), ("i", "iid")))
+                c = np.stack([sum((T["c"][x] for x in cats[r.iid]), np.zeros(5)) / max(len(cats[r.iid]), 1) for r in bt])
+                xd, y = np.array([r.dense for r in bt]), np.array([r.rating for r in bt])
+                P = D._unpack(d, cfg)
+                pred, cache = D._forward(P, u[:, 1:], i[:, 1:], c[:, 1:], u[:, 0] + i[:, 0] + c[:, 0], xd, cfg)
+                g = 2 * (pred - y) / len(bt)
+                G, du, di, dc = D._backward(P, g, u[:, 1:], i[:, 1:], c[:, 1:], xd, cache, cfg)
+                gd = np.concatenate([G[n].ravel() for n, _ in D._dense_shapes(cfg)])
+                gd[1:3] += 2 * cfg.l2_reg * d[1:3]
+                grads = {}
+                for k, r in enumerate(bt):
+                    for b, idx, x, n in [("u", r.uid, du, 1), ("i", r.iid, di, 1), *(("c", x, dc, len(cats[r.iid])) for x in cats[r.iid])]:
+                        grads.setdefault((b, idx), []).append(np.r_[g[k], x[k]] / n)
+                d = step(state, "dense", d, gd)
+                for (b, idx), gs in grads.items():
+                    T[b][idx] = step(state, (b, idx), T[b][idx], sum(gs) + 2 * cfg.l2_reg * T[b][idx])
+                    copies.setdefault((b, idx), {}).setdefault(id(own), [0, None])[0] += len(gs)
+            for (b, idx), of in copies.items():
+                if id(own) in of:
+                    of[id(own)][1] = T[b][idx]
+            denses.append((len(own), d))
+        dense = sum(n * d for n, d in denses) / 150
+        now = {b: dict(t) for b, t in now.items()}
+        for (b, idx), of in copies.items():
+            now[b][idx] = sum(n * x for n, x in of.values()) / sum(n for n, _ in of.values())
+    assert np.allclose(m.dense, dense, atol=1e-9)
+    for b, t in (("u", m.users), ("i", m.items), ("c", m.cats)):
+        got = {r[0]: r[1] for r in t.collect()}
+        assert got.keys() == now[b].keys() and all(np.allclose(got[k], now[b][k], atol=1e-9) for k in got)
