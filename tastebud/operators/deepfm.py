@@ -153,7 +153,7 @@ def _backward(P, g, eu, ei, ec, xd, cache, cfg, G=None):
     np.matmul(acts[-1].T, g, out=G["Wout"])
     d = np.outer(g, P["Wout"])
     for li in reversed(range(len(cfg.hidden))):
-        d *= acts[li + 1] > 0
+        np.putmask(d, acts[li + 1] <= 0, 0.0)
         np.matmul(acts[li].T, d, out=G[f"W{li}"])
         np.sum(d, axis=0, out=G[f"b{li}"])
         d = d @ P[f"W{li}"].T
@@ -321,42 +321,57 @@ def _records(schema: pa.Schema, rows: list[tuple]) -> pa.RecordBatch:
 
 class _Table:
     """A task's parameters of one block with lazy Adam state: ``[parameters, m, v]`` a row, which a
-    step reads and writes at once."""
+    mini-batch reads and writes once."""
 
     def __init__(self, params: list[tuple[np.ndarray, ...]], lr: float):
-        self.idx, pos, self.n, vec = (np.concatenate(x) for x in zip(*params))
-        self.pos, self.k1, self.lr = pos, vec.shape[1], lr
-        self.S = np.zeros((len(pos), 3 * self.k1))
-        self.P = self.S[:, :self.k1]
-        self.P[pos] = vec
-        self.t = np.zeros(len(pos), dtype=np.int64)
-        self.rate = np.zeros(1)
-
-    def adam(self, rows: np.ndarray, grad: np.ndarray, lam: float) -> None:
-        """A step with the gradients of each touched row summed, plus l2 on it."""
-        order = np.argsort(rows, kind="stable")
-        rows = rows[order]
-        first = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
-        rows = rows[first]
-        G = np.add.reduceat(grad[order], first, axis=0)
-        own, k1 = self.S[rows], self.k1
-        P, m, v = own[:, :k1], own[:, k1:2 * k1], own[:, 2 * k1:]
+        self.idx, self.pos, self.n, vec = (np.concatenate(x) for x in zip(*params))
+        self.k1, self.lr = vec.shape[1], lr
+        self.S = np.zeros((len(vec), 3 * self.k1))
+        self.S[self.pos, :self.k1] = vec
+        self.t = np.zeros(len(vec), dtype=np.int64)
+        self.rate = np.zeros((1, self.k1))
+
+    def take(self, rows: np.ndarray) -> np.ndarray:
+        """The parameters of ``rows``, which :meth:`adam` then steps."""
+        self.order = np.argsort(rows, kind="stable")
+        rows = rows[self.order]
+        new = np.empty(len(rows), dtype=bool)
+        new[:1] = True
+        np.not_equal(rows[1:], rows[:-1], out=new[1:])
+        self.first = np.flatnonzero(new)
+        self.rows = rows[self.first]
+        own = self.S.take(self.rows, axis=0)
+        self.own = [np.ascontiguousarray(own[:, x * self.k1:(x + 1) * self.k1]) for x in range(3)]
+        at = np.empty(len(rows), dtype=np.int64)
+        at[self.order] = np.cumsum(new) - 1
+        return self.own[0].take(at, axis=0)
+
+    def adam(self, grad: np.ndarray, lam: float) -> None:
+        """A step with the gradients of each taken row summed, plus l2 on it."""
+        if not len(grad):
+            return
+        P, m, v = self.own
+        G = np.add.reduceat(grad.take(self.order, axis=0), self.first, axis=0)
         G += 2 * lam * P
-        t = self.t[rows] + 1
-        self.t[rows] = t
+        t = self.t[self.rows] + 1
+        self.t[self.rows] = t
         top = int(t.max())
         if top >= len(self.rate):
             e = np.arange(1, 2 * top + 1)
-            self.rate = np.concatenate([[0.0], self.lr * np.sqrt(1 - B2 ** e) / (1 - B1 ** e)])
+            self.rate = np.repeat(np.r_[0.0, self.lr * np.sqrt(1 - B2 ** e) / (1 - B1 ** e)][:, None], self.k1, axis=1)
         m *= B1
         m += (1 - B1) * G
         v *= B2
-        v += (1 - B2) * G * G
-        P -= self.rate[t][:, None] * m / (np.sqrt(v) + EPS)
-        self.S[rows] = own
+        G *= G
+        G *= 1 - B2
+        v += G
+        np.sqrt(v, out=G)
+        G += EPS
+        P -= self.rate.take(t, axis=0) * m / G
+        self.S[self.rows] = np.concatenate(self.own, axis=1)
 
     def params(self) -> tuple[np.ndarray, ...]:
-        return self.idx, self.pos, self.n, self.P[self.pos]
+        return self.idx, self.pos, self.n, self.S[self.pos, :self.k1]
 
 
 def _split(keys: np.ndarray, cols: tuple[np.ndarray, ...]):
@@ -408,23 +423,21 @@ def _train_parts(start: np.ndarray, cfg: DeepFMConfig, parts: int):
 
     def train(ur, ir, y, xd, U, I, C, cat_lens, cat_at, cats, P, G, dense, gdense, opt):
         B = len(y)
-        u, i = U.P[ur], I.P[ir]
+        u, i = U.take(ur), I.take(ir)
         lens = cat_lens[ir]
         of = np.repeat(np.arange(B), lens)               # the row and the category of each entry
         ends = np.cumsum(lens)
         cs = cats[np.repeat(cat_at[ir] - ends + lens, lens) + np.arange(len(of))]
-        c = _pooled(B, lens, C.P[cs])
+        c = _pooled(B, lens, C.take(cs))
         pred, cache = _forward(P, u[:, 1:], i[:, 1:], c[:, 1:], u[:, 0] + i[:, 0] + c[:, 0], xd, cfg)
         g = 2.0 * (pred - y) / B                         # d mean squared error / d pred
         _, de_u, de_i, de_c = _backward(P, g, u[:, 1:], i[:, 1:], c[:, 1:], xd, cache, cfg, G)
         gdense[:1 + cfg.n_dense] += 2 * lam * dense[:1 + cfg.n_dense] * l2_mask
         opt.step(dense, gdense)
         g = g[:, None]
-        U.adam(ur, np.concatenate([g, de_u], axis=1), lam)
-        I.adam(ir, np.concatenate([g, de_i], axis=1), lam)
-        if len(cs):
-            gc = np.concatenate([g, de_c], axis=1) / np.maximum(lens, 1)[:, None]
-            C.adam(cs, gc[of], lam)
+        U.adam(np.concatenate([g, de_u], axis=1), lam)
+        I.adam(np.concatenate([g, de_i], axis=1), lam)
+        C.adam((np.concatenate([g, de_c], axis=1) / np.maximum(lens, 1)[:, None]).take(of, axis=0), lam)
 
     def fn(batches):
         for part, own in _runs(batches, "part"):

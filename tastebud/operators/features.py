@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import split_categories
+from .common import materialize
 from .ids import dense_index, ordered_index
 
 DEFAULT_MIN_CATEGORY = 50
@@ -21,11 +22,12 @@ def rating_frame(rating_rows: DataFrame, business: DataFrame, keep: Sequence[str
     get label-encoded dense ids over the rows present (sorted raw key).
 
     The right join is an inner join, whose business side can be broadcast or whose
-    hot businesses AQE can split, and the businesses that no rating has."""
+    hot businesses AQE can split, and the businesses that no rating has.  It is written once: both id
+    maps read it before it meets them."""
     r = rating_rows.select("user_id", "business_id", F.col("stars").alias("rating"), *keep)
     b = business.select("business_id", "stars", "review_count", "categories")
     unrated = b.join(r.select("business_id").distinct(), "business_id", "left_anti")
-    frame = r.join(b, "business_id").unionByName(unrated, allowMissingColumns=True)
+    frame = materialize(r.join(b, "business_id").unionByName(unrated, allowMissingColumns=True), "rating-frame")
     umap = dense_index(frame.select("user_id"), "user_id", "uid")
     imap = dense_index(frame.select("business_id"), "business_id", "iid")
     return frame.join(umap, "user_id", "left").join(imap, "business_id")

@@ -326,3 +326,22 @@ def test_ordered_marks_equal_the_ordered_split_without_a_sort_of_the_rows(spark)
     split = {r.text: r.split for r in validation.ordered_marks(same, "id", 0.6).collect()}
     assert split["e"] == "train" and split["d"] == "test" and sorted(split[t] for t in "abc") == ["test", "train", "train"]
     assert validation.ordered_marks(same, "id", 0.0).where("split = 'train'").count() == 0
+
+
+def test_rating_frame_is_joined_once(spark, monkeypatch):
+    """Both id maps read the written frame and don't join ratings and businesses again."""
+    from tastebud.operators import features as FE
+    r = spark.createDataFrame([("u1", "b1", 5.0, "1-1"), (None, "b1", 4.0, "1-2"), ("u2", "b9", 3.0, "2-1")],
+                              "user_id string, business_id string, stars double, review_id string")
+    b = spark.createDataFrame([("b1", 4.0, 3, "A, B"), ("b2", 2.0, 0, None)],
+                              "business_id string, stars double, review_count long, categories string")
+    plans, index = [], FE.dense_index
+
+    def seen(keys, key, out="id"):
+        plans.append(keys._jdf.queryExecution().optimizedPlan().toString())
+        return index(keys, key, out)
+    monkeypatch.setattr(FE, "dense_index", seen)
+    got = FE.rating_frame(r, b).collect()
+    assert len(plans) == 2 and not any("Join" in p for p in plans)
+    assert sorted((x.business_id, x.uid, x.iid, x.rating) for x in got if x.user_id) == [("b1", 0, 0, 5.0)]
+    assert sorted((x.business_id, x.rating or 0) for x in got if not x.user_id) == [("b1", 4.0), ("b2", 0)]
