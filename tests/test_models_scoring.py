@@ -566,3 +566,37 @@ def test_deepfm_epochs_move_packed_parts_and_equal_plain_adam(spark, monkeypatch
     for b, t in (("u", m.users), ("i", m.items), ("c", m.cats)):
         got = {r[0]: r[1] for r in t.collect()}
         assert got.keys() == now[b].keys() and all(np.allclose(got[k], now[b][k], atol=1e-9) for k in got)
+
+
+def test_bias_folds_by_chunks_with_spread_users(spark, monkeypatch):
+    """Users of many ratings lie over several chunks; pairs that repeat, ratings without stars and keys that only such have."""
+    monkeypatch.setattr(bias, "CHUNKS", 3)
+    monkeypatch.setattr(bias, "CHUNK_ROWS", 60)
+    monkeypatch.setattr(bias, "SPREAD_ROWS", 20)
+    monkeypatch.setattr(bias, "TRACKS", 4)  # two passes
+    rows = _random_ratings(seed=5) + [(2, i % 20, float(1 + i % 5)) for i in range(150)]
+    folds = [(u, i, r, (u * 3 + i * 5) % 2) for u, i, r in rows]
+    df = spark.createDataFrame(folds + [(2, 3, None, 0), (77, 88, None, 1)], "uid long, iid long, stars double, fold int")
+    cfgs = [(15.0, 10.0), (5.0, 5.0), (10.0, 15.0)]
+    dealt = bias._deal(df, 2, 452, 31, 21)
+    assert dealt.spread == [2] and dealt.chunks.count() == 8
+    fits = bias.fit_bias_folds(df, "fold", 2, cfgs, 3, snapshots=(1,))
+    for e in (1, 3):
+        bu, bi = ({x[0]: x[1] for x in t.collect()} for t in fits.snapshots[e])
+        assert bu[77] == [None] * 3 + [0.0] * 3 and bi[88] == [None] * 3 + [0.0] * 3 and len(bu) == 31  # of fold 1: counts as zero where held out
+        for f in range(2):
+            n = [(u, i) for u, i, _, ff in folds + [(2, 3, None, 0), (77, 88, None, 1)] if ff != f]
+            train = [(u, i, r) for u, i, r, ff in folds if ff != f]
+            mu = sum(r for _, _, r in train) / len(n)
+            for c, (ru, ri) in enumerate(cfgs):
+                t, eu, ei = f * 3 + c, dict.fromkeys(range(31), 0.0), dict.fromkeys(range(21), 0.0)
+                for _ in range(e):
+                    ei = {i: sum(r - mu - eu[u] for u, ii, r in train if ii == i) / (ri + sum(ii == i for _, ii in n)) for i in range(20)}
+                    eu = {u: sum(r - mu - ei[i] for uu, i, r in train if uu == u) / (ru + sum(uu == u for uu, _ in n)) for u in range(30)}
+                assert fits.mu[t] == pytest.approx(mu)
+                assert {u: bu[u][t] for u in eu} == pytest.approx(eu) and {i: bi[i][t] for i in ei} == pytest.approx(ei)
+    got = {(r.epoch, r.fold, r.cfg): (r.n, r.rmse) for r in bias.fold_rmse(df, "fold", fits, (1, 3)).collect()}
+    assert len(got) == 12
+    for f in range(2):
+        e = [(r - min(max(fits.mu[f * 3 + 1] + bu[u][f * 3 + 1] + bi[i][f * 3 + 1], 1), 5)) ** 2 for u, i, r, ff in folds if ff == f]
+        assert got[3, f, 1] == (len(e) + 1, pytest.approx((sum(e) / len(e)) ** 0.5))
