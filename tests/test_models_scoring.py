@@ -600,3 +600,19 @@ def test_bias_folds_by_chunks_with_spread_users(spark, monkeypatch):
     for f in range(2):
         e = [(r - min(max(fits.mu[f * 3 + 1] + bu[u][f * 3 + 1] + bi[i][f * 3 + 1], 1), 5)) ** 2 for u, i, r, ff in folds if ff == f]
         assert got[3, f, 1] == (len(e) + 1, pytest.approx((sum(e) / len(e)) ** 0.5))
+
+
+def test_als_grid_keeps_the_shuffles_of_one_iteration(spark, monkeypatch):
+    """Factors are written in each iteration, with which MLlib deletes its shuffles; those of a fit that is done are freed."""
+    freed, intervals = [], []
+
+    class Validator(models.CrossValidator):
+        def __init__(self, **kw):
+            intervals.append(kw["estimator"].getCheckpointInterval())
+            super().__init__(**kw)
+
+    monkeypatch.setattr(models, "CrossValidator", Validator)
+    monkeypatch.setattr(models, "free_shuffles", freed.append, raising=False)
+    t = spark.createDataFrame([(u, i, float((u * i) % 5), (u + i) % 2) for u in range(8) for i in range(6)], "uid long, iid long, stars double, f int")
+    _, scores = models.als_grid(t, "f", 2, {"rank": (1, 2)}, models.ALSConfig(maxIter=2))
+    assert intervals == [1] and len(freed) == 4 and len(scores) == 2
