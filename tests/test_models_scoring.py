@@ -616,3 +616,33 @@ def test_als_grid_keeps_the_shuffles_of_one_iteration(spark, monkeypatch):
     t = spark.createDataFrame([(u, i, float((u * i) % 5), (u + i) % 2) for u in range(8) for i in range(6)], "uid long, iid long, stars double, f int")
     _, scores = models.als_grid(t, "f", 2, {"rank": (1, 2)}, models.ALSConfig(maxIter=2))
     assert intervals == [1] and len(freed) == 4 and len(scores) == 2
+
+
+def test_single_precision_finds_tiles_and_exact_scores_rank(spark, monkeypatch):
+    """Scores that single precision can't tell apart are ranked exactly; a tile without a score for any list is passed over."""
+    monkeypatch.setattr(blocked, "TILE_TARGETS", 16)
+    monkeypatch.setattr(blocked, "TILE_QUERIES", 4)
+    rng, n, nf = np.random.default_rng(8), 200, 5
+    T = 50 + 1e-6 * rng.integers(0, 40, (n, nf))             # float32 steps by 4e-6 there
+    T[n - 1], Q = 1e16, 1 + 1e-3 * rng.random((9, nf))
+    T[n - 1, 0] = -1e17                                       # beyond what single precision is used for
+    index = list(range(nf))
+    queries = spark.createDataFrame([(q, index, v.tolist()) for q, v in enumerate(Q)], "qid long, fidx array<long>, w array<double>")
+    for part in (T[:n - 1], T):
+        targets = spark.createDataFrame([([2 * t, 2 * t + 1] if t % 50 == 0 else [2 * t], index, v.tolist()) for t, v in enumerate(part)],
+                                        "cids array<long>, fidx array<long>, w array<double>")
+        cids = [(t, c) for t in range(len(part)) for c in ([2 * t, 2 * t + 1] if t % 50 == 0 else [2 * t])]
+        S = Q @ part.T
+        got = {(r.qid, r["rank"]): r.score for r in blocked.blocked_top_n(queries, targets, nf, 6).collect()}
+        for q in range(9):
+            want = sorted((S[q, t] for t, _ in cids), reverse=True)[:6]
+            assert [got[q, k + 1] for k in range(6)] == pytest.approx(want, abs=1e-6)
+    V = rng.normal(size=(64, nf))
+    block = blocked._Block(float(np.sqrt((V * V).sum(axis=1)).max()), 64, V.tobytes(), np.arange(64, dtype=np.int32).tobytes(), np.arange(64).tobytes())
+    score = Q @ V.T
+    third = np.sort(score, axis=1)[:, -3]
+    lists = blocked._Lists(np.full(9, 3), third, np.zeros(0, int), np.zeros(0), np.zeros(0, int))
+    seen = np.zeros(score.shape, bool)
+    for rows, a, b in blocked._candidates(block, Q, Q.astype(np.float32), np.arange(9), np.full(9, 1e-4), lists):
+        seen[rows, a:b] = True
+    assert seen[score >= third[:, None]].all() and not seen.all()
